@@ -18,7 +18,8 @@ from siltbed.spec import RunOptions, Table, Tree
 ORDER_TREE = Tree(
     Table("orders", "o_orderkey"),
     (Table("lineitem", "l_orderkey", unique=False, parent="orders", link="l_orderkey"),),
-    age_column="o_orderdate", months=13, status_column="o_orderstatus", statuses=("F", "P"))
+    age_column="o_orderdate", months=13, status_column="o_orderstatus", statuses=("F", "P"),
+    segment_months=12)
 ORDER_RUN = RunOptions(as_of=dt.date(1998, 1, 1), parallel=3, batch_size=20)
 
 CUSTOMER_TREE = Tree(
@@ -32,7 +33,8 @@ CUSTOMER_RUN = RunOptions(as_of=dt.date(1998, 1, 1), last_digit=3)
 EVENT_TABLE = Tree(Table("events", "event_id"), age_column="ts", months=2)
 EVENT_RUN = RunOptions(as_of=dt.date(2024, 3, 15), parallel=3, batch_size=300)
 
-SHIP_TABLE = Tree(Table("lineitem", "l_orderkey", unique=False), age_column="l_shipdate", months=2, age_is_date=True)
+SHIP_TABLE = Tree(Table("lineitem", "l_orderkey", unique=False), age_column="l_shipdate", months=2, age_is_date=True,
+                  segment_months=12)
 SHIP_RUN = RunOptions(as_of=dt.date(1997, 2, 1), parallel=3, batch_size=300)
 
 ORDER_CUTOFF = dt.date(1996, 12, 1)

@@ -13,9 +13,11 @@ import json
 import time
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,9 +25,9 @@ from siltbed.functions.scalars import worker_of
 from siltbed.operators.batch import assign_batches
 from siltbed.operators.select import eligible_filter, eligible_keys, scan
 from siltbed.operators.slices import slice_plan
-from siltbed.session import scratch_path
+from siltbed.session import advisory_bytes, scratch_path
 from siltbed.sources.store import (
-    ARCHIVE, BATCH, LEDGER, LIVE, SEGMENT, SIDE, WORKER, Manifest, Part, Store, range_label, segment_of, touched,
+    ARCHIVE, BATCH, LEDGER, LIVE, SEGMENT, SIDE, WORKER, Manifest, Part, Store, month_index, range_label, segment_of, touched,
 )
 from siltbed.spec import RunOptions, Table, Tree
 
@@ -79,14 +81,19 @@ class RunResult:
         mine = None if rows is None else rows.where(F.col("run_id") == self.run_id)
         if self.chunks and mine is not None:
             return mine
-        return store.spark.createDataFrame(
-            [(self.run_id, "", 1, 0, 1, 0, 0, 0)], LEDGER_SCHEMA)
+        return small_rows(store.spark, LEDGER_SCHEMA, [(self.run_id, "", 1, 0, 1, 0, 0, 0)])
 
 
 def store_has_ledger(manifest: Manifest) -> bool:
     return bool(manifest.of(LEDGER, "batches"))
 
 
+def small_rows(spark: SparkSession, schema: T.StructType, rows: list[tuple]) -> DataFrame:
+    """A few driver-side numbers (at most one row per worker) as a relation."""
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema)]) for row in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
 # -- run loop ------------------------------------------------------------------
 
 
@@ -116,14 +123,18 @@ def _drain(store: Store, tree: Tree, options: RunOptions, step: Step) -> RunResu
     options = _resolve(options)
     run_id = options.run_id or uuid.uuid4().hex
     cutoff = _cutoff(tree, options)
-    started = time.monotonic()
     result = RunResult(run_id, cutoff, store.snapshot())
-    done = 0
+    with advisory_bytes(store.spark, store.target_bytes):
+        return _run_chunks(store, tree, options, step, result)
+
+
+def _run_chunks(store: Store, tree: Tree, options: RunOptions, step: Step, result: RunResult) -> RunResult:
+    started, done = time.monotonic(), 0
     while True:
         left = options.max_batches - done if options.max_batches else 0
         take = min(filter(None, (left, options.chunk_batches)), default=0)
         before = time.monotonic()
-        chunk = step(store, result.manifest, tree, options, f"{run_id}-{len(result.chunks) + 1:05d}", take, done)
+        chunk = step(store, result.manifest, tree, options, f"{result.run_id}-{len(result.chunks) + 1:05d}", take, done)
         if chunk is None:
             return result
         chunk.manifest = store.publish(chunk.manifest)
@@ -160,8 +171,8 @@ def _candidate_parts(manifest: Manifest, tree: Tree, options: RunOptions) -> lis
     parts = manifest.of(LIVE, tree.root.name)
     if not tree.age_column:
         return list(parts)
-    last = f"{_cutoff(tree, options):%Y%m}"
-    return [p for p in parts if p.segment is None or (p.segment != "none" and p.segment.zfill(6) <= last)]
+    last = month_index(_cutoff(tree, options), tree.segment_months)
+    return [p for p in parts if p.segment is None or (p.segment != "none" and int(p.segment) <= last)]
 
 
 def _sides(rows: DataFrame, tree: Tree, table: Table, moves: Column, worker: Column, batch: Column) -> DataFrame:
@@ -238,10 +249,13 @@ def _add_ledger(store: Store, manifest: Manifest, tree: Tree, label: str, batche
     return manifest.with_table(LEDGER, "batches", parts, LEDGER_SCHEMA.json())
 
 
-def _idle_workers(store: Store, options: RunOptions, counts: dict[int, int], done: int) -> DataFrame:
+def _with_idle_workers(batches: DataFrame, options: RunOptions, counts: dict[int, int], done: int) -> DataFrame:
     """A worker without eligible rows still runs one empty batch."""
     idle = [(w, 1, 0, 0, 0) for w in range(options.parallel) if not counts.get(w)] if done == 0 else []
-    return store.spark.createDataFrame(idle, "worker int, batch_no bigint, roots bigint, records bigint, duration_us bigint")
+    if not idle:
+        return batches
+    schema = T.StructType([LEDGER_SCHEMA[c] for c in ("worker", "batch_no", "roots", "records", "duration_us")])
+    return batches.unionByName(small_rows(batches.sparkSession, schema, idle))
 
 
 def _batches_of(rows: int, size: int, take: int) -> int:
@@ -269,35 +283,54 @@ def _tree_chunk(
     link = _materialise(
         numbered.where(F.col("batch_no") <= take) if take else numbered, store, f"keys-{label}"
     ).select("__key", "__seg", F.col("worker").alias(WORKER), (F.col("batch_no") + done).alias(BATCH))
-    all_counts = _worker_counts(numbered, "worker")
+    all_counts = _worker_counts(numbered, "worker") if take else _worker_counts(link, WORKER)
     if not all_counts:
         return None
 
-    links = {root.name: link}
-    audit, moved_parts = [], {}
-    before = manifest
-    for t in tree.tables:
-        read = _touched_parts(before, t, links[t.parent or t.name])
-        sides: dict[str, list[Part]] = {}
-        if read:
-            sides = _split_by_link(store, before, tree, t, read, links[t.parent or t.name], f"data/{t.name}/{label}")
-        audit.append(_audit(t, read, sides))
+    links, audit, moved_parts, before = {root.name: link}, {}, {}, manifest
+
+    def move(t: Table) -> tuple[list[Part], dict[str, list[Part]]]:
+        above = links[t.parent or t.name]
+        read = _touched_parts(before, t, above)
+        sides = _split_by_link(store, before, tree, t, read, above, f"data/{t.name}/{label}") if read else {}
+        audit[t.name] = _audit(t, read, sides)
         moved_parts[t.name] = sides.get(MOVED, [])
         _check_not_archived(store, before, t, moved_parts[t.name])
-        manifest = _swap(store, manifest, t, read, sides)
         if tree.children(t.name) and t.parent is not None:
             links[t.name] = _next_link(store, before, t, moved_parts[t.name])
+        return read, sides
+
+    for level in _levels(tree):
+        for t, (read, sides) in zip(level, _concurrently(store.spark, move, level)):
+            manifest = _swap(store, manifest, t, read, sides)
 
     roots = _taken(all_counts, options.batch_size, take)
-    if sum(roots.values()) != audit[0][2]:
-        raise AuditError(f"{root.name}: {sum(roots.values())} keys chosen, {audit[0][2]} rows moved")
+    if sum(roots.values()) != audit[root.name][2]:
+        raise AuditError(f"{root.name}: {sum(roots.values())} keys chosen, {audit[root.name][2]} rows moved")
     spent = int((time.monotonic() - started) * 1_000_000)
     ledger = _tree_ledger(store, tree, moved_parts, roots, options.batch_size, spent)
-    manifest = _add_ledger(store, manifest, tree, label,
-                           ledger.unionByName(_idle_workers(store, options, all_counts, done)))
+    manifest = _add_ledger(store, manifest, tree, label, _with_idle_workers(ledger, options, all_counts, done))
     return Chunk(
         manifest, max(_batches_of(n, options.batch_size, take) for n in all_counts.values()),
-        roots, sum(all_counts.values()) - sum(roots.values()), audit)
+        roots, sum(all_counts.values()) - sum(roots.values()), [audit[t.name] for t in tree.tables])
+
+
+def _levels(tree: Tree) -> list[list[Table]]:
+    """Tables by depth. Tables of one depth only need the keys of the depth above."""
+    depth: dict[str, int] = {}
+    for t in tree.tables:
+        depth[t.name] = 0 if t.parent is None else depth[t.parent] + 1
+    return [[t for t in tree.tables if depth[t.name] == d] for d in range(max(depth.values()) + 1)]
+
+
+def _concurrently(spark: SparkSession, fn: Callable, items: list, at_once: int = 4) -> list:
+    """Submit independent Spark jobs side by side, so one table's tail does not
+    leave the cluster idle. The first error is raised after all have ended."""
+    if len(items) == 1:
+        return [fn(items[0])]
+    task = inheritable_thread_target(spark)(fn)
+    with ThreadPoolExecutor(at_once) as pool:
+        return [f.result() for f in [pool.submit(task, i) for i in items]]
 
 
 def _materialise(df: DataFrame, store: Store, label: str) -> DataFrame:
@@ -415,8 +448,8 @@ def _table_chunk(
         raise AuditError(f"{table.name}: {sum(moved.values())} rows chosen, {audit[2]} moved")
     after = _swap(store, manifest, table, read, sides)
     spent = int((time.monotonic() - started) * 1_000_000)
-    after = _add_ledger(store, after, tree, label, _table_ledger(store, moved, size, done, spent).unionByName(
-        _idle_workers(store, options, counts, done)))
+    ledger = _table_ledger(store, moved, size, done, spent)
+    after = _add_ledger(store, after, tree, label, _with_idle_workers(ledger, options, counts, done))
     return Chunk(
         after, max(_batches_of(n, size, take) for n in counts.values()), moved,
         sum(counts.values()) - sum(moved.values()), [audit])
@@ -439,8 +472,9 @@ def _capped_split(
 
 def _table_ledger(store: Store, moved: dict[int, int], size: int, done: int, spent: int) -> DataFrame:
     """Batches of ``size`` rows per worker follow from the worker's row count."""
-    per_worker = store.spark.createDataFrame(
-        [(w, n, -(-n // size)) for w, n in moved.items() if n], "worker int, n bigint, batches bigint")
+    schema = T.StructType([T.StructField("worker", T.IntegerType()), T.StructField("n", T.LongType()),
+                           T.StructField("batches", T.LongType())])
+    per_worker = small_rows(store.spark, schema, [(w, n, -(-n // size)) for w, n in moved.items() if n])
     each = per_worker.withColumn("b", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("batches"))))
     rows = F.least(F.lit(size).cast("bigint"), F.col("n") - (F.col("b") - 1) * size)
     return each.select("worker", (F.col("b") + done).alias("batch_no"), rows.alias("roots"), rows.alias("records"),

@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 # rebalances writes; runtime bloom filters cut the child side of semi-joins.
 SETTINGS = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

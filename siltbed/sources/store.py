@@ -8,6 +8,7 @@ there. Parts the run did not touch are carried over by name and never rewritten.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import uuid
 from collections.abc import Iterable
@@ -116,8 +117,8 @@ class Store:
         if max(done, default=0) != manifest.version:
             raise StaleVersion(f"read version {manifest.version}, current is {max(done, default=0)}")
         new = replace(manifest, version=max(present, default=0) + 1)
-        row = self.spark.createDataFrame([(new.to_json(),)], "value string")
-        row.coalesce(1).write.mode("error").text(self._version_path(new.version))
+        row = self.spark.range(0, 1, 1, 1).select(F.lit(new.to_json()).alias("value"))
+        row.write.mode("error").text(self._version_path(new.version))
         return new
 
     # -- tables -------------------------------------------------------------
@@ -175,13 +176,13 @@ class Store:
         """Write rows that carry SIDE and SEGMENT; return the parts of each side.
 
         Rebalancing gives each segment few files of even size and lets AQE split a
-        segment that holds much of the data. Counts come from the written footers.
+        segment that holds much of the data; the caller sets the size aimed at
+        (``advisory_bytes``). Counts come from the written footers.
         """
         path = f"{self.root}/{label}"
-        with advisory_bytes(self.spark, self.target_bytes):
-            (rows.hint("rebalance", SIDE, SEGMENT)
-                 .sortWithinPartitions(SIDE, SEGMENT, sort_by)
-                 .write.partitionBy(SIDE, SEGMENT).parquet(path))
+        (rows.hint("rebalance", SIDE, SEGMENT)
+             .sortWithinPartitions(SIDE, SEGMENT, sort_by)
+             .write.partitionBy(SIDE, SEGMENT).parquet(path))
         return self._written_parts(path, label, rows.schema)
 
     def compact(self, side: str, table: str) -> Manifest:
@@ -203,7 +204,8 @@ class Store:
         rows = self.spark.read.schema(schema).parquet(*[self.locate(p) for p in chosen])
         label = F.regexp_extract(F.col("_metadata.file_path"), f"{SEGMENT}=([^/]*)", 1)
         rows = rows.select("*", F.lit(side).alias(SIDE), label.alias(SEGMENT))
-        merged = self.write_sides(rows, f"data/{table}/compact-{uuid.uuid4().hex}", schema.names[0])[side]
+        with advisory_bytes(self.spark, self.target_bytes):
+            merged = self.write_sides(rows, f"data/{table}/compact-{uuid.uuid4().hex}", schema.names[0])[side]
         if sum(p.rows for p in merged) != sum(p.rows for p in chosen):
             raise RuntimeError(f"{table}: compaction changed the number of rows")
         gone = {p.path for p in chosen}
@@ -221,14 +223,19 @@ class Store:
 
 
 def segment_of(tree: Tree, table: Table) -> Column:
-    """Segment label of a row: the month of its age, or the range of its link."""
+    """Segment label of a row: the months of its age, or the range of its link."""
     if table.parent is None and tree.age_column:
-        return month_label(F.col(tree.age_column))
+        return month_label(F.col(tree.age_column), tree.segment_months)
     return range_label(F.col(table.key if table.parent is None else table.link), table.span)
 
 
-def month_label(age: Column) -> Column:
-    return F.coalesce(F.date_format(age.cast("date"), "yyyyMM"), F.lit("none"))
+def month_index(day: dt.date, months: int) -> int:
+    return (day.year * 12 + day.month - 1) // months
+
+
+def month_label(age: Column, months: int) -> Column:
+    month = F.year(age) * 12 + F.month(age) - 1
+    return range_label(F.floor(month / months), 1)
 
 
 def range_label(key: Column, span: int) -> Column:

@@ -39,7 +39,8 @@ class Table:
 class Tree:
     """A root table, the rule that makes its rows eligible, and its dependents.
 
-    Dependents are listed parents first; any depth is allowed.
+    Dependents are listed parents first; any depth is allowed. A root with an age
+    rule is stored in segments of ``segment_months`` months of that age.
     """
 
     root: Table
@@ -49,10 +50,13 @@ class Tree:
     status_column: str | None = None
     statuses: tuple[str, ...] = ()
     age_is_date: bool = False
+    segment_months: int = 1
 
     def __post_init__(self):
         if self.root.parent is not None:
             raise ValueError("the root table has no parent")
+        if self.segment_months < 1:
+            raise ValueError("segment_months must be positive")
         if (self.status_column is None) != (not self.statuses):
             raise ValueError("status_column and statuses go together")
         seen = {self.root.name}
