@@ -12,6 +12,7 @@ from siltbed.operators.batch import assign_batches
 from siltbed.operators.ledger import batch_ledger
 from siltbed.operators.select import eligible_keys
 from siltbed.operators.slices import slice_bounds
+from siltbed.session import stage
 from siltbed.sources.runlog import render_lines
 from siltbed.spec import RunOptions, Table, Tree
 
@@ -61,11 +62,11 @@ def numbered_orders(tables: dict[str, DataFrame], options: RunOptions = ORDER_RU
 
 
 def order_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ledger of the order tree with a duration that follows from the counts."""
+    """Ledger table of the order tree with a duration that follows from the counts."""
     tables = tree_tables(spark, sf_dir, ORDER_TREE)
     rows = batch_ledger(ORDER_TREE, tables, numbered_orders(tables), ORDER_RUN)
-    return rows.select(F.lit(RUN_ID).alias("run_id"), "*",
-                       (F.col("records") * 1000 + F.col("roots")).alias("duration_us"))
+    return stage(rows.select(F.lit(RUN_ID).alias("run_id"), "*",
+                             (F.col("records") * 1000 + F.col("roots")).alias("duration_us")), "ledger")
 
 
 def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,8 +50,11 @@ def one(spark, sf_dir, table) -> DataFrame:
 
 
 def new_store(spark, sf_dir, *tables) -> Store:
-    """A store in the shared folder that refers to the test tables."""
-    store = Store(spark, scratch_path(spark, "store"))
+    """A store in the shared folder that refers to the test tables.
+
+    Files are small here, so that the small tables still occupy several tasks.
+    """
+    store = Store(spark, scratch_path(spark, "store"), target_bytes=4 * 1024 * 1024)
     store.adopt({t: f"{sf_dir}/{t}.parquet" for t in tables})
     return store
 

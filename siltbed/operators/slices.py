@@ -26,17 +26,26 @@ def slice_plan(spark: SparkSession, parallel: int) -> DataFrame:
     ).select("worker", lower.alias("lb"), upper.alias("up"))
 
 
-def jdbc_predicates(key: str, parallel: int, dialect: str = "mod") -> list[str]:
-    """One WHERE text per worker, for a sliced database read.
+def jdbc_predicates(key: str, parallel: int, dialect: str = "mod", splits: int = 1) -> list[str]:
+    """WHERE texts that together read each sliced key of a database once.
 
     ``dialect="mod"`` writes ``MOD(key, 10)``, ``"percent"`` writes ``key % 10``.
+    ``splits`` cuts each worker's slice further by the tens, for more than ten readers.
     """
+    def mod(n: int) -> str:
+        return {"mod": f"MOD({key}, {n})", "percent": f"{key} % {n}"}[dialect]
+
     n = min(max(parallel, 1), 10)
-    digit = {"mod": f"MOD({key}, 10)", "percent": f"{key} % 10"}[dialect]
     base, wide = divmod(10, n)
     texts, lower = [], 0
     for worker in range(n):
         upper = lower + base - (0 if worker < wide else 1)
-        texts.append(f"{digit} BETWEEN {lower} AND {upper}")
+        slice_text = f"{mod(10)} BETWEEN {lower} AND {upper}"
+        if splits == 1:
+            texts.append(slice_text)
+        for i in range(splits if splits > 1 else 0):
+            # Remainders below zero belong to the first split.
+            tens = f"BETWEEN {10 * i} AND {10 * i + 9}" if i else "< 10"
+            texts.append(f"{slice_text} AND {mod(10 * splits)} {tens}")
         lower = upper + 1
     return texts

@@ -23,11 +23,12 @@ from pyspark.sql import types as T
 
 from siltbed.functions.scalars import worker_of
 from siltbed.operators.batch import assign_batches
-from siltbed.operators.select import eligible_filter, eligible_keys, scan
+from siltbed.operators.select import eligible_filter, eligible_keys, matching, scan
 from siltbed.operators.slices import slice_plan
-from siltbed.session import advisory_bytes, scratch_path
+from siltbed.session import advisory_bytes, stage
 from siltbed.sources.store import (
-    ARCHIVE, BATCH, LEDGER, LIVE, SEGMENT, SIDE, WORKER, Manifest, Part, Store, month_index, range_label, segment_of, touched,
+    ARCHIVE, BATCH, LEDGER, LIVE, SEGMENT, SIDE, WORKER, Manifest, Part, Store, files_of, month_index, range_label,
+    segment_of,
 )
 from siltbed.spec import RunOptions, Table, Tree
 
@@ -280,9 +281,7 @@ def _tree_chunk(
     numbered = assign_batches(
         chosen.select(F.col(root.key).alias("__key"), "__seg"),
         worker_of("__key", options.parallel), "__key", options.batch_size)
-    link = _materialise(
-        numbered.where(F.col("batch_no") <= take) if take else numbered, store, f"keys-{label}"
-    ).select("__key", "__seg", F.col("worker").alias(WORKER), (F.col("batch_no") + done).alias(BATCH))
+    link = stage(numbered.where(F.col("batch_no") <= take) if take else numbered, f"keys-{label}").select("__key", "__seg", F.col("worker").alias(WORKER), (F.col("batch_no") + done).alias(BATCH))
     all_counts = _worker_counts(numbered, "worker") if take else _worker_counts(link, WORKER)
     if not all_counts:
         return None
@@ -291,7 +290,7 @@ def _tree_chunk(
 
     def move(t: Table) -> tuple[list[Part], dict[str, list[Part]]]:
         above = links[t.parent or t.name]
-        read = _touched_parts(before, t, above)
+        read = _touched_parts(store, before, t, above)
         sides = _split_by_link(store, before, tree, t, read, above, f"data/{t.name}/{label}") if read else {}
         audit[t.name] = _audit(t, read, sides)
         moved_parts[t.name] = sides.get(MOVED, [])
@@ -333,31 +332,30 @@ def _concurrently(spark: SparkSession, fn: Callable, items: list, at_once: int =
         return [f.result() for f in [pool.submit(task, i) for i in items]]
 
 
-def _materialise(df: DataFrame, store: Store, label: str) -> DataFrame:
-    """Write to the shared folder and read back: no recomputation, known size."""
-    path = scratch_path(store.spark, label)
-    df.write.parquet(path)
-    return store.spark.read.schema(df.schema).parquet(path)
-
-
 def _worker_counts(rows: DataFrame, worker: str) -> dict[int, int]:
     """At most ten numbers."""
     return {w: n for w, n in rows.groupBy(worker).count().collect() if w is not None}
 
 
-def _touched_parts(manifest: Manifest, table: Table, link: DataFrame) -> list[Part]:
+def _touched_parts(store: Store, manifest: Manifest, table: Table, link: DataFrame) -> list[Part]:
     """Live parts that can hold rows of the chosen keys.
 
     Segments are a function of the link value, so the keys name them; only labels
-    the manifest knows come back to the driver.
+    the manifest knows come back to the driver. Adopted files have no segment and
+    are looked up by a semi-join that reads nothing but the link column.
     """
     parts = manifest.of(LIVE, table.name)
     known = sorted({p.segment for p in parts if p.segment is not None})
-    if not known:
-        return list(parts)
-    label = F.col("__seg") if table.parent is None else range_label(F.col("__key"), table.span)
-    hit = link.select(label.alias("s")).where(F.col("s").isin(known)).distinct().collect()
-    return touched(parts, {r[0] for r in hit})
+    hit: set[str] = set()
+    if known:
+        label = F.col("__seg") if table.parent is None else range_label(F.col("__key"), table.span)
+        hit = {r[0] for r in link.select(label.alias("s")).where(F.col("s").isin(known)).distinct().collect()}
+    loose = [p for p in parts if p.segment is None]
+    if len(loose) > 1:
+        rows = store.read(manifest, LIVE, table.name, loose)
+        on = table.key if table.parent is None else table.link
+        loose = files_of(matching(rows.select(on, "_metadata"), on, link.select("__key")), loose)
+    return [p for p in parts if p.segment in hit] + loose
 
 
 def _split_by_link(
@@ -433,7 +431,11 @@ def _table_chunk(
     if not counts:
         return None
 
-    read = touched(candidates, {s for s, _, _ in found})
+    read = [p for p in candidates if p.segment in {s for s, _, _ in found}]
+    loose = [p for p in candidates if p.segment is None]
+    if len(loose) > 1:
+        loose = files_of(store.read(manifest, LIVE, table.name, loose).where(eligible_filter(tree, options)), loose)
+    read += loose
     rows = store.read(manifest, LIVE, table.name, read)
     worker = worker_of(table.key, options.parallel)
     if take:

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE re-plans joins from measured sizes, splits skewed join partitions and
 # rebalances writes; runtime bloom filters cut the child side of semi-joins.
@@ -55,6 +55,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/siltbed/{label}-{uuid.uuid4().hex}"
 
 
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write to the shared folder and read back: short lineage, known size, and
+    nothing to recompute when an executor is lost."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def advisory_bytes(spark: SparkSession, target: int) -> Iterator[None]:
     """Let AQE aim at partitions of ``target`` bytes for the jobs inside."""

@@ -1,4 +1,4 @@
-"""Sliced read of a database table: one Spark partition per worker's digits."""
+"""Sliced read of a database table: one Spark partition per slice."""
 
 from __future__ import annotations
 
@@ -9,11 +9,12 @@ from siltbed.operators.slices import jdbc_predicates
 
 def read_sliced(
     spark: SparkSession, url: str, table: str, key: str, parallel: int,
-    dialect: str = "mod", properties: dict[str, str] | None = None,
+    dialect: str = "mod", splits: int = 1, properties: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Rows whose key ends in a digit of some slice, read over ``parallel`` connections.
+    """Rows whose key ends in a digit of some slice, one partition per worker and split.
 
     Later filters and column choices are pushed to the database by Spark.
     Credentials belong in ``properties``, taken from the session's configuration.
     """
-    return spark.read.jdbc(url, table, predicates=jdbc_predicates(key, parallel, dialect), properties=properties or {})
+    predicates = jdbc_predicates(key, parallel, dialect, splits)
+    return spark.read.jdbc(url, table, predicates=predicates, properties=properties or {})

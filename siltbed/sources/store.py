@@ -13,6 +13,7 @@ import json
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,7 +94,7 @@ class Store:
             return [], []
         present = [int(s.getPath().getName()[2:]) for s in fs.listStatus(base)
                    if s.getPath().getName().startswith("v=")]
-        done = [v for v in sorted(present)[-20:]
+        done = [v for v in sorted(present)
                 if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self._version_path(v)}/_SUCCESS"))]
         return present, done
 
@@ -126,15 +127,20 @@ class Store:
     def adopt(self, tables: dict[str, str]) -> Manifest:
         """Register existing Parquet directories as live tables, without copying.
 
-        The data is left where it is; the first run that touches a table writes
-        the rows that stay into segments of the store.
+        Every file becomes a part of its own that stays where it is until a run
+        moves rows out of it; only then are its other rows written to segments. A
+        directory with partition columns in its paths is one part as a whole.
         """
         m = self.snapshot()
         for name, path in tables.items():
             if m.of(LIVE, name):
                 raise ValueError(f"{name} is already a live table")
             df = self.spark.read.parquet(path)
-            m = m.with_table(LIVE, name, [Part(path, None, df.count())], df.schema.json())
+            rows = df.groupBy("_metadata.file_path").count().collect()
+            parts = [Part(_plain_path(file), None, n) for file, n in rows]
+            if any("=" in p.path.rsplit(path.rstrip("/"), 1)[-1] for p in parts):
+                parts = [Part(path, None, sum(p.rows for p in parts))]
+            m = m.with_table(LIVE, name, parts, df.schema.json())
         return self.publish(m)
 
     def read(self, manifest: Manifest, side: str, table: str, parts: Iterable[Part] | None = None) -> DataFrame:
@@ -146,8 +152,8 @@ class Store:
         return self.spark.read.schema(schema).parquet(*[self.locate(p) for p in chosen])
 
     def locate(self, part: Part) -> str:
-        """Part paths are relative to the store, adopted ones are kept as given."""
-        return part.path if "/" == part.path[0] or "://" in part.path else f"{self.root}/{part.path}"
+        """Part paths are relative to the store, those of adopted data are absolute."""
+        return part.path if part.path.startswith("/") or ":/" in part.path else f"{self.root}/{part.path}"
 
     def live(self, table: str) -> DataFrame:
         return self.read(self.snapshot(), LIVE, table)
@@ -211,6 +217,29 @@ class Store:
         gone = {p.path for p in chosen}
         return self.publish(m.with_table(side, table, [p for p in m.of(side, table) if p.path not in gone] + merged))
 
+    def expire(self, keep_versions: int = 2) -> list[str]:
+        """Reclaim space: drop old manifests and the directories none of the kept ones names.
+
+        Do not run it beside a job: what a running job has written is not named yet.
+        Adopted data outside the store is never deleted.
+        """
+        _, done = self._versions()
+        kept = sorted(done)[-keep_versions:]
+        named = {p.path for v in kept for parts in self.manifest(v).parts.values() for p in parts}
+        jvm = self.spark.sparkContext._jvm
+        fs = jvm.org.apache.hadoop.fs.Path(self.root).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+        def children(path: str) -> list[str]:
+            p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{path}")
+            return [f"{path}/{s.getPath().getName()}" for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
+
+        parts = [s for t in children("data") for run in children(t) for side in children(run) for s in children(side)]
+        stale = [p for p in parts + children("ledger") if p not in named]
+        stale += [f"_manifest/v={v}" for v in sorted(done)[:-keep_versions]]
+        for path in stale:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.root}/{path}"), True)
+        return stale
+
     def _written_parts(self, path: str, label: str, schema: T.StructType) -> dict[str, list[Part]]:
         plain = T.StructType([f for f in schema if f.name not in (SIDE, SEGMENT)])
         typed = T.StructType([*plain, T.StructField(SIDE, T.StringType()), T.StructField(SEGMENT, T.StringType())])
@@ -243,6 +272,12 @@ def range_label(key: Column, span: int) -> Column:
     return F.coalesce(whole.cast("bigint").cast("string"), F.lit("none"))
 
 
-def touched(parts: Iterable[Part], segments: set[str]) -> list[Part]:
-    """Parts of the given segments, and all parts without one."""
-    return [p for p in parts if p.segment is None or p.segment in segments]
+def files_of(rows: DataFrame, parts: list[Part]) -> list[Part]:
+    """Those of the one-file parts that any of the rows comes from."""
+    seen = {_plain_path(r[0]) for r in rows.select("_metadata.file_path").distinct().collect()}
+    return [p for p in parts if p.path in seen]
+
+
+def _plain_path(uri: str) -> str:
+    """The path as readers take it, from the escaped form in file metadata."""
+    return unquote(uri)

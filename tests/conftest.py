@@ -16,6 +16,10 @@ def spark(tmp_path_factory):
         "tests", "local[8]", **{
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",
+            # Tiny inputs: compiling plans would take longer than running them.
+            "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
+            "spark.sql.codegen.wholeStage": "false",
+            "spark.sql.codegen.factoryMode": "NO_CODEGEN",
             # Local files without checksum twins: half the file creations.
             "spark.hadoop.fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),

@@ -224,6 +224,41 @@ def test_compaction_keeps_rows_and_merges_parts(spark, store):
     assert len(after) < parts and len({p.segment for p in after}) == len(after)
 
 
+def test_adopted_files_without_moved_rows_stay_in_place(spark, store):
+    before = store.snapshot()
+    assert all(len(before.of(LIVE, t)) > 1 for t in store.paths)
+    jobs.archive_tree(store, TREE, replace(RUN, max_batches=1, batch_size=5))
+    now = store.snapshot()
+    for t in ("orders", "line"):
+        still = [p for p in now.of(LIVE, t) if p.segment is None]
+        assert 0 < len(still) < len(before.of(LIVE, t)), t
+    jobs.archive_tree(store, TREE, RUN)
+    check(spark, store, store.paths)
+
+
+def test_expire_drops_only_what_no_kept_version_names(spark, store):
+    jobs.archive_tree(store, TREE, replace(RUN, max_batches=1))
+    jobs.archive_tree(store, TREE, RUN)
+    store.compact(ARCHIVE, "line")
+    rows = {t: (bag(store.live(t)), bag(store.archive(t))) for t in store.paths}
+    dropped = store.expire(keep_versions=1)
+    assert any(p.startswith("data/line") for p in dropped) and "_manifest/v=1" in dropped
+    assert {t: (bag(store.live(t)), bag(store.archive(t))) for t in store.paths} == rows
+    assert store.expire(keep_versions=1) == []
+    assert all(spark.read.parquet(p).count() for p in store.paths.values())
+
+
+def test_partitioned_directory_is_adopted_whole(spark, tmp_path, root):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, dt.date(2020, 1, 5), "a"), (2, dt.date(2025, 3, 1), "b")],
+                          "id bigint, date date, kind string").write.partitionBy("kind").parquet(path)
+    store = Store(spark, root)
+    store.adopt({"daily": path})
+    jobs.archive_table(store, DAILY, DAILY_RUN)
+    assert bag(store.archive("daily")) == [(1, dt.date(2020, 1, 5), "a")]
+    assert bag(store.live("daily")) == [(2, dt.date(2025, 3, 1), "b")]
+
+
 # -- single tables ---------------------------------------------------------------
 
 

@@ -138,8 +138,10 @@ def test_status_order(spark):
 def test_sliced_read_predicates_split_the_keys(spark):
     keys = spark.range(-20, 500).withColumnRenamed("id", "key")
     for dialect in ("mod", "percent"):
-        for n in (1, 3, 10):
-            counts = [keys.where(p).count() for p in jdbc_predicates("key", n, dialect)]
-            assert len(counts) == n and sum(counts) == keys.where("key % 10 between 0 and 9").count()
+        for n, splits in ((1, 1), (3, 1), (3, 4), (10, 1)):
+            texts = jdbc_predicates("key", n, dialect, splits)
+            hits = keys.select(sum(F.expr(f"int({t})") for t in texts).alias("n"), "key")
+            assert len(texts) == n * splits
+            assert hits.where("n != int(key % 10 between 0 and 9)").isEmpty()
     assert jdbc_predicates("id", 3) == [
         "MOD(id, 10) BETWEEN 0 AND 3", "MOD(id, 10) BETWEEN 4 AND 6", "MOD(id, 10) BETWEEN 7 AND 9"]
