@@ -154,8 +154,8 @@ ORACLE: dict[str, str] = {
     "filter_key_slice": "SELECT * FROM orders WHERE o_orderkey % 10 BETWEEN 0 AND 3",
     "filter_terminal_status": "SELECT * FROM orders WHERE o_orderstatus IN ('F', 'P')",
     "eligible_keys": ORDER_KEYS,
-    "param_sql_slice": f"""SELECT o_orderkey, o_orderstatus FROM orders
-        WHERE o_orderkey % 10 BETWEEN 4 AND 6 AND o_orderdate < {CUTOFF}""",
+    "param_sql_slice": f"""SELECT o_orderkey, o_orderstatus, {worker('o_orderkey')} AS worker FROM orders
+        WHERE o_orderdate < {CUTOFF}""",
     "child_rows_semi": f"SELECT * FROM lineitem WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND {ELIGIBLE})",
     "root_rows_semi": f"SELECT * FROM orders WHERE o_orderkey IN ({ORDER_KEYS})",
     "grandchild_rows_semi": f"SELECT * FROM lineitem WHERE {IN_CUST_TREE['lineitem']}",

@@ -14,7 +14,7 @@ from siltbed.functions import progress, scalars
 from siltbed.operators import batch, ledger, maintain, select, slices
 from siltbed.plans import jobs
 from siltbed.session import scratch_path
-from siltbed.sources import runlog
+from siltbed.sources import runlog, sql
 from siltbed.sources.store import Store
 from siltbed.spec import Tree
 from siltbed.streaming import progress as live
@@ -132,10 +132,10 @@ def eligible_keys(spark, sf_dir):
 
 @query
 def param_sql_slice(spark, sf_dir):
-    return spark.sql(
-        "SELECT o_orderkey, o_orderstatus FROM {orders} "
-        "WHERE o_orderkey % 10 BETWEEN :lb AND :up AND o_orderdate < :cutoff",
-        args={"lb": 4, "up": 6, "cutoff": B.ORDER_CUTOFF}, orders=one(spark, sf_dir, "orders"))
+    return sql.run_sliced(
+        spark, "SELECT o_orderkey, o_orderstatus FROM {orders} "
+        "WHERE o_orderkey % 10 BETWEEN @lb@ AND @up@ AND o_orderdate < :cutoff",
+        3, {"cutoff": B.ORDER_CUTOFF}, orders=one(spark, sf_dir, "orders"))
 
 
 # -- joins -------------------------------------------------------------------------

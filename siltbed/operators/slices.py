@@ -17,6 +17,13 @@ def slice_bounds(parallel: Column | int) -> tuple[Column, Column]:
     return lower.cast("int"), upper.cast("int")
 
 
+def slice_range(worker: int, parallel: int) -> tuple[int, int]:
+    """Inclusive digit range of one worker."""
+    base, wide = divmod(10, parallel)
+    lower = worker * base + min(worker, wide)
+    return lower, lower + base - (0 if worker < wide else 1)
+
+
 def slice_plan(spark: SparkSession, parallel: int) -> DataFrame:
     """One row per worker: ``worker, lb, up``. The worker count is kept in 1..10."""
     n = min(max(parallel, 1), 10)
@@ -36,10 +43,9 @@ def jdbc_predicates(key: str, parallel: int, dialect: str = "mod", splits: int =
         return {"mod": f"MOD({key}, {n})", "percent": f"{key} % {n}"}[dialect]
 
     n = min(max(parallel, 1), 10)
-    base, wide = divmod(10, n)
-    texts, lower = [], 0
+    texts = []
     for worker in range(n):
-        upper = lower + base - (0 if worker < wide else 1)
+        lower, upper = slice_range(worker, n)
         slice_text = f"{mod(10)} BETWEEN {lower} AND {upper}"
         if splits == 1:
             texts.append(slice_text)
@@ -47,5 +53,4 @@ def jdbc_predicates(key: str, parallel: int, dialect: str = "mod", splits: int =
             # Remainders below zero belong to the first split.
             tens = f"BETWEEN {10 * i} AND {10 * i + 9}" if i else "< 10"
             texts.append(f"{slice_text} AND {mod(10 * splits)} {tens}")
-        lower = upper + 1
     return texts

@@ -85,28 +85,33 @@ class Store:
 
     # -- manifest -----------------------------------------------------------
 
-    def _versions(self) -> tuple[list[int], list[int]]:
-        """Version numbers present, and those of them that are complete."""
-        jvm = self.spark.sparkContext._jvm
-        base = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_manifest")
-        fs = base.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(base):
-            return [], []
-        present = [int(s.getPath().getName()[2:]) for s in fs.listStatus(base)
-                   if s.getPath().getName().startswith("v=")]
-        done = [v for v in sorted(present)
-                if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self._version_path(v)}/_SUCCESS"))]
-        return present, done
+    def _fs(self, path: str):
+        """Hadoop file system and path object; for listing and deleting only."""
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def _dirs(self, path: str) -> list[str]:
+        fs, p = self._fs(f"{self.root}/{path}")
+        return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
+
+    def _versions(self) -> list[int]:
+        """Version numbers present, newest first; some may be incomplete."""
+        return sorted((int(n[2:]) for n in self._dirs("_manifest") if n.startswith("v=")), reverse=True)
+
+    def _complete(self, version: int) -> bool:
+        fs, p = self._fs(f"{self._version_path(version)}/_SUCCESS")
+        return fs.exists(p)
+
+    def _current(self) -> int:
+        return next((v for v in self._versions() if self._complete(v)), 0)
 
     def _version_path(self, version: int) -> str:
         return f"{self.root}/_manifest/v={version}"
 
     def snapshot(self) -> Manifest:
         """The newest complete manifest, or an empty one."""
-        _, done = self._versions()
-        if not done:
-            return Manifest(0)
-        return self.manifest(max(done))
+        current = self._current()
+        return self.manifest(current) if current else Manifest(0)
 
     def manifest(self, version: int) -> Manifest:
         text = self.spark.read.text(self._version_path(version), wholetext=True).first()[0]
@@ -114,10 +119,10 @@ class Store:
 
     def publish(self, manifest: Manifest) -> Manifest:
         """Make ``manifest`` current, if nothing was published since it was read."""
-        present, done = self._versions()
-        if max(done, default=0) != manifest.version:
-            raise StaleVersion(f"read version {manifest.version}, current is {max(done, default=0)}")
-        new = replace(manifest, version=max(present, default=0) + 1)
+        current = self._current()
+        if current != manifest.version:
+            raise StaleVersion(f"read version {manifest.version}, current is {current}")
+        new = replace(manifest, version=max(self._versions(), default=0) + 1)
         row = self.spark.range(0, 1, 1, 1).select(F.lit(new.to_json()).alias("value"))
         row.write.mode("error").text(self._version_path(new.version))
         return new
@@ -223,21 +228,17 @@ class Store:
         Do not run it beside a job: what a running job has written is not named yet.
         Adopted data outside the store is never deleted.
         """
-        _, done = self._versions()
-        kept = sorted(done)[-keep_versions:]
-        named = {p.path for v in kept for parts in self.manifest(v).parts.values() for p in parts}
-        jvm = self.spark.sparkContext._jvm
-        fs = jvm.org.apache.hadoop.fs.Path(self.root).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-        def children(path: str) -> list[str]:
-            p = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{path}")
-            return [f"{path}/{s.getPath().getName()}" for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
-
-        parts = [s for t in children("data") for run in children(t) for side in children(run) for s in children(side)]
-        stale = [p for p in parts + children("ledger") if p not in named]
-        stale += [f"_manifest/v={v}" for v in sorted(done)[:-keep_versions]]
+        versions = [v for v in self._versions() if self._complete(v)]
+        named = {p.path for v in versions[:keep_versions] for parts in self.manifest(v).parts.values() for p in parts}
+
+        def below(paths: list[str]) -> list[str]:
+            return [f"{path}/{name}" for path in paths for name in self._dirs(path)]
+
+        stale = [p for p in below(below(below(below(["data"])))) + below(["ledger"]) if p not in named]
+        stale += [f"_manifest/v={v}" for v in versions[keep_versions:]]
         for path in stale:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.root}/{path}"), True)
+            fs, p = self._fs(f"{self.root}/{path}")
+            fs.delete(p, True)
         return stale
 
     def _written_parts(self, path: str, label: str, schema: T.StructType) -> dict[str, list[Part]]:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -18,6 +18,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from siltbed.functions.progress import is_end, progress_count, progress_duration_us
 
 BLOCK_LINES = 1024
+NO_END = -1
 
 BLOCK_SCHEMA = ("run_id string, worker int, block bigint, update_no bigint, "
                 "n bigint, us bigint, end_line bigint")
@@ -51,17 +52,26 @@ def _update_block(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState
     yield pd.DataFrame({
         "run_id": [key[0]], "worker": [key[1]], "block": [key[2]], "update_no": [update_no],
         "n": [sum(v[0] for v in known.values())], "us": [sum(v[1] for v in known.values())],
-        "end_line": pd.array([end], dtype="Int64"),
+        "end_line": [NO_END if end is None else end],
     })
 
 
 def block_updates(lines: DataFrame) -> DataFrame:
-    """Stream of block sums; a later ``update_no`` replaces an earlier one."""
+    """Stream of block sums; a later ``update_no`` replaces an earlier one.
+
+    ``end_line`` is the block's first end marker, ``NO_END`` where it has none.
+    """
     useful = parsed(lines)
     return useful.groupBy("run_id", "worker", "block").applyInPandasWithState(
         _update_block, BLOCK_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
 
 
+def read_live_log(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
+    """Stream of log lines that workers append as JSON files."""
+    return (spark.readStream.schema("run_id string, worker int, line_no bigint, message string")
+            .option("maxFilesPerTrigger", files_per_trigger).option("recursiveFileLookup", "true").json(path))
+
+
 def start_progress(lines: DataFrame, out: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Write block updates as Parquet; restartable from the checkpoint."""
     writer = (block_updates(lines).writeStream.outputMode("append").format("parquet")
@@ -74,7 +84,7 @@ def progress_totals(updates: DataFrame) -> DataFrame:
     latest = updates.groupBy("run_id", "worker", "block").agg(
         F.max_by(F.struct("n", "us", "end_line"), "update_no").alias("b")).select(
         "run_id", "worker", "block", "b.*")
-    ends = latest.where(F.col("end_line").isNotNull()).groupBy("run_id", "worker").agg(
+    ends = latest.where(F.col("end_line") != NO_END).groupBy("run_id", "worker").agg(
         F.min("block").alias("__last"))
     inside = latest.join(ends, ["run_id", "worker"], "left").where(
         F.col("__last").isNull() | (F.col("block") <= F.col("__last")))

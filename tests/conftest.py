@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     session = build_session(
         "tests", "local[8]", **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "3",
             "spark.driver.memory": "4g",
             # Tiny inputs: compiling plans would take longer than running them.
             "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
@@ -22,7 +22,6 @@ def spark(tmp_path_factory):
             "spark.sql.codegen.factoryMode": "NO_CODEGEN",
             # Local files without checksum twins: half the file creations.
             "spark.hadoop.fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
-            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         })
     session.sparkContext.setLogLevel("ERROR")

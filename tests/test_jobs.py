@@ -15,6 +15,8 @@ TREE = Tree(Table("orders", "id", span=100), (
     Table("line", "id", parent="orders", link="order_id", span=100),
     Table("detail", "id", unique=False, parent="line", link="line_id", span=100)),
     age_column="placed", months=13, status_column="status", statuses=("DONE", "GONE"))
+FLAT = replace(TREE, dependents=TREE.dependents[:1])
+FLAT_NAMES = [t.name for t in FLAT.tables]
 RUN = RunOptions(as_of=dt.date(2025, 1, 31), parallel=3, batch_size=20)
 OLD, FRESH = D(2023, 5, 5), D(2024, 12, 1)
 
@@ -32,7 +34,7 @@ def make(spark, tmp_path, n=300, name="in"):
     out = {}
     for t, df in {"orders": orders, "line": line, "detail": detail}.items():
         out[t] = str(tmp_path / name / t)
-        df.write.parquet(out[t])
+        df.coalesce(4).write.parquet(out[t])
     return out
 
 
@@ -48,9 +50,9 @@ def expected(spark, paths, tree=TREE):
     return select.moved_rows(tree, tables, keys), select.kept_rows(tree, tables, keys)
 
 
-def check(spark, store, paths):
-    moved, kept = expected(spark, paths)
-    for t in paths:
+def check(spark, store, paths, tree=TREE):
+    moved, kept = expected(spark, paths, tree)
+    for t in moved:
         assert bag(store.archive(t)) == bag(moved[t]), t
         assert bag(store.live(t)) == bag(kept[t]), t
 
@@ -64,7 +66,8 @@ def store(spark, tmp_path, root):
     return s
 
 
-def test_tree_moves_everything_eligible(spark, store):
+def test_tree_moves_everything_eligible_once(spark, store):
+    adopted = store.snapshot()
     run = jobs.archive_tree(store, TREE, RUN)
     check(spark, store, store.paths)
     assert run.backlog == 0 and not run.timed_out and run.manifest.version == 2
@@ -73,45 +76,45 @@ def test_tree_moves_everything_eligible(spark, store):
     assert sum(r.records for r in rows) == run.records == sum(store.archive(t).count() for t in store.paths)
     assert all(r.roots <= 20 for r in rows) and {r.worker for r in rows} == {0, 1, 2}
 
-
-def test_second_run_moves_nothing_and_publishes_nothing(spark, store):
-    first = jobs.archive_tree(store, TREE, RUN)
     again = jobs.archive_tree(store, TREE, RUN)
-    assert again.records == 0 and again.manifest == first.manifest == store.snapshot()
+    assert again.records == 0 and again.manifest == run.manifest == store.snapshot()
     row, = again.ledger(store).collect()
     assert (row.roots, row.records) == (0, 0)
 
+    with pytest.raises(StaleVersion):
+        store.publish(adopted)
+
 
 @pytest.mark.parametrize("parallel,chunk", [(10, 0), (3, 1)])
 def test_workers_and_chunks_do_not_change_the_end_state(spark, store, parallel, chunk):
-    run = jobs.archive_tree(store, TREE, replace(RUN, parallel=parallel, chunk_batches=chunk))
-    check(spark, store, store.paths)
+    run = jobs.archive_tree(store, FLAT, replace(RUN, parallel=parallel, chunk_batches=chunk))
+    check(spark, store, store.paths, FLAT)
     rows = run.ledger(store)
     assert rows.groupBy("worker", "batch_no").count().where("count > 1").isEmpty()
     assert run.roots == rows.agg(F.sum("roots")).first()[0]
 
 
 def test_capped_runs_resume(spark, store):
-    one = jobs.archive_tree(store, TREE, replace(RUN, max_batches=1))
+    one = jobs.archive_tree(store, FLAT, replace(RUN, max_batches=1))
     assert one.roots == 60 and one.backlog > 0
     per_worker = {r.worker: r.roots for r in one.ledger(store).collect()}
     assert per_worker == {0: 20, 1: 20, 2: 20}
-    jobs.archive_tree(store, TREE, RUN)
-    check(spark, store, store.paths)
+    jobs.archive_tree(store, FLAT, RUN)
+    check(spark, store, store.paths, FLAT)
 
 
 def test_disjoint_digit_runs_equal_one_run(spark, store):
     for digits in ((0, 3), (4, 6), (7, 9)):
-        jobs.archive_tree(store, TREE, replace(RUN, first_digit=digits[0], last_digit=digits[1]))
-    check(spark, store, store.paths)
+        jobs.archive_tree(store, FLAT, replace(RUN, first_digit=digits[0], last_digit=digits[1]))
+    check(spark, store, store.paths, FLAT)
 
 
 def test_time_limit_is_tested_after_a_chunk(spark, store, monkeypatch):
     clock = iter(range(0, 10_000, 50))
     monkeypatch.setattr(jobs.time, "monotonic", lambda: next(clock))
-    run = jobs.archive_tree(store, TREE, replace(RUN, chunk_batches=1, time_limit_sec=10))
+    run = jobs.archive_tree(store, FLAT, replace(RUN, chunk_batches=1, time_limit_sec=10))
     assert run.timed_out and len(run.chunks) == 1 and run.backlog > 0
-    late = jobs.archive_tree(store, TREE, replace(RUN, time_limit_sec=10))
+    late = jobs.archive_tree(store, FLAT, replace(RUN, time_limit_sec=10))
     assert late.timed_out and late.backlog == 0
 
 
@@ -125,32 +128,22 @@ def test_crash_before_publish_leaves_the_old_state(spark, store, monkeypatch):
     with monkeypatch.context() as m:
         m.setattr(Store, "publish", crash)
         with pytest.raises(OSError):
-            jobs.archive_tree(store, TREE, RUN)
+            jobs.archive_tree(store, FLAT, RUN)
     assert store.snapshot() == version
     assert {t: bag(store.live(t)) for t in store.paths} == before
-    jobs.archive_tree(store, TREE, RUN)
-    check(spark, store, store.paths)
 
-
-def test_half_written_manifest_is_ignored(spark, store):
-    version = store.snapshot().version
+    # A manifest that was not finished does not count either.
+    version = version.version
     half = spark.createDataFrame([("{",)], "value string")
     half.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").text(store._version_path(version + 1))
     assert store.snapshot().version == version
-    run = jobs.archive_tree(store, TREE, RUN)
+    run = jobs.archive_tree(store, FLAT, RUN)
     assert run.manifest.version == version + 2
-    check(spark, store, store.paths)
-
-
-def test_publishing_over_a_newer_version_fails(spark, store):
-    old = store.snapshot()
-    jobs.archive_tree(store, TREE, RUN)
-    with pytest.raises(StaleVersion):
-        store.publish(old)
+    check(spark, store, store.paths, FLAT)
 
 
 def test_key_already_archived_fails_the_run(spark, store, tmp_path):
-    jobs.archive_tree(store, TREE, RUN)
+    jobs.archive_tree(store, FLAT, RUN)
     again = store.archive("orders").limit(1)
     path = str(tmp_path / "again")
     again.write.parquet(path)
@@ -160,7 +153,7 @@ def test_key_already_archived_fails_the_run(spark, store, tmp_path):
     store.publish(m.with_table(LIVE, "orders", [*m.of(LIVE, "orders"), Part(path, None, 1)]))
     before = store.snapshot()
     with pytest.raises(jobs.AuditError, match="in the archive already"):
-        jobs.archive_tree(store, TREE, RUN)
+        jobs.archive_tree(store, FLAT, RUN)
     assert store.snapshot() == before
 
 
@@ -169,13 +162,13 @@ def test_wrong_counts_fail_the_audit(spark, store):
     short = [replace(p, rows=p.rows + 1) for p in m.of(LIVE, "line")]
     store.publish(m.with_table(LIVE, "line", short))
     with pytest.raises(jobs.AuditError, match="line"):
-        jobs.archive_tree(store, TREE, RUN)
+        jobs.archive_tree(store, FLAT, RUN)
 
 
 def test_untouched_segments_are_not_rewritten(spark, store):
-    jobs.archive_tree(store, TREE, RUN)
+    jobs.archive_tree(store, FLAT, RUN)
     old = store.snapshot()
-    later = jobs.archive_tree(store, TREE, replace(RUN, as_of=dt.date(2026, 1, 31), max_batches=1))
+    later = jobs.archive_tree(store, FLAT, replace(RUN, as_of=dt.date(2026, 1, 31), max_batches=1))
     assert later.roots == 40
     new = store.snapshot()
     for t in ("orders", "line"):
@@ -214,7 +207,7 @@ def test_archive_without_a_moved_column_fails(spark, store):
 
 
 def test_compaction_keeps_rows_and_merges_parts(spark, store):
-    jobs.archive_tree(store, TREE, replace(RUN, chunk_batches=1))
+    jobs.archive_tree(store, FLAT, replace(RUN, chunk_batches=1))
     rows, parts = bag(store.archive("line")), len(store.snapshot().of(ARCHIVE, "line"))
     live_rows = bag(store.live("line"))
     store.compact(ARCHIVE, "line")
@@ -226,24 +219,24 @@ def test_compaction_keeps_rows_and_merges_parts(spark, store):
 
 def test_adopted_files_without_moved_rows_stay_in_place(spark, store):
     before = store.snapshot()
-    assert all(len(before.of(LIVE, t)) > 1 for t in store.paths)
-    jobs.archive_tree(store, TREE, replace(RUN, max_batches=1, batch_size=5))
+    assert all(len(before.of(LIVE, t)) > 1 for t in FLAT_NAMES)
+    jobs.archive_tree(store, FLAT, replace(RUN, max_batches=1, batch_size=5))
     now = store.snapshot()
     for t in ("orders", "line"):
         still = [p for p in now.of(LIVE, t) if p.segment is None]
         assert 0 < len(still) < len(before.of(LIVE, t)), t
-    jobs.archive_tree(store, TREE, RUN)
-    check(spark, store, store.paths)
+    jobs.archive_tree(store, FLAT, RUN)
+    check(spark, store, store.paths, FLAT)
 
 
 def test_expire_drops_only_what_no_kept_version_names(spark, store):
-    jobs.archive_tree(store, TREE, replace(RUN, max_batches=1))
-    jobs.archive_tree(store, TREE, RUN)
+    jobs.archive_tree(store, FLAT, replace(RUN, max_batches=1))
+    jobs.archive_tree(store, FLAT, RUN)
     store.compact(ARCHIVE, "line")
-    rows = {t: (bag(store.live(t)), bag(store.archive(t))) for t in store.paths}
+    rows = {t: (bag(store.live(t)), bag(store.archive(t))) for t in FLAT_NAMES}
     dropped = store.expire(keep_versions=1)
     assert any(p.startswith("data/line") for p in dropped) and "_manifest/v=1" in dropped
-    assert {t: (bag(store.live(t)), bag(store.archive(t))) for t in store.paths} == rows
+    assert {t: (bag(store.live(t)), bag(store.archive(t))) for t in FLAT_NAMES} == rows
     assert store.expire(keep_versions=1) == []
     assert all(spark.read.parquet(p).count() for p in store.paths.values())
 
@@ -353,3 +346,17 @@ def test_table_presets(spark):
     assert presets.store_daily_status().months == 2
     assert presets.table_run(4).batch_size == 300 and presets.order_run().batch_size == 20
     assert isinstance(presets.order_run().resolved_as_of(), dt.date)
+
+
+def test_command_line_runs_a_preset(spark, tmp_path, root):
+    from siltbed.__main__ import run
+
+    path = str(tmp_path / "t")
+    spark.range(50).select("id", F.when(F.col("id") < 30, F.lit(dt.date(2024, 1, 1))).otherwise(
+        F.lit(dt.date(2025, 1, 1))).alias("date")).write.parquet(path)
+    argv = ["--store", root, "--job", "store_daily_status", "--as-of", "2025-02-01", "--parallel", "2"]
+    plan = run(spark, [*argv, "--adopt", f"store_daily_status={path}", "--dry-run"])["dry_run"]
+    assert [(r["worker"], r["eligible"], r["batches"]) for r in plan] == [(0, 15, 1), (1, 15, 1)]
+    report = run(spark, argv)
+    assert (report["total_count"], report["backlog"], report["version"]) == (30, 0, 2)
+    assert str(report["cutoff"]) == "2024-12-01"

@@ -71,9 +71,8 @@ def test_fold_stops_at_the_end_marker(lines):
 
 def feed(spark, frames, base):
     for i, df in enumerate(frames):
-        df.coalesce(1).write.parquet(f"{base}/in/{i}")
-    stream = spark.readStream.schema(LINE).option("recursiveFileLookup", "true").option(
-        "maxFilesPerTrigger", 1).parquet(f"{base}/in")
+        df.coalesce(1).write.json(f"{base}/in/{i}")
+    stream = live.read_live_log(spark, f"{base}/in", files_per_trigger=1)
     live.start_progress(stream, f"{base}/out", f"{base}/state").awaitTermination()
     return folded(live.progress_totals(spark.read.parquet(f"{base}/out")))
 
