@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from siltbed.functions.scalars import worker_of
 from siltbed.operators.batch import assign_batches
 from siltbed.operators.ledger import batch_ledger
-from siltbed.operators.select import eligible_keys
+from siltbed.operators.select import eligible_filter, eligible_keys
 from siltbed.operators.slices import slice_bounds
 from siltbed.session import stage
 from siltbed.sources.runlog import render_lines
@@ -73,3 +73,19 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     lower, upper = slice_bounds(ORDER_RUN.parallel)
     return render_lines(order_ledger(spark, sf_dir), F.lit(dt.datetime(1998, 1, 1, 10, 55)).cast("timestamp_ntz"),
                         F.lit(ORDER_CUTOFF), lower, upper, TIME_LIMIT)
+
+
+def order_log_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines as a table, for operators that read a finished log."""
+    return stage(order_log(spark, sf_dir), "log")
+
+
+def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log of a single-table run over the events; a row takes a millisecond."""
+    events = load(spark, sf_dir, "events")["events"].where(eligible_filter(EVENT_TABLE, EVENT_RUN))
+    numbered = assign_batches(events.select("event_id"), worker_of("event_id", 3), "event_id", EVENT_RUN.batch_size)
+    counts = numbered.groupBy("worker", "batch_no").agg(F.count("*").alias("roots"))
+    book = stage(counts.select(F.lit(RUN_ID).alias("run_id"), "*", F.col("roots").alias("records"),
+                               (F.col("roots") * 1000).alias("duration_us")), "ledger")
+    return render_lines(book, F.lit(dt.datetime(2024, 3, 15)).cast("timestamp_ntz"), F.lit(dt.date(2024, 1, 15)),
+                        *slice_bounds(3), TIME_LIMIT, single_table=True)

@@ -13,7 +13,7 @@ from checks import bindings as B
 from siltbed.functions import progress, scalars
 from siltbed.operators import batch, ledger, maintain, select, slices
 from siltbed.plans import jobs
-from siltbed.session import scratch_path
+from siltbed.session import scratch_path, stage
 from siltbed.sources import runlog, sql
 from siltbed.sources.store import Store
 from siltbed.spec import Tree
@@ -104,7 +104,7 @@ def run_log_render(spark, sf_dir):
 
 @query
 def run_log_merged(spark, sf_dir):
-    return runlog.merge_workers(B.order_log(spark, sf_dir))
+    return runlog.merge_workers(B.order_log_table(spark, sf_dir))
 
 
 # -- predicates ------------------------------------------------------------------
@@ -229,7 +229,12 @@ def run_summary(spark, sf_dir):
 
 @query
 def run_log_fold(spark, sf_dir):
-    return ledger.fold_messages(B.order_log(spark, sf_dir))
+    return ledger.fold_messages(B.order_log_table(spark, sf_dir))
+
+
+@query
+def table_run_log_fold(spark, sf_dir):
+    return ledger.fold_messages(stage(B.event_log(spark, sf_dir), "log"))
 
 
 @query
@@ -447,9 +452,8 @@ def dry_run_report(spark, sf_dir):
 @query
 def stream_progress(spark, sf_dir):
     base = scratch_path(spark, "stream")
-    lines = B.order_log(spark, sf_dir)
-    lines.write.parquet(f"{base}/lines")
-    feed = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 4).parquet(f"{base}/lines")
+    B.order_log(spark, sf_dir).write.json(f"{base}/lines")
+    feed = live.read_live_log(spark, f"{base}/lines", files_per_trigger=4)
     started = live.start_progress(feed, f"{base}/out", f"{base}/state")
     started.awaitTermination()
     return live.progress_totals(spark.read.parquet(f"{base}/out"))

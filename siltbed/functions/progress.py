@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 
 from siltbed.functions.scalars import MICROS, _col
 
-# The message format that existing run logs use.
+# The message formats that existing run logs use.
 COUNT_PATTERN = r":\s*(\d+)\s+\w+\(s\)"
 DURATION_PATTERN = r"Duration\s*:\s*(\d{2,}):(\d{2}):(\d{2})(?:\.(\d+))?"
 END_MARKER = "Completed"
 TIME_PREFIX = 22
+TREE_PROGRESS = "%d order(s),%d record(s) archived.  Duration : "
+TABLE_PROGRESS = "%d record(s) archived.  Duration : "
+OUT_OF_TIME = "Completed. (The %d second(s) time limit has been exceeded)"
+TIME_LIMIT = "Time Limit : "
 
 
 def progress_count(message: str | Column) -> Column:

@@ -5,25 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.functions.progress import END_MARKER
+from siltbed.functions.progress import END_MARKER, OUT_OF_TIME, TABLE_PROGRESS, TIME_LIMIT, TREE_PROGRESS
 from siltbed.functions.scalars import MICROS, micros_to_text, seconds_to_text, ts_text
 from siltbed.operators.batch import POSITION, number_rows, running_sums
-from siltbed.operators.ledger import per_worker
+from siltbed.operators.ledger import fold_messages, per_worker
 from siltbed.session import scratch_path
 
 HEADER_LINES = 3
 
 
-def progress_text(roots: Column, records: Column, duration_us: Column) -> Column:
+def progress_text(roots: Column, records: Column, duration_us: Column, single_table: bool = False) -> Column:
     """The progress message, in the format the parser reads."""
-    return F.concat(
-        F.format_string("%d order(s),%d record(s) archived.  Duration : ", roots, records),
-        micros_to_text(duration_us))
+    counts = F.format_string(TABLE_PROGRESS, records) if single_table else F.format_string(TREE_PROGRESS, roots, records)
+    return F.concat(counts, micros_to_text(duration_us))
 
 
 def render_lines(
     ledger: DataFrame, started: Column, cutoff: Column, lower: Column, upper: Column, time_limit_sec: int,
-    max_batches: int = 0
+    max_batches: int = 0, single_table: bool = False
 ) -> DataFrame:
     """Log lines of every worker: ``run_id, worker, line_no, message``.
 
@@ -44,28 +43,26 @@ def render_lines(
         line(HEADER_LINES + batch * 2 - 1, F.col("us_so_far") - F.col("duration_us"),
              F.format_string("[%d/%d]", batch, F.lit(max_batches))),
         line(HEADER_LINES + batch * 2, F.col("us_so_far"),
-             progress_text(F.col("roots"), F.col("records"), F.col("duration_us"))))))
+             progress_text(F.col("roots"), F.col("records"), F.col("duration_us"), single_table)))))
 
     total = per_worker(ledger)
     last = HEADER_LINES + F.col("batches") * 2
     us = F.col("duration_us")
     late = us > time_limit_sec * MICROS
     ended = F.when(F.lit(time_limit_sec > 0) & late, F.format_string(
-        END_MARKER + ". (The %d second(s) time limit has been exceeded)", F.lit(time_limit_sec))).otherwise(END_MARKER)
+        OUT_OF_TIME, F.lit(time_limit_sec))).otherwise(END_MARKER)
     edge_lines = total.select("run_id", "worker", F.inline(F.array(
         line(F.lit(1), zero, F.concat(F.lit("Rows placed before "), cutoff.cast("string"), F.lit(" are archived."))),
         line(F.lit(2), zero, F.format_string("Keys ending in %d to %d", lower, upper)),
-        line(F.lit(3), zero, F.concat(F.lit("Time Limit : "), seconds_to_text(F.lit(time_limit_sec)))),
+        line(F.lit(3), zero, F.concat(F.lit(TIME_LIMIT), seconds_to_text(F.lit(time_limit_sec)))),
         line(last + 1, us, ended),
         line(last + 2, us, F.lit("Total")),
-        line(last + 3, us, progress_text(F.col("roots"), F.col("records"), us)))))
+        line(last + 3, us, progress_text(F.col("roots"), F.col("records"), us, single_table)))))
     return batch_lines.unionByName(edge_lines)
 
 
 def merge_workers(lines: DataFrame) -> DataFrame:
     """One log per run: a heading per worker, its lines, and a footer per run."""
-    from siltbed.operators.ledger import fold_messages
-
     heads = lines.groupBy("run_id", "worker").agg(F.max("line_no").alias("n"))
     folded = fold_messages(lines).groupBy("run_id").agg(
         F.sum("total_count").alias("total"), F.max("duration_us").alias("us"))

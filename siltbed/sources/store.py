@@ -15,6 +15,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -123,8 +124,8 @@ class Store:
         if current != manifest.version:
             raise StaleVersion(f"read version {manifest.version}, current is {current}")
         new = replace(manifest, version=max(self._versions(), default=0) + 1)
-        row = self.spark.range(0, 1, 1, 1).select(F.lit(new.to_json()).alias("value"))
-        row.write.mode("error").text(self._version_path(new.version))
+        row = self.spark.createDataFrame(pa.table({"value": [new.to_json()]}))
+        row.coalesce(1).write.mode("error").text(self._version_path(new.version))
         return new
 
     # -- tables -------------------------------------------------------------

@@ -217,6 +217,26 @@ def test_compaction_keeps_rows_and_merges_parts(spark, store):
     assert len(after) < parts and len({p.segment for p in after}) == len(after)
 
 
+def test_hot_parent_key_without_broadcast(spark, tmp_path, root):
+    paths = make(spark, tmp_path, n=60)
+    hot = spark.range(1000, 4000).select("id", F.lit(2).cast("bigint").alias("order_id"), F.lit(1).cast("bigint").alias("qty"))
+    hot.repartition(4).write.mode("append").parquet(paths["line"])
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        store = Store(spark, root, target_bytes=4096)
+        store.adopt({t: paths[t] for t in FLAT_NAMES})
+        run = jobs.archive_tree(store, FLAT, RUN)
+        assert run.moved("line") > 3000
+        check(spark, store, paths, FLAT)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_adopted_files_without_moved_rows_stay_in_place(spark, store):
     before = store.snapshot()
     assert all(len(before.of(LIVE, t)) > 1 for t in FLAT_NAMES)
