@@ -8,6 +8,7 @@ import json
 
 from siltbed.operators import ledger
 from siltbed.plans import jobs, presets
+from siltbed.plans.upkeep import upkeep
 from siltbed.session import build_session
 from siltbed.sources.store import LIVE, Store
 
@@ -21,7 +22,7 @@ JOBS = {
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="siltbed", description="Move aged rows and their dependents to the archive.")
     p.add_argument("--store", required=True, help="folder of the store, shared by all executors")
-    p.add_argument("--job", choices=sorted(JOBS), required=True)
+    p.add_argument("--job", choices=[*sorted(JOBS), "upkeep"], required=True)
     p.add_argument("--adopt", action="append", default=[], metavar="TABLE=PATH", help="register a Parquet folder first")
     p.add_argument("--as-of", type=dt.date.fromisoformat, help="run date, default today in the job's zone")
     p.add_argument("--parallel", type=int, default=1)
@@ -36,6 +37,8 @@ def parser() -> argparse.ArgumentParser:
 
 def run(spark, argv: list[str] | None = None) -> dict:
     a = parser().parse_args(argv)
+    if a.job == "upkeep":
+        return upkeep(Store(spark, a.store))
     make_tree, make_options, move = JOBS[a.job]
     tree = make_tree()
     options = make_options(

@@ -56,7 +56,8 @@ def worker_of(key: str | Column, parallel: int) -> Column:
 
 
 def ts_text(ts: str | Column) -> Column:
-    return F.date_format(_col(ts), "yyyy-MM-dd HH:mm:ss")
+    """``yyyy-MM-dd HH:mm:ss``; a timestamp without a zone never meets one."""
+    return F.substring(_col(ts).cast("string"), 1, 19)
 
 
 def elapsed_us(start: str | Column, end: str | Column) -> Column:

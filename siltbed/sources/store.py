@@ -141,14 +141,31 @@ class Store:
         for name, path in tables.items():
             if m.of(LIVE, name):
                 raise ValueError(f"{name} is already a live table")
-            df = self.spark.read.parquet(path)
-            rows = df.groupBy("_metadata.file_path").count().collect()
-            parts = [Part(_plain_path(file), None, n) for file, n in rows]
-            if any("=" in p.path.rsplit(path.rstrip("/"), 1)[-1] for p in parts):
-                parts = [Part(path, None, sum(p.rows for p in parts))]
-            m = m.with_table(LIVE, name, parts, df.schema.json())
+            parts, schema = self._files(path)
+            m = m.with_table(LIVE, name, parts, schema.json())
         return self.publish(m)
 
+    def extend(self, table: str, path: str) -> Manifest:
+        """Register more files of a live table, such as a day's new rows."""
+        m = self.snapshot()
+        parts, schema = self._files(path)
+        wanted = T.StructType.fromJson(json.loads(m.schemas[f"{LIVE}/{table}"]))
+        if {(f.name, f.dataType) for f in schema} != {(f.name, f.dataType) for f in wanted}:
+            raise ValueError(f"{table}: the new files have other columns")
+        known = {p.path for p in m.of(LIVE, table)}
+        if any(p.path in known for p in parts):
+            raise ValueError(f"{table}: a file is registered already")
+        return self.publish(m.with_table(LIVE, table, [*m.of(LIVE, table), *parts]))
+
+    def _files(self, path: str) -> tuple[list[Part], T.StructType]:
+        """One part per file with its row count, from the footers."""
+        df = self.spark.read.parquet(path)
+        rows = df.groupBy("_metadata.file_path").count().collect()
+        parts = [Part(_plain_path(file), None, n) for file, n in rows]
+        if any("=" in p.path.rsplit(path.rstrip("/"), 1)[-1] for p in parts):
+            parts = [Part(path, None, sum(p.rows for p in parts))]
+        return parts, df.schema
+
     def read(self, manifest: Manifest, side: str, table: str, parts: Iterable[Part] | None = None) -> DataFrame:
         """Rows of the given parts (default: all) with the table's own columns."""
         schema = T.StructType.fromJson(json.loads(manifest.schemas[f"{side}/{table}"]))

@@ -33,37 +33,47 @@ def parsed(lines: DataFrame) -> DataFrame:
         is_end("message").alias("ended"))
 
 
-def _update_block(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Merge new lines of one block; emit its sums in front of its end marker."""
-    update_no, lines, counts, micros, end = state.get if state.exists else (0, [], [], [], None)
-    known = {line: (n, us) for line, n, us in zip(lines, counts, micros)}
-    for pdf in batches:
-        marks = pdf.loc[pdf["ended"], "line_no"]
-        if len(marks):
-            first = int(marks.min())
-            end = first if end is None else min(end, first)
-        rows = pdf[~pdf["ended"]].fillna({"n": 0, "us": 0})
-        known.update(zip(rows["line_no"].astype("int64").tolist(),
-                         zip(rows["n"].astype("int64").tolist(), rows["us"].astype("int64").tolist())))
-    if end is not None:
-        known = {line: v for line, v in known.items() if line < end}
-    update_no += 1
-    state.update((update_no, list(known), [v[0] for v in known.values()], [v[1] for v in known.values()], end))
-    yield pd.DataFrame({
-        "run_id": [key[0]], "worker": [key[1]], "block": [key[2]], "update_no": [update_no],
-        "n": [sum(v[0] for v in known.values())], "us": [sum(v[1] for v in known.values())],
-        "end_line": [NO_END if end is None else end],
-    })
-
-
-def block_updates(lines: DataFrame) -> DataFrame:
+def _block_updater(idle_ms: int | None):
+    """State function of one block; ``idle_ms`` frees blocks nobody writes to."""
+
+    def update(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        update_no, lines, counts, micros, end = state.get if state.exists else (0, [], [], [], None)
+        known = {line: (n, us) for line, n, us in zip(lines, counts, micros)}
+        for pdf in batches:
+            marks = pdf.loc[pdf["ended"], "line_no"]
+            if len(marks):
+                first = int(marks.min())
+                end = first if end is None else min(end, first)
+            rows = pdf[~pdf["ended"]].fillna({"n": 0, "us": 0})
+            known.update(zip(rows["line_no"].astype("int64").tolist(),
+                             zip(rows["n"].astype("int64").tolist(), rows["us"].astype("int64").tolist())))
+        if end is not None:
+            known = {line: v for line, v in known.items() if line < end}
+        update_no += 1
+        state.update((update_no, list(known), [v[0] for v in known.values()], [v[1] for v in known.values()], end))
+        if idle_ms:
+            state.setTimeoutDuration(idle_ms)
+        yield pd.DataFrame({
+            "run_id": [key[0]], "worker": [key[1]], "block": [key[2]], "update_no": [update_no],
+            "n": [sum(v[0] for v in known.values())], "us": [sum(v[1] for v in known.values())],
+            "end_line": [NO_END if end is None else end],
+        })
+
+    return update
+
+
+def block_updates(lines: DataFrame, idle_ms: int | None = None) -> DataFrame:
     """Stream of block sums; a later ``update_no`` replaces an earlier one.
 
     ``end_line`` is the block's first end marker, ``NO_END`` where it has none.
     """
     useful = parsed(lines)
     return useful.groupBy("run_id", "worker", "block").applyInPandasWithState(
-        _update_block, BLOCK_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+        _block_updater(idle_ms), BLOCK_SCHEMA, STATE_SCHEMA, "append",
+        GroupStateTimeout.ProcessingTimeTimeout if idle_ms else GroupStateTimeout.NoTimeout)
 
 
 def read_live_log(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
@@ -72,9 +82,18 @@ def read_live_log(spark: SparkSession, path: str, files_per_trigger: int = 1000)
             .option("maxFilesPerTrigger", files_per_trigger).option("recursiveFileLookup", "true").json(path))
 
 
-def start_progress(lines: DataFrame, out: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Write block updates as Parquet; restartable from the checkpoint."""
-    writer = (block_updates(lines).writeStream.outputMode("append").format("parquet")
+def start_progress(
+    lines: DataFrame, out: str, checkpoint: str, available_now: bool = True, idle_ms: int | None = None
+) -> StreamingQuery:
+    """Write block updates as Parquet; restartable from the checkpoint.
+
+    A stream that runs for good should set ``idle_ms`` well above the longest pause
+    of a worker: state of quiet blocks is then freed, their sums stay in ``out``.
+    With ``available_now`` the query would wait for those timeouts and never end.
+    """
+    if available_now and idle_ms:
+        raise ValueError("idle_ms is for streams that run for good")
+    writer = (block_updates(lines, idle_ms).writeStream.outputMode("append").format("parquet")
               .option("path", out).option("checkpointLocation", checkpoint))
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltbed.plans import jobs, presets
+from siltbed.plans.upkeep import upkeep
 from siltbed.sources.store import ARCHIVE, LIVE, StaleVersion, Store
 from siltbed.spec import RunOptions, Table, Tree
 
@@ -252,15 +253,31 @@ def test_adopted_files_without_moved_rows_stay_in_place(spark, store):
 def test_expire_drops_only_what_no_kept_version_names(spark, store):
     jobs.archive_tree(store, FLAT, replace(RUN, max_batches=1))
     jobs.archive_tree(store, FLAT, RUN)
-    store.compact(ARCHIVE, "line")
     rows = {t: (bag(store.live(t)), bag(store.archive(t))) for t in FLAT_NAMES}
-    dropped = store.expire(keep_versions=1)
-    assert any(p.startswith("data/line") for p in dropped) and "_manifest/v=1" in dropped
+    report = upkeep(store, keep_versions=1)
+    archived = store.snapshot().of(ARCHIVE, "line")
+    assert report["archive/line"] == len(archived) == len({p.segment for p in archived})
+    assert report["dropped"] > 4 and store._versions() == [store.snapshot().version]
     assert {t: (bag(store.live(t)), bag(store.archive(t))) for t in FLAT_NAMES} == rows
     assert store.expire(keep_versions=1) == []
     assert all(spark.read.parquet(p).count() for p in store.paths.values())
 
 
+def test_new_rows_join_a_live_table(spark, store, tmp_path):
+    jobs.archive_tree(store, FLAT, RUN)
+    path = str(tmp_path / "more")
+    spark.createDataFrame([(1002, OLD, "DONE", 1.0), (1003, FRESH, "DONE", 2.0)],
+                          store.live("orders").schema).coalesce(1).write.parquet(path)
+    store.extend("orders", path)
+    with pytest.raises(ValueError, match="registered already"):
+        store.extend("orders", path)
+    with pytest.raises(ValueError, match="other columns"):
+        store.extend("line", path)
+    run = jobs.archive_tree(store, FLAT, RUN)
+    assert run.roots == 1 and not store.archive("orders").where("id = 1002").isEmpty()
+    assert not store.live("orders").where("id = 1003").isEmpty()
+
+
 def test_partitioned_directory_is_adopted_whole(spark, tmp_path, root):
     path = str(tmp_path / "t")
     spark.createDataFrame([(1, dt.date(2020, 1, 5), "a"), (2, dt.date(2025, 3, 1), "b")],

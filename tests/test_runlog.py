@@ -73,7 +73,7 @@ def feed(spark, frames, base):
     for i, df in enumerate(frames):
         df.coalesce(1).write.json(f"{base}/in/{i}")
     stream = live.read_live_log(spark, f"{base}/in", files_per_trigger=1)
-    live.start_progress(stream, f"{base}/out", f"{base}/state").awaitTermination()
+    assert live.start_progress(stream, f"{base}/out", f"{base}/state").awaitTermination(120)
     return folded(live.progress_totals(spark.read.parquet(f"{base}/out")))
 
 
@@ -84,6 +84,39 @@ def test_stream_equals_fold_in_any_order(spark, lines, tmp_path):
     assert feed(spark, late, str(tmp_path / "b")) == FOLDED
 
 
+class FakeState:
+    def __init__(self):
+        self.value, self.hasTimedOut, self.timeout = None, False, None
+
+    exists = property(lambda self: self.value is not None)
+    get = property(lambda self: self.value)
+
+    def update(self, value):
+        self.value = value
+
+    def remove(self):
+        self.value = None
+
+    def setTimeoutDuration(self, ms):
+        self.timeout = ms
+
+
+def test_block_state_is_bounded_and_freed_when_idle(lines):
+    state, update = FakeState(), live._block_updater(1000)
+    part = live.parsed(lines.where("run_id = 'r' and worker = 0")).toPandas()
+    for _ in range(2):  # delivered twice
+        out, = update(("r", 0, 0), iter([part]), state)
+    assert out[["update_no", "n", "us", "end_line"]].values.tolist() == [[2, 30, 3_500_000, 5]]
+    assert max(state.value[1]) < 5 and state.timeout == 1000
+    state.hasTimedOut = True
+    assert list(update(("r", 0, 0), iter([]), state)) == [] and not state.exists
+
+
+def test_idle_timeout_is_for_endless_streams(lines):
+    with pytest.raises(ValueError):
+        live.start_progress(lines, "out", "state", idle_ms=1)
+
+
 def test_stream_over_several_blocks(spark, tmp_path):
     n = 2 * live.BLOCK_LINES + 100
     many = spark.range(1, n).select(
