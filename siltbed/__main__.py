@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+import sys
 
 from siltbed.operators import ledger
 from siltbed.plans import jobs, presets
@@ -57,7 +58,17 @@ def run(spark, argv: list[str] | None = None) -> dict:
             "max_duration_us": summary.max_duration_us, "backlog": result.backlog, "timed_out": result.timed_out}
 
 
-if __name__ == "__main__":
+def main() -> int:
     session = build_session("siltbed")
-    print(json.dumps(run(session), default=str))
-    session.stop()
+    try:
+        print(json.dumps({"status": "Success", **run(session)}, default=str))
+        return 0
+    except Exception as error:  # reported as the run's status; published chunks stay
+        print(json.dumps({"status": "Failed", "error": f"{type(error).__name__}: {error}"}))
+        return 1
+    finally:
+        session.stop()
+
+
+if __name__ == "__main__":
+    sys.exit(main())

@@ -315,10 +315,11 @@ def _tree_chunk(
 
 
 def _levels(tree: Tree) -> list[list[Table]]:
-    """Tables by depth. Tables of one depth only need the keys of the depth above."""
+    """Tables that can move at the same time: the root and its dependents only need
+    the chosen keys, every deeper table the moved keys of its parent."""
     depth: dict[str, int] = {}
     for t in tree.tables:
-        depth[t.name] = 0 if t.parent is None else depth[t.parent] + 1
+        depth[t.name] = 0 if t.parent in (None, tree.root.name) else depth[t.parent] + 1
     return [[t for t in tree.tables if depth[t.name] == d] for d in range(max(depth.values()) + 1)]
 
 
