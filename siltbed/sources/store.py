@@ -168,6 +168,8 @@ class Store:
 
     def read(self, manifest: Manifest, side: str, table: str, parts: Iterable[Part] | None = None) -> DataFrame:
         """Rows of the given parts (default: all) with the table's own columns."""
+        if f"{side}/{table}" not in manifest.schemas:
+            raise ValueError(f"the store has no {side} table {table}")
         schema = T.StructType.fromJson(json.loads(manifest.schemas[f"{side}/{table}"]))
         chosen = list(manifest.of(side, table) if parts is None else parts)
         if not chosen:
@@ -182,10 +184,7 @@ class Store:
         return self.read(self.snapshot(), LIVE, table)
 
     def archive(self, table: str) -> DataFrame:
-        m = self.snapshot()
-        if f"{ARCHIVE}/{table}" not in m.schemas:
-            raise ValueError(f"nothing of {table} is archived")
-        return self.read(m, ARCHIVE, table)
+        return self.read(self.snapshot(), ARCHIVE, table)
 
     def declare_archive(self, table: str, schema: T.StructType) -> Manifest:
         """Give an archive table its own column order or extra columns.
