@@ -2,18 +2,93 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import os
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.llm import simhash
+from siltbed.llm import ann, bpe, cotrain, decontam, packing, pii, simhash, toxicity, unitdedup
 from siltbed.llm.common import table
 
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+
+
+def tokenizer_path(name: str) -> str:
+    return os.path.join(TOKENIZERS, name)
+
+
+def training(ident: Column) -> Column:
+    """Ids whose labels may be learnt from; the rest are held out."""
+    return toxicity.fold(ident) != 2
+
+
+def op1_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = cotrain.train(docs, table(spark, sf_dir, "labels"), usable=training)
+    found = cotrain.scored(docs, model)
+    return found.select("doc_id", (toxicity.fold(F.col("doc_id")) == 2).alias("held_out"), "content_score", "metadata_score",
+                        "score", (F.col("score") >= cotrain.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        decontam.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"), pii.trained())
+    base = F.col("base")
+    return found.select("doc_id", *(pii.count_of(base, k).alias(f"n_{k}") for k in pii.BASE_KINDS),
+                        F.sha2(pii.as_text(base), 256).alias("base_sha256"), pii.as_text(F.col("spans")).alias("spans"))
+
+
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), k=5, every=50)
+
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_unitdedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = unitdedup.deduplicated(table(spark, sf_dir, "documents"))
+    spans = F.transform("removed", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+                        F.array_join(spans, ",").alias("removed_spans"), F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), usable=training)
+    scored, name = toxicity.with_scores(docs.select("doc_id", "text"), model)
+    score = F.col(f"{name}.score")
+    return scored.select("doc_id", (toxicity.fold(F.col("doc_id")) == 2).alias("held_out"), score.alias("score"),
+                         (score >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+                         F.arrays_zip(F.col(f"{name}.starts").alias("start"), F.col(f"{name}.ends").alias("end")).alias("sentences"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = packing.write(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end=0)
+    return packing.read_back(spark, manifest)
+
+
 QUERIES = {
+    "op1_cotraining": op1_cotraining,
+    "op3_decontamination": op3_decontamination,
+    "op4_bpe": op4_bpe,
+    "op5_pii": op5_pii,
+    "op6_ann": op6_ann,
     "op7_simhash": op7_simhash,
+    "op8_unitdedup": op8_unitdedup,
+    "op9_toxicity": op9_toxicity,
+    "op10_packing": op10_packing,
 }

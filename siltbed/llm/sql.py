@@ -1,3 +1,37 @@
-"""DuckDB SQL for the registered queries that SQL can express."""
+"""DuckDB SQL for the registered queries that SQL can express.
 
-ORACLE = {}
+Trained models, near-duplicate components, approximate search, tokenizers and byte
+windows have none; those queries are tested against brute force.
+"""
+
+_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+ORACLE = {
+    "op3_decontamination": f"""
+WITH items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS words FROM benchmark WHERE item_id IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item_id, list_slice(words, i, i + 12) AS w
+  FROM items, LATERAL (SELECT unnest(generate_series(1, greatest(len(words) - 12, 1))) AS i)
+  WHERE len(words) > 0),
+docs AS (
+  SELECT row_number() OVER () AS rn, doc_id, {_WORDS} AS words FROM documents),
+lengths AS (SELECT DISTINCT len(w) AS n FROM windows),
+runs AS (
+  SELECT rn, i, n, list_slice(words, i, i + n - 1) AS w
+  FROM docs, lengths, LATERAL (SELECT unnest(generate_series(1, len(words) - n + 1)) AS i)
+  WHERE len(words) >= n),
+found AS (SELECT rn, i, n, item_id FROM runs JOIN windows USING (w)),
+spans AS (SELECT DISTINCT rn, i, n FROM found),
+hit AS (
+  SELECT rn, count(DISTINCT p) AS n_hit
+  FROM spans, LATERAL (SELECT unnest(generate_series(i, i + n - 1)) AS p) GROUP BY rn),
+owned AS (
+  SELECT rn, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT rn, item_id FROM found) GROUP BY rn)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM docs LEFT JOIN hit USING (rn) LEFT JOIN owned USING (rn)""",
+}
