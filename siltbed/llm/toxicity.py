@@ -24,7 +24,8 @@ TRAIN_ROWS = 8_000      # labelled rows the model is fitted on, by hash of their
 DIM = 1 << 20           # hashed features
 PREFIXES = range(3, 9)
 LEAST_DOCS = 3          # training documents a feature must occur in
-STEPS, RATE, DECAY, START = 150, 0.1, 3e-5, -6.0
+EVIDENCE = 0.35
+STEPS, RATE, START = 200, 0.1, -6.0
 THRESHOLD = 0.3
 WORD_CACHE = 400_000
 
@@ -62,10 +63,15 @@ def fit(texts: list[str], labels: np.ndarray) -> pd.DataFrame:
     listed = [features(w) for w in words]
     word_of = np.repeat(np.arange(len(listed)), list(map(len, listed)))
     used, feature = np.unique(np.fromiter(chain.from_iterable(listed), np.int64), return_inverse=True)
-    # Documents per feature, through the distinct (document, word) pairs.
+    # Documents per feature, through the distinct (document, word) pairs; features of
+    # few documents go, and words without any with them.
     pairs = np.unique(sentence_doc[token_sentence] * np.int64(len(listed)) + token) % len(listed)
     docs_of_word = np.bincount(pairs, minlength=len(listed))
     common = np.bincount(feature, docs_of_word[word_of], len(used)) >= LEAST_DOCS
+    word_of, feature = word_of[common[feature]], feature[common[feature]]
+    alive = np.zeros(len(listed), bool)
+    alive[word_of] = True
+    token_sentence, token = token_sentence[alive[token]], token[alive[token]]
 
     weight, bias = np.zeros(len(used)), START
     m, v, mb, vb = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
@@ -78,12 +84,15 @@ def fit(texts: list[str], labels: np.ndarray) -> pd.DataFrame:
         slope = np.where(y > 0, -1 / np.expm1(np.clip(none, 1e-6, 50)), 1.0) / len(texts)
         grad_z = slope[sentence_doc] * p
         grad_word = np.bincount(token, grad_z[token_sentence], len(listed))
-        grad = (np.bincount(feature, grad_word[word_of], len(used)) + DECAY * weight) * common
+        grad = np.bincount(feature, grad_word[word_of], len(used))
         grad_b = grad_z.sum()
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
         mb, vb = 0.9 * mb + 0.1 * grad_b, 0.999 * vb + 0.001 * grad_b ** 2
         fix1, fix2 = 1 - 0.9 ** step, 1 - 0.999 ** step
-        weight -= RATE * (m / fix1) / (np.sqrt(v / fix2) + 1e-8)
+        pace = RATE / (np.sqrt(v / fix2) + 1e-8)
+        weight -= pace * m / fix1
+        # Features that less than EVIDENCE documents speak for go back to nothing.
+        weight = np.sign(weight) * np.maximum(np.abs(weight) - pace * EVIDENCE / len(texts), 0)
         bias -= RATE * (mb / fix1) / (np.sqrt(vb / fix2) + 1e-8)
     on = np.flatnonzero(weight)
     return pd.DataFrame({"feature": np.r_[-1, used[on]].astype(np.int32),
