@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.llm import ann, bpe, cotrain, decontam, packing, pii, simhash, toxicity, unitdedup
+from siltbed.llm import ann, bpe, cotrain, decontam, packing, pii, simhash, suffixdedup, toxicity, unitdedup
 from siltbed.llm.common import table
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -30,6 +30,13 @@ def op1_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "score", (F.col("score") >= cotrain.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op2_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixdedup.deduplicated(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -83,6 +90,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_cotraining": op1_cotraining,
+    "op2_suffixes": op2_suffixes,
     "op3_decontamination": op3_decontamination,
     "op4_bpe": op4_bpe,
     "op5_pii": op5_pii,
