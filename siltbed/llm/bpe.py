@@ -17,6 +17,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import regex
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -151,23 +152,29 @@ class Bpe:
         return " ".join(t for t in map(get, np.frombuffer(ids, "<u4").tolist()) if t is not None)
 
 
-def encoded(docs: DataFrame, path: str, text_col: str = "text") -> tuple[DataFrame, Column]:
-    """``docs`` and a column struct(ids array<int>, decoded): the text's tokens and their text."""
-    spark = docs.sparkSession
+def _shared(docs: DataFrame, path: str) -> Broadcast:
+    """The vocabulary file, read here and sent to the tasks; its size is that of the file."""
     with open(path, encoding="utf-8") as f:
-        shared = spark.sparkContext.broadcast(f.read())
+        return docs.sparkSession.sparkContext.broadcast(f.read())
+
+
+def _batches(model: Bpe, batch: pd.Series) -> Iterator[bytes]:
+    for part in slices(batch.array, CHUNK):
+        yield from model.encode([text_of(x) for x in batch.array[part]])
+
+
+def tokens_column(docs: DataFrame, path: str, text_col: str = "text") -> Column:
+    """struct(ids array<int>, decoded) of a text column of ``docs``; null is empty."""
+    shared = _shared(docs, path)
 
     @F.pandas_udf("ids array<int>, decoded string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = Bpe(shared.value)
         for batch in batches:
-            rows = []
-            for part in slices(batch.array, CHUNK):
-                for ids in model.encode([text_of(x) for x in batch.array[part]]):
-                    rows.append((np.frombuffer(ids, "<i4"), model.decode(ids)))
+            rows = [(np.frombuffer(ids, "<i4"), model.decode(ids)) for ids in _batches(model, batch)]
             yield pd.DataFrame(rows, columns=["ids", "decoded"])
 
-    return docs, run(utf8(quoted(text_col)))
+    return run(utf8(quoted(text_col)))
 
 
 def digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -176,18 +183,14 @@ def digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     Null texts are empty and have no tokens. Digests are made where the ids are, so
     neither ids nor decoded texts are shipped.
     """
-    with open(path, encoding="utf-8") as f:
-        shared = docs.sparkSession.sparkContext.broadcast(f.read())
+    shared = _shared(docs, path)
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = Bpe(shared.value)
         for batch in batches:
-            rows = []
-            for part in slices(batch.array, CHUNK):
-                for ids in model.encode([text_of(x) for x in batch.array[part]]):
-                    rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(),
-                                 hashlib.sha256(model.decode(ids).encode()).hexdigest()))
+            rows = [(len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(model.decode(ids).encode()).hexdigest())
+                    for ids in _batches(model, batch)]
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(quoted(id_col).alias("doc_id"), run(utf8(quoted(text_col))).alias("r")).select("doc_id", "r.*")

@@ -225,46 +225,46 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                     shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs``.
+    """(doc_id, fp, component_id, root) for every row of ``docs``.
 
     ``component_id`` is the least ``doc_id`` reachable over links of ``max_bits`` or
-    fewer differing bits. Null and empty texts have fingerprint 0 and link like any
-    other; repeated rows come out as often as they go in; a null id never names a
-    component unless the component has no other. An empty table gives no rows.
-    Other columns are not read.
+    fewer differing bits, ``root`` a fingerprint that names the component. Null and
+    empty texts have fingerprint 0 and link like any other; repeated rows come out as
+    often as they go in; the ``component_id`` of rows with null ids alone is null. An
+    empty table gives no rows. Other columns are not read.
     """
     rows = stage(docs.select(quoted(id_col).alias("doc_id"),
                              fingerprint_column(quoted(text_col), shingle).alias("fp")), "simhash-rows")
     fps = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    roots = components(links(fps, max_bits))
-    linked = fps.join(roots.withColumnRenamed("node", "fp"), "fp")
-    least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = linked.join(least, "root").select("fp", "component_id")
-    names = stage(fps.join(named, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")),
-                  "simhash-names")
-    return rows.join(names, "fp", "left").select("doc_id", "fp", "component_id")
+    linked = fps.join(components(links(fps, max_bits)).withColumnRenamed("node", "fp"), "fp")
+    named = linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root")
+    alone = fps.join(named.select("fp"), "fp", "left_anti").select(
+        "fp", F.col("least").alias("component_id"), F.col("fp").alias("root"))
+    names = stage(named.select("fp", "component_id", "root").unionByName(alone), "simhash-names")
+    return rows.join(names, "fp", "left").select("doc_id", "fp", "component_id", "root")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
              shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """``docs`` with one row of each near-duplicate group, all columns kept.
 
-    The row whose id is the component's stays. Where several rows share that id, or
-    a component has only null ids, one row of the smallest fingerprint stays.
+    The row whose id is the component's stays; of several with that id, and in a
+    component of null ids alone, one of the least fingerprint.
     """
     found = stage(near_duplicates(docs, id_col, text_col, shingle=shingle, max_bits=max_bits), "simhash-found")
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = stage(kept.groupBy("component_id").agg(F.count("*").alias("n"), F.min("fp").alias("fp"),
-                                                  F.max(F.col("doc_id").isNull()).alias("nameless")), "simhash-kept")
-    single = kept.filter((F.col("n") == 1) & ~F.col("nameless")).select(F.col("component_id").alias(id_col))
-    out = docs.join(single, id_col, "left_semi").select(*map(quoted, docs.columns))
-    several = kept.filter((F.col("n") > 1) | F.col("nameless"))
+    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
+        F.min("doc_id").alias("kept_id"), F.min("fp").alias("kept_fp"))
+    again = found.groupBy("doc_id").count()
+    kept = stage(kept.join(again, F.col("kept_id").eqNullSafe(F.col("doc_id"))).select("kept_id", "kept_fp", "count"), "simhash-kept")
+    unique = F.col("kept_id").isNotNull() & (F.col("count") == 1)
+    out = docs.join(kept.filter(unique).select(F.col("kept_id").alias(id_col)), id_col, "left_semi")
+    out = out.select(*map(quoted, docs.columns))
+    several = kept.filter(~unique)
     if several.isEmpty():
         return out
-    # Repeated ids: pick by fingerprint, which rows of one id need not share. Null
-    # ids may belong to many components, so their rows carry the fingerprint along.
-    fp, key = free_name(docs, "_fp"), free_name(docs, "_component")
+    # An id that comes again doesn't tell rows apart; with the fingerprint it does.
+    fp, key = free_name(docs, "_fp"), free_name(docs, "_kept")
+    several = several.select(F.col("kept_id").alias(key), F.col("kept_fp").alias(f"{fp}_{key}"))
     rows = docs.withColumn(fp, fingerprint_column(quoted(text_col), shingle))
-    again = several.select(F.col("component_id").alias(key), F.col("fp").alias(f"{fp}_kept"))
-    rows = rows.join(again, quoted(id_col).eqNullSafe(F.col(key)) & (F.col(fp) == F.col(f"{fp}_kept")))
-    return out.unionByName(rows.dropDuplicates([key, fp]).select(*map(quoted, docs.columns)))
+    rows = rows.join(several, quoted(id_col).eqNullSafe(F.col(key)) & (F.col(fp) == F.col(f"{fp}_{key}")))
+    return out.unionByName(rows.dropDuplicates([fp]).select(*map(quoted, docs.columns)))
