@@ -5,7 +5,9 @@ Everything here is a composition of built-in functions and stays in codegen.
 
 from __future__ import annotations
 
+import calendar
 import datetime as dt
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,12 +25,33 @@ def months_before(as_of: dt.date | str | Column, months: int) -> Column:
     return F.add_months(day, -months)
 
 
-def older_than(age: str | Column, as_of: dt.date, months: int) -> Column:
-    """Strictly before the cutoff date; NULL ages are never older.
+def is_instant(c: str | Column) -> Column:
+    """Whether a column holds instants (timestamps with a zone); folds to a literal."""
+    return F.typeof(_col(c)) == "timestamp"
 
-    The cutoff folds to a literal, so the comparison reaches the Parquet scan.
+
+def midnight(day: dt.date, zone: str) -> Column:
+    """The instant a calendar day starts in a zone, whatever the session's zone."""
+    start = dt.datetime(day.year, day.month, day.day, tzinfo=ZoneInfo(zone))
+    return F.timestamp_seconds(F.lit(int(start.timestamp())))
+
+
+def months_earlier(day: dt.date, months: int) -> dt.date:
+    """``months_before`` of a known day."""
+    year, month = divmod(day.year * 12 + day.month - 1 - months, 12)
+    return dt.date(year, month + 1, min(day.day, calendar.monthrange(year, month + 1)[1]))
+
+
+def older_than(age: str | Column, as_of: dt.date, months: int, zone: str = "UTC", as_day: bool = False) -> Column:
+    """Strictly before the cutoff day; NULL ages are never older.
+
+    The cutoff folds to a literal, so the comparison reaches the Parquet scan. Days
+    and timestamps without a zone compare with the day itself, instants with its
+    start in ``zone``. ``as_day`` first turns other values, such as text, into days.
     """
-    return _col(age) < months_before(as_of, months)
+    cutoff = months_earlier(as_of, months)
+    day = _col(age).cast("date") if as_day else _col(age)
+    return F.when(is_instant(age), _col(age) < midnight(cutoff, zone)).otherwise(day < F.lit(cutoff))
 
 
 def last_digit(key: str | Column) -> Column:

@@ -31,10 +31,7 @@ def eligible_filter(tree: Tree, options: RunOptions) -> Column:
     """Age rule, key slice and status rule of the root table."""
     rule = in_slice(tree.root.key, options.first_digit, options.last_digit)
     if tree.age_column:
-        age = F.col(tree.age_column)
-        if tree.age_is_date:
-            age = age.cast("date")
-        rule = older_than(age, options.resolved_as_of(), tree.months) & rule
+        rule = older_than(tree.age_column, options.resolved_as_of(), tree.months, options.zone, tree.age_is_date) & rule
     if tree.status_column:
         rule = rule & F.col(tree.status_column).isin(*tree.statuses)
     return rule

@@ -1,43 +1,57 @@
 """The archive jobs: move eligible rows, with their dependents, in published chunks.
 
-One chunk reads one snapshot, writes the moved and the kept rows of every touched
-segment in a single pass per table, checks the counts on disk and then publishes
-all tables with one manifest version. A failure before that leaves readers on the
-old version; a rerun starts from there.
+A run numbers its keys once and cuts them into chunks of batches. A chunk reads the
+parts that hold its keys and writes their rows once: those that stay, and those that
+move, apart for each chunk of the run. Its own moved rows go to the archive, those of
+later chunks stay live in parts that the later chunks only have to rename. Counts are
+checked on disk, then all tables are published with one manifest version. A failure
+before that leaves readers on the old version; a rerun starts from there.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import json
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltbed.functions.scalars import worker_of
+from siltbed.functions.scalars import months_earlier, worker_of
 from siltbed.operators.batch import assign_batches
 from siltbed.operators.select import eligible_filter, eligible_keys, matching, scan
 from siltbed.operators.slices import slice_plan
 from siltbed.session import advisory_bytes, stage
 from siltbed.sources.store import (
-    ARCHIVE, BATCH, LEDGER, LIVE, SEGMENT, SIDE, WORKER, Manifest, Part, Store, files_of, month_index, range_label,
-    segment_of,
+    ARCHIVE, BATCH, LEDGER, LIVE, OWN, SEGMENT, SIDE, WORKER, Manifest, Part, Store, files_of, layout_of, month_index,
+    range_label, segment_of,
 )
 from siltbed.spec import RunOptions, Table, Tree
 
 MOVED, KEPT = "moved", "kept"
+KEY, SEG, FILE = f"{OWN}key", f"{OWN}seg", f"{OWN}file"
+TO_WORKER, TO_BATCH = f"{OWN}worker", f"{OWN}batch"
+# Root rows a chunk aims at where the run names no number of batches.
+CHUNK_ROWS = 20_000_000
 LEDGER_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()), T.StructField("root", T.StringType()),
     T.StructField("chunk", T.IntegerType()), T.StructField("worker", T.IntegerType()),
     *[T.StructField(c, T.LongType()) for c in ("batch_no", "roots", "records", "duration_us")],
 ])
+OUTCOME_SCHEMA = T.StructType([
+    T.StructField("run_id", T.StringType()), T.StructField("root", T.StringType()),
+    T.StructField("chunk", T.IntegerType()), T.StructField("worker", T.IntegerType()),
+    T.StructField("started", T.TimestampType()), T.StructField("cutoff", T.DateType()),
+    *[T.StructField(c, T.LongType()) for c in ("roots", "backlog", "duration_us")],
+    T.StructField("timed_out", T.BooleanType()), T.StructField("failed", T.BooleanType()),
+    T.StructField("warning", T.StringType()), T.StructField("error", T.StringType()),
+])
 
 
 class AuditError(RuntimeError):
@@ -51,7 +65,7 @@ class Chunk:
     manifest: Manifest
     batches: int
     roots: dict[int, int]
-    backlog: int
+    backlog: dict[int, int]
     audit: list[tuple[str, int, int, int]]
     duration_us: int = 0
 
@@ -78,17 +92,11 @@ class RunResult:
 
     def ledger(self, store: Store) -> DataFrame:
         """One row per worker and batch. A run that found nothing has zero rows each."""
-        rows = store.read(self.manifest, LEDGER, "batches") if store_has_ledger(self.manifest) else None
-        mine = None if rows is None else rows.where(F.col("run_id") == self.run_id)
-        if self.chunks and mine is not None:
-            return mine
+        if self.chunks and self.manifest.of(LEDGER, "batches"):
+            return store.read(self.manifest, LEDGER, "batches").where(F.col("run_id") == self.run_id)
         return small_rows(store.spark, LEDGER_SCHEMA, [(self.run_id, "", 1, 0, 1, 0, 0, 0)])
 
 
-def store_has_ledger(manifest: Manifest) -> bool:
-    return bool(manifest.of(LEDGER, "batches"))
-
-
 def small_rows(spark: SparkSession, schema: T.StructType, rows: list[tuple]) -> DataFrame:
     """A few driver-side numbers (at most one row per worker) as a relation."""
     structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema)]) for row in rows]
@@ -102,66 +110,60 @@ def archive_tree(store: Store, tree: Tree, options: RunOptions) -> RunResult:
     """Move eligible roots and all their dependents."""
     if not tree.root.unique:
         raise ValueError(f"{tree.root.name}: a tree root needs a unique key")
-    return _drain(store, tree, options, _tree_chunk)
+    return _drain(store, tree, options, _tree_chunks)
 
 
 def archive_table(store: Store, tree: Tree, options: RunOptions) -> RunResult:
     """Move eligible rows of one table that nothing depends on."""
     if tree.dependents:
         raise ValueError(f"{tree.root.name} has dependents, use archive_tree")
-    return _drain(store, tree, options, _table_chunk)
+    return _drain(store, tree, options, _table_chunks)
 
 
-Step = Callable[[Store, Manifest, Tree, RunOptions, str, int, int], "Chunk | None"]
+Steps = Callable[[Store, Tree, RunOptions, "RunResult"], Iterator[Chunk]]
 
 
-def _drain(store: Store, tree: Tree, options: RunOptions, step: Step) -> RunResult:
+def _drain(store: Store, tree: Tree, options: RunOptions, steps: Steps) -> RunResult:
     """Chunks until nothing is left, the cap is reached or time is up.
 
     After each chunk the time limit is tested before the other two, so a run that
-    empties the backlog too late still counts as timed out.
+    empties the backlog too late still counts as timed out. A run that fails leaves
+    a row that says so.
     """
-    options = _resolve(options)
-    run_id = options.run_id or uuid.uuid4().hex
-    cutoff = _cutoff(tree, options)
-    result = RunResult(run_id, cutoff, store.snapshot())
-    with advisory_bytes(store.spark, store.target_bytes):
-        return _run_chunks(store, tree, options, step, result)
-
-
-def _run_chunks(store: Store, tree: Tree, options: RunOptions, step: Step, result: RunResult) -> RunResult:
-    started, done = time.monotonic(), 0
-    while True:
-        left = options.max_batches - done if options.max_batches else 0
-        take = min(filter(None, (left, options.chunk_batches)), default=0)
-        before = time.monotonic()
-        chunk = step(store, result.manifest, tree, options, f"{result.run_id}-{len(result.chunks) + 1:05d}", take, done)
-        if chunk is None:
-            return result
-        chunk.manifest = store.publish(chunk.manifest)
-        chunk.duration_us = int((time.monotonic() - before) * 1_000_000)
-        result.chunks.append(chunk)
-        result.manifest, result.backlog = chunk.manifest, chunk.backlog
-        done += chunk.batches
-        if options.time_limit_sec and time.monotonic() - started > options.time_limit_sec:
-            result.timed_out = True
-            return result
-        if chunk.backlog == 0 or (options.max_batches and done >= options.max_batches):
-            return result
-
-
-def _resolve(options: RunOptions) -> RunOptions:
-    return replace(options, as_of=options.resolved_as_of())
+    options = replace(options, as_of=options.resolved_as_of())
+    result = RunResult(options.run_id or uuid.uuid4().hex, _cutoff(tree, options), store.snapshot())
+    begun, started = dt.datetime.now(dt.timezone.utc), time.monotonic()
+    try:
+        with advisory_bytes(store.spark, store.target_bytes):
+            before = started
+            for chunk in steps(store, tree, options, result):
+                now = time.monotonic()
+                chunk.duration_us = int((now - before) * 1_000_000)
+                late = bool(options.time_limit_sec) and now - started > options.time_limit_sec
+                chunk.manifest = store.publish(chunk.manifest)
+                result.chunks.append(chunk)
+                result.manifest, result.backlog, result.timed_out = chunk.manifest, sum(chunk.backlog.values()), late
+                _log_outcomes(store, tree, result, begun)
+                before = time.monotonic()
+                if late:
+                    break
+    except Exception as error:
+        try:
+            _log_outcomes(store, tree, result, begun, f"{type(error).__name__}: {error}"[:1000])
+        except Exception as second:
+            error.add_note(f"and the failure was not recorded: {second}")
+        raise
+    return result
 
 
 def _cutoff(tree: Tree, options: RunOptions) -> dt.date:
     """The cutoff as a driver-side date, for reports and segment pruning."""
-    day = options.resolved_as_of()
-    month = day.year * 12 + day.month - 1 - tree.months
-    year, month = divmod(month, 12)
-    next_month = dt.date(year + (month == 11), (month + 1) % 12 + 1, 1)
-    last = (next_month - dt.timedelta(days=1)).day
-    return dt.date(year, month + 1, min(day.day, last))
+    return months_earlier(options.resolved_as_of(), tree.months)
+
+
+def _chunk_size(options: RunOptions) -> int:
+    """Batches per worker and chunk."""
+    return options.chunk_batches or max(1, CHUNK_ROWS // (options.batch_size * options.parallel))
 
 
 # -- shared pieces ---------------------------------------------------------------
@@ -169,149 +171,244 @@ def _cutoff(tree: Tree, options: RunOptions) -> dt.date:
 
 def _candidate_parts(manifest: Manifest, tree: Tree, options: RunOptions) -> list[Part]:
     """Root parts that can hold eligible rows: by month where there is an age rule."""
-    parts = manifest.of(LIVE, tree.root.name)
+    parts, layout = manifest.of(LIVE, tree.root.name), layout_of(tree, tree.root)
     if not tree.age_column:
         return list(parts)
-    last = month_index(_cutoff(tree, options), tree.segment_months)
-    return [p for p in parts if p.segment is None or (p.segment != "none" and int(p.segment) <= last)]
+    # A day later: months are of the day in UTC, the cutoff may be of another zone.
+    last = month_index(_cutoff(tree, options) + dt.timedelta(days=1), tree.segment_months)
+    return [p for p in parts if p.layout != layout or (p.segment != "none" and int(p.segment) <= last)]
+
 
+def _side(chunk: Column | int) -> Column:
+    """Side label of rows that move with a chunk."""
+    chunk = F.lit(chunk) if isinstance(chunk, int) else chunk
+    return F.concat(F.lit(f"{MOVED}-"), F.lpad(chunk.cast("string"), 8, "0"))
 
-def _sides(rows: DataFrame, tree: Tree, table: Table, moves: Column, worker: Column, batch: Column) -> DataFrame:
-    """Add side, segment and, for moved rows, the worker and batch that moved them.
 
-    Columns outside the table's column list are blanked in moved rows.
+def _side_name(chunk: int) -> str:
+    return f"{MOVED}-{chunk:08d}"
+
+
+def _sides(rows: DataFrame, names: list[str], tree: Tree, table: Table, size: int) -> DataFrame:
+    """Add side, segment and, for moved rows, the worker and batch that move them.
+
+    ``rows`` carry TO_WORKER and TO_BATCH where they move, and the table's columns
+    ``names``; those outside the table's column list are blanked once they move.
     """
     scan(rows, table.columns)
-    data = [F.col(c) if table.columns is None or c in table.columns else F.when(~moves, F.col(c)).alias(c)
-            for c in table_columns(rows)]
     return rows.select(
-        *data, worker.cast("int").alias(WORKER), batch.cast("bigint").alias(BATCH),
-        F.when(moves, MOVED).otherwise(KEPT).alias(SIDE), segment_of(tree, table).alias(SEGMENT))
+        *[F.col(_tick(c)) for c in names], F.col(TO_WORKER).cast("int").alias(WORKER), F.col(TO_BATCH).cast("bigint").alias(BATCH),
+        F.when(F.col(TO_BATCH).isNull(), KEPT).otherwise(_side(_chunk_of(TO_BATCH, size))).alias(SIDE),
+        segment_of(tree, table).alias(SEGMENT))
+
 
+def _tick(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-def table_columns(rows: DataFrame) -> list[str]:
-    return [c for c in rows.columns if not c.startswith("__")]
 
+def _chunk_of(batch: str, size: int) -> Column:
+    return F.floor((F.col(batch) - 1) / size).cast("bigint")
 
-def _swap(store: Store, manifest: Manifest, table: Table, read: list[Part], sides: dict[str, list[Part]]) -> Manifest:
-    """The manifest after a table's read parts were split into moved and kept parts."""
-    schema = T.StructType.fromJson(json.loads(manifest.schemas[f"{LIVE}/{table.name}"]))
+
+def _archive_schema(store: Store, manifest: Manifest, table: Table) -> T.StructType:
+    """Columns of the archive table; every moved column must be there."""
+    schema = store.schema(manifest, LIVE, table.name)
     names = list(table.columns or schema.names)
-    if f"{ARCHIVE}/{table.name}" in manifest.schemas:
-        target = T.StructType.fromJson(json.loads(manifest.schemas[f"{ARCHIVE}/{table.name}"]))
-        lost = [c for c in names if c not in target.names]
-        if lost:
-            raise AuditError(f"{table.name}: the archive has no column {', '.join(lost)}")
-    else:
-        target = T.StructType([schema[c] for c in names])
-    gone = {p.path for p in read}
-    live = [p for p in manifest.of(LIVE, table.name) if p.path not in gone] + sides.get(KEPT, [])
-    archived = [*manifest.of(ARCHIVE, table.name), *sides.get(MOVED, [])]
+    if f"{ARCHIVE}/{table.name}" not in manifest.schemas:
+        return T.StructType([schema[c] for c in names])
+    target = store.schema(manifest, ARCHIVE, table.name)
+    lost = [c for c in names if c not in target.names]
+    if lost:
+        raise AuditError(f"{table.name}: the archive has no column {', '.join(lost)}")
+    return target
+
+
+def _swap(store: Store, manifest: Manifest, table: Table, gone: list[Part], stay: list[Part], moved: list[Part]) -> Manifest:
+    """The manifest after parts ``gone`` became parts that stay and parts that moved."""
+    target = _archive_schema(store, manifest, table)
+    paths = {p.path for p in gone}
+    live = [p for p in manifest.of(LIVE, table.name) if p.path not in paths] + stay
     return (manifest.with_table(LIVE, table.name, live)
-            .with_table(ARCHIVE, table.name, archived, target.json()))
+            .with_table(ARCHIVE, table.name, [*manifest.of(ARCHIVE, table.name), *moved], target.json()))
 
 
-def _audit(table: Table, read: list[Part], sides: dict[str, list[Part]]) -> tuple[str, int, int, int]:
+def _count_audit(table: Table, before: int, moved: int, kept: int) -> tuple[str, int, int, int]:
     """before = moved + kept, from the rows on disk on both sides."""
-    before = sum(p.rows for p in read)
-    moved = sum(p.rows for p in sides.get(MOVED, []))
-    kept = sum(p.rows for p in sides.get(KEPT, []))
     if before != moved + kept:
         raise AuditError(f"{table.name}: {before} rows before, {moved} moved and {kept} kept")
     return table.name, before, moved, kept
 
 
+def _rows_in(parts: list[Part]) -> int:
+    return sum(p.rows for p in parts)
+
+
 def _check_not_archived(store: Store, manifest: Manifest, table: Table, moved: list[Part]) -> None:
     """Fail when a moved key is in the archive already.
 
-    The key range of the moved rows goes to the archive scan as a filter, so row
-    groups of other ranges are skipped.
+    Only archive parts whose key range meets that of the moved parts are opened.
     """
     if not (table.unique and moved and manifest.of(ARCHIVE, table.name)):
         return
-    new = store.read(manifest, LIVE, table.name, moved).select(F.col(table.key).alias("__new"))
-    low, high = new.agg(F.min("__new"), F.max("__new")).first()
-    old = store.read(manifest, ARCHIVE, table.name).select(table.key)
-    old = old.where(F.col(table.key).between(low, high))
-    twice = old.join(new, old[table.key] == new["__new"], "left_semi")
+    ranges = [p.range_of(table.key) for p in moved]
+
+    def meets(old: Part) -> bool:
+        own = old.range_of(table.key)
+        return own is None or any(r is None or (r[0] <= own[1] and own[0] <= r[1]) for r in ranges)
+
+    opened = [p for p in manifest.of(ARCHIVE, table.name) if meets(p)]
+    if not opened:
+        return
+    new = store.read(manifest, LIVE, table.name, moved).select(F.col(_tick(table.key)).alias(KEY))
+    old = store.read(manifest, ARCHIVE, table.name, opened).select(_tick(table.key))
+    twice = old.join(new, old[_tick(table.key)] == new[KEY], "left_semi")
     if not twice.isEmpty():
         raise AuditError(f"{table.name}: key {twice.first()[0]} is in the archive already")
 
 
-def _add_ledger(store: Store, manifest: Manifest, tree: Tree, label: str, batches: DataFrame) -> Manifest:
+def _add_ledger(store: Store, manifest: Manifest, tree: Tree, run_id: str, chunk: int, batches: DataFrame) -> Manifest:
     """Append a chunk's batches (worker, batch_no, roots, records, duration_us)."""
-    run_id, chunk = label.rsplit("-", 1)
-    path = f"ledger/{label}"
+    path = f"ledger/{run_id}-{chunk:05d}"
     rows = batches.select(
-        F.lit(run_id).alias("run_id"), F.lit(tree.root.name).alias("root"), F.lit(int(chunk)).alias("chunk"),
+        F.lit(run_id).alias("run_id"), F.lit(tree.root.name).alias("root"), F.lit(chunk).alias("chunk"),
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in LEDGER_SCHEMA.fields[3:]])
     rows.write.parquet(f"{store.root}/{path}")
     parts = [*manifest.of(LEDGER, "batches"), Part(path, None, 0)]
     return manifest.with_table(LEDGER, "batches", parts, LEDGER_SCHEMA.json())
 
 
-def _with_idle_workers(batches: DataFrame, options: RunOptions, counts: dict[int, int], done: int) -> DataFrame:
+def _log_outcomes(store: Store, tree: Tree, result: RunResult, begun: dt.datetime, error: str | None = None) -> None:
+    """Append one row per worker that says how its latest chunk, or the run, ended.
+
+    Outcomes lie beside the versions: a run that fails changes no table.
+    """
+    failed = error is not None
+    chunk = result.chunks[-1] if result.chunks and not failed else Chunk(result.manifest, 0, {0: 0}, {0: result.backlog}, [])
+    warning = "out of time" if result.timed_out else None
+    rows = [(result.run_id, tree.root.name, len(result.chunks), w, begun, result.cutoff, chunk.roots.get(w, 0), left,
+             chunk.duration_us, result.timed_out, failed, warning, error) for w, left in sorted(chunk.backlog.items())]
+    small_rows(store.spark, OUTCOME_SCHEMA, rows).write.mode("append").parquet(store.outcomes_path)
+
+
+def outcomes(store: Store) -> DataFrame:
+    """How the chunks of all runs ended, failed runs included."""
+    if store.has(store.outcomes_path):
+        return store.spark.read.schema(OUTCOME_SCHEMA).parquet(store.outcomes_path)
+    return store.spark.createDataFrame([], OUTCOME_SCHEMA)
+
+
+def last_outcomes(rows: DataFrame) -> DataFrame:
+    """Per run and worker the outcome of the latest chunk; a failure outlasts all."""
+    latest = F.max_by(F.struct("started", "cutoff", "backlog", "timed_out", "warning", "error"), "chunk").alias("o")
+    return rows.groupBy("run_id", "worker").agg(F.max("failed").alias("failed"), latest).select("run_id", "worker", "failed", "o.*")
+
+
+def _with_idle_workers(batches: DataFrame, options: RunOptions, counts: dict[int, int], first: bool) -> DataFrame:
     """A worker without eligible rows still runs one empty batch."""
-    idle = [(w, 1, 0, 0, 0) for w in range(options.parallel) if not counts.get(w)] if done == 0 else []
+    idle = [(w, 1, 0, 0, 0) for w in range(options.parallel) if not counts.get(w)] if first else []
     if not idle:
         return batches
     schema = T.StructType([LEDGER_SCHEMA[c] for c in ("worker", "batch_no", "roots", "records", "duration_us")])
     return batches.unionByName(small_rows(batches.sparkSession, schema, idle))
 
 
-def _batches_of(rows: int, size: int, take: int) -> int:
-    n = -(-rows // size)
-    return min(n, take) if take else n
+@dataclass
+class _Plan:
+    """Chunks of a run: which rows of each worker move with which."""
 
+    counts: dict[int, int]
+    batch: int
+    size: int
+    cap: int
 
-def _taken(counts: dict[int, int], size: int, take: int) -> dict[int, int]:
-    return {w: min(n, take * size) if take else n for w, n in counts.items()}
+    @property
+    def batches(self) -> int:
+        most = max((-(-n // self.batch) for n in self.counts.values()), default=0)
+        return min(most, self.cap) if self.cap else most
+
+    @property
+    def chunks(self) -> int:
+        return -(-self.batches // self.size)
+
+    def rows_before(self, chunk: int) -> dict[int, int]:
+        """Rows of each worker in the chunks before one."""
+        upto = min(chunk * self.size, self.batches) * self.batch
+        return {w: min(n, upto) for w, n in self.counts.items()}
+
+    def rows(self, chunk: int) -> dict[int, int]:
+        before, after = self.rows_before(chunk), self.rows_before(chunk + 1)
+        return {w: after[w] - before[w] for w in self.counts}
+
+    def left(self, chunk: int) -> dict[int, int]:
+        """Backlog of each worker after a chunk."""
+        after = self.rows_before(chunk + 1)
+        return {w: n - after[w] for w, n in self.counts.items()}
 
 
 # -- record tree -----------------------------------------------------------------
 
 
-def _tree_chunk(
-    store: Store, manifest: Manifest, tree: Tree, options: RunOptions, label: str, take: int, done: int
-) -> Chunk | None:
-    started = time.monotonic()
-    root = tree.root
+def _tree_chunks(store: Store, tree: Tree, options: RunOptions, result: RunResult) -> Iterator[Chunk]:
+    root, manifest = tree.root, result.manifest
     rows = store.read(manifest, LIVE, root.name, _candidate_parts(manifest, tree, options))
-    chosen = rows.withColumn("__seg", segment_of(tree, root)).where(eligible_filter(tree, options))
-    numbered = assign_batches(
-        chosen.select(F.col(root.key).alias("__key"), "__seg"),
-        worker_of("__key", options.parallel), "__key", options.batch_size)
-    link = stage(numbered.where(F.col("batch_no") <= take) if take else numbered, f"keys-{label}").select("__key", "__seg", F.col("worker").alias(WORKER), (F.col("batch_no") + done).alias(BATCH))
-    all_counts = _worker_counts(numbered, "worker") if take else _worker_counts(link, WORKER)
-    if not all_counts:
-        return None
-
-    links, audit, moved_parts, before = {root.name: link}, {}, {}, manifest
-
-    def move(t: Table) -> tuple[list[Part], dict[str, list[Part]]]:
-        above = links[t.parent or t.name]
-        read = _touched_parts(store, before, t, above)
-        sides = _split_by_link(store, before, tree, t, read, above, f"data/{t.name}/{label}") if read else {}
-        audit[t.name] = _audit(t, read, sides)
-        moved_parts[t.name] = sides.get(MOVED, [])
-        _check_not_archived(store, before, t, moved_parts[t.name])
+    chosen = rows.where(eligible_filter(tree, options)).select(
+        F.col(_tick(root.key)).alias(KEY), segment_of(tree, root).alias(SEG))
+    numbered = assign_batches(chosen, worker_of(KEY, options.parallel), KEY, options.batch_size, names=(WORKER, BATCH))
+    if options.max_batches:
+        counted = stage(numbered, "numbered")
+        keys = counted.where(F.col(BATCH) <= options.max_batches)
+    else:
+        keys = counted = stage(numbered, "numbered")
+    plan = _Plan(_worker_counts(counted, WORKER), options.batch_size, _chunk_size(options), options.max_batches)
+    pending: dict[str, dict[int, list[Part]]] = {t.name: {} for t in tree.tables}
+    for chunk in range(plan.chunks):
+        started = time.monotonic()
+        yield _tree_chunk(store, tree, options, result, plan, chunk, keys, pending, started)
+
+
+def _tree_chunk(
+    store: Store, tree: Tree, options: RunOptions, result: RunResult, plan: _Plan, chunk: int, keys: DataFrame,
+    pending: dict[str, dict[int, list[Part]]], started: float
+) -> Chunk:
+    """Move the rows of one chunk; rows met of later chunks are put apart for them."""
+    manifest = before = result.manifest
+    links = {tree.root.name: keys.where(_chunk_of(BATCH, plan.size) >= chunk)}
+    label, audit, moved_parts = f"{result.run_id}-{chunk + 1:05d}", {}, {}
+
+    def move(t: Table) -> tuple[list[Part], list[Part], list[Part]]:
+        above, layout = links[t.parent or t.name], layout_of(tree, t)
+        now = above.where(_chunk_of(BATCH, plan.size) == chunk) if plan.chunks > 1 else above
+        waiting = {p.path for parts in pending[t.name].values() for p in parts}
+        ready = pending[t.name].pop(chunk, [])
+        live = [p for p in before.of(LIVE, t.name) if p.path not in waiting]
+        read, looked_up = _touched_parts(store, before, t, live, now, layout)
+        known = {p.path for p in read + looked_up}
+        _audit_unread(store, before, t, [p for p in live if p.path not in known], now, layout)
+        sides = _split_by_link(store, before, tree, t, read, above, plan.size, f"data/{t.name}/{label}") if read else {}
+        moved = ready + sides.pop(_side_name(chunk), [])
+        stay = [p for parts in sides.values() for p in parts]
+        audit[t.name] = _count_audit(t, _rows_in(read) + _rows_in(ready), _rows_in(moved), _rows_in(stay))
+        for later in range(chunk + 1, plan.chunks):
+            if _side_name(later) in sides:
+                pending[t.name].setdefault(later, []).extend(sides[_side_name(later)])
+        moved_parts[t.name] = moved
+        _check_not_archived(store, before, t, moved)
         if tree.children(t.name) and t.parent is not None:
-            links[t.name] = _next_link(store, before, t, moved_parts[t.name])
-        return read, sides
+            known = moved + [p for parts in pending[t.name].values() for p in parts]
+            links[t.name] = _next_link(store, before, t, known)
+        return read + ready, stay, moved
 
     for level in _levels(tree):
-        for t, (read, sides) in zip(level, _concurrently(store.spark, move, level)):
-            manifest = _swap(store, manifest, t, read, sides)
+        for t, (gone, stay, moved) in zip(level, _concurrently(store.spark, move, level)):
+            manifest = _swap(store, manifest, t, gone, stay, moved)
 
-    roots = _taken(all_counts, options.batch_size, take)
-    if sum(roots.values()) != audit[root.name][2]:
-        raise AuditError(f"{root.name}: {sum(roots.values())} keys chosen, {audit[root.name][2]} rows moved")
+    roots = plan.rows(chunk)
+    if sum(roots.values()) != audit[tree.root.name][2]:
+        raise AuditError(f"{tree.root.name}: {sum(roots.values())} keys chosen, {audit[tree.root.name][2]} rows moved")
     spent = int((time.monotonic() - started) * 1_000_000)
-    ledger = _tree_ledger(store, tree, moved_parts, roots, options.batch_size, spent)
-    manifest = _add_ledger(store, manifest, tree, label, _with_idle_workers(ledger, options, all_counts, done))
-    return Chunk(
-        manifest, max(_batches_of(n, options.batch_size, take) for n in all_counts.values()),
-        roots, sum(all_counts.values()) - sum(roots.values()), [audit[t.name] for t in tree.tables])
+    ledger = _with_idle_workers(_tree_ledger(store, tree, moved_parts, roots, options.batch_size, spent), options, plan.counts, chunk == 0)
+    manifest = _add_ledger(store, manifest, tree, result.run_id, chunk + 1, ledger)
+    return Chunk(manifest, min(plan.size, plan.batches - chunk * plan.size), roots, plan.left(chunk), [audit[t.name] for t in tree.tables])
 
 
 def _levels(tree: Tree) -> list[list[Table]]:
@@ -338,43 +435,75 @@ def _worker_counts(rows: DataFrame, worker: str) -> dict[int, int]:
     return {w: n for w, n in rows.groupBy(worker).count().collect() if w is not None}
 
 
-def _touched_parts(store: Store, manifest: Manifest, table: Table, link: DataFrame) -> list[Part]:
-    """Live parts that can hold rows of the chosen keys.
+def _link_column(table: Table) -> str:
+    return table.key if table.parent is None else table.link
+
+
+def _hit_segments(table: Table, link: DataFrame, known: list[str]) -> set[str]:
+    """Labels of segments that the chosen keys fall into, among those the manifest knows."""
+    label = F.col(SEG) if table.parent is None else range_label(F.col(KEY), table.span)
+    return {r[0] for r in link.select(label.alias("s")).where(F.col("s").isin(known)).distinct().collect()} if known else set()
+
+
+def _touched_parts(
+    store: Store, manifest: Manifest, table: Table, parts: list[Part], link: DataFrame, layout: str
+) -> tuple[list[Part], list[Part]]:
+    """Parts that can hold rows of the chosen keys, and those that were looked into.
 
-    Segments are a function of the link value, so the keys name them; only labels
-    the manifest knows come back to the driver. Adopted files have no segment and
+    A part of the table's own layout is found by its label, which follows from the
+    keys. All others, adopted files and segments that another tree or width made,
     are looked up by a semi-join that reads nothing but the link column.
     """
-    parts = manifest.of(LIVE, table.name)
-    known = sorted({p.segment for p in parts if p.segment is not None})
-    hit: set[str] = set()
-    if known:
-        label = F.col("__seg") if table.parent is None else range_label(F.col("__key"), table.span)
-        hit = {r[0] for r in link.select(label.alias("s")).where(F.col("s").isin(known)).distinct().collect()}
-    loose = [p for p in parts if p.segment is None]
+    own = [p for p in parts if p.segment is not None and p.layout == layout]
+    hit = _hit_segments(table, link, sorted({p.segment for p in own}))
+    loose = [p for p in parts if p.segment is None or p.layout != layout]
+    found = loose
     if len(loose) > 1:
-        rows = store.read(manifest, LIVE, table.name, loose)
-        on = table.key if table.parent is None else table.link
-        loose = files_of(matching(rows.select(on, "_metadata"), on, link.select("__key")), loose)
-    return [p for p in parts if p.segment in hit] + loose
+        rows = store.read(manifest, LIVE, table.name, loose, with_file=FILE)
+        on = _link_column(table)
+        found = files_of(matching(rows.select(_tick(on), FILE), on, link.select(KEY)), FILE, loose, store.locate)
+    return [p for p in own if p.segment in hit] + found, loose
+
+
+def _audit_unread(store: Store, manifest: Manifest, table: Table, unread: list[Part], link: DataFrame, layout: str) -> None:
+    """Fail if a part that is left alone holds a row of a chosen key.
+
+    The range of link values in a part's files, where it is known to lie in the
+    part's own segment, rules it out; the others are joined with the keys. A root's
+    chosen keys come from its own rows, so their number is enough.
+    """
+    if table.parent is None:
+        return
+
+    def label(value: int) -> str:
+        return str(abs(value) // table.span * (1 if value >= 0 else -1))
+
+    def proven(part: Part) -> bool:
+        own = part.range_of(table.link)
+        return part.layout == layout and own is not None and label(own[0]) == label(own[1]) == part.segment
+
+    open_ = [p for p in unread if not proven(p) and not (p.segment == "none" and p.layout == layout)]
+    if open_:
+        rows = matching(store.read(manifest, LIVE, table.name, open_).select(_tick(table.link)), table.link, link.select(KEY))
+        if not rows.isEmpty():
+            raise AuditError(f"{table.name}: rows of {rows.first()[0]} are in a part that was not read")
 
 
 def _split_by_link(
-    store: Store, manifest: Manifest, tree: Tree, table: Table, read: list[Part], link: DataFrame, label: str
+    store: Store, manifest: Manifest, tree: Tree, table: Table, read: list[Part], link: DataFrame, size: int, label: str
 ) -> dict[str, list[Part]]:
-    """One scan, one join on the unique chosen keys, one write of both sides."""
+    """One scan, one join on the unique chosen keys, one write of all sides."""
     rows = store.read(manifest, LIVE, table.name, read)
-    on = table.key if table.parent is None else table.link
-    chosen = link.select("__key", F.col(WORKER).alias("__worker"), F.col(BATCH).alias("__batch"))
-    joined = rows.join(chosen, rows[on] == chosen["__key"], "left")
-    moves = F.col("__key").isNotNull()
-    split = _sides(joined, tree, table, moves, F.col("__worker"), F.col("__batch"))
-    return store.write_sides(split, label, on)
+    on = _link_column(table)
+    chosen = link.select(KEY, F.col(WORKER).alias(TO_WORKER), F.col(BATCH).alias(TO_BATCH))
+    joined = rows.join(chosen, rows[_tick(on)] == chosen[KEY], "left")
+    split = _sides(joined, store.schema(manifest, LIVE, table.name).names, tree, table, size)
+    return store.write_sides(split, label, layout_of(tree, table), on, table.key)
 
 
 def _provenance(store: Store, manifest: Manifest, table: Table, parts: list[Part], *columns: str) -> DataFrame:
     """Worker and batch of moved rows, with some of their columns."""
-    live = T.StructType.fromJson(json.loads(manifest.schemas[f"{LIVE}/{table.name}"]))
+    live = store.schema(manifest, LIVE, table.name)
     schema = T.StructType([*[live[c] for c in columns],
                            T.StructField(WORKER, T.IntegerType()), T.StructField(BATCH, T.LongType())])
     if not parts:
@@ -384,103 +513,106 @@ def _provenance(store: Store, manifest: Manifest, table: Table, parts: list[Part
 
 def _next_link(store: Store, manifest: Manifest, table: Table, moved: list[Part]) -> DataFrame:
     """Keys of moved rows, one row each, as the link for the table's dependents."""
-    keys = _provenance(store, manifest, table, moved, table.key).withColumnRenamed(table.key, "__key")
+    keys = _provenance(store, manifest, table, moved, table.key).withColumnRenamed(table.key, KEY)
     if table.unique:
         return keys
-    return keys.groupBy("__key").agg(F.min(F.struct(BATCH, WORKER)).alias("p")).select(
-        "__key", f"p.{WORKER}", f"p.{BATCH}")
+    return keys.groupBy(KEY).agg(F.min(F.struct(BATCH, WORKER)).alias("p")).select(KEY, f"p.{WORKER}", f"p.{BATCH}")
 
 
 def _tree_ledger(
     store: Store, tree: Tree, moved: dict[str, list[Part]], roots: dict[int, int], size: int, spent: int
 ) -> DataFrame:
     """Roots and records per worker and batch, counted in the written archive parts."""
-    counts = None
+    counts = []
     for t in tree.tables:
-        if not moved[t.name]:
-            continue
-        schema = f"{WORKER} int, {BATCH} bigint"
-        rows = store.spark.read.schema(schema).parquet(*[store.locate(p) for p in moved[t.name]])
-        per = rows.groupBy(WORKER, BATCH).agg(F.count("*").alias("records"))
-        per = per.withColumn("roots", F.col("records") if t.parent is None else F.lit(0).cast("bigint"))
-        counts = per if counts is None else counts.unionByName(per)
+        if moved[t.name]:
+            rows = store.spark.read.schema(f"{WORKER} int, {BATCH} bigint").parquet(*[store.locate(p) for p in moved[t.name]])
+            per = rows.groupBy(WORKER, BATCH).agg(F.count("*").alias("records"))
+            counts.append(per.withColumn("roots", F.col("records") if t.parent is None else F.lit(0).cast("bigint")))
     share = F.lit(0).cast("bigint")
     for worker, n in roots.items():
-        share = F.when(F.col(WORKER) == worker, F.lit(spent // max(_batches_of(n, size, 0), 1))).otherwise(share)
-    return counts.groupBy(WORKER, BATCH).agg(F.sum("roots").alias("roots"), F.sum("records").alias("records")).select(
-        F.col(WORKER).alias("worker"), F.col(BATCH).alias("batch_no"), "roots", "records",
-        share.cast("bigint").alias("duration_us"))
+        share = F.when(F.col(WORKER) == worker, F.lit(spent // max(-(-n // size), 1))).otherwise(share)
+    summed = reduce(DataFrame.unionByName, counts).groupBy(WORKER, BATCH).agg(
+        F.sum("roots").alias("roots"), F.sum("records").alias("records"))
+    return summed.select(F.col(WORKER).alias("worker"), F.col(BATCH).alias("batch_no"), "roots", "records",
+                         share.cast("bigint").alias("duration_us"))
 
 
 # -- single table ----------------------------------------------------------------
 
 
-def _table_chunk(
-    store: Store, manifest: Manifest, tree: Tree, options: RunOptions, label: str, take: int, done: int
-) -> Chunk | None:
+def _table_chunks(store: Store, tree: Tree, options: RunOptions, result: RunResult) -> Iterator[Chunk]:
+    """The first chunk writes the touched rows apart for every chunk, the others only publish."""
     started = time.monotonic()
-    table, size = tree.root, options.batch_size
-    rule = F.coalesce(eligible_filter(tree, options), F.lit(False))
-    candidates = _candidate_parts(manifest, tree, options)
-    rows = store.read(manifest, LIVE, table.name, candidates)
-    found = (rows.where(eligible_filter(tree, options))
-             .groupBy(segment_of(tree, table).alias("s"), worker_of(table.key, options.parallel).alias("w"))
-             .count().collect())
+    table, manifest = tree.root, result.manifest
+    candidates, layout = _candidate_parts(manifest, tree, options), layout_of(tree, table)
+    rule = eligible_filter(tree, options)
+    found = (store.read(manifest, LIVE, table.name, candidates).where(rule)
+             .groupBy(segment_of(tree, table).alias("s"), worker_of(table.key, options.parallel).alias("w")).count().collect())
     counts: dict[int, int] = {}
     for _, worker, n in found:
         counts[worker] = counts.get(worker, 0) + n
+    plan = _Plan(counts, options.batch_size, _chunk_size(options), options.max_batches)
     if not counts:
-        return None
+        return
 
-    read = [p for p in candidates if p.segment in {s for s, _, _ in found}]
-    loose = [p for p in candidates if p.segment is None]
+    hit = {s for s, _, _ in found}
+    own = [p for p in candidates if p.segment is not None and p.layout == layout]
+    loose = [p for p in candidates if p.segment is None or p.layout != layout]
     if len(loose) > 1:
-        loose = files_of(store.read(manifest, LIVE, table.name, loose).where(eligible_filter(tree, options)), loose)
-    read += loose
-    rows = store.read(manifest, LIVE, table.name, read)
-    worker = worker_of(table.key, options.parallel)
-    if take:
-        split = _capped_split(tree, table, rows, rule, worker, options, take, done)
-    else:
-        split = _sides(rows, tree, table, rule, F.when(rule, worker), F.lit(None))
-    sides = store.write_sides(split, f"data/{table.name}/{label}", table.key)
-    audit = _audit(table, read, sides)
-    _check_not_archived(store, manifest, table, sides.get(MOVED, []))
-    moved = _taken(counts, size, take)
-    if sum(moved.values()) != audit[2]:
-        raise AuditError(f"{table.name}: {sum(moved.values())} rows chosen, {audit[2]} moved")
-    after = _swap(store, manifest, table, read, sides)
-    spent = int((time.monotonic() - started) * 1_000_000)
-    ledger = _table_ledger(store, moved, size, done, spent)
-    after = _add_ledger(store, after, tree, label, _with_idle_workers(ledger, options, counts, done))
-    return Chunk(
-        after, max(_batches_of(n, size, take) for n in counts.values()), moved,
-        sum(counts.values()) - sum(moved.values()), [audit])
-
-
-def _capped_split(
-    tree: Tree, table: Table, rows: DataFrame, rule: Column, worker: Column, options: RunOptions, take: int, done: int
+        rows = store.read(manifest, LIVE, table.name, loose, with_file=FILE).where(rule)
+        loose = files_of(rows, FILE, loose, store.locate)
+    read = [p for p in own if p.segment in hit] + loose
+    names = store.schema(manifest, LIVE, table.name).names
+    split = _numbered_split(tree, table, names, store.read(manifest, LIVE, table.name, read), rule, options, plan)
+    sides = store.write_sides(split, f"data/{table.name}/{result.run_id}", layout, table.key)
+    stay = sides.pop(KEPT, [])
+    for chunk in range(plan.chunks):
+        moved = sides.pop(_side_name(chunk), [])
+        waiting = [p for parts in sides.values() for p in parts]
+        gone = read if chunk == 0 else moved
+        audit = _count_audit(table, _rows_in(gone), _rows_in(moved), _rows_in(stay + waiting) if chunk == 0 else 0)
+        rows = plan.rows(chunk)
+        if sum(rows.values()) != audit[2]:
+            raise AuditError(f"{table.name}: {sum(rows.values())} rows chosen, {audit[2]} moved")
+        _check_not_archived(store, result.manifest, table, moved)
+        after = _swap(store, result.manifest, table, gone, stay + waiting if chunk == 0 else [], moved)
+        spent = int((time.monotonic() - started) * 1_000_000)
+        ledger = _table_ledger(store, rows, plan, chunk, spent)
+        after = _add_ledger(store, after, tree, result.run_id, chunk + 1, _with_idle_workers(ledger, options, counts, chunk == 0))
+        yield Chunk(after, min(plan.size, plan.batches - chunk * plan.size), rows, plan.left(chunk), [audit])
+        started = time.monotonic()
+
+
+def _numbered_split(
+    tree: Tree, table: Table, names: list[str], rows: DataFrame, rule: Column, options: RunOptions, plan: _Plan
 ) -> DataFrame:
-    """Only the first ``take`` batches of each worker move, other eligible rows stay."""
+    """Eligible rows with their worker and batch, up to the cap; all others stay."""
+    moves = F.coalesce(rule, F.lit(False))
     numbered = assign_batches(
-        rows.where(rule), worker, table.key, options.batch_size,
-        ties=[] if table.unique else [c for c in rows.columns if c != table.key], unique=table.unique)
-    numbered = numbered.withColumnsRenamed({"worker": "__worker", "batch_no": "__batch"})
-    first = F.col("__batch") <= take
-    chosen = _sides(numbered, tree, table, first, F.when(first, F.col("__worker")),
-                    F.when(first, F.col("__batch") + done))
-    rest = _sides(rows.where(~rule), tree, table, F.lit(False), F.lit(None), F.lit(None))
-    return chosen.unionByName(rest)
-
-
-def _table_ledger(store: Store, moved: dict[int, int], size: int, done: int, spent: int) -> DataFrame:
-    """Batches of ``size`` rows per worker follow from the worker's row count."""
-    schema = T.StructType([T.StructField("worker", T.IntegerType()), T.StructField("n", T.LongType()),
-                           T.StructField("batches", T.LongType())])
-    per_worker = small_rows(store.spark, schema, [(w, n, -(-n // size)) for w, n in moved.items() if n])
-    each = per_worker.withColumn("b", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("batches"))))
-    rows = F.least(F.lit(size).cast("bigint"), F.col("n") - (F.col("b") - 1) * size)
-    return each.select("worker", (F.col("b") + done).alias("batch_no"), rows.alias("roots"), rows.alias("records"),
+        rows.where(rule), worker_of(table.key, options.parallel), table.key, options.batch_size,
+        ties=[] if table.unique else [c for c in names if c != table.key], unique=table.unique, names=(TO_WORKER, TO_BATCH))
+    if plan.cap:
+        first = F.col(TO_BATCH) <= plan.cap
+        numbered = numbered.withColumns({TO_WORKER: F.when(first, F.col(TO_WORKER)), TO_BATCH: F.when(first, F.col(TO_BATCH))})
+    rest = rows.where(~moves).withColumns({TO_WORKER: F.lit(None).cast("int"), TO_BATCH: F.lit(None).cast("bigint")})
+    return _sides(numbered.unionByName(rest), names, tree, table, plan.size)
+
+
+def _table_ledger(store: Store, rows: dict[int, int], plan: _Plan, chunk: int, spent: int) -> DataFrame:
+    """Batches of ``plan.batch`` rows per worker follow from the worker's row count."""
+    workers = [(w, n, -(-n // plan.batch)) for w, n in sorted(rows.items()) if n]
+    total = sum(b for _, _, b in workers)
+    worker, left, first, count = (F.lit(None).cast(t) for t in ("int", "bigint", "bigint", "bigint"))
+    at = 0
+    for w, n, batches in workers:
+        here = F.col("id") >= at
+        worker, left, first, count = (F.when(here, F.lit(v).cast("bigint")).otherwise(o) for v, o in (
+            (w, worker), (n, left), (at, first), (batches, count)))
+        at += batches
+    each = store.spark.range(total).select(worker.alias("worker"), left.alias("n"), (F.col("id") - first).alias("b"), count.alias("batches"))
+    size = F.least(F.lit(plan.batch).cast("bigint"), F.col("n") - F.col("b") * plan.batch)
+    return each.select("worker", (F.col("b") + 1 + chunk * plan.size).alias("batch_no"), size.alias("roots"), size.alias("records"),
                        (F.lit(spent) / F.col("batches")).cast("bigint").alias("duration_us"))
 
 
@@ -489,7 +621,7 @@ def _table_ledger(store: Store, moved: dict[int, int], size: int, done: int, spe
 
 def dry_run(tree: Tree, root: DataFrame, options: RunOptions) -> DataFrame:
     """What a run would announce: per worker its digits, eligible rows and batches."""
-    options = _resolve(options)
+    options = replace(options, as_of=options.resolved_as_of())
     keys = eligible_keys(tree, root, options)
     counts = keys.groupBy(worker_of(tree.root.key, options.parallel).alias("worker")).agg(
         F.count("*").alias("eligible"))

@@ -10,16 +10,21 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
+import time
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
+from functools import reduce
 from urllib.parse import unquote
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltbed.functions.scalars import is_instant
 from siltbed.session import advisory_bytes
 from siltbed.spec import Table, Tree
 
@@ -28,15 +33,31 @@ SIDE = "sb_side"
 WORKER = "arch_worker"
 BATCH = "arch_batch"
 LIVE, ARCHIVE, LEDGER = "live", "archive", "ledger"
+# Columns the engine adds to rows start with this, or are named above; a table
+# with a column of such a name is refused.
+OWN = "sb__"
+HIVE = "hive"
+CLAIM_SEC = 600
 
 
 @dataclass(frozen=True)
 class Part:
-    """One directory of one segment. ``segment`` is None where none was assigned."""
+    """One directory of one segment. ``segment`` is None where none was assigned.
+
+    ``layout`` says how the segment label follows from a row; a label means nothing
+    to a table of another layout. ``ranges`` are the least and greatest whole numbers
+    of some columns, (name, low, high) each, the column the files are sorted by first.
+    An adopted directory with partition columns in its paths has the layout ``HIVE``.
+    """
 
     path: str
     segment: str | None
     rows: int
+    layout: str | None = None
+    ranges: tuple[tuple[str, int, int], ...] = ()
+
+    def range_of(self, column: str) -> tuple[int, int] | None:
+        return next(((low, high) for name, low, high in self.ranges if name == column), None)
 
 
 @dataclass(frozen=True)
@@ -63,14 +84,16 @@ class Manifest:
 
     def to_json(self) -> str:
         return json.dumps({
-            "parts": {k: [[p.path, p.segment, p.rows] for p in v] for k, v in self.parts.items()},
+            "parts": {k: [[p.path, p.segment, p.rows, p.layout, p.ranges] for p in v] for k, v in self.parts.items()},
             "schemas": self.schemas,
         })
 
     @staticmethod
     def from_json(version: int, text: str) -> Manifest:
         raw = json.loads(text)
-        return Manifest(version, {k: tuple(Part(*p) for p in v) for k, v in raw["parts"].items()}, raw["schemas"])
+        parts = {k: tuple(Part(*p[:4], tuple(map(tuple, p[4] if len(p) > 4 else ()))) for p in v)
+                 for k, v in raw["parts"].items()}
+        return Manifest(version, parts, raw["schemas"])
 
 
 class StaleVersion(RuntimeError):
@@ -83,6 +106,7 @@ class Store:
         self.spark = spark
         self.root = root.rstrip("/")
         self.target_bytes = target_bytes
+        self.outcomes_path = f"{self.root}/outcomes"
 
     # -- manifest -----------------------------------------------------------
 
@@ -91,6 +115,10 @@ class Store:
         p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
+    def has(self, path: str) -> bool:
+        fs, p = self._fs(path)
+        return fs.exists(p)
+
     def _dirs(self, path: str) -> list[str]:
         fs, p = self._fs(f"{self.root}/{path}")
         return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
@@ -119,14 +147,61 @@ class Store:
         return Manifest.from_json(version, text)
 
     def publish(self, manifest: Manifest) -> Manifest:
-        """Make ``manifest`` current, if nothing was published since it was read."""
-        current = self._current()
-        if current != manifest.version:
-            raise StaleVersion(f"read version {manifest.version}, current is {current}")
-        new = replace(manifest, version=max(self._versions(), default=0) + 1)
-        row = self.spark.createDataFrame(pa.table({"value": [new.to_json()]}))
-        row.coalesce(1).write.mode("error").text(self._version_path(new.version))
-        return new
+        """Make ``manifest`` current, if nothing was published since it was read.
+
+        A version has one successor: who creates its claim file may write it. The
+        claim of a publisher that died is void after ``CLAIM_SEC`` seconds.
+        """
+        base = manifest.version
+        if self._current() != base or not self._claim(base):
+            raise StaleVersion(f"read version {base}, which has a successor")
+        try:
+            if self._current() != base:
+                raise StaleVersion(f"read version {base}, current is {self._current()}")
+            new = replace(manifest, version=max(self._versions(), default=0) + 1)
+            row = self.spark.createDataFrame(pa.table({"value": [new.to_json()]}))
+            row.coalesce(1).write.mode("error").text(self._version_path(new.version))
+            return new
+        except Exception:
+            self._delete(self._claim_path(base))
+            raise
+
+    def _claim_path(self, base: int) -> str:
+        return f"_manifest/after-{base}"
+
+    def _claim(self, base: int) -> bool:
+        """Create the claim file, which only one of several publishers can."""
+        fs, path = self._fs(f"{self.root}/{self._claim_path(base)}")
+        fs.mkdirs(path.getParent())
+        if fs.exists(path):
+            age = time.time() - fs.getFileStatus(path).getModificationTime() / 1000
+            if age < CLAIM_SEC or self._current() != base:
+                return False
+            fs.delete(path, False)
+        try:
+            if fs.getUri().getScheme() == "file":
+                # The local Hadoop file system looks first and creates then.
+                nio = self.spark.sparkContext._jvm.java.nio.file
+                nio.Files.createFile(nio.Path.of(path.toUri().getPath(), self._no_strings()), self._no_attributes())
+            else:
+                fs.create(path, False).close()
+        except Py4JJavaError as refused:
+            if "AlreadyExists" in str(refused.java_exception):
+                return False
+            raise
+        return True
+
+    def _no_strings(self):
+        context = self.spark.sparkContext
+        return context._gateway.new_array(context._jvm.java.lang.String, 0)
+
+    def _no_attributes(self):
+        context = self.spark.sparkContext
+        return context._gateway.new_array(context._jvm.java.nio.file.attribute.FileAttribute, 0)
+
+    def _delete(self, path: str) -> None:
+        fs, p = self._fs(f"{self.root}/{path}")
+        fs.delete(p, True)
 
     # -- tables -------------------------------------------------------------
 
@@ -160,21 +235,36 @@ class Store:
     def _files(self, path: str) -> tuple[list[Part], T.StructType]:
         """One part per file with its row count, from the footers."""
         df = self.spark.read.parquet(path)
+        _refuse_own(df.schema)
         rows = df.groupBy("_metadata.file_path").count().collect()
         parts = [Part(_plain_path(file), None, n) for file, n in rows]
         if any("=" in p.path.rsplit(path.rstrip("/"), 1)[-1] for p in parts):
-            parts = [Part(path, None, sum(p.rows for p in parts))]
+            parts = [Part(path, None, sum(p.rows for p in parts), HIVE)]
         return parts, df.schema
 
-    def read(self, manifest: Manifest, side: str, table: str, parts: Iterable[Part] | None = None) -> DataFrame:
-        """Rows of the given parts (default: all) with the table's own columns."""
+    def schema(self, manifest: Manifest, side: str, table: str) -> T.StructType:
         if f"{side}/{table}" not in manifest.schemas:
             raise ValueError(f"the store has no {side} table {table}")
-        schema = T.StructType.fromJson(json.loads(manifest.schemas[f"{side}/{table}"]))
+        return T.StructType.fromJson(json.loads(manifest.schemas[f"{side}/{table}"]))
+
+    def read(self, manifest: Manifest, side: str, table: str, parts: Iterable[Part] | None = None,
+             with_file: str | None = None) -> DataFrame:
+        """Rows of the given parts (default: all) with the table's own columns.
+
+        ``with_file`` names a column to add: the file a row comes from.
+        """
+        schema = self.schema(manifest, side, table)
         chosen = list(manifest.of(side, table) if parts is None else parts)
-        if not chosen:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[self.locate(p) for p in chosen])
+        file = [F.col("_metadata.file_path").alias(with_file)] if with_file else []
+        plain = [self.locate(p) for p in chosen if p.layout != HIVE]
+        frames = [self.spark.read.schema(schema).parquet(*plain).select("*", *file)] if plain else []
+        # Partition columns are read from the paths below each directory of its own.
+        frames += [self.spark.read.schema(schema).option("basePath", self.locate(p)).parquet(self.locate(p))
+                   .select(*schema.names, *file) for p in chosen if p.layout == HIVE]
+        if not frames:
+            empty = self.spark.createDataFrame([], schema)
+            return empty.withColumn(with_file, F.lit(None).cast("string")) if with_file else empty
+        return reduce(DataFrame.unionByName, frames)
 
     def locate(self, part: Part) -> str:
         """Part paths are relative to the store, those of adopted data are absolute."""
@@ -191,6 +281,7 @@ class Store:
 
         Moved rows are matched to it by name; columns only the archive has stay NULL.
         """
+        _refuse_own(schema)
         m = self.snapshot()
         return self.publish(m.with_table(ARCHIVE, table, m.of(ARCHIVE, table), schema.json()))
 
@@ -200,18 +291,19 @@ class Store:
 
     # -- writing segments -----------------------------------------------------
 
-    def write_sides(self, rows: DataFrame, label: str, sort_by: str) -> dict[str, list[Part]]:
+    def write_sides(self, rows: DataFrame, label: str, layout: str | None, *columns: str) -> dict[str, list[Part]]:
         """Write rows that carry SIDE and SEGMENT; return the parts of each side.
 
         Rebalancing gives each segment few files of even size and lets AQE split a
         segment that holds much of the data; the caller sets the size aimed at
-        (``advisory_bytes``). Counts come from the written footers.
+        (``advisory_bytes``). Files are sorted by the first of ``columns``; the
+        ranges of all of them go to the manifest, where they are whole numbers.
         """
         path = f"{self.root}/{label}"
         (rows.hint("rebalance", SIDE, SEGMENT)
-             .sortWithinPartitions(SIDE, SEGMENT, sort_by)
+             .sortWithinPartitions(SIDE, SEGMENT, columns[0])
              .write.partitionBy(SIDE, SEGMENT).parquet(path))
-        return self._written_parts(path, label, rows.schema)
+        return self._written_parts(path, label, rows.schema, layout, list(dict.fromkeys(columns)))
 
     def compact(self, side: str, table: str) -> Manifest:
         """Merge the parts of every segment that has several; publish the result.
@@ -219,25 +311,34 @@ class Store:
         The row counts on disk must be the same before and after.
         """
         m = self.snapshot()
-        by_segment: dict[str, list[Part]] = {}
+        by_segment: dict[tuple[str | None, str], list[Part]] = {}
         for p in m.of(side, table):
             if p.segment is not None:
-                by_segment.setdefault(p.segment, []).append(p)
-        chosen = [p for parts in by_segment.values() if len(parts) > 1 for p in parts]
+                by_segment.setdefault((p.layout, p.segment), []).append(p)
+        merged, chosen = [], []
+        for layout in sorted({key[0] for key in by_segment}, key=str):
+            several = [p for key, parts in by_segment.items() if key[0] == layout and len(parts) > 1 for p in parts]
+            if several:
+                merged += self._merge(m, side, table, layout, several)
+                chosen += several
         if not chosen:
             return m
-        schema = T.StructType.fromJson(json.loads(m.schemas[f"{side}/{table}"]))
+        if sum(p.rows for p in merged) != sum(p.rows for p in chosen):
+            raise RuntimeError(f"{table}: compaction changed the number of rows")
+        gone = {p.path for p in chosen}
+        return self.publish(m.with_table(side, table, [p for p in m.of(side, table) if p.path not in gone] + merged))
+
+    def _merge(self, m: Manifest, side: str, table: str, layout: str | None, parts: list[Part]) -> list[Part]:
+        """Parts of one layout written anew, a segment once, in the order they had."""
+        schema = self.schema(m, side, table)
+        columns = [name for name, _, _ in parts[0].ranges] or [schema.names[0]]
         if side == ARCHIVE:
             schema = T.StructType([*schema, T.StructField(WORKER, T.IntegerType()), T.StructField(BATCH, T.LongType())])
-        rows = self.spark.read.schema(schema).parquet(*[self.locate(p) for p in chosen])
+        rows = self.spark.read.schema(schema).parquet(*[self.locate(p) for p in parts])
         label = F.regexp_extract(F.col("_metadata.file_path"), f"{SEGMENT}=([^/]*)", 1)
         rows = rows.select("*", F.lit(side).alias(SIDE), label.alias(SEGMENT))
         with advisory_bytes(self.spark, self.target_bytes):
-            merged = self.write_sides(rows, f"data/{table}/compact-{uuid.uuid4().hex}", schema.names[0])[side]
-        if sum(p.rows for p in merged) != sum(p.rows for p in chosen):
-            raise RuntimeError(f"{table}: compaction changed the number of rows")
-        gone = {p.path for p in chosen}
-        return self.publish(m.with_table(side, table, [p for p in m.of(side, table) if p.path not in gone] + merged))
+            return self.write_sides(rows, f"data/{table}/compact-{uuid.uuid4().hex}", layout, *columns)[side]
 
     def expire(self, keep_versions: int = 2) -> list[str]:
         """Reclaim space: drop old manifests and the directories none of the kept ones names.
@@ -254,21 +355,44 @@ class Store:
         stale = [p for p in below(below(below(below(["data"])))) + below(["ledger"]) if p not in named]
         stale += [f"_manifest/v={v}" for v in versions[keep_versions:]]
         for path in stale:
-            fs, p = self._fs(f"{self.root}/{path}")
-            fs.delete(p, True)
+            self._delete(path)
+        for version in versions[keep_versions:]:
+            self._delete(self._claim_path(version))
         return stale
 
-    def _written_parts(self, path: str, label: str, schema: T.StructType) -> dict[str, list[Part]]:
+    def _written_parts(self, path: str, label: str, schema: T.StructType, layout: str | None,
+                       columns: list[str]) -> dict[str, list[Part]]:
         plain = T.StructType([f for f in schema if f.name not in (SIDE, SEGMENT)])
         typed = T.StructType([*plain, T.StructField(SIDE, T.StringType()), T.StructField(SEGMENT, T.StringType())])
-        counts = self.spark.read.schema(typed).parquet(path).groupBy(SIDE, SEGMENT).count().collect()
+        whole = [c for c in columns if c in schema.names and isinstance(schema[c].dataType, T.IntegralType)]
+        bounds = [f(_quoted(c)).cast("bigint").alias(f"{OWN}{f.__name__}{i}") for i, c in enumerate(whole) for f in (F.min, F.max)]
+        found = self.spark.read.schema(typed).parquet(path).groupBy(SIDE, SEGMENT).agg(F.count("*").alias(OWN), *bounds)
         sides: dict[str, list[Part]] = {}
-        for side, segment, n in counts:
-            part = Part(f"{label}/{SIDE}={side}/{SEGMENT}={segment}", segment, n)
+        for side, segment, n, *ends in found.collect():
+            ranges = tuple((c, ends[2 * i], ends[2 * i + 1]) for i, c in enumerate(whole) if ends[2 * i] is not None)
+            part = Part(f"{label}/{SIDE}={side}/{SEGMENT}={segment}", segment, n, layout, ranges)
             sides.setdefault(side, []).append(part)
         return sides
 
 
+def _quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _refuse_own(schema: T.StructType) -> None:
+    """Fail on column names that the engine uses in its own files."""
+    taken = [c for c in schema.names if c.lower().startswith(OWN) or c.lower() in (SEGMENT, SIDE, WORKER, BATCH)]
+    if taken:
+        raise ValueError(f"reserved column names: {', '.join(taken)}")
+
+
+def layout_of(tree: Tree, table: Table) -> str:
+    """How ``segment_of`` derives labels; equal texts mean equal labels."""
+    if table.parent is None and tree.age_column:
+        return f"months:{tree.age_column}:{tree.segment_months}"
+    return f"range:{table.key if table.parent is None else table.link}:{table.span}"
+
+
 def segment_of(tree: Tree, table: Table) -> Column:
     """Segment label of a row: the months of its age, or the range of its link."""
     if table.parent is None and tree.age_column:
@@ -281,7 +405,10 @@ def month_index(day: dt.date, months: int) -> int:
 
 
 def month_label(age: Column, months: int) -> Column:
-    month = F.year(age) * 12 + F.month(age) - 1
+    """Months since year 0 in steps; of an instant, the month in UTC whatever the session's zone."""
+    days = F.floor(F.unix_micros(age.cast("timestamp")) / 86_400_000_000).cast("int")
+    day = F.when(is_instant(age), F.date_from_unix_date(days)).otherwise(age.cast("date"))
+    month = F.year(day) * 12 + F.month(day) - 1
     return range_label(F.floor(month / months), 1)
 
 
@@ -290,10 +417,17 @@ def range_label(key: Column, span: int) -> Column:
     return F.coalesce(whole.cast("bigint").cast("string"), F.lit("none"))
 
 
-def files_of(rows: DataFrame, parts: list[Part]) -> list[Part]:
-    """Those of the one-file parts that any of the rows comes from."""
-    seen = {_plain_path(r[0]) for r in rows.select("_metadata.file_path").distinct().collect()}
-    return [p for p in parts if p.path in seen]
+def files_of(rows: DataFrame, file: str, parts: list[Part], locate=None) -> list[Part]:
+    """Those of the parts, files or directories, that any of the rows comes from."""
+    seen = {_bare(_plain_path(r[0])) for r in rows.select(file).distinct().collect()}
+    folders = {f.rsplit("/", n)[0] for f in seen for n in range(1, f.count("/") + 1)}
+    place = locate or (lambda p: p.path)
+    return [p for p in parts if _bare(place(p)) in seen or _bare(place(p)) in folders]
+
+
+def _bare(path: str) -> str:
+    """A path without its scheme and host, which readers write in several ways."""
+    return re.sub(r"/+", "/", re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path)).rstrip("/")
 
 
 def _plain_path(uri: str) -> str:
