@@ -136,7 +136,22 @@ SELECT p.run_id, p.worker, CAST(coalesce(sum(n), 0) AS BIGINT) AS total_count,
 FROM parsed p JOIN ends ON ends.run_id = p.run_id AND ends.worker = p.worker
 WHERE line_no < e GROUP BY p.run_id, p.worker"""
 
-LINEITEM_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")
+LINEITEM_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+def sides(rules: dict[str, str]) -> str:
+    """Rows of each table in the archive, by its rule, and live."""
+    return by_name([f"SELECT *, 'archive {t}' AS table_name FROM {t} WHERE {p}" for t, p in rules.items()]
+                   + [f"SELECT *, 'live {t}' AS table_name FROM {t} WHERE ({p}) IS NOT TRUE" for t, p in rules.items()])
+
+
+ORDER_RULES = {"orders": ELIGIBLE, "lineitem": f"l_orderkey IN ({ORDER_KEYS})"}
+EVENT_NUMBERED = f"""SELECT event_id, {worker('event_id')} AS worker,
+      CAST((row_number() OVER (PARTITION BY {worker('event_id')} ORDER BY event_id) - 1) // 300 + 1 AS BIGINT) AS batch_no
+    FROM events WHERE {EVENT_RULE}"""
+ODD = "*, 'c' || event_type AS __op, user_id + 1 AS worker, event_id * 2 AS batch_no"
 
 ORACLE: dict[str, str] = {
     "scan_project": "SELECT l_orderkey, l_linenumber, l_extendedprice, l_shipdate FROM lineitem",
@@ -237,6 +252,43 @@ ORACLE: dict[str, str] = {
     "archive_by_worker": f"""SELECT 'orders' AS table_name, {worker('o_orderkey')} AS worker, count(*) AS moved
           FROM orders WHERE {ELIGIBLE} GROUP BY 2
         UNION ALL SELECT 'lineitem', {worker('l_orderkey')}, count(*) FROM lineitem WHERE l_orderkey IN ({ORDER_KEYS}) GROUP BY 2""",
+    "column_ranges": "SELECT count(*) AS row_count, " + ", ".join(
+        f"count(*) FILTER (WHERE {c} IS NULL) AS nulls_{c}, min({c}) AS min_{c}, max({c}) AS max_{c}" for c in LINEITEM_COLUMNS)
+        + " FROM lineitem",
+    "filter_retention_age_zoned": """SELECT event_id, user_id, event_type, value FROM events
+        WHERE ts < TIMESTAMP '2024-01-14 21:00:00'""",
+    "mixed_layout_order_tree": sides({"orders": ELIGIBLE, "lineitem": f"({SHIP_RULE}) OR l_orderkey IN ({ORDER_KEYS})"}),
+    "mixed_layout_customer_tree": sides({
+        "customer": CUST, "orders": f"({ELIGIBLE}) OR o_custkey IN ({CUST_KEYS})", "events": f"user_id IN ({CUST_KEYS})",
+        "lineitem": f"l_orderkey IN ({ORDER_KEYS}) OR l_orderkey IN ({CUST_ORDERS})"}),
+    "changed_span_tree": sides(ORDER_RULES),
+    "archive_odd_columns": by_name(
+        f"SELECT {ODD}, '{name}' AS table_name FROM events WHERE {rule}" for name, rule in (
+            ("full archive", EVENT_RULE), ("full live", f"({EVENT_RULE}) IS NOT TRUE"),
+            ("capped archive", f"event_id IN (SELECT event_id FROM ({EVENT_NUMBERED}) WHERE batch_no <= 4)"),
+            ("capped live", f"event_id NOT IN (SELECT event_id FROM ({EVENT_NUMBERED}) WHERE batch_no <= 4)"))),
+    "archive_provenance": f"SELECT event_id, worker AS arch_worker, batch_no AS arch_batch FROM ({EVENT_NUMBERED})",
+    "drain_job_ledger": f"WITH {LEDGER} SELECT worker, batch_no, roots, records FROM ledger",
+    "job_run_status": """SELECT * FROM (VALUES ('late', 'Warning'), ('lost', 'Failed'), ('whole', 'Success')) AS s(run_id, status)
+        WHERE (SELECT count(*) FROM orders) > 0""",
+    "job_run_log": f"""WITH {LEDGER}, ids AS (
+          SELECT worker, batch_no, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS ids FROM numbered GROUP BY ALL),
+        whole AS (SELECT worker, CAST(sum(roots) AS BIGINT) AS roots, CAST(sum(records) AS BIGINT) AS records, max(batch_no) AS batches
+          FROM ledger GROUP BY worker),
+        text AS (
+          SELECT worker, 3 * batch_no + 1 AS line_no, '[' || CAST(batch_no AS VARCHAR) || '/0]' AS message FROM ledger
+          UNION ALL SELECT worker, 3 * batch_no + 2, 'Order(s) to be archived: [' || ids || ']' FROM ids
+          UNION ALL SELECT worker, 3 * batch_no + 3, CAST(roots AS VARCHAR) || ' order(s),' || CAST(records AS VARCHAR) || ' record(s) archived.  Duration' FROM ledger
+          UNION ALL SELECT worker, 1, 'Rows placed before 1996-12-01 are archived.' FROM whole
+          UNION ALL SELECT worker, 2, 'Keys ending in ' || CASE worker WHEN 0 THEN '0 to 3' WHEN 1 THEN '4 to 6' ELSE '7 to 9' END FROM whole
+          UNION ALL SELECT worker, 3, 'Time Limit : 03:00:00' FROM whole
+          UNION ALL SELECT worker, 3 * batches + 4, 'Completed' FROM whole
+          UNION ALL SELECT worker, 3 * batches + 5, 'Total' FROM whole
+          UNION ALL SELECT worker, 3 * batches + 6, CAST(roots AS VARCHAR) || ' order(s),' || CAST(records AS VARCHAR) || ' record(s) archived.  Duration' FROM whole)
+        SELECT 'run-1' AS run_id, worker, CAST(line_no AS BIGINT) AS line_no, message FROM text""",
+    "stream_job_feed": f"""WITH {LEDGER}
+        SELECT 'orders' AS run_id, worker, CAST(sum(roots) AS BIGINT) AS total_count, true AS completed FROM ledger GROUP BY worker
+        UNION ALL SELECT 'events', worker, count(*), true FROM ({EVENT_NUMBERED}) GROUP BY worker""",
     "column_stats": " UNION ALL ".join(stats(c) for c in LINEITEM_COLUMNS),
     "compact_roundtrip": f"SELECT * FROM lineitem WHERE l_orderkey IN ({ORDER_KEYS})",
     "dry_run_report": f"""WITH {NUMBERED}, n AS (SELECT worker, count(*) AS eligible FROM numbered GROUP BY worker)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from checks import bindings as B
 from siltbed.functions import progress, scalars
 from siltbed.operators import batch, ledger, maintain, select, slices
-from siltbed.plans import jobs
+from siltbed.plans import jobs, logs
 from siltbed.session import scratch_path, stage
 from siltbed.sources import runlog, sql
 from siltbed.sources.store import Store
@@ -115,6 +115,14 @@ def filter_retention_age(spark, sf_dir):
     return one(spark, sf_dir, "orders").where(scalars.older_than("o_orderdate", B.ORDER_RUN.as_of, 13))
 
 
+@query
+def filter_retention_age_zoned(spark, sf_dir):
+    """Instants against the start of the cutoff day in another zone than the session's."""
+    instants = one(spark, sf_dir, "events").withColumn("ts", F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp"))))
+    rule = scalars.older_than("ts", B.EVENT_RUN.as_of, 2, "Europe/Istanbul")
+    return instants.where(rule).select("event_id", "user_id", "event_type", "value")
+
+
 @query
 def filter_key_slice(spark, sf_dir):
     return one(spark, sf_dir, "orders").where(scalars.in_slice("o_orderkey", 0, 3))
@@ -135,7 +143,7 @@ def param_sql_slice(spark, sf_dir):
     return sql.run_sliced(
         spark, "SELECT o_orderkey, o_orderstatus FROM {orders} "
         "WHERE o_orderkey % 10 BETWEEN @lb@ AND @up@ AND o_orderdate < :cutoff",
-        3, {"cutoff": B.ORDER_CUTOFF}, orders=one(spark, sf_dir, "orders"))
+        3, {"cutoff": B.ORDER_CUTOFF}, key="o_orderkey", orders=one(spark, sf_dir, "orders"))
 
 
 # -- joins -------------------------------------------------------------------------
@@ -388,6 +396,101 @@ def tree_job_ledger(spark, sf_dir):
     return run.ledger(store).select("chunk", "worker", "batch_no", "roots", "records")
 
 
+def both_sides(store: Store, *names: str) -> DataFrame:
+    rows = {}
+    for side, table in (("archive", store.archive), ("live", store.live)):
+        rows |= {f"{side} {t}": table(t) for t in names}
+    return stacked(rows)
+
+
+@query
+def mixed_layout_order_tree(spark, sf_dir):
+    """Lines by date, then the order tree, on one store."""
+    store = new_store(spark, sf_dir, "orders", "lineitem")
+    jobs.archive_table(store, B.SHIP_TABLE, B.SHIP_RUN)
+    jobs.archive_tree(store, B.ORDER_TREE, B.ORDER_RUN)
+    return both_sides(store, "orders", "lineitem")
+
+
+@query
+def mixed_layout_customer_tree(spark, sf_dir):
+    """The order tree, then the customer tree, on one store."""
+    store = new_store(spark, sf_dir, "customer", "orders", "events", "lineitem")
+    jobs.archive_tree(store, B.ORDER_TREE, B.ORDER_RUN)
+    jobs.archive_tree(store, B.CUSTOMER_TREE, B.CUSTOMER_RUN)
+    return both_sides(store, "customer", "orders", "events", "lineitem")
+
+
+@query
+def changed_span_tree(spark, sf_dir):
+    """A capped run, then a full one of the same tree with another width and other months."""
+    store = new_store(spark, sf_dir, "orders", "lineitem")
+    jobs.archive_tree(store, B.ORDER_TREE, replace(B.ORDER_RUN, max_batches=3))
+    wider = replace(B.ORDER_TREE, segment_months=5, dependents=tuple(replace(t, span=1000) for t in B.ORDER_TREE.dependents))
+    jobs.archive_tree(store, wider, B.ORDER_RUN)
+    return both_sides(store, "orders", "lineitem")
+
+
+@query
+def archive_odd_columns(spark, sf_dir):
+    """Columns named as change feeds and the engine's own operators name theirs."""
+    odd = one(spark, sf_dir, "events").withColumns({
+        "__op": F.concat(F.lit("c"), F.col("event_type")), "worker": F.col("user_id") + 1, "batch_no": F.col("event_id") * 2})
+    path = scratch_path(spark, "odd")
+    odd.write.parquet(path)
+    out = {}
+    for name, cap in (("capped", 4), ("full", 0)):
+        store = Store(spark, scratch_path(spark, "store"), target_bytes=4 * 1024 * 1024)
+        store.adopt({"events": path})
+        jobs.archive_table(store, B.EVENT_TABLE, replace(B.EVENT_RUN, max_batches=cap))
+        out |= {f"{name} archive": store.archive("events"), f"{name} live": store.live("events")}
+    return stacked(out)
+
+
+@query
+def archive_provenance(spark, sf_dir):
+    """Worker and batch in the archive files of a run without a cap."""
+    store = new_store(spark, sf_dir, "events")
+    run = jobs.archive_table(store, B.EVENT_TABLE, B.EVENT_RUN)
+    files = [store.locate(p) for p in run.manifest.of("archive", "events")]
+    return spark.read.schema("event_id bigint, arch_worker int, arch_batch bigint").parquet(*files)
+
+
+@query
+def drain_job_ledger(spark, sf_dir):
+    """A full run in many chunks has the ledger of a run in one."""
+    store = new_store(spark, sf_dir, "orders", "lineitem")
+    run = jobs.archive_tree(store, B.ORDER_TREE, replace(B.ORDER_RUN, chunk_batches=9))
+    return run.ledger(store).select("worker", "batch_no", "roots", "records")
+
+
+@query
+def job_run_status(spark, sf_dir):
+    """Status of a run that ended, one that ran out of time and one that failed."""
+    store = new_store(spark, sf_dir, "orders", "lineitem")
+    chunks = replace(B.ORDER_RUN, chunk_batches=3)
+    jobs.archive_tree(store, B.ORDER_TREE, replace(chunks, run_id="late", time_limit_sec=1, max_batches=60))
+    try:
+        lost = replace(B.ORDER_TREE, root=replace(B.ORDER_TREE.root, columns=("no_such_column",)))
+        jobs.archive_tree(store, lost, replace(chunks, run_id="lost"))
+    except ValueError:
+        pass
+    jobs.archive_tree(store, B.ORDER_TREE, replace(B.ORDER_RUN, run_id="whole"))
+    return ledger.run_status(jobs.last_outcomes(jobs.outcomes(store))).select("run_id", "status")
+
+
+@query
+def job_run_log(spark, sf_dir):
+    """The log of a real run without its times: its keys, its counts, its totals."""
+    store = new_store(spark, sf_dir, "orders", "lineitem")
+    run = jobs.archive_tree(store, B.ORDER_TREE, replace(B.ORDER_RUN, run_id="run-1", time_limit_sec=B.TIME_LIMIT))
+    path = scratch_path(spark, "log")
+    logs.write_job_log(store, B.ORDER_TREE, replace(B.ORDER_RUN, time_limit_sec=B.TIME_LIMIT), run, path)
+    lines = runlog.read_run_log(spark, path).withColumn("message", progress.strip_time_prefix("message"))
+    text = F.regexp_replace("message", "Duration : .*", "Duration")
+    return lines.select("run_id", F.col("worker").cast("int").alias("worker"), "line_no", text.alias("message"))
+
+
 @query
 def archive_table_by_ts_moved(spark, sf_dir):
     return select.split_by_rule(one(spark, sf_dir, "events"), select.eligible_filter(B.EVENT_TABLE, B.EVENT_RUN))[0]
@@ -429,8 +532,12 @@ def archive_by_worker(spark, sf_dir):
 
 @query
 def column_stats(spark, sf_dir):
-    return maintain.column_stats(one(spark, sf_dir, "lineitem"), [
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"])
+    return maintain.column_stats(one(spark, sf_dir, "lineitem"))
+
+
+@query
+def column_ranges(spark, sf_dir):
+    return maintain.column_ranges(one(spark, sf_dir, "lineitem"))
 
 
 @query
@@ -457,3 +564,15 @@ def stream_progress(spark, sf_dir):
     started = live.start_progress(feed, f"{base}/out", f"{base}/state")
     started.awaitTermination()
     return live.progress_totals(spark.read.parquet(f"{base}/out"))
+
+
+@query
+def stream_job_feed(spark, sf_dir):
+    """Live totals from the lines that two jobs appended to one feed."""
+    base = scratch_path(spark, "stream")
+    store = new_store(spark, sf_dir, "orders", "lineitem", "events")
+    for tree, run, move in ((B.ORDER_TREE, B.ORDER_RUN, jobs.archive_tree), (B.EVENT_TABLE, B.EVENT_RUN, jobs.archive_table)):
+        run = replace(run, run_id=tree.root.name)
+        logs.feed_lines(store, tree, run, move(store, tree, run), f"{base}/lines")
+    live.start_progress(live.read_live_log(spark, f"{base}/lines"), f"{base}/out", f"{base}/state").awaitTermination()
+    return live.progress_totals(spark.read.parquet(f"{base}/out")).select("run_id", "worker", "total_count", "completed")

@@ -7,8 +7,10 @@ import datetime as dt
 import json
 import sys
 
+from pyspark.sql import functions as F
+
 from siltbed.operators import ledger
-from siltbed.plans import jobs, presets
+from siltbed.plans import jobs, logs, presets
 from siltbed.plans.upkeep import upkeep
 from siltbed.session import build_session
 from siltbed.sources.store import LIVE, Store
@@ -32,6 +34,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--max-batches", type=int, default=0)
     p.add_argument("--chunk-batches", type=int, default=0)
     p.add_argument("--time-limit-sec", type=int, default=presets.TIME_LIMIT_SEC)
+    p.add_argument("--log", metavar="PATH", help="folder for the run's text log")
+    p.add_argument("--feed", metavar="PATH", help="folder of JSON lines that live progress reads")
     p.add_argument("--dry-run", action="store_true", help="only report what would move")
     return p
 
@@ -52,8 +56,14 @@ def run(spark, argv: list[str] | None = None) -> dict:
         root = store.read(store.snapshot(), LIVE, tree.root.name)
         return {"dry_run": [r.asDict() for r in jobs.dry_run(tree, root, options).orderBy("worker").collect()]}
     result = move(store, tree, options)
+    if a.log:
+        logs.write_job_log(store, tree, options, result, a.log)
+    if a.feed:
+        logs.feed_lines(store, tree, options, result, a.feed)
     summary = ledger.run_summary(result.ledger(store)).first()
-    return {"run_id": result.run_id, "version": result.manifest.version, "cutoff": result.cutoff,
+    ended = jobs.last_outcomes(jobs.outcomes(store).where(F.col("run_id") == result.run_id))
+    status = ledger.run_status(ended).first()
+    return {"status": status.status if status else "Success", "run_id": result.run_id, "version": result.manifest.version, "cutoff": result.cutoff,
             "total_count": summary.total_count, "total_records": summary.total_records,
             "max_duration_us": summary.max_duration_us, "backlog": result.backlog, "timed_out": result.timed_out}
 

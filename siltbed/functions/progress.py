@@ -16,6 +16,9 @@ TREE_PROGRESS = "%d order(s),%d record(s) archived.  Duration : "
 TABLE_PROGRESS = "%d record(s) archived.  Duration : "
 OUT_OF_TIME = "Completed. (The %d second(s) time limit has been exceeded)"
 TIME_LIMIT = "Time Limit : "
+ID_LIST = "Order(s) to be archived: [%s]"
+NOT_COMPLETED = "Not completed, but records processed before the error were successfully committed."
+WRITE_FAILED = "write failed: %s"
 
 
 def progress_count(message: str | Column) -> Column:

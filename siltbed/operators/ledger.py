@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from siltbed.functions.progress import is_end, progress_count, progress_duration_us
 from siltbed.functions.scalars import worker_of
 from siltbed.operators.batch import running_sums
-from siltbed.operators.select import eligible_keys
+from siltbed.operators.select import eligible_keys, matching
 from siltbed.operators.slices import slice_plan
 from siltbed.spec import RunOptions, Tree
 
@@ -47,17 +47,17 @@ def batch_id_lists(numbered: DataFrame, key: str) -> DataFrame:
 def batch_ledger(tree: Tree, tables: Mapping[str, DataFrame], numbered: DataFrame, options: RunOptions) -> DataFrame:
     """Roots and records per worker and batch, before anything is moved.
 
-    Dependents are counted per link value first, so a key with very many rows is
-    folded on the map side, and only one row per key meets the batch numbers. The
-    counts of deeper tables are pulled up along their parents the same way.
+    Dependents of the chosen keys are counted per link value, so a key with very many
+    rows is folded on the map side, and only one row per key meets the batch numbers.
+    The counts of deeper tables are pulled up along their parents the same way.
     ``numbered`` holds the root key, ``worker`` and ``batch_no``.
     """
-    def below(name: str) -> DataFrame | None:
-        """Per key of table ``name``: records in all tables under it."""
+    def below(name: str, keys: DataFrame) -> DataFrame | None:
+        """Per chosen key of table ``name``: records in all tables under it."""
         parts = []
         for t in tree.children(name):
-            deeper = below(t.name)
-            rows = tables[t.name].where(F.col(t.link).isNotNull())
+            rows = matching(tables[t.name], t.link, keys)
+            deeper = below(t.name, rows.select(t.key)) if tree.children(t.name) else None
             if deeper is None:
                 parts.append(rows.groupBy(F.col(t.link).alias("__k")).agg(F.count("*").alias("__n")))
             else:
@@ -69,7 +69,7 @@ def batch_ledger(tree: Tree, tables: Mapping[str, DataFrame], numbered: DataFram
         return reduce(DataFrame.unionByName, parts).groupBy("__k").agg(F.sum("__n").alias("__n"))
 
     keys = numbered.select(F.col(tree.root.key).alias("__k"), "worker", "batch_no")
-    counts = below(tree.root.name)
+    counts = below(tree.root.name, keys.select("__k"))
     joined = keys.withColumn("__n", F.lit(0)) if counts is None else keys.join(counts, "__k", "left")
     batches = joined.groupBy("worker", "batch_no").agg(
         F.count("*").alias("roots"), (F.count("*") + F.coalesce(F.sum("__n"), F.lit(0))).cast("bigint").alias("records"))
@@ -152,11 +152,12 @@ def moved_by_worker(tree: Tree, tables: Mapping[str, DataFrame], keys: DataFrame
     out = [tagged[tree.root.name].groupBy("worker").agg(F.count("*").alias("moved"))
            .select(F.lit(tree.root.name).alias("table_name"), "worker", "moved")]
     for t in tree.dependents:
-        per_key = tables[t.name].groupBy(F.col(t.link).alias("__k")).agg(F.count("*").alias("__n"))
+        chosen = matching(tables[t.name], t.link, tagged[t.parent].select("__k"))
+        per_key = chosen.groupBy(F.col(t.link).alias("__k")).agg(F.count("*").alias("__n"))
         out.append(per_key.join(tagged[t.parent], "__k").groupBy("worker").agg(
             F.sum("__n").alias("moved")).select(F.lit(t.name).alias("table_name"), "worker", "moved"))
         if tree.children(t.name):
-            linked = tables[t.name].select(F.col(t.link).alias("__up"), F.col(t.key).alias("__c"))
+            linked = chosen.select(F.col(t.link).alias("__up"), F.col(t.key).alias("__c"))
             up = tagged[t.parent].withColumnRenamed("__k", "__up")
             owned = linked.join(up, "__up").select(F.col("__c").alias("__k"), "worker")
             tagged[t.name] = owned if t.unique else owned.groupBy("__k").agg(F.min("worker").alias("worker"))

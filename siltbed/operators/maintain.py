@@ -31,6 +31,19 @@ def column_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
                          for c in ("row_count", "null_count", "distinct_count")], "min_value", "max_value")
 
 
+def column_ranges(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """One row: the row count, and nulls, minimum and maximum of each column in its own type.
+
+    A single pass without a shuffle of values; ``nulls_``, ``min_`` and ``max_`` come
+    before the column's name.
+    """
+    ordered = [c for c in columns or df.columns if not isinstance(df.schema[c].dataType, (T.MapType, T.VariantType))]
+    return df.agg(
+        F.count("*").alias("row_count"),
+        *[f.alias(f"{name}_{c}") for c in ordered for name, f in (
+            ("nulls", F.count_if(F.col(c).isNull())), ("min", F.min(c)), ("max", F.max(c)))])
+
+
 def analyze(spark: SparkSession, tables: list[str]) -> None:
     """Refresh optimizer statistics of catalog tables, once per table."""
     for name in tables:

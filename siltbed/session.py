@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -24,11 +25,21 @@ SETTINGS = {
 }
 
 
+# On a cluster shuffles start with many small partitions, which AQE merges up to the
+# advisory size: a first run over very large tables must not end in 200 of them.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+}
+
+
 def build_session(app: str, master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    local = (master or "").startswith("local")
+    for key, value in {**SETTINGS, **({} if local else CLUSTER_SETTINGS), **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -55,6 +66,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/siltbed/{label}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession, hours: float) -> int:
+    """Delete scratch folders that nothing has been written to for ``hours``."""
+    context = spark.sparkContext
+    root = context._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/siltbed")
+    fs = root.getFileSystem(context._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return 0
+    limit = (time.time() - hours * 3600) * 1000
+    old = [s.getPath() for s in fs.listStatus(root) if s.getModificationTime() < limit]
+    for path in old:
+        fs.delete(path, True)
+    return len(old)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: short lineage, known size, and
     nothing to recompute when an executor is lost."""

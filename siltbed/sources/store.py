@@ -328,6 +328,21 @@ class Store:
         gone = {p.path for p in chosen}
         return self.publish(m.with_table(side, table, [p for p in m.of(side, table) if p.path not in gone] + merged))
 
+    def compact_ledger(self) -> Manifest:
+        """Merge the ledger's parts, one per chunk of each run, into evenly sized files."""
+        m = self.snapshot()
+        parts = m.of(LEDGER, "batches")
+        if len(parts) < 2:
+            return m
+        path = f"ledger/compact-{uuid.uuid4().hex}"
+        rows = self.read(m, LEDGER, "batches", parts)
+        with advisory_bytes(self.spark, self.target_bytes):
+            rows.hint("rebalance").sortWithinPartitions("run_id", "worker", "batch_no").write.parquet(f"{self.root}/{path}")
+        merged = Part(path, None, self.spark.read.parquet(f"{self.root}/{path}").count())
+        if merged.rows != rows.count():
+            raise RuntimeError("compaction changed the ledger")
+        return self.publish(m.with_table(LEDGER, "batches", [merged]))
+
     def _merge(self, m: Manifest, side: str, table: str, layout: str | None, parts: list[Part]) -> list[Part]:
         """Parts of one layout written anew, a segment once, in the order they had."""
         schema = self.schema(m, side, table)

@@ -1,79 +1,49 @@
 """Live run progress: counts per worker from a stream of log lines.
 
-Lines may arrive in any order and more than once. State is kept per block of
-consecutive lines of a worker, so its size is bounded and a worker with very many
-lines is spread over tasks. A fold over the blocks gives the worker's totals.
+Lines may arrive in any order and more than once. They are folded per block of
+consecutive lines of a worker, so state is bounded by a block and a worker with very
+many lines is spread over tasks. A fold over the blocks gives the worker's totals.
+State of a block stays for the life of the stream, so a pause never loses a count.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from siltbed.functions.progress import is_end, progress_count, progress_duration_us
 
 BLOCK_LINES = 1024
 NO_END = -1
 
-BLOCK_SCHEMA = ("run_id string, worker int, block bigint, update_no bigint, "
-                "n bigint, us bigint, end_line bigint")
-STATE_SCHEMA = "update_no bigint, lines array<bigint>, n array<bigint>, us array<bigint>, end_line bigint"
-
 
 def parsed(lines: DataFrame) -> DataFrame:
-    """Only lines that count or end something, with their block; JVM-side."""
+    """Count, duration and end mark of each line, with its block."""
     return lines.select(
         "run_id", "worker", "line_no", F.floor(F.col("line_no") / BLOCK_LINES).cast("bigint").alias("block"),
         progress_count("message").alias("n"), progress_duration_us("message").alias("us"),
         is_end("message").alias("ended"))
 
 
-def _block_updater(idle_ms: int | None):
-    """State function of one block; ``idle_ms`` frees blocks nobody writes to."""
-
-    def update(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        update_no, lines, counts, micros, end = state.get if state.exists else (0, [], [], [], None)
-        known = {line: (n, us) for line, n, us in zip(lines, counts, micros)}
-        for pdf in batches:
-            marks = pdf.loc[pdf["ended"], "line_no"]
-            if len(marks):
-                first = int(marks.min())
-                end = first if end is None else min(end, first)
-            rows = pdf[~pdf["ended"]].fillna({"n": 0, "us": 0})
-            known.update(zip(rows["line_no"].astype("int64").tolist(),
-                             zip(rows["n"].astype("int64").tolist(), rows["us"].astype("int64").tolist())))
-        if end is not None:
-            known = {line: v for line, v in known.items() if line < end}
-        update_no += 1
-        state.update((update_no, list(known), [v[0] for v in known.values()], [v[1] for v in known.values()], end))
-        if idle_ms:
-            state.setTimeoutDuration(idle_ms)
-        yield pd.DataFrame({
-            "run_id": [key[0]], "worker": [key[1]], "block": [key[2]], "update_no": [update_no],
-            "n": [sum(v[0] for v in known.values())], "us": [sum(v[1] for v in known.values())],
-            "end_line": [NO_END if end is None else end],
-        })
-
-    return update
-
-
-def block_updates(lines: DataFrame, idle_ms: int | None = None) -> DataFrame:
-    """Stream of block sums; a later ``update_no`` replaces an earlier one.
-
-    ``end_line`` is the block's first end marker, ``NO_END`` where it has none.
+def block_sums(lines: DataFrame) -> DataFrame:
+    """Sums of each block up to its first end marker, ``end_line`` (``NO_END`` without one).
+
+    A line that comes twice is one member of the block's set of at most
+    ``BLOCK_LINES`` lines.
     """
-    useful = parsed(lines)
-    return useful.groupBy("run_id", "worker", "block").applyInPandasWithState(
-        _block_updater(idle_ms), BLOCK_SCHEMA, STATE_SCHEMA, "append",
-        GroupStateTimeout.ProcessingTimeTimeout if idle_ms else GroupStateTimeout.NoTimeout)
+    counts = F.col("n").isNotNull() | F.col("us").isNotNull()
+    row = F.struct("line_no", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("us", F.lit(0)).alias("us"))
+    folded = parsed(lines).groupBy("run_id", "worker", "block").agg(
+        F.collect_set(F.when(counts & ~F.col("ended"), row)).alias("rows"),
+        F.min(F.when(F.col("ended"), F.col("line_no"))).alias("end"))
+    inside = F.filter("rows", lambda x: F.col("end").isNull() | (x["line_no"] < F.col("end")))
+
+    def total(field: str):
+        return F.aggregate(inside, F.lit(0).cast("bigint"), lambda a, x: a + x[field])
+
+    return folded.select("run_id", "worker", "block", total("n").alias("n"), total("us").alias("us"),
+                         F.coalesce("end", F.lit(NO_END)).cast("bigint").alias("end_line"))
 
 
 def read_live_log(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
@@ -82,19 +52,16 @@ def read_live_log(spark: SparkSession, path: str, files_per_trigger: int = 1000)
             .option("maxFilesPerTrigger", files_per_trigger).option("recursiveFileLookup", "true").json(path))
 
 
-def start_progress(
-    lines: DataFrame, out: str, checkpoint: str, available_now: bool = True, idle_ms: int | None = None
-) -> StreamingQuery:
-    """Write block updates as Parquet; restartable from the checkpoint.
+def start_progress(lines: DataFrame, out: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Write the sums of changed blocks as Parquet; restartable from the checkpoint.
 
-    A stream that runs for good should set ``idle_ms`` well above the longest pause
-    of a worker: state of quiet blocks is then freed, their sums stay in ``out``.
-    With ``available_now`` the query would wait for those timeouts and never end.
+    A batch replaces what an earlier try of it wrote; a later ``update_no`` of a
+    block replaces an earlier one.
     """
-    if available_now and idle_ms:
-        raise ValueError("idle_ms is for streams that run for good")
-    writer = (block_updates(lines, idle_ms).writeStream.outputMode("append").format("parquet")
-              .option("path", out).option("checkpointLocation", checkpoint))
+    def write(changed: DataFrame, batch: int) -> None:
+        changed.withColumn("update_no", F.lit(batch).cast("bigint")).write.mode("overwrite").parquet(f"{out}/batch={batch}")
+
+    writer = block_sums(lines).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 

@@ -17,7 +17,7 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "3",
             "spark.driver.memory": "4g",
             # Tiny inputs: compiling plans would take longer than running them.
-            "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
+            "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1 -XX:ReservedCodeCacheSize=256m",
             "spark.sql.codegen.wholeStage": "false",
             "spark.sql.codegen.factoryMode": "NO_CODEGEN",
             # Local files without checksum twins: half the file creations.

@@ -289,6 +289,123 @@ def test_partitioned_directory_is_adopted_whole(spark, tmp_path, root):
     assert bag(store.live("daily")) == [(2, dt.date(2025, 3, 1), "b")]
 
 
+def test_many_chunks_write_each_row_once(spark, tmp_path, root):
+    paths = make(spark, tmp_path, n=3000)
+    sizes = {}
+    for chunk in (0, 7):
+        s = Store(spark, f"{root}-{chunk}")
+        s.adopt({t: paths[t] for t in FLAT_NAMES})
+        run = jobs.archive_tree(s, FLAT, replace(RUN, chunk_batches=chunk))
+        assert len(run.chunks) == (1 if chunk == 0 else 5) and run.backlog == 0
+        check(spark, s, {t: paths[t] for t in FLAT_NAMES}, FLAT)
+        sizes[chunk] = run.records, sum(p.rows for t in FLAT_NAMES for p in s.snapshot().of(ARCHIVE, t)), rows_written(spark, s)
+    assert sizes[0][:2] == sizes[7][:2] and sizes[7][2] <= 1.3 * sizes[0][2]
+
+
+def rows_written(spark, store):
+    return sum(spark.read.parquet(f"{store.root}/data/{t}/*").count() for t in FLAT_NAMES)
+
+
+def test_a_second_bounds_a_run(spark, store):
+    run = jobs.archive_tree(store, FLAT, replace(RUN, chunk_batches=1, time_limit_sec=1, run_id="short"))
+    assert run.timed_out and run.backlog > 0 and store.archive("orders").count() == run.roots
+    ended = jobs.last_outcomes(jobs.outcomes(store)).collect()
+    assert sum(r.backlog for r in ended) == run.backlog and {r.warning for r in ended} == {"out of time"}
+    jobs.archive_tree(store, FLAT, RUN)
+    check(spark, store, store.paths, FLAT)
+
+
+def test_a_failed_run_says_so(spark, store):
+    tree = replace(FLAT, root=replace(FLAT.root, columns=("missing",)))
+    before = store.snapshot()
+    with pytest.raises(ValueError, match="missing"):
+        jobs.archive_tree(store, tree, replace(RUN, run_id="bad"))
+    row, = jobs.outcomes(store).where("run_id = 'bad'").collect()
+    assert row.failed and "missing" in row.error and store.snapshot() == before
+
+
+def test_unread_parts_are_audited(spark, store, tmp_path):
+    keys = spark.createDataFrame([(4, 0, 1, "0")], f"{jobs.KEY} bigint, arch_worker int, arch_batch bigint, {jobs.SEG} string")
+    line = FLAT.table("line")
+    layout = "range:order_id:100"
+    m = store.snapshot()
+    part = m.of(LIVE, "line")[0]
+    wrong = replace(part, segment="7", layout=layout)
+    for odd in (wrong, replace(wrong, ranges=(("order_id", 0, 299),)), replace(part, segment="0", layout="range:order_id:5")):
+        with pytest.raises(jobs.AuditError, match="not read"):
+            jobs._audit_unread(store, m, line, [odd], keys, layout)
+    jobs._audit_unread(store, m, line, [replace(wrong, ranges=(("order_id", 700, 799),))], keys, layout)
+
+
+def test_own_column_names_are_refused(spark, tmp_path, root):
+    from pyspark.sql import types as T
+
+    store = Store(spark, root)
+    for i, name in enumerate(("arch_worker", "SB__key", "sb_seg")):
+        path = str(tmp_path / f"t{i}")
+        spark.range(3).withColumn(name, F.lit(1)).write.parquet(path)
+        with pytest.raises(ValueError, match="reserved"):
+            store.adopt({"t": path})
+    with pytest.raises(ValueError, match="reserved"):
+        store.declare_archive("t", T.StructType([T.StructField("arch_batch", T.LongType())]))
+
+
+def test_one_of_two_publishers_wins(spark, store):
+    from concurrent.futures import ThreadPoolExecutor
+
+    m = store.snapshot()
+
+    def publish(_):
+        try:
+            return store.publish(m).version
+        except StaleVersion:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        won = [v for v in pool.map(publish, range(4)) if v is not None]
+    assert won == [m.version + 1] and store.snapshot().version == m.version + 1
+
+
+@pytest.mark.parametrize("partitioned", [True, False])
+def test_partitioned_and_flat_folders_join_one_table(spark, tmp_path, root, partitioned):
+    rows = [(i, dt.date(2020, 1, 5) if i % 2 else dt.date(2025, 3, 1), "ab"[i % 2]) for i in range(8)]
+    frame = spark.createDataFrame(rows, "id bigint, date date, kind string")
+    first, more = str(tmp_path / "t"), str(tmp_path / "more")
+    frame.where("id < 4").write.partitionBy("kind").parquet(first)
+    writer = frame.where("id >= 4").write
+    (writer.partitionBy("kind") if partitioned else writer).parquet(more)
+    store = Store(spark, root)
+    store.adopt({"daily": first})
+    store.extend("daily", more)
+    assert bag(store.live("daily")) == rows
+    jobs.archive_table(store, DAILY, DAILY_RUN)
+    assert bag(store.archive("daily")) == [r for r in rows if r[0] % 2] and bag(store.live("daily")) == [r for r in rows if not r[0] % 2]
+
+
+def test_cutoff_of_instants_is_local_midnight(spark):
+    from siltbed.functions.scalars import older_than
+
+    # Midnight of 2024-12-01 in Istanbul is 21:00 of the day before in UTC.
+    edge = 1_733_000_400_000_000
+    frame = spark.createDataFrame([(edge - 1,), (edge,), (None,)], "us bigint").select("us", F.timestamp_micros("us").alias("ts"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            found = frame.where(older_than("ts", dt.date(2025, 1, 1), 1, "Europe/Istanbul")).collect()
+            assert [r.us for r in found] == [edge - 1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_upkeep_merges_the_ledger(spark, store):
+    jobs.archive_tree(store, FLAT, replace(RUN, chunk_batches=1))
+    rows = bag(store.ledger())
+    assert len(store.snapshot().of("ledger", "batches")) > 1
+    upkeep(store)
+    assert len(store.snapshot().of("ledger", "batches")) == 1 and bag(store.ledger()) == rows
+
+
 # -- single tables ---------------------------------------------------------------
 
 

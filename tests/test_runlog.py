@@ -84,37 +84,23 @@ def test_stream_equals_fold_in_any_order(spark, lines, tmp_path):
     assert feed(spark, late, str(tmp_path / "b")) == FOLDED
 
 
-class FakeState:
-    def __init__(self):
-        self.value, self.hasTimedOut, self.timeout = None, False, None
-
-    exists = property(lambda self: self.value is not None)
-    get = property(lambda self: self.value)
-
-    def update(self, value):
-        self.value = value
-
-    def remove(self):
-        self.value = None
-
-    def setTimeoutDuration(self, ms):
-        self.timeout = ms
-
-
-def test_block_state_is_bounded_and_freed_when_idle(lines):
-    state, update = FakeState(), live._block_updater(1000)
-    part = live.parsed(lines.where("run_id = 'r' and worker = 0")).toPandas()
-    for _ in range(2):  # delivered twice
-        out, = update(("r", 0, 0), iter([part]), state)
-    assert out[["update_no", "n", "us", "end_line"]].values.tolist() == [[2, 30, 3_500_000, 5]]
-    assert max(state.value[1]) < 5 and state.timeout == 1000
-    state.hasTimedOut = True
-    assert list(update(("r", 0, 0), iter([]), state)) == [] and not state.exists
-
-
-def test_idle_timeout_is_for_endless_streams(lines):
-    with pytest.raises(ValueError):
-        live.start_progress(lines, "out", "state", idle_ms=1)
+def test_a_pause_loses_no_count(spark, tmp_path):
+    """Two lines, a stop, three more and one of the first again: a hundred."""
+    rows = [("r", 0, n, f"t : {20} order(s),9 record(s) archived.") for n in range(1, 6)]
+    frame = spark.createDataFrame(rows, "run_id string, worker int, line_no bigint, message string")
+    first, rest = frame.where("line_no <= 2"), frame.where("line_no > 1")
+    assert feed(spark, [first], str(tmp_path)) == {("r", 0): (40, 0, False)}
+    rest.coalesce(1).write.json(f"{tmp_path}/in/later")
+    stream = live.read_live_log(spark, f"{tmp_path}/in", files_per_trigger=1)
+    assert live.start_progress(stream, f"{tmp_path}/out", f"{tmp_path}/state").awaitTermination(120)
+    assert folded(live.progress_totals(spark.read.parquet(f"{tmp_path}/out"))) == {("r", 0): (100, 0, False)}
+
+
+def test_block_state_is_bounded(spark, lines):
+    plan = live.block_sums(lines)._jdf.queryExecution().toString()
+    assert "Python" not in plan
+    sums = live.block_sums(lines.union(lines))
+    assert {(r.run_id, r.worker): (r.n, r.end_line) for r in sums.collect()}["r", 0] == (30, 5)
 
 
 def test_stream_over_several_blocks(spark, tmp_path):
