@@ -238,5 +238,7 @@ def read_back(spark: SparkSession, manifest: DataFrame) -> DataFrame:
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"])
-    return out.astype({"doc_id": "Int64", "start": "int64", "n_tokens": "int64", "ids_crc32": "int64"})
+    # Ids go into a nullable column from the start: as floats large ones would change.
+    names, starts, counts, sums = zip(*rows) if rows else ((), (), (), ())
+    return pd.DataFrame({"doc_id": pd.array(names, dtype="Int64"), "start": np.array(starts, np.int64),
+                         "n_tokens": np.array(counts, np.int64), "ids_crc32": np.array(sums, np.int64)})
