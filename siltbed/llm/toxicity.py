@@ -3,7 +3,8 @@
 A sentence's probability is a logistic function of its distinct words, each with
 hashed features (the word and its prefixes). A document's is the noisy-or of its
 sentences, ``1 - prod(1 - p)``, which is what the labels train; the same sentence
-scores then tell which sentences offend.
+scores then tell which sentences offend. The prior odds of a sentence fall with the
+number of sentences, so that a text doesn't become suspect by its length alone.
 """
 
 from __future__ import annotations
@@ -24,8 +25,9 @@ TRAIN_ROWS = 8_000      # labelled rows the model is fitted on, by hash of their
 DIM = 1 << 20           # hashed features
 PREFIXES = range(3, 9)
 LEAST_DOCS = 3          # training documents a feature must occur in
-EVIDENCE = 0.35
+EVIDENCE = 0.25
 STEPS, RATE, START = 200, 0.1, -6.0
+USUAL = 20              # sentences up to which the prior odds are the same
 THRESHOLD = 0.3
 WORD_CACHE = 400_000
 
@@ -41,6 +43,11 @@ def features(word: str) -> list[int]:
     return [zlib.crc32(p.encode("utf-8", "replace")) % DIM for p in parts]
 
 
+def prior(sentences: np.ndarray | int) -> np.ndarray:
+    """What the number of sentences adds to the logit of each."""
+    return -np.log(np.maximum(sentences, USUAL) / USUAL)
+
+
 def fit(texts: list[str], labels: np.ndarray) -> pd.DataFrame:
     """Weights that maximise the likelihood of the documents' labels.
 
@@ -73,11 +80,12 @@ def fit(texts: list[str], labels: np.ndarray) -> pd.DataFrame:
     alive[word_of] = True
     token_sentence, token = token_sentence[alive[token]], token[alive[token]]
 
+    offset = prior(np.array(per_doc))[sentence_doc]
     weight, bias = np.zeros(len(used)), START
     m, v, mb, vb = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
     for step in range(1, STEPS + 1):
         word_score = np.bincount(word_of, weight[feature], len(listed))
-        z = np.bincount(token_sentence, word_score[token], len(length)) + bias
+        z = np.bincount(token_sentence, word_score[token], len(length)) + bias + offset
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         # log of the chance that no sentence offends, and its slope in the loss
         none = np.bincount(sentence_doc, np.logaddexp(0, np.minimum(z, 30)), len(texts))
@@ -148,7 +156,8 @@ class Scorer:
         low = text.lower()
         # A few characters change length in lower case; then sentences are cut first.
         found = list(_SENTENCE.finditer(low if len(low) == len(text) else text))
-        z = [self.bias + sum(map(self.word, sorted(set(_WORD.findall(m[0].lower()))))) for m in found]
+        base = self.bias + float(prior(len(found)))
+        z = [base + sum(map(self.word, sorted(set(_WORD.findall(m[0].lower()))))) for m in found]
         return [m.span() for m in found], 1 / (1 + np.exp(-np.clip(np.array(z, float), -30, 30)))
 
 

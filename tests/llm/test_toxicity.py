@@ -43,6 +43,13 @@ def test_noisy_or_joins_sentences():
     assert len(p) == 4 and np.allclose(p, 1 / (1 + np.exp(6)))
 
 
+@pytest.mark.parametrize("n", [1, 20, 2_000, 50_000])
+def test_length_alone_is_no_evidence(n):
+    scorer = toxicity.Scorer(toxicity.fit(["x"], np.array([0])))
+    _, p = scorer.sentences("Word. " * n)
+    assert 1 - np.prod(1 - p) < 0.06
+
+
 def test_spans_are_of_the_original():
     scorer = toxicity.Scorer(toxicity.fit(["x"], np.array([0])))
     text = "İlk. Second one."
