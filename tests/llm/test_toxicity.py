@@ -24,7 +24,7 @@ def test_learns_words_and_finds_their_sentences(spark, make_docs, prose):
     labels = spark.createDataFrame([(i, y, "x") for i, _, y in rows], "doc_id long, toxic int, text string")
     docs = make_docs([r[:2] for r in rows])
     model = toxicity.train(docs, labels, usable=training)
-    fresh = sample(prose, 60, 1000) + [(5000, None, 0), (5001, "", 0), (5002, "Fine. " * 20000, 0), (None, "a GRULP!", 1)]
+    fresh = sample(prose, 60, 1000) + [(5000, None, 0), (5001, "", 0), (5002, "Fine. " * 20000, 0), (None, "You are a GRULP here!", 1)]
     scored, name = toxicity.with_scores(make_docs([r[:2] for r in fresh]), model)
     want = {i: y for i, _, y in fresh}
     for r in scored.collect():
