@@ -348,6 +348,21 @@ class _Plan:
 # -- record tree -----------------------------------------------------------------
 
 
+@dataclass
+class _Written:
+    """Parts of one table that a run has written and that are still live.
+
+    ``pending`` rows move with a later chunk. ``settled`` parts hold no row of any key
+    of the run: they were split by all of them.
+    """
+
+    pending: dict[int, list[Part]] = field(default_factory=dict)
+    settled: set[str] = field(default_factory=set)
+
+    def paths(self) -> set[str]:
+        return self.settled | {p.path for parts in self.pending.values() for p in parts}
+
+
 def _tree_chunks(store: Store, tree: Tree, options: RunOptions, result: RunResult) -> Iterator[Chunk]:
     root, manifest = tree.root, result.manifest
     rows = store.read(manifest, LIVE, root.name, _candidate_parts(manifest, tree, options))
@@ -360,15 +375,15 @@ def _tree_chunks(store: Store, tree: Tree, options: RunOptions, result: RunResul
     else:
         keys = counted = stage(numbered, "numbered")
     plan = _Plan(_worker_counts(counted, WORKER), options.batch_size, _chunk_size(options), options.max_batches)
-    pending: dict[str, dict[int, list[Part]]] = {t.name: {} for t in tree.tables}
+    written = {t.name: _Written() for t in tree.tables}
     for chunk in range(plan.chunks):
         started = time.monotonic()
-        yield _tree_chunk(store, tree, options, result, plan, chunk, keys, pending, started)
+        yield _tree_chunk(store, tree, options, result, plan, chunk, keys, written, started)
 
 
 def _tree_chunk(
     store: Store, tree: Tree, options: RunOptions, result: RunResult, plan: _Plan, chunk: int, keys: DataFrame,
-    pending: dict[str, dict[int, list[Part]]], started: float
+    written: dict[str, _Written], started: float
 ) -> Chunk:
     """Move the rows of one chunk; rows met of later chunks are put apart for them."""
     manifest = before = result.manifest
@@ -378,23 +393,26 @@ def _tree_chunk(
     def move(t: Table) -> tuple[list[Part], list[Part], list[Part]]:
         above, layout = links[t.parent or t.name], layout_of(tree, t)
         now = above.where(_chunk_of(BATCH, plan.size) == chunk) if plan.chunks > 1 else above
-        waiting = {p.path for parts in pending[t.name].values() for p in parts}
-        ready = pending[t.name].pop(chunk, [])
-        live = [p for p in before.of(LIVE, t.name) if p.path not in waiting]
+        own = written[t.name]
+        done = own.paths()
+        ready = own.pending.pop(chunk, [])
+        live = [p for p in before.of(LIVE, t.name) if p.path not in done]
         read, looked_up = _touched_parts(store, before, t, live, now, layout)
-        known = {p.path for p in read + looked_up}
-        _audit_unread(store, before, t, [p for p in live if p.path not in known], now, layout)
+        seen = {p.path for p in read + looked_up}
+        _audit_unread(store, before, t, [p for p in live if p.path not in seen], now, layout)
         sides = _split_by_link(store, before, tree, t, read, above, plan.size, f"data/{t.name}/{label}") if read else {}
         moved = ready + sides.pop(_side_name(chunk), [])
         stay = [p for parts in sides.values() for p in parts]
         audit[t.name] = _count_audit(t, _rows_in(read) + _rows_in(ready), _rows_in(moved), _rows_in(stay))
         for later in range(chunk + 1, plan.chunks):
             if _side_name(later) in sides:
-                pending[t.name].setdefault(later, []).extend(sides[_side_name(later)])
+                own.pending.setdefault(later, []).extend(sides[_side_name(later)])
+        if t.parent in (None, tree.root.name):
+            own.settled.update(p.path for p in sides.get(KEPT, []))
         moved_parts[t.name] = moved
         _check_not_archived(store, before, t, moved)
         if tree.children(t.name) and t.parent is not None:
-            known = moved + [p for parts in pending[t.name].values() for p in parts]
+            known = moved + [p for parts in own.pending.values() for p in parts]
             links[t.name] = _next_link(store, before, t, known)
         return read + ready, stay, moved
 
