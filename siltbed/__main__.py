@@ -36,6 +36,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--time-limit-sec", type=int, default=presets.TIME_LIMIT_SEC)
     p.add_argument("--log", metavar="PATH", help="folder for the run's text log")
     p.add_argument("--feed", metavar="PATH", help="folder of JSON lines that live progress reads")
+    p.add_argument("--strict", action="store_true", help="move exactly the archive tables' columns, fail where one is missing")
     p.add_argument("--dry-run", action="store_true", help="only report what would move")
     return p
 
@@ -45,7 +46,7 @@ def run(spark, argv: list[str] | None = None) -> dict:
     if a.job == "upkeep":
         return upkeep(Store(spark, a.store))
     make_tree, make_options, move = JOBS[a.job]
-    tree = make_tree()
+    tree = make_tree(strict=a.strict)
     options = make_options(
         a.parallel, as_of=a.as_of, first_digit=a.first_digit, last_digit=a.last_digit, max_batches=a.max_batches,
         chunk_batches=a.chunk_batches, time_limit_sec=a.time_limit_sec)

@@ -496,6 +496,33 @@ def test_order_preset_moves_all_fourteen_tables(spark, tmp_path, root):
     assert run.records == 15 + 12 * 30 + 60
 
 
+def test_strict_presets_name_every_column(spark, tmp_path, root):
+    tree = presets.order_tree(strict=True)
+    assert {t.name: len(t.columns) for t in tree.tables} == {
+        "orders": 71, "order_item": 41, "handling_unit_item_transaction": 13, "cancelled_order_item_history": 16,
+        "progress_payment_order": 20, "payment": 12, "courier_assignment": 16, "handling_unit_transaction": 13,
+        "waiting_transfer_order": 10, "order_addition_history": 10, "order_review": 12, "order_problem": 14,
+        "order_approval": 12, "order_history": 15}
+    assert len(presets.inventory_movement(strict=True).root.columns) == 23
+    daily = presets.store_daily_status(strict=True)
+    assert all(len(set(t.columns)) == len(t.columns) for t in (*tree.tables, daily.root)) and len(daily.root.columns) == 10
+    path = str(tmp_path / "t")
+    columns = {c: F.lit(None).cast("string") for c in daily.root.columns if c not in ("id", "date")}
+    frame = spark.range(3).withColumns({"date": F.lit(dt.date(2020, 1, 1)), "more": F.lit(1), **columns})
+    frame.write.parquet(path)
+    frame.drop("store_id").write.parquet(path + "-less")
+    run = presets.table_run(as_of=dt.date(2025, 2, 1))
+    for name, missing in ((path, False), (path + "-less", True)):
+        store = Store(spark, f"{root}-{missing}")
+        store.adopt({"store_daily_status": name})
+        if missing:
+            with pytest.raises(ValueError, match="store_id"):
+                jobs.archive_table(store, daily, run)
+        else:
+            jobs.archive_table(store, daily, run)
+            assert store.archive("store_daily_status").columns == list(daily.root.columns)
+
+
 def test_table_presets(spark):
     assert presets.inventory_movement().age_column == "created_at"
     assert presets.store_daily_status().months == 2
