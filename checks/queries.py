@@ -118,7 +118,8 @@ def filter_retention_age(spark, sf_dir):
 @query
 def filter_retention_age_zoned(spark, sf_dir):
     """Instants against the start of the cutoff day in another zone than the session's."""
-    instants = one(spark, sf_dir, "events").withColumn("ts", F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp"))))
+    epoch = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
+    instants = one(spark, sf_dir, "events").withColumn("ts", F.timestamp_micros(scalars.elapsed_us(epoch, "ts")))
     rule = scalars.older_than("ts", B.EVENT_RUN.as_of, 2, "Europe/Istanbul")
     return instants.where(rule).select("event_id", "user_id", "event_type", "value")
 
