@@ -17,11 +17,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyarrow.fs import FileSystem
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
+from siltbed.llm.bpe import SPACE
 from siltbed.llm.common import quoted, slices, text_of, utf8
 from siltbed.session import scratch_path, stage
 
@@ -29,6 +32,10 @@ MAGIC = b"SBBITS1\n"
 BLOCK = 1 << 16
 CHUNK = 1_000_000       # bytes of text encoded at a time
 READ = 64               # blocks read back at a time
+WORDS = 400_000         # encoded words a worker keeps
+# Fixed value: the words of byte-level vocabularies, with white space spelled out.
+BYTE_LEVEL_WORDS = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+                    .replace(r"[^\s", f"[^{SPACE}").replace(r"\S", f"[^{SPACE}]").replace(r"\s", f"[{SPACE}]"))
 
 MANIFEST = "part int, file string, documents long, ids long, bytes long"
 
@@ -51,6 +58,48 @@ def unpack(data: bytes, bits: int, count: int) -> np.ndarray:
     return np.packbits(full, axis=1, bitorder="little").view("<u4").reshape(count)
 
 
+class WordEncoder:
+    """A ``tokenizers`` vocabulary whose ids follow from a text's words alone.
+
+    Byte-level vocabularies split a text by a fixed pattern and encode the words one by
+    one. The library encodes each word once, a worker keeps the ids of ``WORDS`` words,
+    and a text's ids are those of its words. Any other vocabulary encodes whole texts.
+    """
+
+    def __init__(self, definition: str):
+        self.library = Tokenizer.from_str(definition)
+        self.library.no_padding()
+        self.library.no_truncation()
+        spec = json.loads(definition)
+        split = spec.get("pre_tokenizer") or {}
+        self.by_word = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space") \
+            and not spec.get("normalizer") and not spec["model"].get("continuing_subword_prefix")
+        added = sorted((t["content"] for t in spec.get("added_tokens") or []), key=len, reverse=True)
+        self.added = [t for t in added if t]
+        self.cut = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")").split
+        self.find = regex.compile(BYTE_LEVEL_WORDS).findall
+        self.known: dict[str, bytes] = {}
+
+    def words(self, text: str) -> list[str]:
+        """Words of a text; added tokens in it are words of their own and end the ones before."""
+        if not any(t in text for t in self.added):
+            return self.find(text)
+        parts = self.cut(text)
+        return [w for i, p in enumerate(parts) for w in (self.find(p) if i % 2 == 0 else (p,))]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit numbers."""
+        if not self.by_word:
+            return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        words = [self.words(t) for t in texts]
+        if len(self.known) > WORDS:
+            self.known.clear()
+        new = [w for w in set().union(*words) if w not in self.known]
+        for w, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
+            self.known[w] = np.array(e.ids, "<u4").tobytes()
+        return [b"".join(map(self.known.__getitem__, own)) for own in words]
+
+
 class Writer:
     """Documents in order to one file; only the current block is held back."""
 
@@ -160,8 +209,6 @@ def write(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str =
     A task writes a file of its own name, so a repeated task spoils nothing: only the
     files that the manifest names count.
     """
-    from tokenizers import Tokenizer
-
     spark = docs.sparkSession
     folder = folder or scratch_path(spark, "packed")
     with open(path, encoding="utf-8") as f:
@@ -173,9 +220,7 @@ def write(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str =
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer = Tokenizer.from_str(shared.value)
-        tokenizer.no_padding()
-        tokenizer.no_truncation()
+        encoder, last = WordEncoder(shared.value), np.array([end], "<u4").tobytes()
         part = TaskContext.get().partitionId()
         fs, root = FileSystem.from_uri(folder)
         writer = out = None
@@ -187,9 +232,9 @@ def write(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str =
                 writer = Writer(out, bits)
             texts, names, missing = batch["text"].array, batch["id"].tolist(), batch["missing"].tolist()
             for piece in slices(texts, CHUNK):
-                found = tokenizer.encode_batch_fast([text_of(x) for x in texts[piece]], add_special_tokens=False)
-                for i, e in zip(range(piece.start, piece.stop), found):
-                    writer.add(None if missing[i] else names[i], np.array([*e.ids, end], "<u4"))
+                found = encoder.encode([text_of(x) for x in texts[piece]])
+                for i, ids in zip(range(piece.start, piece.stop), found):
+                    writer.add(None if missing[i] else names[i], np.frombuffer(ids + last, "<u4"))
         if writer is not None:
             size = writer.close()
             out.close()

@@ -33,6 +33,35 @@ def test_pack_and_unpack(bits):
     assert np.array_equal(packing.unpack(data, bits, 1001), ids)
 
 
+TEXTS = ["", " ", "  \n\n a  b   ", "don't they'LL we've 'sa ''s", "x<|endoftext|>y <|endoftext|>", "<|endoftext", "é É 日本語 12٣½ 🎉🎉!?",
+         "\x00\x01\x1c\x1d\x1f\x85 \u2028\u3000a\t\tb\r\n\r\n", "a" * 3000, " " * 500, "tab\t end \t", "\n" * 7 + "z"]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_words_encode_as_the_whole_text(library, text):
+    encoder = packing.WordEncoder(library.to_str())
+    assert encoder.by_word
+    assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_random_texts_encode_as_the_library(library, monkeypatch):
+    monkeypatch.setattr(packing, "WORDS", 50)
+    encoder = packing.WordEncoder(library.to_str())
+    rng = np.random.default_rng(8)
+    letters = list("aabetoin  'sTH.,!-0129éß\n\t日🎉\x1c\x85\u3000<|endoftext|>")
+    for _ in range(40):
+        texts = ["".join(rng.choice(letters, rng.integers(0, 120))) + "<|endoftext|>" * int(rng.integers(0, 2)) for _ in range(20)]
+        want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == want
+
+
+def test_other_vocabularies_encode_whole_texts():
+    library = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    encoder = packing.WordEncoder(library.to_str())
+    assert not encoder.by_word
+    assert np.frombuffer(encoder.encode(["Hello there"])[0], "<u4").tolist() == library.encode("Hello there", add_special_tokens=False).ids
+
+
 def file_of(documents, bits=11):
     out = io.BytesIO()
     writer = packing.Writer(out, bits)
