@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.llm.common import free_name, quoted, slices, utf8
+from siltbed.llm.common import free_name, maybe_broadcast, quoted, utf8
 from siltbed.session import stage
 
 SEED = 42
@@ -252,19 +252,22 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     component of null ids alone, one of the least fingerprint.
     """
     found = stage(near_duplicates(docs, id_col, text_col, shingle=shingle, max_bits=max_bits), "simhash-found")
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
-        F.min("doc_id").alias("kept_id"), F.min("fp").alias("kept_fp"))
-    again = found.groupBy("doc_id").count()
-    kept = stage(kept.join(again, F.col("kept_id").eqNullSafe(F.col("doc_id"))).select("kept_id", "kept_fp", "count"), "simhash-kept")
-    unique = F.col("kept_id").isNotNull() & (F.col("count") == 1)
-    out = docs.join(kept.filter(unique).select(F.col("kept_id").alias(id_col)), id_col, "left_semi")
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    ids = stage(found.groupBy("doc_id").agg(F.count("*").alias("n"), F.max(first).alias("first")), "simhash-ids")
+    unique = F.col("doc_id").isNotNull() & (F.col("n") == 1)
+    # Fewer rows go than stay, so those that go are what is joined.
+    gone = ids.filter(F.col("doc_id").isNotNull() & ~(unique & F.col("first")))
+    out = docs.filter(quoted(id_col).isNotNull()).join(
+        maybe_broadcast(gone.select(F.col("doc_id").alias(id_col)), gone.count()), id_col, "left_anti")
     out = out.select(*map(quoted, docs.columns))
-    several = kept.filter(~unique)
-    if several.isEmpty():
+    again = ids.filter(~unique)
+    if again.isEmpty():
         return out
     # An id that comes again doesn't tell rows apart; with the fingerprint it does.
+    kept = found.filter(first).groupBy("root").agg(F.min("doc_id").alias("kept_id"), F.min("fp").alias("kept_fp"))
+    kept = kept.join(again, F.col("kept_id").eqNullSafe(F.col("doc_id")), "left_semi")
     fp, key = free_name(docs, "_fp"), free_name(docs, "_kept")
-    several = several.select(F.col("kept_id").alias(key), F.col("kept_fp").alias(f"{fp}_{key}"))
+    several = kept.select(F.col("kept_id").alias(key), F.col("kept_fp").alias(f"{fp}_{key}"))
     rows = docs.withColumn(fp, fingerprint_column(quoted(text_col), shingle))
     rows = rows.join(several, quoted(id_col).eqNullSafe(F.col(key)) & (F.col(fp) == F.col(f"{fp}_{key}")))
     return out.unionByName(rows.dropDuplicates([fp]).select(*map(quoted, docs.columns)))
