@@ -1,6 +1,8 @@
 """Substring dedup by hashing lines and sentences.
 
-Units are the lines of a text and, where a line has several, its sentences. Each is
+Units are the lines of a text and, where a line has several, its sentences. One that
+is too short alone counts together with those after it, and with those before it,
+until they are long enough, whatever lines they are on. Each is
 normalised (A-Z in lower case, runs of ASCII white space as one space) and hashed;
 digests are grouped over all documents, the occurrence that ranks first by document
 and place stays, and the spans of all others are removed, with their places in the
@@ -21,20 +23,61 @@ from siltbed.llm.common import quoted, text_of, utf8
 from siltbed.session import stage
 
 LEAST_WORDS = 8         # shorter units repeat by chance
-_SENTENCE = re.compile(r"[^.!?]*(?:[.!?]++(?![ \t\r\x0b\x0c])[^.!?]*)*[.!?]*", re.A)
+STOPS = "。！？｡။។៕།"    # end a sentence whatever follows
+_SENTENCE = re.compile(rf"[^.!?{STOPS}]*(?:[.!?]++(?![ \t\r\x0b\x0c{STOPS}])[^.!?{STOPS}]*)*[.!?{STOPS}]*", re.A)
+# Thai, Lao, Tibetan, Burmese, Khmer, kana and Han
+_UNSPACED = re.compile("[\u0e00-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
+
+def _size(span: str, words: list[bytes]) -> int:
+    """Words; two characters of a script without spaces count as one more."""
+    return len(words) + (0 if span.isascii() else len(_UNSPACED.findall(span)) // 2)
+
+
+def _joined(sizes: list[int], loose: set[int], least: int) -> Iterator[tuple[int, int]]:
+    """(first, last) of the least windows that begin or end with a short unit."""
+    for step in (1, -1):
+        for i, total in enumerate(sizes):
+            j = i + step
+            if total >= least or not 0 <= j < len(sizes) or (i in loose and sizes[j] >= least):
+                continue
+            while total < least and 0 <= j < len(sizes):
+                total += sizes[j]
+                j += step
+            if total >= least:
+                yield min(i, j - step), max(i, j - step)
 
 
 def units(text: str, least: int = LEAST_WORDS) -> Iterator[tuple[int, int, bytes]]:
     """(start, end, digest) of each unit, places in code points."""
+    def digest(words: list[bytes]) -> bytes:
+        return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+
     at = 0
+    known = set()
+    places, parts, sizes = [], [], []
+    loose = set()       # a last word without a stop goes with its line, or with short neighbours
     for line in text.split("\n"):
         found = [m.span() for m in _SENTENCE.finditer(line) if m.end() > m.start()]
-        spans = [(0, len(line))] + (found if len(found) > 1 else [])
-        for a, b in spans:
+        whole = len(found) < 2
+        for a, b in [(0, len(line))] + ([] if whole else found):
             words = line[a:b].encode("utf-8", "replace").lower().split()
-            if len(words) >= least:
-                yield at + a, at + b, hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+            size = _size(line[a:b], words)
+            if size >= least:
+                known.add((at + a, at + b))
+                yield at + a, at + b, digest(words)
+            if words and (whole or (a, b) != (0, len(line))):
+                if size == 1 and not whole and b == len(line) and line[b - 1] not in ".!?" + STOPS:
+                    loose.add(len(sizes))
+                places.append((at + a, at + b))
+                parts.append(words)
+                sizes.append(size)
         at += len(line) + 1
+    for i, j in _joined(sizes, loose, least):
+        span = places[i][0], places[j][1]
+        if span not in known:
+            known.add(span)
+            yield *span, digest([w for words in parts[i:j + 1] for w in words])
 
 
 def remove(text: str, spans: list[tuple[int, int]]) -> tuple[str, list[tuple[int, int]]]:

@@ -62,6 +62,32 @@ def test_long_passages_go_and_unique_texts_stay(make_docs, prose):
         assert got[i]["kept_text"] == text if i == 0 or i >= 100 else gone >= len(passage)
 
 
+VERSE = [f"verse {i} has six words {i * 7}" for i in range(10)]
+KANJI = "".join(chr(0x4e00 + 37 * i % 5000) for i in range(60))
+
+
+@pytest.mark.parametrize("passage", [
+    "\n".join(VERSE), "\n\n".join(VERSE), ". ".join(VERSE) + ".", f"{LONG}. Yes it is. {OTHER}. So.",
+    f"Title\n\n{LONG}\nend.", KANJI, "。".join(KANJI[i:i + 12] for i in range(0, 60, 12)) + "。"])
+def test_passages_of_short_units_go(make_docs, prose, passage):
+    rows = [(i, f"{prose(50, i)}.\n{passage}\n{prose(30, i + 500)}") for i in range(3)]
+    # In a line of its own for sentences alone, else the same.
+    rows.append((3, f"{prose(20, 7)}. {passage} {prose(20, 8)}" if "\n" not in passage and passage[-1] in ".。" else rows[2][1]))
+    got = {r["doc_id"]: r for r in unitdedup.deduplicated(make_docs(rows)).collect()}
+    assert got[0]["kept_text"] == rows[0][1]
+    for i, text in rows[1:]:
+        a = text.index(passage)
+        gone = {c for s, e in got[i]["removed"] for c in range(s, e)}
+        assert {c for c in range(a, a + len(passage)) if not text[c].isspace()} <= gone
+        assert i == 3 or not gone - set(range(a, a + len(passage)))
+
+
+def test_unlike_short_units_stay(make_docs):
+    rows = [(1, f"{LONG}\nyes\n{OTHER}"), (2, f"{LONG}\nno\n{OTHER}"), (3, "one two\nthree\nfour five"), (4, "one two\nthree\nfour five")]
+    got = {r["doc_id"]: r["kept_text"] for r in unitdedup.deduplicated(make_docs(rows)).collect()}
+    assert got == {1: rows[0][1], 2: "\nno\n", 3: rows[2][1], 4: rows[3][1]}
+
+
 def test_query_against_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{sf}/documents.parquet").selectExpr("doc_id", "text", "xxhash64(text) h").collect()
