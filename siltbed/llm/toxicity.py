@@ -1,10 +1,11 @@
 """Toxicity by multiple-instance learning: sentences are scored, documents labelled.
 
 A sentence's probability is a logistic function of its distinct words, each with
-hashed features (the word and its prefixes). A document's is the noisy-or of its
-sentences, ``1 - prod(1 - p)``, which is what the labels train; the same sentence
-scores then tell which sentences offend. The prior odds of a sentence fall with the
-number of sentences, so that a text doesn't become suspect by its length alone.
+hashed features (the word and its prefixes), the same in every text. A passage's is
+the noisy-or of its sentences, ``1 - prod(1 - p)``, and a document's that of its worst
+passage of ``USUAL`` sentences, which is what the labels train; the sentence
+probabilities then tell which sentences offend. So a text doesn't become suspect by its
+length alone, and doesn't become less so by what is added before or after it.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ PREFIXES = range(3, 9)
 LEAST_DOCS = 3          # training documents a feature must occur in
 EVIDENCE = 0.25
 STEPS, RATE, START = 200, 0.1, -6.0
-USUAL = 20              # sentences up to which the prior odds are the same
+USUAL = 20              # sentences of a passage
 THRESHOLD = 0.3
 WORD_CACHE = 400_000
 
@@ -43,9 +44,15 @@ def features(word: str) -> list[int]:
     return [zlib.crc32(p.encode("utf-8", "replace")) % DIM for p in parts]
 
 
-def prior(sentences: np.ndarray | int) -> np.ndarray:
-    """What the number of sentences adds to the logit of each."""
-    return -np.log(np.maximum(sentences, USUAL) / USUAL)
+def shares(p: np.ndarray) -> np.ndarray:
+    """The probabilities inside the worst passage, zero elsewhere."""
+    if len(p) <= USUAL:
+        return p
+    sums = np.cumsum(np.r_[0.0, np.log1p(-p)])
+    at = int(np.argmin(sums[USUAL:] - sums[:-USUAL]))
+    out = np.zeros(len(p))
+    out[at:at + USUAL] = p[at:at + USUAL]
+    return out
 
 
 def fit(texts: list[str], labels: np.ndarray) -> pd.DataFrame:
@@ -80,17 +87,30 @@ def fit(texts: list[str], labels: np.ndarray) -> pd.DataFrame:
     alive[word_of] = True
     token_sentence, token = token_sentence[alive[token]], token[alive[token]]
 
-    offset = prior(np.array(per_doc))[sentence_doc]
+    # Passages of texts with more than USUAL sentences, by their first sentence.
+    size = np.array(per_doc)
+    place = np.arange(len(length)) - np.repeat(np.cumsum(size) - size, size)
+    long = np.flatnonzero(size > USUAL)
+    begin = np.flatnonzero((size > USUAL)[sentence_doc] & (place <= size[sentence_doc] - USUAL))
+    heads = np.flatnonzero(place[begin] == 0)
+    outside = (size > USUAL)[sentence_doc]
     weight, bias = np.zeros(len(used)), START
     m, v, mb, vb = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
     for step in range(1, STEPS + 1):
         word_score = np.bincount(word_of, weight[feature], len(listed))
-        z = np.bincount(token_sentence, word_score[token], len(length)) + bias + offset
+        z = np.bincount(token_sentence, word_score[token], len(length)) + bias
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         # log of the chance that no sentence offends, and its slope in the loss
-        none = np.bincount(sentence_doc, np.logaddexp(0, np.minimum(z, 30)), len(texts))
+        added = np.logaddexp(0, np.minimum(z, 30))
+        counts = ~outside
+        if len(long):
+            sums = np.cumsum(np.r_[0.0, added])
+            passage = sums[begin + USUAL] - sums[begin]
+            worst = np.lexsort((-passage, sentence_doc[begin]))[heads]
+            counts[(begin[worst][:, None] + np.arange(USUAL)).ravel()] = True
+        none = np.bincount(sentence_doc, np.where(counts, added, 0), len(texts))
         slope = np.where(y > 0, -1 / np.expm1(np.clip(none, 1e-6, 50)), 1.0) / len(texts)
-        grad_z = slope[sentence_doc] * p
+        grad_z = np.where(counts, slope[sentence_doc] * p, 0)
         grad_word = np.bincount(token, grad_z[token_sentence], len(listed))
         grad = np.bincount(feature, grad_word[word_of], len(used))
         grad_b = grad_z.sum()
@@ -133,6 +153,10 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     return sample.repartition(1).mapInPandas(task, MODEL).toPandas()
 
 
+def _chance(logits: list[float]) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(np.array(logits, float), -30, 30)))
+
+
 class Scorer:
     """Sentence scores with a model; word scores are kept, up to a number of words."""
 
@@ -151,14 +175,18 @@ class Scorer:
             found = self.known[word] = float(self.weight[features(word)].sum(dtype=np.float64))
         return found
 
-    def sentences(self, text: str) -> tuple[list[tuple[int, int]], np.ndarray]:
-        """Spans in code points, and probabilities."""
+    def own(self, text: str) -> tuple[list[tuple[int, int]], np.ndarray]:
+        """Spans in code points, and each sentence's own probability."""
         low = text.lower()
         # A few characters change length in lower case; then sentences are cut first.
         found = list(_SENTENCE.finditer(low if len(low) == len(text) else text))
-        base = self.bias + float(prior(len(found)))
-        z = [base + sum(map(self.word, sorted(set(_WORD.findall(m[0].lower()))))) for m in found]
-        return [m.span() for m in found], 1 / (1 + np.exp(-np.clip(np.array(z, float), -30, 30)))
+        z = [self.bias + sum(map(self.word, sorted(set(_WORD.findall(m[0].lower()))))) for m in found]
+        return [m.span() for m in found], _chance(z)
+
+    def sentences(self, text: str) -> tuple[list[tuple[int, int]], np.ndarray]:
+        """Spans in code points, and what each adds to the document's noisy-or."""
+        spans, p = self.own(text)
+        return spans, shares(p)
 
 
 def score_column(text: Column, model: pd.DataFrame) -> Column:
@@ -171,9 +199,9 @@ def score_column(text: Column, model: pd.DataFrame) -> Column:
         for batch in batches:
             out = []
             for data in batch:
-                spans, p = scorer.sentences(text_of(data))
+                spans, p = scorer.own(text_of(data))
                 bad = np.flatnonzero(p >= THRESHOLD)
-                out.append((float(-np.expm1(np.log1p(-p).sum())), [spans[i][0] for i in bad], [spans[i][1] for i in bad]))
+                out.append((float(-np.expm1(np.log1p(-shares(p)).sum())), [spans[i][0] for i in bad], [spans[i][1] for i in bad]))
             yield pd.DataFrame(out, columns=["score", "starts", "ends"])
 
     return run(utf8(text))

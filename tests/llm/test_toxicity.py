@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from siltbed.llm import toxicity
@@ -50,6 +51,32 @@ def test_length_alone_is_no_evidence(n):
     assert 1 - np.prod(1 - p) < 0.06
 
 
+@pytest.mark.parametrize("n", [0, 20, 2_000, 20_000])
+def test_one_sentence_is_judged_the_same_in_any_text(spark, make_docs, prose, n):
+    rows = sample(prose, 240)
+    model = toxicity.fit([t for _, t, _ in rows], np.array([y for _, _, y in rows]))
+    # Odds just over the threshold, by words that were not seen in training.
+    weak = "qqqq" + "w"
+    bias = float(model["weight"][model["feature"] == -1].iloc[0])
+    word = pd.DataFrame({"feature": np.array([toxicity.features(weak)[-1]], np.int32), "weight": np.array([-bias], np.float32)})
+    model = pd.concat([model, word])
+    clean = [f"The garden is green today{'.' if i % 2 else '!'}" for i in range(n)]
+    for at in {0, n // 2, n}:
+        text = " ".join([*clean[:at], f"A {weak} stands here.", *clean[at:]])
+        scored, name = toxicity.with_scores(make_docs([(1, text)]), model)
+        r = scored.first()
+        assert r[name]["score"] >= 0.5 - 1e-6
+        assert [weak in text[a:b] for a, b in zip(r[name]["starts"], r[name]["ends"])] == [True]
+    assert toxicity.clean(make_docs([(1, text)]), model).collect() == []
+
+
+def test_added_text_never_lowers_a_score():
+    rng = np.random.default_rng(1)
+    p = 1 / (1 + np.exp(6 - rng.normal(0, 2, 200)))
+    none = [np.prod(1 - toxicity.shares(p[:n])) for n in range(1, 200)]
+    assert all(b <= a * (1 + 1e-12) for a, b in zip(none, none[1:]))
+
+
 def test_spans_are_of_the_original():
     scorer = toxicity.Scorer(toxicity.fit(["x"], np.array([0])))
     text = "İlk. Second one."
