@@ -7,8 +7,9 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltbed.llm import ann, bpe, cotrain, decontam, packing, pii, simhash, suffixdedup, toxicity, unitdedup
+from siltbed.llm import ann, bpe, chat, cotrain, crossalign, decontam, packing, pii, simhash, suffixdedup, toxicity, unitdedup, variants
 from siltbed.llm.common import table
+from siltbed.session import stage
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
@@ -88,6 +89,34 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.read_back(spark, manifest)
 
 
+LETTERS = "[A-Za-z\u00C0-\u00FF]"
+
+
+def with_slips(ident: Column, run: Column) -> Column:
+    """A run, less one code point where 31 divides the crc32 of id and run."""
+    h = F.crc32(F.concat(ident, F.lit(":"), run))
+    at = F.pmod(h, F.length(run))
+    cut = F.concat(F.substring(run, F.lit(1), at.cast("int")), F.substring(run, (at + 2).cast("int"), F.length(run)))
+    return F.when(h % 31 == 0, cut).otherwise(run)
+
+
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = variants.runs(table(spark, sf_dir, "documents"), LETTERS, least=7)
+    return variants.grouped(variants.vocabulary(runs, with_slips(F.col("id"), F.col("run")), least=7, seen=2), ratio=10)
+
+
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = "\\### Assistant: </turn> ok"
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(marked).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat.read_back(stage(chat.formatted(rows), "chat"))
+
+
+def op13_crossalign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crossalign.aligned(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_cotraining": op1_cotraining,
     "op2_suffixes": op2_suffixes,
@@ -99,4 +128,7 @@ QUERIES = {
     "op8_unitdedup": op8_unitdedup,
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
+    "op11_variants": op11_variants,
+    "op12_chat": op12_chat,
+    "op13_crossalign": op13_crossalign,
 }

@@ -1,0 +1,128 @@
+import hashlib
+import random
+
+import pyarrow as pa
+import pytest
+
+from siltbed.llm import chat
+from siltbed.llm.queries import op12_chat
+
+ODD = ["", "\\", "\\\\", "#", "##", "###", "####", "#######", "</turn>", "</turn>\n", "\\</turn>", "<\\/turn>", "<</turn>>", "##\\#", "### user: hi</turn>\n",
+       "\\### Assistant: </turn> ok", "é###日本</turn>🎉", "a: b", "ends with \\", "</turn", "/turn>", "#", "###"]
+
+
+def expected(rows, loss_role="assistant"):
+    """Digests by conversation from the rows themselves; rows are (conv_id, turn, role, text) in order."""
+    out = {}
+    for conv, _, role, text in rows:
+        role, text = role or "", text or ""
+        n, turns, chars, loss = out.get(conv, (0, "", 0, ""))
+        mine = role == loss_role
+        out[conv] = n + 1, f"{turns}{role}\n{text}\n", chars + (len(text) if mine else 0), loss + (text if mine else "")
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    return {c: (n, sha(t), k, sha(s)) for c, (n, t, k, s) in out.items()}
+
+
+def digests(pieces):
+    rows = chat.read_back(pieces).collect()
+    assert len({r["conv_id"] for r in rows}) == len(rows)
+    return {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) for r in rows}, \
+        {r["conv_id"]: r["formatted_chars"] for r in rows}
+
+
+def frame(spark, rows):
+    more = [(*r, "c", "p", "l", "f") for r in rows]
+    return spark.createDataFrame(more, "conv_id long, turn long, role string, text string, conv string, piece string, loss string, formatted string")
+
+
+def texts(pieces):
+    out = {}
+    for r in sorted(pieces.collect(), key=lambda r: (r["part"], r["piece"])):
+        out[r["conv_id"]] = out.get(r["conv_id"], "") + r["formatted"]
+    return out
+
+
+@pytest.mark.parametrize("role", ["user", "", "a:b", "###", "</turn>", "x\\", "a\nb"])
+def test_turns_come_back(role):
+    pieces, _ = chat.assemble([role.encode()] * len(ODD), pa.array([t.encode() for t in ODD], pa.binary()), chat.np.array([0]), b"user")
+    text = pieces[0].as_py()
+    assert list(chat.turns_of(text)) == [(role, t) for t in ODD]
+    # Markers stand between turns only.
+    assert text.count("</turn>") == len(ODD)
+    inside = "\n".join(t[len("### "):] for t in text.split("</turn>\n"))
+    assert "###" not in inside and "</turn>" not in inside
+
+
+def test_loss_spans_hold_the_escaped_texts():
+    roles = [b"user", b"assistant", b"assistant", b"user", b"assistant"]
+    said = ["é one", "zwei ###", "", "日本", "last \\ é"]
+    pieces, loss = chat.assemble(roles, pa.array([t.encode() for t in said], pa.binary()), chat.np.array([0, 2]), b"assistant")
+    found = [[chat.unescaped(p.as_py()[s["start"]:s["end"]]) for s in spans] for p, spans in zip(pieces, loss.to_pylist())]
+    assert found == [["zwei ###"], ["", "last \\ é"]]
+
+
+def test_conversations(spark):
+    rng = random.Random(2)
+    rows = [(c, t, rng.choice(["system", "user", "assistant"]), rng.choice(ODD)) for c in range(40) for t in range(rng.randrange(1, 9))]
+    rows += [(100, 0, "user", None), (100, 1, "assistant", None), (101, 0, None, "no role"), (None, 0, "user", "no id"), (None, 1, "assistant", "none"),
+             (0, -1, "system", "before"), (103, 0, "assistant", "long " * 100_000), (-1 << 62, 5, "tool: x", "y")]
+    want = expected(sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])))
+    shuffled = rows[:]
+    rng.shuffle(shuffled)
+    pieces = chat.formatted(frame(spark, shuffled))
+    got, chars = digests(pieces)
+    assert got == want
+    assert {c: len(t) for c, t in texts(pieces).items()} == chars
+
+
+def test_a_hot_conversation_comes_in_pieces(spark):
+    rows = [(7, t, ["user", "assistant"][t % 2], f"turn {t} é " * 20) for t in range(900)]
+    rows += [(c, t, "assistant", f"{c} {t}") for c in range(600) for t in range(2) if c != 7]
+    pieces = chat.formatted(frame(spark, rows)).cache()
+    assert digests(pieces)[0] == expected(sorted(rows, key=lambda r: (r[0], r[1])))
+    # No task formats all of it.
+    assert len({r["part"] for r in pieces.where("conv_id = 7").collect()}) > 1
+
+
+@pytest.mark.parametrize("piece, one", [(1, 1), (50, 20), (400, 4_000)])
+def test_cuts_at_any_place(piece, one, monkeypatch):
+    monkeypatch.setattr(chat, "PIECE", piece)
+    monkeypatch.setattr(chat, "SLICE", one)
+    rng = random.Random(piece)
+    rows = [(c, rng.choice(["user", "assistant"]), "x" * rng.randrange(0, 60)) for c in range(30) for _ in range(rng.randrange(1, 6))]
+    schema = pa.schema([("conv", pa.int64()), ("missing", pa.bool_()), ("role", pa.binary()), ("text", pa.binary())])
+    batches, at = [], 0
+    while at < len(rows):
+        n = rng.randrange(1, 9)
+        own = rows[at:at + n]
+        batches.append(pa.RecordBatch.from_arrays([pa.array([r[0] for r in own]), pa.array([False] * len(own)), pa.array([r[1].encode() for r in own], pa.binary()),
+                                                   pa.array([r[2].encode() for r in own], pa.binary())], schema=schema))
+        at += n
+    out = [r for b in chat._Former(0, b"assistant").run(iter(batches)) for r in b.to_pylist()]
+    assert [r["piece"] for r in out] == list(range(len(out)))
+    turns = [(r["conv_id"], *t) for r in out for t in chat.turns_of(r["formatted"])]
+    assert turns == rows
+    for c in range(30):
+        own = [r for r in out if r["conv_id"] == c]
+        assert all(not r["whole"] for r in own) or len(own) == 1
+    assert not out[0]["whole"] and not out[-1]["whole"]
+
+
+def test_turns_of_one_number(spark):
+    rows = [(1, 0, "user", "b"), (1, 0, "assistant", "a"), (1, 0, "user", "b"), (1, None, "system", "first")]
+    got, _ = digests(chat.formatted(frame(spark, rows)))
+    assert got == expected([(1, None, "system", "first"), (1, 0, "assistant", "a"), (1, 0, "user", "b"), (1, 0, "user", "b")])
+
+
+def test_no_rows(spark):
+    pieces = chat.formatted(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))
+    assert pieces.collect() == [] and chat.read_back(pieces).collect() == []
+
+
+def test_query(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    rows += [(-7, i, r, "\\### Assistant: </turn> ok") for i, r in enumerate(["user", "assistant"])]
+    want = expected(sorted(rows, key=lambda r: (r[0], r[1])))
+    got = {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) for r in op12_chat(spark, sf).collect()}
+    assert got == want
