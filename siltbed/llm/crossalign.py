@@ -23,6 +23,8 @@ import os
 import pickle
 import re
 from collections.abc import Iterable, Iterator
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -46,31 +48,14 @@ _CUT = re.compile(r"(?<=\S) ")
 _RESULT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
 
 
-class Aligned:
-    """One aligned chunk."""
+class Aligned(NamedTuple):
+    """One aligned chunk; each of its ``groups`` ends with a semicolon."""
 
-    __slots__ = ("n_a", "n_b", "n_groups", "groups", "links")
-
-    def __init__(self, a: list[int], b: list[int], size_a: list[int], size_b: list[int]):
-        self.n_a, self.n_b = len(a), len(b)
-        at_a, at_b = _ends(a, size_a), _ends(b, size_b)
-        groups, links, i, j = [], [], 0, 0
-        for end in sorted(at_a.keys() & at_b.keys()):
-            own, other = a[i:at_a[end] + 1], b[j:at_b[end] + 1]
-            i, j = at_a[end] + 1, at_b[end] + 1
-            groups.append(",".join(map(str, own)) + "|" + ",".join(map(str, other)))
-            links += [x << 32 | y for x in own for y in other]
-        self.n_groups, self.groups = len(groups), ";".join(groups)
-        self.links = np.array(links, np.int64).tobytes()
-
-
-def _ends(ids: list[int], sizes: list[int]) -> dict[int, int]:
-    """Byte offset at which a token ends, and its index; of several the last one."""
-    at, out = 0, {}
-    for i, t in enumerate(ids):
-        at += sizes[t]
-        out[at] = i
-    return out
+    n_a: int
+    n_b: int
+    n_groups: int
+    groups: str
+    links: bytes
 
 
 class Pair:
@@ -88,11 +73,14 @@ class Pair:
             self.bytes_a[i] = bytes(value[c] for c in token) if all(c in value for c in token) else token.encode()
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
-        self.size_a, self.size_b = [len(x) for x in self.bytes_a], [len(x) for x in self.bytes_b]
+        self.size_a, self.size_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.bytes_a, self.bytes_b))
+        self.text_a, self.text_b = (np.array([[f"{i}{c}" for i in range(len(x))] for c in ends], object)
+                                    for x, ends in ((self.bytes_a, ",|"), (self.bytes_b, ",;")))
         self.by_chunk = not any(SPACE in p.lstrip(SPACE) for p in pieces)
         # The library adds its space to no text at all.
         self.lone = [self.b.piece_to_id(SPACE)]
         self.known: dict[str, Aligned | None] = {}
+        self.older: dict[str, Aligned | None] = {}
 
     def _cut(self, text: str) -> Iterator[list[str]]:
         """Chunks, without the space each begins with; a long text gives several lists."""
@@ -113,30 +101,79 @@ class Pair:
         full = [" " + c for c in chunks]
         ids_a = [e.ids for e in self.a.encode_batch_fast(full, add_special_tokens=False)]
         ids_b = [x or self.lone for x in self.b.encode(chunks, num_threads=1)]
-        out = []
-        for text, a, b in zip(full, ids_a, ids_b):
-            data = text.encode("utf-8", "replace")
-            same = b"".join(map(self.bytes_a.__getitem__, a)) == data == b"".join(map(self.bytes_b.__getitem__, b))
-            out.append(Aligned(a, b, self.size_a, self.size_b) if same else None)
+        good = self._lossless([x.encode("utf-8", "replace") for x in full], ids_a, ids_b)
+        if all(good):
+            return self._grouped(ids_a, ids_b)
+        found = iter(self._grouped([x for x, g in zip(ids_a, good) if g], [x for x, g in zip(ids_b, good) if g]))
+        return [next(found) if g else None for g in good]
+
+    def _lossless(self, data: list[bytes], ids_a: list[list[int]], ids_b: list[list[int]]) -> list[bool]:
+        """Whether the tokens of both sides give each chunk's bytes."""
+        def same(ids: list[list[int]], values: list[bytes], size: np.ndarray) -> list[bool]:
+            length = np.fromiter(map(len, data), np.int64, len(data))
+            flat = list(chain.from_iterable(ids))
+            if np.array_equal(_sums(size[flat], ids), length) and b"".join(map(values.__getitem__, flat)) == b"".join(data):
+                return [True] * len(data)
+            return [b"".join(map(values.__getitem__, x)) == d for x, d in zip(ids, data)]
+
+        return [x and y for x, y in zip(same(ids_a, self.bytes_a, self.size_a), same(ids_b, self.bytes_b, self.size_b))]
+
+    def _grouped(self, ids_a: list[list[int]], ids_b: list[list[int]]) -> list[Aligned]:
+        """Alignments of chunks that lie one after the other: their ends are offsets in all of them."""
+        if not ids_a:
+            return []
+        a, b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (ids_a, ids_b))
+        at_a, at_b = (dict(zip(np.cumsum(size[x]).tolist(), range(len(x)))) for x, size in ((a, self.size_a), (b, self.size_b)))
+        common = sorted(at_a.keys() & at_b.keys())
+        stop_a, stop_b = (np.fromiter(map(at.__getitem__, common), np.int64, len(common)) + 1 for at in (at_a, at_b))
+        n_a, n_b = np.diff(stop_a, prepend=0), np.diff(stop_b, prepend=0)
+        start_a, start_b = stop_a - n_a, stop_b - n_b
+        # Links of a group: each A token with all B tokens.
+        wide = np.repeat(n_b, n_a)
+        links = (np.repeat(a, wide) << 32) | b[np.repeat(np.repeat(start_b, n_a), wide) + _counted(wide)]
+        # Groups as text: the A tokens, the last with a bar, and the B tokens, the last with a semicolon.
+        text = np.empty(len(a) + len(b), object)
+        last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        last_a[stop_a - 1] = last_b[stop_b - 1] = 1
+        text[np.arange(len(a)) + np.repeat(start_b, n_a)] = self.text_a[last_a, a]
+        text[np.arange(len(b)) + np.repeat(stop_a, n_b)] = self.text_b[last_b, b]
+
+        tokens_a, tokens_b = ([len(x) for x in ids] for ids in (ids_a, ids_b))
+        end_a, end_b = np.cumsum(tokens_a), np.cumsum(tokens_b)
+        group = np.searchsorted(stop_a, end_a) + 1
+        link = np.cumsum(n_a * n_b)[group - 1] * 8
+        parts, raw, out = text.tolist(), links.tobytes(), []
+        g = t = k = 0
+        for x, y, g2, t2, k2 in zip(tokens_a, tokens_b, group.tolist(), (end_a + end_b).tolist(), link.tolist()):
+            out.append(Aligned(x, y, g2 - g, "".join(parts[t:t2]), raw[k:k2]))
+            g, t, k = g2, t2, k2
         return out
 
     def learn(self, chunks: Iterable[str]) -> dict[str, Aligned | None]:
-        """Alignments of all chunks."""
+        """Alignments of all chunks. Those asked for lately are kept for the next call."""
         if len(self.known) > CHUNKS:
-            self.known.clear()
-        new = [c for c in chunks if c not in self.known]
+            self.known, self.older = {}, self.known
         own: dict[str, Aligned | None] = {}
+        new = []
+        for c in chunks:
+            if c in self.known:
+                own[c] = self.known[c]
+            elif c in self.older:
+                own[c] = self.known[c] = self.older[c]
+            else:
+                new.append(c)
         for part in slices(new, SEGMENT):
             for c, aligned in zip(new[part], self.align(new[part])):
-                (self.known if len(c) <= LONG else own)[c] = aligned
+                own[c] = aligned
+                if len(c) <= LONG:
+                    self.known[c] = aligned
         return own
 
     def batch(self, names: list, missing: list[bool], texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray]:
         """(texts with their digests and chunks, distinct links, number of texts that hold each)."""
         index = _Index()
         own = [[np.fromiter(map(index.__getitem__, part), np.int32, len(part)) for part in self._cut(t)] if t else [] for t in texts]
-        long = self.learn(index)
-        found = [long[c] if c in long else self.known[c] for c in index]
+        found = list(map(self.learn(index).__getitem__, index))
         broken = np.array([x is None for x in found], bool)
         for d, parts in enumerate(own):
             if any(broken[p].any() for p in parts):
@@ -153,10 +190,10 @@ class Pair:
 
         sums, digests, chunk, times, text_of_chunk = [], [], [], [], []
         for d, parts in enumerate(own):
-            sha, before = hashlib.sha256(), b""
-            for p in parts:
-                sha.update(before + ";".join(map(groups.__getitem__, p.tolist())).encode())
-                before = b";"
+            sha = hashlib.sha256()
+            for i, p in enumerate(parts):
+                piece = "".join(map(groups.__getitem__, p.tolist()))
+                sha.update((piece if i + 1 < len(parts) else piece[:-1]).encode())
             digests.append(sha.hexdigest() if parts else "")
             u, n = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.int32),) * 2
             sums.append([*(n @ numbers[u]), n @ length[u]] if parts else [0] * 4)
@@ -180,10 +217,20 @@ class _Index(dict):
         return at
 
 
+def _sums(values: np.ndarray, lists: list[list[int]]) -> np.ndarray:
+    """Sums of values that lie list by list."""
+    ends = np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))
+    return np.diff(np.r_[0, np.cumsum(values)][ends], prepend=0)
+
+
+def _counted(length: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each of the lengths."""
+    return np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+
+
 def _ranges(length: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Places of all entries of the given rows of a ragged array."""
-    start, n = (np.cumsum(length) - length)[rows], length[rows]
-    return np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+    return np.repeat((np.cumsum(length) - length)[rows], length[rows]) + _counted(length[rows])
 
 
 def _valued(rows: pd.DataFrame, links: pd.DataFrame) -> pd.DataFrame:
