@@ -153,6 +153,18 @@ EVENT_NUMBERED = f"""SELECT event_id, {worker('event_id')} AS worker,
     FROM events WHERE {EVENT_RULE}"""
 ODD = "*, 'c' || event_type AS __op, user_id + 1 AS worker, event_id * 2 AS batch_no"
 
+CONTENT_AUDIT = [
+    f"""SELECT '{t}' AS table_name, '{state}' AS state, b.n AS before, m.n AS moved, k.n AS kept, b.n = m.n + k.n AS count_ok,
+          b.n = m.n + k.n AND NOT EXISTS (SELECT * FROM {t} EXCEPT ALL (SELECT * FROM {moved} UNION ALL SELECT * FROM {kept})) AS content_ok
+        FROM (SELECT count(*) AS n FROM {t}) b, (SELECT count(*) AS n FROM {moved}) m, (SELECT count(*) AS n FROM {kept}) k"""
+    for t, key, rule, column in (("orders", "o_orderkey", ELIGIBLE, "o_totalprice"),
+                                 ("lineitem", "l_orderkey", f"l_orderkey IN ({ORDER_KEYS})", "l_quantity"))
+    for moved in (f"(SELECT * FROM {t} WHERE {rule})",)
+    for state, kept in (("as moved", f"(SELECT * FROM {t} WHERE ({rule}) IS NOT TRUE)"), (
+        "one value blanked",
+        f"(SELECT * REPLACE (CASE WHEN {key} <> (SELECT min({key}) FROM {t} WHERE ({rule}) IS NOT TRUE) THEN {column} END AS {column}) "
+        f"FROM {t} WHERE ({rule}) IS NOT TRUE)"))]
+
 ORACLE: dict[str, str] = {
     "scan_project": "SELECT l_orderkey, l_linenumber, l_extendedprice, l_shipdate FROM lineitem",
     "sliced_scan_predicates": f"""SELECT {worker('o_orderkey')} AS worker, count(*) AS row_count,
@@ -200,6 +212,7 @@ ORACLE: dict[str, str] = {
     "table_run_log_fold": f"""SELECT 'run-1' AS run_id, {worker('event_id')} AS worker, count(*) AS total_count,
         count(*) * 1000 AS duration_us, true AS completed FROM events WHERE {EVENT_RULE} GROUP BY 2""",
     "conservation_audit": CUST_AUDIT,
+    "content_audit": " UNION ALL ".join(CONTENT_AUDIT),
     "customer_tree_job": CUST_AUDIT,
     "batch_assignment": f"WITH {NUMBERED} SELECT * FROM numbered",
     "batch_cap": f"WITH {NUMBERED} SELECT * FROM numbered WHERE batch_no <= 5",
@@ -262,6 +275,7 @@ ORACLE: dict[str, str] = {
         "customer": CUST, "orders": f"({ELIGIBLE}) OR o_custkey IN ({CUST_KEYS})", "events": f"user_id IN ({CUST_KEYS})",
         "lineitem": f"l_orderkey IN ({ORDER_KEYS}) OR l_orderkey IN ({CUST_ORDERS})"}),
     "changed_span_tree": sides(ORDER_RULES),
+    "tree_rewrite_bucketed": sides(ORDER_RULES),
     "archive_odd_columns": by_name(
         f"SELECT {ODD}, '{name}' AS table_name FROM events WHERE {rule}" for name, rule in (
             ("full archive", EVENT_RULE), ("full live", f"({EVENT_RULE}) IS NOT TRUE"),

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from checks import bindings as B
 from siltbed.functions import progress, scalars
-from siltbed.operators import batch, ledger, maintain, select, slices
+from siltbed.operators import audit, batch, ledger, maintain, select, slices
 from siltbed.plans import jobs, logs
-from siltbed.session import scratch_path, stage
+from siltbed.session import scratch_path, settings, stage
 from siltbed.sources import runlog, sql
 from siltbed.sources.store import Store
 from siltbed.spec import Tree
@@ -253,6 +253,22 @@ def conservation_audit(spark, sf_dir):
                                tree_kept(spark, sf_dir, tree, run))
 
 
+@query
+def content_audit(spark, sf_dir):
+    """A real move as it is, and with one kept value blanked, which numbers of rows can't show."""
+    store = new_store(spark, sf_dir, "orders", "lineitem")
+    jobs.archive_tree(store, B.ORDER_TREE, replace(B.ORDER_RUN, audit_contents=True))
+    names = [t.name for t in B.ORDER_TREE.tables]
+    before, moved, kept = B.load(spark, sf_dir, *names), {n: store.archive(n) for n in names}, {n: store.live(n) for n in names}
+    blanked = {}
+    for t in B.ORDER_TREE.tables:
+        column = "o_totalprice" if t.parent is None else "l_quantity"
+        first = kept[t.name].agg(F.min(t.key)).first()[0]
+        blanked[t.name] = kept[t.name].withColumn(column, F.when(F.col(t.key) != first, F.col(column)))
+    return audit.content_conservation(before, moved, kept).withColumn("state", F.lit("as moved")).unionByName(
+        audit.content_conservation(before, moved, blanked).withColumn("state", F.lit("one value blanked")))
+
+
 # -- batches -------------------------------------------------------------------------
 
 
@@ -432,6 +448,16 @@ def changed_span_tree(spark, sf_dir):
     return both_sides(store, "orders", "lineitem")
 
 
+@query
+def tree_rewrite_bucketed(spark, sf_dir):
+    """The order tree with joins that shuffle: rows are dealt once, by segment, for join and write."""
+    store = new_store(spark, sf_dir, "orders", "lineitem")
+    store.target_bytes = 256 * 1024
+    with settings(spark, {f"spark.sql.{a}autoBroadcastJoinThreshold": "-1" for a in ("", "adaptive.")}):
+        jobs.archive_tree(store, B.ORDER_TREE, replace(B.ORDER_RUN, chunk_batches=40))
+    return both_sides(store, "orders", "lineitem")
+
+
 @query
 def archive_odd_columns(spark, sf_dir):
     """Columns named as change feeds and the engine's own operators name theirs."""

@@ -24,10 +24,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltbed.functions.scalars import months_earlier, worker_of
+from siltbed.operators.audit import content_conservation, row_hash
 from siltbed.operators.batch import assign_batches
 from siltbed.operators.select import eligible_filter, eligible_keys, matching, scan
 from siltbed.operators.slices import slice_plan
-from siltbed.session import advisory_bytes, stage
+from siltbed.session import ADVISORY, settings, stage
 from siltbed.sources.store import (
     ARCHIVE, BATCH, LEDGER, LIVE, OWN, SEGMENT, SIDE, WORKER, Manifest, Part, Store, files_of, layout_of, month_index,
     range_label, segment_of,
@@ -37,6 +38,11 @@ from siltbed.spec import RunOptions, Table, Tree
 MOVED, KEPT = "moved", "kept"
 KEY, SEG, FILE = f"{OWN}key", f"{OWN}seg", f"{OWN}file"
 TO_WORKER, TO_BATCH = f"{OWN}worker", f"{OWN}batch"
+PLACE, SALT = f"{OWN}place", f"{OWN}salt"
+# Settings of a run: a join takes rows as they lie, dealt by some of its keys.
+CO_PARTITIONED = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+# Bytes of rows in memory for each byte of a file, about.
+INFLATION = 4
 # Root rows a chunk aims at where the run names no number of batches.
 CHUNK_ROWS = 20_000_000
 LEDGER_SCHEMA = T.StructType([
@@ -134,7 +140,7 @@ def _drain(store: Store, tree: Tree, options: RunOptions, steps: Steps) -> RunRe
     result = RunResult(options.run_id or uuid.uuid4().hex, _cutoff(tree, options), store.snapshot())
     begun, started = dt.datetime.now(dt.timezone.utc), time.monotonic()
     try:
-        with advisory_bytes(store.spark, store.target_bytes):
+        with settings(store.spark, {ADVISORY: str(store.target_bytes), **CO_PARTITIONED}):
             before = started
             for chunk in steps(store, tree, options, result):
                 now = time.monotonic()
@@ -243,6 +249,18 @@ def _rows_in(parts: list[Part]) -> int:
     return sum(p.rows for p in parts)
 
 
+def _content_audit(store: Store, manifest: Manifest, table: Table, gone: list[Part], stay: list[Part], moved: list[Part]) -> None:
+    """Fail unless the rows of parts ``gone`` are those that stay and those that moved, value by value.
+
+    A table's column list limits the comparison: other columns of moved rows are blank.
+    """
+    rows = [store.read(manifest, LIVE, table.name, parts) for parts in (gone, moved, stay)]
+    names = {table.name: list(table.columns or rows[0].columns)}
+    found = content_conservation(*[{table.name: r} for r in rows], names).first()
+    if not found.content_ok:
+        raise AuditError(f"{table.name}: rows were altered, of {found.before} {found.moved} moved and {found.kept} kept")
+
+
 def _check_not_archived(store: Store, manifest: Manifest, table: Table, moved: list[Part]) -> None:
     """Fail when a moved key is in the archive already.
 
@@ -404,6 +422,8 @@ def _tree_chunk(
         moved = ready + sides.pop(_side_name(chunk), [])
         stay = [p for parts in sides.values() for p in parts]
         audit[t.name] = _count_audit(t, _rows_in(read) + _rows_in(ready), _rows_in(moved), _rows_in(stay))
+        if options.audit_contents:
+            _content_audit(store, before, t, read + ready, stay, moved)
         for later in range(chunk + 1, plan.chunks):
             if _side_name(later) in sides:
                 own.pending.setdefault(later, []).extend(sides[_side_name(later)])
@@ -512,11 +532,54 @@ def _split_by_link(
 ) -> dict[str, list[Part]]:
     """One scan, one join on the unique chosen keys, one write of all sides."""
     rows = store.read(manifest, LIVE, table.name, read)
-    on = _link_column(table)
-    chosen = link.select(KEY, F.col(WORKER).alias(TO_WORKER), F.col(BATCH).alias(TO_BATCH))
-    joined = rows.join(chosen, rows[_tick(on)] == chosen[KEY], "left")
-    split = _sides(joined, store.schema(manifest, LIVE, table.name).names, tree, table, size)
-    return store.write_sides(split, label, layout_of(tree, table), on, table.key)
+    tasks = _tasks_per_segment(store, tree, table, rows, read)
+    split = _split(rows, tree, table, link, size, tasks)
+    return store.write_sides(split, label, layout_of(tree, table), _link_column(table), table.key, placed=True)
+
+
+def _tasks_per_segment(store: Store, tree: Tree, table: Table, rows: DataFrame, read: list[Part]) -> dict[str, int]:
+    """Among how many tasks the rows of each segment are dealt; one number per segment.
+
+    Rows of parts in the table's own layout are counted in the manifest, those of others
+    by a scan of the column their label follows from.
+    """
+    layout, counts = layout_of(tree, table), {}
+    loose = [p for p in read if p.segment is None or p.layout != layout]
+    for p in read:
+        if p.segment is not None and p.layout == layout:
+            counts[p.segment] = counts.get(p.segment, 0) + p.rows
+    if loose:
+        own = store.read(store.snapshot(), LIVE, table.name, loose) if len(loose) < len(read) else rows
+        for segment, n in own.groupBy(segment_of(tree, table).alias("s")).count().collect():
+            counts[segment] = counts.get(segment, 0) + n
+    width = max(1, rows._jdf.schema().defaultSize())
+    each = max(1, store.target_bytes * INFLATION // width)
+    return {s: -(-n // each) for s, n in counts.items() if n}
+
+
+def _split(rows: DataFrame, tree: Tree, table: Table, link: DataFrame, size: int, tasks: dict[str, int]) -> DataFrame:
+    """All rows with their side, dealt once: by segment and, inside a large one, by a hash of the row.
+
+    The keys of a segment go to each of its tasks, so the join and the write use one
+    exchange of the table, and a parent with very many rows is spread like any other.
+    """
+    names, on = rows.columns, _link_column(table)
+    large = {s: n for s, n in tasks.items() if n > 1}
+
+    def share(segment: Column) -> Column:
+        return F.coalesce(F.create_map(*[F.lit(x) for pair in large.items() for x in pair])[segment], F.lit(1))
+
+    of_key = F.col(SEG) if table.parent is None else range_label(F.col(KEY), table.span)
+    chosen = link.select(KEY, F.col(WORKER).alias(TO_WORKER), F.col(BATCH).alias(TO_BATCH), of_key.alias(PLACE))
+    placed, by = rows.withColumn(PLACE, segment_of(tree, table)), [PLACE]
+    if large:
+        by = [PLACE, SALT]
+        chosen = chosen.withColumn(SALT, F.explode(F.sequence(F.lit(0), share(F.col(PLACE)) - 1)))
+        placed = placed.withColumn(SALT, F.pmod(row_hash(rows), share(F.col(PLACE)).cast("bigint")).cast("int"))
+    # Twice as many partitions as shares, for several shares can fall into one.
+    dealt = placed.repartition(2 * max(1, sum(tasks.values())), *by)
+    same = reduce(Column.__and__, [dealt[c] == chosen[c] for c in by])
+    return _sides(dealt.join(chosen, same & (dealt[_tick(on)] == chosen[KEY]), "left"), names, tree, table, size)
 
 
 def _provenance(store: Store, manifest: Manifest, table: Table, parts: list[Part], *columns: str) -> DataFrame:
@@ -590,6 +653,8 @@ def _table_chunks(store: Store, tree: Tree, options: RunOptions, result: RunResu
         waiting = [p for parts in sides.values() for p in parts]
         gone = read if chunk == 0 else moved
         audit = _count_audit(table, _rows_in(gone), _rows_in(moved), _rows_in(stay + waiting) if chunk == 0 else 0)
+        if options.audit_contents:
+            _content_audit(store, result.manifest, table, gone, stay + waiting if chunk == 0 else [], moved)
         rows = plan.rows(chunk)
         if sum(rows.values()) != audit[2]:
             raise AuditError(f"{table.name}: {sum(rows.values())} rows chosen, {audit[2]} moved")

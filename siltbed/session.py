@@ -88,13 +88,22 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
 @contextmanager
-def advisory_bytes(spark: SparkSession, target: int) -> Iterator[None]:
-    """Let AQE aim at partitions of ``target`` bytes for the jobs inside."""
-    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(target))
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """SQL settings for the jobs inside."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(setting, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def advisory_bytes(spark: SparkSession, target: int):
+    """Let AQE aim at partitions of ``target`` bytes for the jobs inside."""
+    return settings(spark, {ADVISORY: str(target)})

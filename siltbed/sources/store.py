@@ -291,16 +291,16 @@ class Store:
 
     # -- writing segments -----------------------------------------------------
 
-    def write_sides(self, rows: DataFrame, label: str, layout: str | None, *columns: str) -> dict[str, list[Part]]:
+    def write_sides(self, rows: DataFrame, label: str, layout: str | None, *columns: str, placed: bool = False) -> dict[str, list[Part]]:
         """Write rows that carry SIDE and SEGMENT; return the parts of each side.
 
         Rebalancing gives each segment few files of even size and lets AQE split a
         segment that holds much of the data; the caller sets the size aimed at
-        (``advisory_bytes``). Files are sorted by the first of ``columns``; the
+        (``advisory_bytes``). Rows that are ``placed`` lie by segment already. Files are sorted by the first of ``columns``; the
         ranges of all of them go to the manifest, where they are whole numbers.
         """
         path = f"{self.root}/{label}"
-        (rows.hint("rebalance", SIDE, SEGMENT)
+        ((rows if placed else rows.hint("rebalance", SIDE, SEGMENT))
              .sortWithinPartitions(SIDE, SEGMENT, columns[0])
              .write.partitionBy(SIDE, SEGMENT).parquet(path))
         return self._written_parts(path, label, rows.schema, layout, list(dict.fromkeys(columns)))

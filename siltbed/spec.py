@@ -85,6 +85,8 @@ class RunOptions:
     ``parallel`` is the number of workers the ten last digits are split over;
     it names slices for accounting, the Spark tasks are not limited to it.
     ``chunk_batches`` is the number of batches (per worker) published at once.
+    ``audit_contents`` reads all touched and written parts once more before a chunk is
+    published, and fails the run if a row is not on one side as it was.
     """
 
     as_of: dt.date | None = None
@@ -97,6 +99,7 @@ class RunOptions:
     chunk_batches: int = 0
     zone: str = "UTC"
     run_id: str | None = None
+    audit_contents: bool = False
 
     def __post_init__(self):
         object.__setattr__(self, "parallel", min(max(self.parallel, 1), 10))
