@@ -209,6 +209,7 @@ ORACLE: dict[str, str] = {
                CAST(sum(records) AS BIGINT) AS total_records, CAST(max(us) AS BIGINT) AS max_duration_us FROM per GROUP BY run_id""",
     "run_log_fold": FOLD,
     "stream_progress": FOLD,
+    "stream_progress_bounded": FOLD,
     "table_run_log_fold": f"""SELECT 'run-1' AS run_id, {worker('event_id')} AS worker, count(*) AS total_count,
         count(*) * 1000 AS duration_us, true AS completed FROM events WHERE {EVENT_RULE} GROUP BY 2""",
     "conservation_audit": CUST_AUDIT,

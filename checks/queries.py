@@ -17,6 +17,7 @@ from siltbed.session import scratch_path, settings, stage
 from siltbed.sources import runlog, sql
 from siltbed.sources.store import Store
 from siltbed.spec import Tree
+from siltbed.streaming import bounded
 from siltbed.streaming import progress as live
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -593,6 +594,32 @@ def stream_progress(spark, sf_dir):
     return live.progress_totals(spark.read.parquet(f"{base}/out"))
 
 
+@query
+def stream_progress_bounded(spark, sf_dir):
+    """The order log with instants, a seventh of its lines twice, through a watermark.
+
+    A last line far ahead closes all windows. What came too late, which depends on the
+    order the files are listed in, is found in the feed.
+    """
+    base = scratch_path(spark, "stream")
+    at = F.timestamp_seconds(F.lit(883_652_100) + F.col("line_no") * 20)
+    lines = B.order_log_table(spark, sf_dir).select("run_id", "worker", "line_no", "message", at.alias("at"))
+    lines.unionByName(lines.where("line_no % 7 = 0")).write.json(f"{base}/lines/first")
+
+    def run():
+        feed = bounded.read_timed_log(spark, f"{base}/lines", files_per_trigger=4)
+        bounded.start_bounded(feed, f"{base}/out", f"{base}/state").awaitTermination()
+
+    run()
+    last = lines.agg(F.max("at")).select(F.lit("").alias("run_id"), F.lit(-1).alias("worker"), F.lit(1).cast("bigint").alias("line_no"),
+                                         F.lit("").alias("message"), (F.col("max(at)") + F.expr("interval 1 day")).alias("at"))
+    last.write.json(f"{base}/lines/last")
+    run()
+    windows = spark.read.parquet(f"{base}/out")
+    feed = spark.read.schema(bounded.SCHEMA).option("recursiveFileLookup", "true").json(f"{base}/lines")
+    return bounded.bounded_totals(windows, bounded.late_lines(feed, windows))
+
+
 @query
 def stream_job_feed(spark, sf_dir):
     """Live totals from the lines that two jobs appended to one feed."""

@@ -3,7 +3,8 @@
 Lines may arrive in any order and more than once. They are folded per block of
 consecutive lines of a worker, so state is bounded by a block and a worker with very
 many lines is spread over tasks. A fold over the blocks gives the worker's totals.
-State of a block stays for the life of the stream, so a pause never loses a count.
+State of a block stays for the life of the stream, so a pause never loses a count;
+``bounded`` keeps state of recent lines only.
 """
 
 from __future__ import annotations
@@ -18,10 +19,10 @@ BLOCK_LINES = 1024
 NO_END = -1
 
 
-def parsed(lines: DataFrame) -> DataFrame:
-    """Count, duration and end mark of each line, with its block."""
+def parsed(lines: DataFrame, *more: str) -> DataFrame:
+    """Count, duration and end mark of each line, with its block and ``more`` columns."""
     return lines.select(
-        "run_id", "worker", "line_no", F.floor(F.col("line_no") / BLOCK_LINES).cast("bigint").alias("block"),
+        *more, "run_id", "worker", "line_no", F.floor(F.col("line_no") / BLOCK_LINES).cast("bigint").alias("block"),
         progress_count("message").alias("n"), progress_duration_us("message").alias("us"),
         is_end("message").alias("ended"))
 
