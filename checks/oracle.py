@@ -186,6 +186,19 @@ ORACLE: dict[str, str] = {
     "child_rows_semi": f"SELECT * FROM lineitem WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND {ELIGIBLE})",
     "root_rows_semi": f"SELECT * FROM orders WHERE o_orderkey IN ({ORDER_KEYS})",
     "grandchild_rows_semi": f"SELECT * FROM lineitem WHERE {IN_CUST_TREE['lineitem']}",
+    "closure_rows": """
+WITH RECURSIVE linked AS (
+  SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 1 THEN c_custkey * 7 % 101 END AS a,
+         CASE WHEN c_custkey % 13 = 0 THEN c_custkey WHEN c_custkey % 4 = 0 THEN c_custkey // 3 END AS b FROM customer),
+reached AS (
+  SELECT k FROM linked WHERE k % 40 = 10
+  UNION
+  SELECT linked.k FROM linked JOIN reached ON linked.a = reached.k OR linked.b = reached.k),
+ordered AS (SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT k FROM reached))
+SELECT 'customer' AS table_name, CAST(k AS BIGINT) AS key, CAST(NULL AS BIGINT) AS line FROM reached
+UNION ALL SELECT 'orders', CAST(o_orderkey AS BIGINT), NULL FROM ordered
+UNION ALL SELECT 'lineitem', CAST(l_orderkey AS BIGINT), CAST(l_linenumber AS BIGINT) FROM lineitem
+  WHERE l_orderkey IN (SELECT o_orderkey FROM ordered)""",
     "child_rows_kept_anti": f"SELECT * FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND {ELIGIBLE})",
     "root_rows_kept_anti": f"SELECT * FROM orders WHERE ({ELIGIBLE}) IS NOT TRUE",
     "single_table_split": f"""SELECT *, 'moved' AS side, {worker('event_id')} AS worker,
@@ -305,6 +318,9 @@ ORACLE: dict[str, str] = {
         SELECT 'orders' AS run_id, worker, CAST(sum(roots) AS BIGINT) AS total_count, true AS completed FROM ledger GROUP BY worker
         UNION ALL SELECT 'events', worker, count(*), true FROM ({EVENT_NUMBERED}) GROUP BY worker""",
     "column_stats": " UNION ALL ".join(stats(c) for c in LINEITEM_COLUMNS),
+    "column_sketches": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) FILTER (WHERE {c} IS NULL) AS null_count, true AS distinct_close, "
+        f"CASE WHEN any_value(typeof({c})) <> 'VARCHAR' THEN true END AS median_close FROM lineitem" for c in LINEITEM_COLUMNS),
     "compact_roundtrip": f"SELECT * FROM lineitem WHERE l_orderkey IN ({ORDER_KEYS})",
     "dry_run_report": f"""WITH {NUMBERED}, n AS (SELECT worker, count(*) AS eligible FROM numbered GROUP BY worker)
         SELECT worker, CAST(lb AS INTEGER) AS lb, CAST(up AS INTEGER) AS up, {CUTOFF} AS cutoff, eligible,

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from checks import bindings as B
 from siltbed.functions import progress, scalars
-from siltbed.operators import audit, batch, ledger, maintain, select, slices
-from siltbed.plans import jobs, logs
+from siltbed.operators import audit, batch, closure, ledger, maintain, select, sketches, slices
+from siltbed.plans import jobs, logs, statistics
+from siltbed.plans.upkeep import upkeep
 from siltbed.session import scratch_path, settings, stage
 from siltbed.sources import runlog, sql
 from siltbed.sources.store import Store
@@ -167,6 +168,24 @@ def grandchild_rows_semi(spark, sf_dir):
     return tree_moved(spark, sf_dir, B.CUSTOMER_TREE, B.CUSTOMER_RUN)["lineitem"]
 
 
+@query
+def closure_rows(spark, sf_dir):
+    """Customers that refer to customers by two columns, in circles and to themselves, and what hangs on them."""
+    tables = B.load(spark, sf_dir, "customer", "orders", "lineitem")
+    key = F.col("c_custkey")
+    tables["customer"] = tables["customer"].select(
+        "c_custkey", F.when(key % 3 == 1, key * 7 % 101).alias("first_up"),
+        F.when(key % 13 == 0, key).when(key % 4 == 0, F.floor(key / 3)).alias("second_up"))
+    links = [closure.Link("customer", "first_up", "customer"), closure.Link("customer", "second_up", "customer"),
+             closure.Link("orders", "o_custkey", "customer"), closure.Link("lineitem", "l_orderkey", "orders")]
+    start = {"customer": tables["customer"].where(key % 40 == 10).select("c_custkey")}
+    found = closure.closure_rows(tables, {"customer": "c_custkey", "orders": "o_orderkey"}, links, start)
+    none = F.lit(None).cast("bigint")
+    return stacked({"customer": found["customer"].select(key.alias("key"), none.alias("line")),
+                    "orders": found["orders"].select(F.col("o_orderkey").alias("key"), none.alias("line")),
+                    "lineitem": found["lineitem"].select(F.col("l_orderkey").alias("key"), F.col("l_linenumber").cast("bigint").alias("line"))})
+
+
 @query
 def child_rows_kept_anti(spark, sf_dir):
     return tree_kept(spark, sf_dir, B.ORDER_TREE, B.ORDER_RUN)["lineitem"]
@@ -563,6 +582,28 @@ def column_stats(spark, sf_dir):
     return maintain.column_stats(one(spark, sf_dir, "lineitem"))
 
 
+@query
+def column_sketches(spark, sf_dir):
+    """Statistics that upkeep keeps per written part, merged over both sides of a move:
+    counts, and whether estimates are within the stated error of the exact values."""
+    store = new_store(spark, sf_dir, "orders", "lineitem")
+    jobs.archive_tree(store, B.ORDER_TREE, B.ORDER_RUN)
+    upkeep(store)
+    both = [statistics.sketches_of(store, side, "lineitem") for side in ("live", "archive")]
+    found = stage(sketches.estimates(sketches.merged(both[0].unionByName(both[1]))), "estimates")
+    rows = one(spark, sf_dir, "lineitem")
+    exact = maintain.column_stats(rows).select("column_name", F.col("distinct_count").alias("exact"))
+    median = {r.column_name: r.quantiles[sketches.QUANTILES.index(0.5)] for r in found.where("quantiles IS NOT NULL").collect()}
+    values = {c: sketches.as_number(F.col(c), rows.schema[c].dataType) for c in median}
+    ranks = rows.agg(*[F.struct(F.avg((v < median[c]).cast("int")).alias("below"), F.avg((v <= median[c]).cast("int")).alias("upto")).alias(c)
+                       for c, v in values.items()])
+    ranks = ranks.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"{c}.below"), F.col(f"{c}.upto")) for c in values])))
+    return found.join(exact, "column_name").join(ranks, "column_name", "left").select(
+        "column_name", "row_count", "null_count",
+        (F.abs(F.col("distinct_count") - F.col("exact")) <= 0.05 * F.col("exact") + 1).alias("distinct_close"),
+        F.when(F.col("quantiles").isNotNull(), (F.col("below") <= 0.53) & (F.col("upto") >= 0.47)).alias("median_close"))
+
+
 @query
 def column_ranges(spark, sf_dir):
     return maintain.column_ranges(one(spark, sf_dir, "lineitem"))
