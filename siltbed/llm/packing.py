@@ -36,6 +36,7 @@ WORDS = 400_000         # encoded words a worker keeps
 # Fixed value: the words of byte-level vocabularies, with white space spelled out.
 BYTE_LEVEL_WORDS = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
                     .replace(r"[^\s", f"[^{SPACE}").replace(r"\S", f"[^{SPACE}]").replace(r"\s", f"[{SPACE}]"))
+FILE = 256 << 20        # bytes of text that one file is made of, about
 
 MANIFEST = "part int, file string, documents long, ids long, bytes long"
 
@@ -216,7 +217,10 @@ def write(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str =
     vocabulary = max(Tokenizer.from_str(definition).get_vocab(with_added_tokens=True).values()) + 1
     bits = bits_for(max(vocabulary, end + 1))
     shared = spark.sparkContext.broadcast(definition)
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if parts is None:
+        # As many files as the texts need, and no fewer than the session's tasks.
+        total = docs.agg(F.sum(F.octet_length(utf8(quoted(text_col))))).first()[0] or 0
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // FILE))
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
