@@ -15,13 +15,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltbed.llm.common import maybe_broadcast, quoted
+from siltbed.llm.common import free_name, maybe_broadcast, quoted
 from siltbed.session import stage
 
 WINDOW = 13
 SHINGLE = 3
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+EITHER_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"   # the same words before A-Z are lower case
+BROADCAST_BYTES = 32 << 20
 
 
 def words(text: Column) -> Column:
@@ -97,13 +99,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     n_prefix = prefix.count()
     candidates = seen.join(maybe_broadcast(prefix, n_prefix), ["size", "token"])
     candidates = candidates.select("id", "hash", (F.col("pos") - F.col("offset")).alias("start"), "window_id").filter("start >= 0")
-    spans = candidates.join(maybe_broadcast(windows, n_prefix), "window_id").select(
+    # Windows that no text can hold stay out; those left are as many as prefixes.
+    able = windows.join(maybe_broadcast(prefix.select("window_id"), n_prefix), "window_id", "left_semi")
+    spans = candidates.join(_small(stage(able, "able-windows")), "window_id").select(
         "id", "hash", F.struct("start", "len", "words", "item_ids").alias("span")).distinct()
     spans = stage(spans.groupBy("id", "hash").agg(F.sort_array(F.collect_list("span")).alias("spans")), "candidates")
 
     rows = docs.select(ident.alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
-    joined = rows.join(spans, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")), "left")
-    joined = joined.withColumn("words", words(F.col("text"))).withColumn("n_words", F.size("words"))
+    joined = rows.join(_small(spans), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")), "left")
+    # Words are made again for texts that have candidates; the others need their number only.
+    joined = joined.withColumn("n_words", F.coalesce(F.regexp_count("text", F.lit(EITHER_CASE)), F.lit(0))) \
+        .withColumn("words", F.when(F.col("spans").isNotNull(), words(F.col("text"))))
     # Length bound, then the words themselves.
     held = F.filter(F.coalesce("spans", F.array().cast(spans.schema["spans"].dataType)), lambda s:
                     (s["start"] + s["len"] <= F.col("n_words")) & (F.slice(F.col("words"), s["start"] + 1, s["len"]) == s["words"]))
@@ -112,6 +118,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
         F.array_sort(F.array_distinct(F.flatten(F.transform("held", lambda s: s["item_ids"])))).alias("item_ids"))
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """A written table with a hint to broadcast it if its words are counted to be few bytes."""
+    words_of = F.col("words") if "words" in df.columns else F.flatten(F.transform("spans", lambda s: s["words"]))
+    size = df.agg(F.sum(F.octet_length(F.array_join(words_of, " ")) + 100 * F.size(words_of))).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
 def contaminated(n_hit: Column, n_words: Column) -> Column:
     """At least a twentieth of the words is hit."""
     return (n_hit > 0) & (20 * n_hit >= n_words)
@@ -119,9 +132,10 @@ def contaminated(n_hit: Column, n_words: Column) -> Column:
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without contaminated rows, all columns kept."""
+    ident, digest = free_name(docs, "_bad_id"), free_name(docs, "_bad_hash")
     bad = contamination(docs, benchmark, id_col=id_col, text_col=text_col).filter(
         contaminated(F.col("n_hit"), F.col("n_words"))).select(
-            F.col("doc_id").alias("_bad_id"), F.xxhash64("text").alias("_bad_hash")).distinct()
+            F.col("doc_id").alias(ident), F.xxhash64("text").alias(digest)).distinct()
     bad = stage(bad, "contaminated")
-    return docs.join(bad, quoted(id_col).eqNullSafe(F.col("_bad_id")) & (F.xxhash64(quoted(text_col)) == F.col("_bad_hash")),
+    return docs.join(bad, quoted(id_col).eqNullSafe(F.col(ident)) & (F.xxhash64(quoted(text_col)) == F.col(digest)),
                      "left_anti").select(*map(quoted, docs.columns))

@@ -2,7 +2,8 @@ import random
 
 import pytest
 
-CLASHES = ("fp", "shard", "id", "hash", "words", "spans", "r", "found", "data", "k1", "score", "_toxicity", "_redacted", "text_hash")
+CLASHES = ("fp", "shard", "id", "hash", "words", "spans", "r", "found", "data", "k1", "score", "_toxicity", "_redacted", "text_hash", "_bad_id", "_bad_hash",
+           "words_", "span", "_Bad_Id_")
 
 
 @pytest.fixture

@@ -89,3 +89,21 @@ def test_query_equals_its_sql(spark):
     want = connection.execute(ORACLE["op3_decontamination"]).fetchall()
     assert sorted(map(tuple, op3_decontamination(spark, SF).collect())) == sorted(want)
     assert hashlib.sha256(b"").hexdigest() in {r[4] for r in want}
+
+
+def test_tables_too_large_to_broadcast_give_the_same(spark, make_docs, prose, monkeypatch):
+    item = prose(40, 1)
+    docs = make_docs([(i, prose(60, i + 10) + " " + (item if i % 3 == 0 else "")) for i in range(9)])
+    benchmark = spark.createDataFrame([(1, item), (2, prose(20, 2))], "item_id long, text string")
+    small = sorted(map(str, decontam.contamination(docs, benchmark).collect()))
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", -1)
+    large = decontam.contamination(docs, benchmark)
+    assert sorted(map(str, large.collect())) == small
+    assert sum(r["n_hit"] > 0 for r in large.collect()) == 3
+
+
+def test_clean_keeps_columns_that_are_named_like_its_own(make_docs, spark):
+    docs = make_docs([(1, ITEM), (2, "quite another text"), (2, "quite another text"), (None, ITEM)])
+    kept = decontam.clean(docs, spark.createDataFrame([(5, ITEM)], "item_id long, text string"))
+    assert kept.columns == docs.columns
+    assert [(r["doc_id"], r["_bad_id"], r["_bad_hash"]) for r in kept.collect()] == [(2, "_bad_id", "_bad_hash")] * 2
