@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +40,26 @@ def text_of(data: bytes) -> str:
     return data.decode("utf-8", "replace")
 
 
+_AFTER_WORD = re.compile(r"(?<=\S) ")
+SEGMENT = 1_000_000     # characters of a text that are cut at a time
+
+
+def chunks(text: str) -> Iterator[list[str]]:
+    """A text cut before each space that follows a character that is no white space.
+
+    Chunks after the text's first lack the space they begin with. A long text comes in
+    several lists. No word of a byte-level vocabulary reaches across a cut.
+    """
+    at = 0
+    while len(text) - at > SEGMENT:
+        cut = _AFTER_WORD.search(text, at + SEGMENT)
+        if cut is None:
+            break
+        yield _AFTER_WORD.split(text[at:cut.start()])
+        at = cut.end()
+    yield _AFTER_WORD.split(text[at:])
+
+
 def slices(values: Sequence, limit: int) -> Iterator[slice]:
     """Runs of a batch whose lengths add up to about ``limit``, one value at least."""
     start = total = 0

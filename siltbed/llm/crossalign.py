@@ -21,7 +21,6 @@ from __future__ import annotations
 import hashlib
 import os
 import pickle
-import re
 from collections.abc import Iterable, Iterator
 from itertools import chain
 from typing import NamedTuple
@@ -36,15 +35,13 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from siltbed.llm.bpe import byte_characters
-from siltbed.llm.common import quoted, slices, text_of, utf8
+from siltbed.llm.common import SEGMENT, chunks, quoted, slices, text_of, utf8
 from siltbed.session import stage
 
 BATCH = 8_000_000       # bytes of texts in one row of the first pass
-SEGMENT = 1_000_000     # characters of a text that are cut at a time
 CHUNKS = 200_000        # aligned chunks a worker keeps
 LONG = 200              # longer chunks are not kept
 SPACE = "▁"
-_CUT = re.compile(r"(?<=\S) ")
 _RESULT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
 
 
@@ -83,24 +80,13 @@ class Pair:
         self.older: dict[str, Aligned | None] = {}
 
     def _cut(self, text: str) -> Iterator[list[str]]:
-        """Chunks, without the space each begins with; a long text gives several lists."""
-        if not self.by_chunk:
-            yield [text]
-            return
-        at = 0
-        while len(text) - at > SEGMENT:
-            cut = _CUT.search(text, at + SEGMENT)
-            if cut is None:
-                break
-            yield _CUT.split(text[at:cut.start()])
-            at = cut.end()
-        yield _CUT.split(text[at:])
-
-    def align(self, chunks: list[str]) -> list[Aligned | None]:
-        """Alignments of a space and each chunk; none where tokens don't give its bytes."""
-        full = [" " + c for c in chunks]
+        return chunks(text) if self.by_chunk else iter([[text]])
+
+    def align(self, texts: list[str]) -> list[Aligned | None]:
+        """Alignments of a space and each text; none where tokens don't give its bytes."""
+        full = [" " + c for c in texts]
         ids_a = [e.ids for e in self.a.encode_batch_fast(full, add_special_tokens=False)]
-        ids_b = [x or self.lone for x in self.b.encode(chunks, num_threads=1)]
+        ids_b = [x or self.lone for x in self.b.encode(texts, num_threads=1)]
         good = self._lossless([x.encode("utf-8", "replace") for x in full], ids_a, ids_b)
         if all(good):
             return self._grouped(ids_a, ids_b)
@@ -149,13 +135,13 @@ class Pair:
             g, t, k = g2, t2, k2
         return out
 
-    def learn(self, chunks: Iterable[str]) -> dict[str, Aligned | None]:
+    def learn(self, texts: Iterable[str]) -> dict[str, Aligned | None]:
         """Alignments of all chunks. Those asked for lately are kept for the next call."""
         if len(self.known) > CHUNKS:
             self.known, self.older = {}, self.known
         own: dict[str, Aligned | None] = {}
         new = []
-        for c in chunks:
+        for c in texts:
             if c in self.known:
                 own[c] = self.known[c]
             elif c in self.older:
