@@ -11,8 +11,10 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import cache
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -20,12 +22,14 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Regex, normalizers
 
 from siltbed.llm.common import quoted, slices, text_of, utf8
 
 WORDS = 300_000         # encoded words a worker keeps
 CHUNK = 2_000_000       # bytes of text whose new words are encoded together
 SYMBOLS = 4_000_000     # symbols in one flat array
+PLANES = 0x40000        # the planes above hold no letters and no numbers
 LONG = np.int64(1) << 62
 # White space as the vocabulary's own patterns take it.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -38,11 +42,57 @@ def byte_characters() -> list[str]:
     return [chr(b if b in plain else next(spare)) for b in range(256)]
 
 
+class Letters(NamedTuple):
+    """Where the library's tables of letters are of another age than those used here."""
+
+    classes: dict[str, tuple[str, str]]     # per class the characters it has more and less than in ``regex``
+    lower: dict[str, str]                   # lower-case forms that aren't Python's
+
+
+@cache
+def library_letters() -> Letters:
+    """Asked of the library itself; made once, by the driver."""
+    every = "".join(chr(c) for c in range(0x80, PLANES) if not 0xD800 <= c < 0xE000)
+
+    def changed(change: Callable[[str], str], text: str) -> str:
+        return "".join(change(text[i:i + 2048]) for i in range(0, len(text), 2048))
+
+    classes = {}
+    for name in "LN":
+        kind, mark = rf"\p{{{name}}}", "\0"
+        theirs = changed(normalizers.Replace(Regex(kind), mark).normalize_str, every)
+        pairs = list(zip(every, theirs, regex.sub(kind, mark, every)))
+        classes[name] = ("".join(c for c, x, y in pairs if x == mark != y), "".join(c for c, x, y in pairs if y == mark != x))
+    lowered = changed(normalizers.Lowercase().normalize_str, "\n".join(every)).split("\n")
+    return Letters(classes, {c: x for c, x in zip(every, lowered) if x != c.lower()})
+
+
+class Words:
+    """All matches of a pattern in a text, letters and numbers being what the library takes for them."""
+
+    def __init__(self, pattern: str, letters: Letters):
+        self.usual, self.pattern, self.letters = regex.compile(pattern).findall, pattern, letters
+        self.odd = frozenset("".join(chain.from_iterable(letters.classes.values())))
+        self.exact = None
+
+    def __call__(self, text: str) -> list[str]:
+        if text.isascii() or self.odd.isdisjoint(text):
+            return self.usual(text)
+        if self.exact is None:
+            exact = self.pattern
+            for name, (more, less) in self.letters.classes.items():
+                kind = f"[\\p{{{name}}}{more}]"
+                exact = exact.replace(f"\\p{{{name}}}", f"[{kind}--[{less}]]" if less else kind)
+            self.exact = regex.compile(exact, regex.V1).findall
+        return self.exact(text)
+
+
 class Bpe:
     """A vocabulary file with word ends or byte-level words, without a decoder of its own."""
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, letters: Letters | None = None):
         spec = json.loads(definition)
+        letters = letters or library_letters()
         model, vocab = spec["model"], spec["model"]["vocab"]
         self.suffix = model.get("end_of_word_suffix") or ""
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens") or []}
@@ -52,7 +102,8 @@ class Bpe:
         self.nfc, self.lower = "NFC" in kinds, "Lowercase" in kinds
         splits = [p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
         pattern = splits[0]["pattern"]["Regex"]
-        self.find_words = regex.compile(pattern.replace("\\s", SPACE)).findall
+        self.find_words = Words(pattern.replace("\\s", SPACE), letters)
+        self.lower_forms = letters.lower
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")").split \
             if self.added else None
 
@@ -79,7 +130,10 @@ class Bpe:
             text = unicodedata.normalize("NFC", text)
         if self.lower:
             # Letter by letter: no special form of sigma at a word's end.
-            text = text.replace("Σ", "σ").lower()
+            if text.isascii() or self.lower_forms.keys().isdisjoint(text):
+                text = text.replace("Σ", "σ").lower()
+            else:
+                text = "".join(self.lower_forms.get(c) or c.lower() for c in text)
         return self.find_words(text)
 
     def merge(self, words: list[str]) -> list[np.ndarray]:
@@ -153,9 +207,9 @@ class Bpe:
 
 
 def _shared(docs: DataFrame, path: str) -> Broadcast:
-    """The vocabulary file, read here and sent to the tasks; its size is that of the file."""
+    """The vocabulary file, read here and sent to the tasks with the library's letters; its size is that of the file."""
     with open(path, encoding="utf-8") as f:
-        return docs.sparkSession.sparkContext.broadcast(f.read())
+        return docs.sparkSession.sparkContext.broadcast((f.read(), library_letters()))
 
 
 def _batches(model: Bpe, batch: pd.Series) -> Iterator[bytes]:
@@ -169,7 +223,7 @@ def tokens_column(docs: DataFrame, path: str, text_col: str = "text") -> Column:
 
     @F.pandas_udf("ids array<int>, decoded string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = Bpe(shared.value)
+        model = Bpe(*shared.value)
         for batch in batches:
             rows = [(np.frombuffer(ids, "<i4"), model.decode(ids)) for ids in _batches(model, batch)]
             yield pd.DataFrame(rows, columns=["ids", "decoded"])
@@ -187,7 +241,7 @@ def digest(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = Bpe(shared.value)
+        model = Bpe(*shared.value)
         for batch in batches:
             rows = [(len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(model.decode(ids).encode()).hexdigest())
                     for ids in _batches(model, batch)]

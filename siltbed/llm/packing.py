@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from siltbed.llm.bpe import SPACE
+from siltbed.llm.bpe import SPACE, Letters, Words, library_letters
 from siltbed.llm.common import quoted, slices, text_of, utf8
 from siltbed.session import scratch_path, stage
 
@@ -67,7 +67,7 @@ class WordEncoder:
     and a text's ids are those of its words. Any other vocabulary encodes whole texts.
     """
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, letters: Letters | None = None):
         self.library = Tokenizer.from_str(definition)
         self.library.no_padding()
         self.library.no_truncation()
@@ -78,7 +78,7 @@ class WordEncoder:
         added = sorted((t["content"] for t in spec.get("added_tokens") or []), key=len, reverse=True)
         self.added = [t for t in added if t]
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")").split
-        self.find = regex.compile(BYTE_LEVEL_WORDS).findall
+        self.find = Words(BYTE_LEVEL_WORDS, letters or library_letters())
         self.known: dict[str, bytes] = {}
 
     def words(self, text: str) -> list[str]:
@@ -216,7 +216,7 @@ def write(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str =
         definition = f.read()
     vocabulary = max(Tokenizer.from_str(definition).get_vocab(with_added_tokens=True).values()) + 1
     bits = bits_for(max(vocabulary, end + 1))
-    shared = spark.sparkContext.broadcast(definition)
+    shared = spark.sparkContext.broadcast((definition, library_letters()))
     if parts is None:
         # As many files as the texts need, and no fewer than the session's tasks.
         total = docs.agg(F.sum(F.octet_length(utf8(quoted(text_col))))).first()[0] or 0
@@ -224,7 +224,7 @@ def write(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str =
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder, last = WordEncoder(shared.value), np.array([end], "<u4").tobytes()
+        encoder, last = WordEncoder(*shared.value), np.array([end], "<u4").tobytes()
         part = TaskContext.get().partitionId()
         fs, root = FileSystem.from_uri(folder)
         writer = out = None

@@ -37,9 +37,16 @@ def test_as_the_library(model, library, text):
     assert model.decode(ids) == library.decode(want, skip_special_tokens=False)
 
 
+def test_every_letter_as_the_library(model, library):
+    """Tables of letters differ in age; the library's count, in either case and beside others."""
+    texts = [f"a{chr(c)}b {chr(c)}{chr(c)}1" for c in range(0x80, 0x34000) if not 0xD800 <= c < 0xE000]
+    want = [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in model.encode(texts)] == want
+
+
 def test_random_strings_as_the_library(model, library):
     rng = np.random.default_rng(5)
-    letters = list("aaabetoinsh THE.,'!-0129éßñ\n日🎉")
+    letters = list("aaabetoinsh THE.,'!-0129éßñ\n日🎉\u0558\u1c89\ua7cb\U00010950Σİ")
     texts = ["".join(rng.choice(letters, rng.integers(0, 200))) for _ in range(300)]
     want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
     assert [np.frombuffer(x, "<u4").tolist() for x in model.encode(texts)] == want

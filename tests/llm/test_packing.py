@@ -55,6 +55,13 @@ def test_random_texts_encode_as_the_library(library, monkeypatch):
         assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == want
 
 
+def test_every_letter_encodes_as_the_library(library):
+    encoder = packing.WordEncoder(library.to_str())
+    texts = [f"a{chr(c)}b {chr(c)}{chr(c)}1" for c in range(0x80, 0x34000) if not 0xD800 <= c < 0xE000]
+    want = [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == want
+
+
 def test_other_vocabularies_encode_whole_texts():
     library = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
     encoder = packing.WordEncoder(library.to_str())
