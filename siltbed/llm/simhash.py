@@ -28,6 +28,7 @@ from siltbed.session import stage
 
 SEED = 42
 SHARD = 32_768          # fingerprints a shard aims at
+SALTS = 1024            # parts of a component that are named in tasks of their own
 MAX_SHARDS = 65_536     # nodes of the upper part; shards grow beyond
 VISITORS = 262_144      # fingerprints of other shards one task searches for
 FANOUT = 8
@@ -236,8 +237,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = stage(docs.select(quoted(id_col).alias("doc_id"),
                              fingerprint_column(quoted(text_col), shingle).alias("fp")), "simhash-rows")
     fps = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    linked = fps.join(components(links(fps, max_bits)).withColumnRenamed("node", "fp"), "fp")
-    named = linked.join(linked.groupBy("root").agg(F.min("least").alias("component_id")), "root")
+    linked = fps.join(components(links(fps, max_bits)).withColumnRenamed("node", "fp"), "fp").withColumn(
+        "salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)))
+    # A component of very many fingerprints meets its name in many tasks.
+    parts = linked.groupBy("root", "salt").agg(F.min("least").alias("least_of_part"))
+    whole = parts.groupBy("root").agg(F.min("least_of_part").alias("component_id"))
+    named = linked.join(parts.join(whole, "root").select("root", "salt", "component_id"), ["root", "salt"])
     alone = fps.join(named.select("fp"), "fp", "left_anti").select(
         "fp", F.col("least").alias("component_id"), F.col("fp").alias("root"))
     names = stage(named.select("fp", "component_id", "root").unionByName(alone), "simhash-names")
