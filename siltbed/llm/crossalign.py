@@ -35,12 +35,14 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from siltbed.llm.bpe import byte_characters
-from siltbed.llm.common import SEGMENT, chunks, quoted, slices, text_of, utf8
+from siltbed.llm.common import chunks, quoted, slices, text_of, utf8
 from siltbed.session import stage
 
 BATCH = 8_000_000       # bytes of texts in one row of the first pass
 CHUNKS = 200_000        # aligned chunks a worker keeps
 LONG = 200              # longer chunks are not kept
+ENCODED = 200_000       # characters the libraries encode at a time
+HELD = 500_000          # links of texts that are made distinct at a time
 SPACE = "▁"
 _RESULT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
 
@@ -148,7 +150,7 @@ class Pair:
                 own[c] = self.known[c] = self.older[c]
             else:
                 new.append(c)
-        for part in slices(new, SEGMENT):
+        for part in slices(new, ENCODED):
             for c, aligned in zip(new[part], self.align(new[part])):
                 own[c] = aligned
                 if len(c) <= LONG:
@@ -187,14 +189,18 @@ class Pair:
             times.append(n)
             text_of_chunk.append(np.full(len(u), d, np.int64))
         chunk, times, text = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (chunk, times, text_of_chunk))
-        held = np.unique(np.repeat(text, length[chunk]) * max(1, len(distinct)) + link[_ranges(length, chunk)])
-        docs = np.bincount(held % len(distinct), minlength=len(distinct)) if len(distinct) else np.zeros(0, np.int64)
+        docs = np.zeros(len(distinct), np.int64)
+        # Texts whose links end in the same stretch of them are counted together.
+        stretch = np.cumsum(np.bincount(text, length[chunk], len(own))).astype(np.int64)[text] // HELD
+        for rows in np.split(np.arange(len(text)), np.flatnonzero(np.diff(stretch)) + 1):
+            held = np.unique(np.repeat(text[rows], length[chunk[rows]]) * len(distinct) + link[_ranges(length, chunk[rows])])
+            np.add.at(docs, held % max(1, len(distinct)), 1)
         data = {"names": names, "missing": missing, "sums": np.array(sums, np.int64).reshape(-1, 4), "digests": digests,
                 "text": text.astype(np.int32), "chunk": chunk.astype(np.int32), "times": times.astype(np.int32),
                 "length": length.astype(np.int32), "link": link.astype(np.int32)}
         raw = pickle.dumps(data, protocol=5)
         packed = len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
-        return packed, distinct, docs.astype(np.int64)
+        return packed, distinct, docs
 
 
 class _Index(dict):

@@ -92,7 +92,7 @@ def test_odd_texts_by_brute_force(spark, make_docs, libraries, bytes_of, monkeyp
 
 
 def test_random_texts_by_brute_force(spark, make_docs, libraries, bytes_of, monkeypatch):
-    monkeypatch.setattr(crossalign, "SEGMENT", 40)
+    monkeypatch.setattr(crossalign, "ENCODED", 40)
     monkeypatch.setattr(crossalign, "CHUNKS", 30)
     rng = random.Random(9)
     letters = list("aabetoin  'sTH.,!-0129éß\n\t日🎉\x1c\x85\u3000\u00a0") + ["<s>", "▁", "   ", "the "]
