@@ -270,6 +270,9 @@ UNION ALL SELECT 'lineitem', CAST(l_orderkey AS BIGINT), CAST(l_linenumber AS BI
         worker, batch_no, roots, records FROM ledger WHERE batch_no <= 6""",
     "archive_table_by_ts_moved": f"SELECT * FROM events WHERE {EVENT_RULE}",
     "archive_table_by_ts_kept": f"SELECT * FROM events WHERE ({EVENT_RULE}) IS NOT TRUE",
+    "incremental_drain": f"SELECT *, CASE WHEN {SHIP_RULE} THEN 'moved' ELSE 'kept' END AS side FROM lineitem",
+    "incremental_drain_audit": f"""SELECT CAST(l_orderkey % 3 AS BIGINT) AS part, count(*) AS before, count(*) FILTER (WHERE {SHIP_RULE}) AS moved,
+        count(*) FILTER (WHERE ({SHIP_RULE}) IS NOT TRUE) AS kept, true AS balanced FROM lineitem GROUP BY 1""",
     "archive_table_by_date_moved": f"SELECT * FROM lineitem WHERE {SHIP_RULE}",
     "archive_table_by_date_kept": f"SELECT * FROM lineitem WHERE ({SHIP_RULE}) IS NOT TRUE",
     "drain_plan": f"""WITH {LEDGER}, spent AS (

@@ -18,7 +18,7 @@ from siltbed.session import scratch_path, settings, stage
 from siltbed.sources import runlog, sql
 from siltbed.sources.store import Store
 from siltbed.spec import Tree
-from siltbed.streaming import bounded
+from siltbed.streaming import bounded, drain
 from siltbed.streaming import progress as live
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -661,6 +661,34 @@ def stream_progress_bounded(spark, sf_dir):
     return bounded.bounded_totals(windows, bounded.late_lines(feed, windows))
 
 
+def three_drops(spark, sf_dir) -> str:
+    """lineitem dropped in three parts by key, a scheduled run after each and one more; the folder of it all."""
+    base, rule = scratch_path(spark, "drain"), select.eligible_filter(B.SHIP_TABLE, B.SHIP_RUN)
+    rows = one(spark, sf_dir, "lineitem")
+    for part in (0, 1, 2, None):
+        if part is not None:
+            rows.where(F.col("l_orderkey") % 3 == part).write.parquet(f"{base}/drops/part-{part}")
+        feed = drain.read_drops(spark, f"{base}/drops", rows.schema, files_per_trigger=4)
+        drain.start_drain(feed, rule, f"{base}/out", f"{base}/state").awaitTermination()
+    return base
+
+
+@query
+def incremental_drain(spark, sf_dir):
+    """Rows by side after four scheduled runs, each of which read the new files alone."""
+    out = f"{three_drops(spark, sf_dir)}/out"
+    return stacked({side: drain.drained(spark, out, side) for side in (drain.MOVED, drain.KEPT)}).withColumnRenamed("table_name", "side")
+
+
+@query
+def incremental_drain_audit(spark, sf_dir):
+    """What each drop had and where it went, from its files."""
+    base = three_drops(spark, sf_dir)
+    part = F.regexp_extract("file", "/part-([0-9])/", 1).cast("bigint").alias("part")
+    return drain.drain_audit(spark, f"{base}/drops", f"{base}/out").groupBy(part).agg(
+        *[F.sum(c).alias(c) for c in ("before", "moved", "kept")], F.bool_and("balanced").alias("balanced"))
+
+
 @query
 def stream_job_feed(spark, sf_dir):
     """Live totals from the lines that two jobs appended to one feed."""
