@@ -173,6 +173,7 @@ ORACLE: dict[str, str] = {
     "live_after_archive": by_name([ORDER_KEPT, LINE_KEPT]),
     "run_log_read": LOG_ROWS,
     "run_log_render": LOG_ROWS,
+    "stream_text_log": LOG_ROWS,
     "run_log_merged": f"""WITH {LOG} SELECT run_id, worker, line_no, message FROM log
         UNION ALL SELECT DISTINCT run_id, worker, 0, 'Worker ' || CAST(worker AS VARCHAR) FROM log
         UNION ALL SELECT run_id, 10, 1, 'Total Count: ' || CAST(CAST(sum(roots) AS BIGINT) AS VARCHAR) FROM totals GROUP BY run_id

@@ -15,7 +15,7 @@ from siltbed.operators import audit, batch, closure, ledger, maintain, select, s
 from siltbed.plans import jobs, logs, statistics
 from siltbed.plans.upkeep import upkeep
 from siltbed.session import scratch_path, settings, stage
-from siltbed.sources import runlog, sql
+from siltbed.sources import runlog, sql, textlog
 from siltbed.sources.store import Store
 from siltbed.spec import Tree
 from siltbed.streaming import bounded, drain
@@ -699,3 +699,14 @@ def stream_job_feed(spark, sf_dir):
         logs.feed_lines(store, tree, run, move(store, tree, run), f"{base}/lines")
     live.start_progress(live.read_live_log(spark, f"{base}/lines"), f"{base}/out", f"{base}/state").awaitTermination()
     return live.progress_totals(spark.read.parquet(f"{base}/out")).select("run_id", "worker", "total_count", "completed")
+
+
+@query
+def stream_text_log(spark, sf_dir):
+    """Plain text logs as a stream: the first lines of every worker, a restart, then the others."""
+    base, lines = scratch_path(spark, "stream"), B.order_log_table(spark, sf_dir)
+    for step, part in enumerate(("line_no <= 100", "line_no > 100")):
+        runlog.write_run_log(lines.where(part), f"{base}/logs/step-{step}", per_worker_dirs=True)
+        feed = textlog.read_text_stream(spark, f"{base}/logs", piece_bytes=1024 * 1024)
+        textlog.start_text_log(feed, f"{base}/out", f"{base}/state").awaitTermination()
+    return textlog.read_text_lines(spark, f"{base}/out")

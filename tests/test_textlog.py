@@ -1,0 +1,96 @@
+import io
+
+import pytest
+from pyspark.sql.utils import StreamingQueryException
+
+from siltbed.sources import textlog
+
+
+def run(spark, base, piece_bytes=64):
+    textlog.start_text_log(textlog.read_text_stream(spark, f"{base}/logs", piece_bytes), f"{base}/out", f"{base}/state").awaitTermination()
+
+
+def append(base, name, data: bytes):
+    path = base / "logs" / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with path.open("ab") as f:
+        f.write(data)
+
+
+def lines(spark, base):
+    rows = spark.read.parquet(f"{base}/out/lines").collect()
+    return sorted((r["file"], r["line_no"], r["start"], r["message"]) for r in rows)
+
+
+def plain(base):
+    """Whole lines of every file with their number and first byte."""
+    out = []
+    for path in (base / "logs").rglob("*"):
+        if path.is_file() and path.name[0] not in "_.":
+            at = 0
+            for no, text in enumerate(path.read_bytes().split(b"\n")[:-1], 1):
+                out.append((str(path.relative_to(base / "logs")), no, at, text.removesuffix(b"\r").decode("utf-8", "replace")))
+                at += len(text) + 1
+    return sorted(out)
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 7, 100])
+@pytest.mark.parametrize("back", [1, 4, 64])
+def test_pieces_give_each_line_once(monkeypatch, piece, back):
+    monkeypatch.setattr(textlog, "LOOK_BACK", back)
+    monkeypatch.setattr(textlog, "BLOCK_BYTES", 5)
+    data = "ab\n\n\nc\r\nlong line without an end for a while\nätü\n\nrest".encode()
+    got = []
+    for start in range(0, len(data), piece):
+        for starts, texts in textlog.ended_lines(io.BytesIO(data), start, min(start + piece, len(data))):
+            got += zip(starts.tolist(), texts)
+    want, at = [], 0
+    for text in data.split(b"\n")[:-1]:
+        want.append((at, text.removesuffix(b"\r")))
+        at += len(text) + 1
+    assert got == want
+
+
+def test_restarts_in_the_middle_of_files_and_lines(spark, tmp_path):
+    append(tmp_path, "run_id=a/worker=1/log.txt", b"one\ntwo\nthr")
+    append(tmp_path, "run_id=a/worker=2/log.txt", b"".join(b"line %d\n" % i for i in range(100)))
+    append(tmp_path, "run_id=a/worker=2/_SUCCESS", b"not a log\n")
+    append(tmp_path, "run_id=b/worker=1/empty.txt", b"")
+    run(spark, tmp_path)
+    assert lines(spark, tmp_path) == plain(tmp_path)
+    append(tmp_path, "run_id=a/worker=1/log.txt", b"ee\nfour")
+    run(spark, tmp_path)
+    append(tmp_path, "run_id=a/worker=1/log.txt", b"\r\n\xff\n" + b"x" * 500)
+    append(tmp_path, "run_id=b/worker=1/empty.txt", b"\n\nlate\n")
+    run(spark, tmp_path)
+    run(spark, tmp_path)
+    assert lines(spark, tmp_path) == plain(tmp_path)
+    assert [r[3] for r in lines(spark, tmp_path) if "worker=1/log" in r[0]] == ["one", "two", "three", "four", "�"]
+
+
+def test_a_batch_tried_again_counts_once(spark, tmp_path):
+    append(tmp_path, "run_id=a/worker=1/log.txt", b"one\ntwo\n")
+    run(spark, tmp_path)
+    append(tmp_path, "run_id=a/worker=1/log.txt", b"three\n")
+    run(spark, tmp_path)
+    # Forget that the last batch was finished: it runs again.
+    for name in ("1", ".1.crc"):
+        (tmp_path / "state" / "commits" / name).unlink()
+    run(spark, tmp_path)
+    assert lines(spark, tmp_path) == plain(tmp_path)
+
+
+def test_several_files_of_a_worker_follow_by_name(spark, tmp_path):
+    append(tmp_path, "run_id=a/worker=3/part-1.txt", b"c\n")
+    append(tmp_path, "run_id=a/worker=3/part-0.txt", b"a\nb\n")
+    run(spark, tmp_path)
+    got = textlog.read_text_lines(spark, f"{tmp_path}/out").collect()
+    assert sorted(map(tuple, got)) == [("a", 3, 1, "a"), ("a", 3, 2, "b"), ("a", 3, 3, "c")]
+
+
+def test_a_file_that_shrank_fails(spark, tmp_path):
+    append(tmp_path, "run_id=a/worker=1/log.txt", b"one\ntwo\n")
+    run(spark, tmp_path)
+    (tmp_path / "logs/run_id=a/worker=1/log.txt").write_bytes(b"o\n")
+    with pytest.raises(StreamingQueryException, match="shrank"):
+        run(spark, tmp_path)
