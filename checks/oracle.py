@@ -187,6 +187,8 @@ ORACLE: dict[str, str] = {
     "child_rows_semi": f"SELECT * FROM lineitem WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND {ELIGIBLE})",
     "root_rows_semi": f"SELECT * FROM orders WHERE o_orderkey IN ({ORDER_KEYS})",
     "grandchild_rows_semi": f"SELECT * FROM lineitem WHERE {IN_CUST_TREE['lineitem']}",
+    "bloom_lookup": """SELECT * FROM lineitem WHERE l_orderkey IN (
+        SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100)""",
     "closure_rows": """
 WITH RECURSIVE linked AS (
   SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 1 THEN c_custkey * 7 % 101 END AS a,
@@ -208,6 +210,7 @@ UNION ALL SELECT 'lineitem', CAST(l_orderkey AS BIGINT), CAST(l_linenumber AS BI
         UNION ALL SELECT *, 'kept', CAST(NULL AS INTEGER), CAST(NULL AS BIGINT) FROM events WHERE ({EVENT_RULE}) IS NOT TRUE""",
     "archive_by_key_list": f"SELECT * FROM lineitem WHERE l_orderkey IN ({ORDER_KEYS})",
     "backlog_by_slice": f"WITH {NUMBERED} SELECT worker, count(*) FILTER (WHERE batch_no > 5) AS backlog FROM numbered GROUP BY worker",
+    "observed_counts": f"SELECT table_name, moved FROM ({CUST_AUDIT})",
     "moved_counts_per_table": f"SELECT table_name, moved FROM ({CUST_AUDIT})",
     "moved_records_total": f"""SELECT CAST(sum(moved) FILTER (WHERE table_name = 'customer') AS BIGINT) AS roots,
         CAST(sum(moved) AS BIGINT) AS records FROM ({CUST_AUDIT})""",
@@ -326,6 +329,7 @@ UNION ALL SELECT 'lineitem', CAST(l_orderkey AS BIGINT), CAST(l_linenumber AS BI
         f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) FILTER (WHERE {c} IS NULL) AS null_count, true AS distinct_close, "
         f"CASE WHEN any_value(typeof({c})) <> 'VARCHAR' THEN true END AS median_close FROM lineitem" for c in LINEITEM_COLUMNS),
     "compact_roundtrip": f"SELECT * FROM lineitem WHERE l_orderkey IN ({ORDER_KEYS})",
+    "clustered_rewrite": "SELECT * FROM lineitem",
     "dry_run_report": f"""WITH {NUMBERED}, n AS (SELECT worker, count(*) AS eligible FROM numbered GROUP BY worker)
         SELECT worker, CAST(lb AS INTEGER) AS lb, CAST(up AS INTEGER) AS up, {CUTOFF} AS cutoff, eligible,
                (eligible + 19) // 20 AS batches, CAST(10800 AS BIGINT) AS time_limit_sec

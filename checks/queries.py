@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from checks import bindings as B
 from siltbed.functions import progress, scalars
-from siltbed.operators import audit, batch, closure, ledger, maintain, select, sketches, slices
+from siltbed.operators import audit, batch, closure, cluster, ledger, lookup, maintain, select, sketches, slices
 from siltbed.plans import jobs, logs, statistics
 from siltbed.plans.upkeep import upkeep
 from siltbed.session import scratch_path, settings, stage
@@ -168,6 +168,16 @@ def grandchild_rows_semi(spark, sf_dir):
     return tree_moved(spark, sf_dir, B.CUSTOMER_TREE, B.CUSTOMER_RUN)["lineitem"]
 
 
+@query
+def bloom_lookup(spark, sf_dir):
+    """Lines of the hundred dearest orders, in files that lie by part and have Bloom filters on the order."""
+    path, lines = scratch_path(spark, "bloom"), one(spark, sf_dir, "lineitem")
+    (lines.repartition("l_partkey").sortWithinPartitions("l_partkey")
+          .write.options(**lookup.bloom_options({"l_orderkey": 1_000_000})).parquet(path))
+    dearest = one(spark, sf_dir, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(100).select("o_orderkey")
+    return lookup.lookup(spark.read.parquet(path), "l_orderkey", dearest)
+
+
 @query
 def closure_rows(spark, sf_dir):
     """Customers that refer to customers by two columns, in circles and to themselves, and what hangs on them."""
@@ -229,6 +239,14 @@ def moved_counts_per_table(spark, sf_dir):
     return ledger.counts_per_table(tree_moved(spark, sf_dir, B.CUSTOMER_TREE, B.CUSTOMER_RUN))
 
 
+@query
+def observed_counts(spark, sf_dir):
+    """The moved counts of the customer tree, taken while its rows are written."""
+    base = scratch_path(spark, "observed")
+    moved = tree_moved(spark, sf_dir, B.CUSTOMER_TREE, B.CUSTOMER_RUN)
+    return ledger.write_counted(moved, lambda table, rows: rows.write.parquet(f"{base}/{table}"))
+
+
 @query
 def moved_records_total(spark, sf_dir):
     return ledger.total_records(moved_counts_per_table(spark, sf_dir), "customer")
@@ -617,6 +635,14 @@ def compact_roundtrip(spark, sf_dir):
     return store.archive("lineitem")
 
 
+@query
+def clustered_rewrite(spark, sf_dir):
+    """lineitem rewritten so that files are small in both ship date and order."""
+    path = scratch_path(spark, "clustered")
+    cluster.rewrite_clustered(one(spark, sf_dir, "lineitem"), path, ["l_shipdate", "l_orderkey"], target_bytes=1024 * 1024)
+    return spark.read.parquet(path)
+
+
 @query
 def dry_run_report(spark, sf_dir):
     return jobs.dry_run(B.ORDER_TREE, one(spark, sf_dir, "orders"), replace(B.ORDER_RUN, time_limit_sec=B.TIME_LIMIT))

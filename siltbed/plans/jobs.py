@@ -26,7 +26,8 @@ from pyspark.sql import types as T
 from siltbed.functions.scalars import months_earlier, worker_of
 from siltbed.operators.audit import content_conservation, row_hash
 from siltbed.operators.batch import assign_batches
-from siltbed.operators.select import eligible_filter, eligible_keys, matching, scan
+from siltbed.operators.lookup import lookup
+from siltbed.operators.select import eligible_filter, eligible_keys, scan
 from siltbed.operators.slices import slice_plan
 from siltbed.session import ADVISORY, settings, stage
 from siltbed.sources.store import (
@@ -499,7 +500,7 @@ def _touched_parts(
     if len(loose) > 1:
         rows = store.read(manifest, LIVE, table.name, loose, with_file=FILE)
         on = _link_column(table)
-        found = files_of(matching(rows.select(_tick(on), FILE), on, link.select(KEY)), FILE, loose, store.locate)
+        found = files_of(lookup(rows.select(_tick(on), FILE), on, link.select(KEY)), FILE, loose, store.locate)
     return [p for p in own if p.segment in hit] + found, loose
 
 
@@ -522,7 +523,7 @@ def _audit_unread(store: Store, manifest: Manifest, table: Table, unread: list[P
 
     open_ = [p for p in unread if not proven(p) and not (p.segment == "none" and p.layout == layout)]
     if open_:
-        rows = matching(store.read(manifest, LIVE, table.name, open_).select(_tick(table.link)), table.link, link.select(KEY))
+        rows = lookup(store.read(manifest, LIVE, table.name, open_).select(_tick(table.link)), table.link, link.select(KEY))
         if not rows.isEmpty():
             raise AuditError(f"{table.name}: rows of {rows.first()[0]} are in a part that was not read")
 
