@@ -3,12 +3,14 @@
 The tree is fitted on a bounded sample, every vector is then put into one of its
 leaves. A query walks the tree best bin first: a priority queue holds nodes by their
 centre's cosine, the best is opened, leaves are visited in the order they come out.
-How many leaves are visited is calibrated on the sample: the number is widened until
-the recall against brute force reaches the target.
+How many leaves are visited is calibrated with part of the sample that the tree is not
+fitted on: the number is widened until the recall against brute force reaches the target.
 
 Equal vectors are one entry with their least ids, as many as a result can show, so a
-vector that a third of the rows share costs one comparison. Leaves and the queries
-that visit them are cut into blocks of bounded size before they meet.
+vector that a third of the rows share costs one comparison. Leaves meet queries in groups of
+neighbouring leaves: a query goes once to each group it visits, with the list of its leaves
+there, and is compared with the entries of those leaves only. Groups and the queries that visit
+them are cut into blocks of bounded size before they meet.
 """
 
 from __future__ import annotations
@@ -28,9 +30,12 @@ SAMPLE = 20_000         # vectors the tree is fitted on, by hash
 FANOUT = 16
 LEAF = 24               # sample vectors under which a node isn't split
 ROUNDS = 8
-PROBES = 300            # sample vectors the visits are calibrated with
+PROBES = 300            # sample vectors the visits are calibrated with, at most a tenth of them
 TARGET = 0.98
 MEMBERS, QUERIES = 4_096, 2_048     # of a block
+GROUP = 32              # leaves that a query meets at once
+WALKS = 128             # queries that a task walks, about
+TASKS = 20_000          # tasks of the walk at most
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -107,10 +112,15 @@ class Tree:
         return int(self.leaf.max()) + 1
 
 
-def calibrate(tree: Tree, x: np.ndarray, k: int, target: float = TARGET) -> int:
-    """Leaves to visit so that probes find ``target`` of their ``k`` nearest in the sample."""
+def probes_of(x: np.ndarray) -> np.ndarray:
+    """Evenly spaced rows to calibrate with; none of a sample of under ten."""
+    n = min(PROBES, len(x) // 10)
+    return np.unique(np.linspace(0, len(x) - 1, n).astype(int))
+
+
+def calibrate(tree: Tree, x: np.ndarray, probes: np.ndarray, k: int, target: float = TARGET) -> int:
+    """Leaves to visit so that the probes, rows of ``x``, find ``target`` of their ``k`` nearest in it."""
     leaf = tree.assign(x)
-    probes = np.unique(np.linspace(0, len(x) - 1, min(PROBES, len(x))).astype(int))
     needed = []
     for p in probes:
         score = x @ x[p]
@@ -155,8 +165,9 @@ def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
 
     sample = entries.select("v").orderBy(F.xxhash64("v"), "v").limit(SAMPLE).toPandas()
     x = _unit(np.stack(sample["v"].to_numpy()).astype(float))
-    tree = Tree.fit(x)
-    visits = calibrate(tree, x, k, target)
+    probes = probes_of(x)
+    tree = Tree.fit(np.delete(x, probes, axis=0))
+    visits = calibrate(tree, x, probes, k, target)
     shared = spark.sparkContext.broadcast((tree.centres, tree.first, tree.count, tree.leaf, visits))
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -167,36 +178,55 @@ def nearest(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = Tree(*shared.value[:4])
         for batch in batches:
-            leaves = [own.visit(q / np.linalg.norm(q), shared.value[4]) for q in batch["v"]]
-            yield batch.assign(leaf=leaves)
+            for i in range(0, len(batch), WALKS):
+                out = []
+                for v, qkey in zip(batch["v"].iloc[i:i + WALKS], batch["qkey"].iloc[i:i + WALKS]):
+                    leaves = np.sort(own.visit(v / np.linalg.norm(v), shared.value[4]))
+                    groups, first = np.unique(leaves // GROUP, return_index=True)
+                    out += [(qkey, v, g, part) for g, part in zip(groups, np.split(leaves, first[1:]))]
+                yield pd.DataFrame(out, columns=["qkey", "v", "grp", "leaves"])
 
     asked = rows.filter(F.pmod("vec_id", F.lit(every)) == 0)
-    queries = asked.groupBy("v").agg(F.min("vec_id").alias("qkey"))
+    queries = stage(asked.groupBy("v").agg(F.min("vec_id").alias("qkey")), "ann-queries")
+    tasks = min(TASKS, -(-queries.count() // WALKS)) or 1
     members = stage(entries.mapInPandas(assign, "v array<double>, ids array<long>, leaf int"), "ann-members")
-    visited = stage(queries.mapInPandas(walk, "v array<double>, qkey long, leaf array<int>")
-                    .select("qkey", "v", F.explode("leaf").alias("leaf")), "ann-visits")
-    # One row per leaf: at most as many as the sample has vectors.
-    blocks = members.groupBy("leaf").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("m_blocks")).join(
-        visited.groupBy("leaf").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("q_blocks")), "leaf")
+    members = members.withColumn("grp", F.floor(F.col("leaf") / GROUP).cast("int"))
+    visited = stage(queries.repartition(tasks, "qkey").mapInPandas(
+        walk, "qkey long, v array<double>, grp int, leaves array<int>"), "ann-visits")
+    # One row per group of leaves: fewer than the sample has vectors.
+    blocks = members.groupBy("grp").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("m_blocks")).join(
+        visited.groupBy("grp").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("q_blocks")), "grp")
     blocks = F.broadcast(stage(blocks, "ann-blocks"))
 
     def spread(df: DataFrame, key: Column, own: str, other: str) -> DataFrame:
-        df = df.join(blocks, "leaf").withColumn(own, F.pmod(F.xxhash64(key), F.col(f"{own}_blocks")).cast("int"))
+        df = df.join(blocks, "grp").withColumn(own, F.pmod(F.xxhash64(key), F.col(f"{own}_blocks")).cast("int"))
         return df.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1))).drop("m_blocks", "q_blocks")
 
     def compare(q: pd.DataFrame, m: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(m):
             return pd.DataFrame({"qkey": [], "vec_id": [], "score": []})
-        a, b = np.stack(q["v"].to_numpy()), np.stack(m["v"].to_numpy())
-        score = (a @ b.T) / (np.linalg.norm(a, axis=1)[:, None] * np.linalg.norm(b, axis=1))
+        m = m.sort_values("leaf", kind="stable")
+        a, b, leaf = _unit(np.stack(q["v"].to_numpy())), _unit(np.stack(m["v"].to_numpy())), m["leaf"].to_numpy()
+        wanted = np.concatenate(q["leaves"].to_numpy())
+        asker = np.repeat(np.arange(len(q)), [len(x) for x in q["leaves"]])
+        score = np.full((len(a), len(b)), -np.inf)
+        for n in np.unique(leaf):
+            who, own = asker[wanted == n], slice(*np.searchsorted(leaf, [n, n + 1]))
+            score[who, own] = a[who] @ b[own].T
         keep = min(k + 1, len(b))
-        near, entry = np.nonzero(score >= np.partition(score, -keep, axis=1)[:, [-keep]])
+        least = np.partition(score, -keep, axis=1)[:, [-keep]]
+        # A hair under the least, for equal cosines may be rounded apart.
+        near, entry = np.nonzero((score >= least - 1e-12) & (score > -np.inf))
+        if not len(near):
+            return pd.DataFrame({"qkey": [], "vec_id": [], "score": []})
+        a, b = np.stack(q["v"].to_numpy()), np.stack(m["v"].to_numpy())
+        exact = np.einsum("ij,ij->i", a[near], b[entry]) / (np.linalg.norm(a, axis=1)[near] * np.linalg.norm(b, axis=1)[entry])
         ids = m["ids"].to_numpy()[entry]
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         return pd.DataFrame({"qkey": np.repeat(q["qkey"].to_numpy()[near], size), "vec_id": np.concatenate(ids),
-                             "score": np.repeat(score[near, entry], size)})
+                             "score": np.repeat(exact, size)})
 
-    keys = ("leaf", "m", "q")
+    keys = ("grp", "m", "q")
     found = spread(visited, F.col("qkey"), "q", "m").groupBy(*keys).cogroup(
         spread(members, F.col("v"), "m", "q").groupBy(*keys)).applyInPandas(compare, "qkey long, vec_id long, score double")
     best = Window.partitionBy("qkey").orderBy(F.desc("score"), "vec_id")

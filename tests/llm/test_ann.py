@@ -4,7 +4,7 @@ import pytest
 from siltbed.llm import ann
 from siltbed.llm.queries import op6_ann
 
-SCHEMA = "vec_id long, embedding array<float>, label int, v string, leaf string, place string, m string, q string"
+SCHEMA = "vec_id long, embedding array<float>, label int, v string, leaf string, place string, grp string, q string"
 
 
 def frame(spark, rows):
@@ -57,7 +57,7 @@ def test_nothing_to_find(spark, rows):
 
 
 def test_leaves_and_blocks(spark, monkeypatch):
-    for name, value in (("LEAF", 8), ("MEMBERS", 10), ("QUERIES", 3), ("SAMPLE", 300)):
+    for name, value in (("LEAF", 8), ("MEMBERS", 10), ("QUERIES", 3), ("SAMPLE", 300), ("GROUP", 4), ("WALKS", 7)):
         monkeypatch.setattr(ann, name, value)
     rng = np.random.default_rng(2)
     centre = rng.normal(size=(12, 8))
@@ -87,3 +87,23 @@ def test_recall_of_the_query(spark):
         by.setdefault(r["query_id"], set()).add(r["vec_id"])
     assert all(len(by[i]) == 5 for i in want) and set(by) == set(want)
     assert sum(len(by[i] & {j for _, j in best}) for i, best in want.items()) >= 0.9 * 5 * len(want)
+
+
+def test_probes_are_held_out_and_queries_outside_the_sample_find_their_neighbours():
+    """50,000 vectors, the tree fitted on 20,000 of them, queries among the other 30,000."""
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=(60, 24))
+    x = ann._unit(centre[rng.integers(0, 60, 50_000)] + 0.5 * rng.normal(size=(50_000, 24)))
+    sample = x[:ann.SAMPLE]
+    probes = ann.probes_of(sample)
+    assert len(probes) == ann.PROBES
+    tree = ann.Tree.fit(np.delete(sample, probes, axis=0))
+    visits, leaf = ann.calibrate(tree, sample, probes, 5), tree.assign(x)
+    hits = 0
+    for q in range(ann.SAMPLE, 50_000, 150):
+        score = x @ x[q]
+        score[q] = -np.inf
+        near = np.argpartition(-score, 5)[:5]
+        hits += np.isin(leaf[near], tree.visit(x[q], visits)).sum()
+    assert visits < tree.leaves / 2
+    assert hits >= 0.96 * 5 * 200
