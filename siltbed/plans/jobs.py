@@ -44,6 +44,8 @@ PLACE, SALT = f"{OWN}place", f"{OWN}salt"
 CO_PARTITIONED = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
 # Bytes of rows in memory for each byte of a file, about.
 INFLATION = 4
+# Up to so many keys may be broadcast: in memory they take many times their bytes on disk.
+BROADCAST_KEYS = 200_000
 # Root rows a chunk aims at where the run names no number of batches.
 CHUNK_ROWS = 20_000_000
 LEDGER_SCHEMA = T.StructType([
@@ -406,7 +408,7 @@ def _tree_chunk(
 ) -> Chunk:
     """Move the rows of one chunk; rows met of later chunks are put apart for them."""
     manifest = before = result.manifest
-    links = {tree.root.name: keys.where(_chunk_of(BATCH, plan.size) >= chunk)}
+    links = {tree.root.name: _sized(keys.where(_chunk_of(BATCH, plan.size) >= chunk), sum(plan.left(chunk - 1).values()))}
     label, audit, moved_parts = f"{result.run_id}-{chunk + 1:05d}", {}, {}
 
     def move(t: Table) -> tuple[list[Part], list[Part], list[Part]]:
@@ -434,7 +436,7 @@ def _tree_chunk(
         _check_not_archived(store, before, t, moved)
         if tree.children(t.name) and t.parent is not None:
             known = moved + [p for parts in own.pending.values() for p in parts]
-            links[t.name] = _next_link(store, before, t, known)
+            links[t.name] = _sized(_next_link(store, before, t, known), _rows_in(known))
         return read + ready, stay, moved
 
     for level in _levels(tree):
@@ -559,30 +561,110 @@ def _tasks_per_segment(store: Store, tree: Tree, table: Table, rows: DataFrame,
 
 
 def _split(rows: DataFrame, tree: Tree, table: Table, link: DataFrame, size: int, tasks: dict[str, int]) -> DataFrame:
-    """All rows with their side, dealt once: by segment and, inside a large one, by a hash of the row.
+    """All rows with their side, dealt once: by segment and, inside a large one, by ranges of the link.
 
-    The keys of a segment go to each of its tasks, so the join and the write use one
-    exchange of the table, and a parent with very many rows is spread like any other.
+    A key goes to the task of its range only, so the join and the write use one exchange of
+    the table and keys aren't multiplied by the tasks. Ranges follow key order, as batches
+    do: a task meets few chunks and writes few files. A range with too many rows, as of a
+    parent with very many, is dealt by a hash of the row, and its keys go to each of its tasks.
     """
     names, on = rows.columns, _link_column(table)
     large = {s: n for s, n in tasks.items() if n > 1}
-
-    def share(segment: Column) -> Column:
-        return F.coalesce(F.create_map(*[F.lit(x) for pair in large.items() for x in pair])[segment], F.lit(1))
-
     of_key = F.col(SEG) if table.parent is None else range_label(F.col(KEY), table.span)
     chosen = link.select(KEY, F.col(WORKER).alias(TO_WORKER), F.col(BATCH).alias(TO_BATCH), of_key.alias(PLACE))
     placed, by = rows.withColumn(PLACE, segment_of(tree, table)), [PLACE]
     if large:
         by = [PLACE, SALT]
-        chosen = chosen.withColumn(SALT, F.explode(F.sequence(F.lit(0), share(F.col(PLACE)) - 1)))
-        placed = placed.withColumn(SALT, F.pmod(row_hash(rows), share(F.col(PLACE)).cast("bigint")).cast("int"))
+        cuts = _Cuts.of(placed, on, large)
+        # A root's key is of one row, so its hash spreads rows as well and needs no copies.
+        spread = F.xxhash64(_number(on)) if table.parent is None else row_hash(rows)
+        copies = F.sequence(F.lit(0), cuts.copies(KEY) - 1) if table.parent is not None else F.array(
+            cuts.pick(KEY, F.xxhash64(_number(KEY))))
+        chosen = chosen.withColumn(SALT, F.explode(F.transform(copies, lambda n: cuts.share(KEY) + n)))
+        placed = placed.withColumn(SALT, cuts.share(on) + cuts.pick(on, spread))
     # Twice as many partitions as shares, for several shares can fall into one.
     dealt = placed.repartition(2 * max(1, sum(tasks.values())), *by)
     same = reduce(Column.__and__, [dealt[c] == chosen[c] for c in by])
     return _sides(dealt.join(chosen, same & (dealt[_tick(on)] == chosen[KEY]), "left"), names, tree, table, size)
 
 
+def _number(column: str) -> Column:
+    """A link as a number: values that a join takes for equal are equal."""
+    return F.col(_tick(column)).try_cast("double")
+
+
+@dataclass
+class _Cuts:
+    """How the rows of large segments are dealt among tasks, by ranges of their link.
+
+    A segment's range of link values has ``CELLS`` cells of one width for each of its tasks.
+    Cells in a row make a share until it has a task's part of the rows; a cell of over twice
+    that has several shares. ``segments`` has per segment the place of its first cell in
+    ``first`` and ``many`` (first share and number of shares of a cell), its least value and
+    the width and number of its cells.
+    """
+
+    segments: dict[str, tuple[int, float, float, int]]
+    first: list[int]
+    many: list[int]
+
+    CELLS = 8
+
+    @staticmethod
+    def of(placed: DataFrame, on: str, tasks: dict[str, int]) -> _Cuts:
+        inside = placed.where(F.col(PLACE).isin(list(tasks))).select(PLACE, _number(on).alias("x"))
+        ends = {r[0]: r[1:] for r in inside.groupBy(PLACE).agg(F.min("x"), F.max("x")).collect()}
+        segments, at = {}, 0
+        for s, n in tasks.items():
+            low, high = ends.get(s, (None, None))
+            # Without numbers, as where all links are null, a segment is one cell.
+            cells = n * _Cuts.CELLS if low is not None and 0 < high - low < float("inf") else 1
+            segments[s] = at, low if cells > 1 else 0.0, (high - low) / cells if cells > 1 else 1.0, cells
+            at += cells
+        cuts = _Cuts(segments, [0] * at, [1] * at)
+        rows = [0] * at
+        for cell, n in inside.groupBy(cuts._cell(F.col("x")).alias("c")).count().collect():
+            rows[cell] = n
+        for s, (start, _, _, cells) in segments.items():
+            each, share, held = max(1, sum(rows[start:start + cells]) / tasks[s]), 0, 0
+            for cell in range(start, start + cells):
+                if held and held + rows[cell] > each:
+                    share, held = share + 1, 0
+                cuts.first[cell], held = share, held + rows[cell]
+                if rows[cell] > 2 * each:
+                    cuts.many[cell] = -int(-rows[cell] // each)
+                    share, held = share + cuts.many[cell], 0
+        return cuts
+
+    def _cell(self, x: Column) -> Column:
+        """Place of a value's cell among all cells, 0 outside large segments."""
+        known = [F.struct(*map(F.lit, of)) for of in self.segments.values()]
+        start, low, width, cells = (F.create_map(*[c for pair in zip(map(F.lit, self.segments), known) for c in pair])[F.col(PLACE)][f"col{i}"]
+                                    for i in range(1, 5))
+        at = F.greatest(F.least(F.floor((x - low) / width), cells - 1), F.lit(0))
+        return F.coalesce(start + F.coalesce(at, F.lit(0)), F.lit(0)).cast("int")
+
+    def _of_cell(self, values: list[int], other: int, column: str) -> Column:
+        """The value of a link's cell; ``other`` outside large segments."""
+        table = F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
+        inside = F.col(PLACE).isin(list(self.segments))
+        return F.when(inside, F.get(table, self._cell(_number(column)))).otherwise(F.lit(other))
+
+    def share(self, column: str) -> Column:
+        """Number of the first share of a link's cell, inside its segment."""
+        return self._of_cell(self.first, 0, column)
+
+    def copies(self, column: str) -> Column:
+        """Number of shares of a link's cell."""
+        return self._of_cell(self.many, 1, column)
+
+    def pick(self, column: str, hashed: Column) -> Column:
+        """Which of its cell's shares a row goes to."""
+        if max(self.many) == 1:
+            return F.lit(0)
+        return F.pmod(hashed, self.copies(column).cast("bigint")).cast("int")
+
+
 def _provenance(store: Store, manifest: Manifest, table: Table, parts: list[Part], *columns: str) -> DataFrame:
     """Worker and batch of moved rows, with some of their columns."""
     live = store.schema(manifest, LIVE, table.name)
@@ -593,6 +675,11 @@ def _provenance(store: Store, manifest: Manifest, table: Table, parts: list[Part
     return store.spark.read.schema(schema).parquet(*[store.locate(p) for p in parts])
 
 
+def _sized(keys: DataFrame, count: int) -> DataFrame:
+    """Keys for joins: merged and not broadcast where there are many of them."""
+    return keys.hint("merge") if count > BROADCAST_KEYS else keys
+
+
 def _next_link(store: Store, manifest: Manifest, table: Table, moved: list[Part]) -> DataFrame:
     """Keys of moved rows, one row each, as the link for the table's dependents."""
     keys = _provenance(store, manifest, table, moved, table.key).withColumnRenamed(table.key, KEY)
