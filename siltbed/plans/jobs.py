@@ -535,13 +535,17 @@ def _split_by_link(
 ) -> dict[str, list[Part]]:
     """One scan, one join on the unique chosen keys, one write of all sides."""
     rows = store.read(manifest, LIVE, table.name, read)
-    tasks = _tasks_per_segment(store, tree, table, rows, read)
-    split = _split(rows, tree, table, link, size, tasks)
+    counts = _rows_per_segment(store, tree, table, rows, read)
+    each = max(1, store.target_bytes * INFLATION // max(1, rows._jdf.schema().defaultSize()))
+    tasks = {s: -(-n // each) for s, n in counts.items()}
+    # Small segments share tasks: very many of them don't make very many tasks.
+    small = -(-sum(counts[s] for s, n in tasks.items() if n == 1) // each) + store.spark.sparkContext.defaultParallelism
+    split = _split(rows, tree, table, link, size, tasks, small)
     return store.write_sides(split, label, layout_of(tree, table), _link_column(table), table.key, placed=True)
 
 
-def _tasks_per_segment(store: Store, tree: Tree, table: Table, rows: DataFrame, read: list[Part]) -> dict[str, int]:
-    """Among how many tasks the rows of each segment are dealt; one number per segment.
+def _rows_per_segment(store: Store, tree: Tree, table: Table, rows: DataFrame, read: list[Part]) -> dict[str, int]:
+    """How many rows each segment will have; one number per segment.
 
     Rows of parts in the table's own layout are counted in the manifest, those of others
     by a scan of the column their label follows from.
@@ -555,18 +559,20 @@ def _tasks_per_segment(store: Store, tree: Tree, table: Table, rows: DataFrame,
         own = store.read(store.snapshot(), LIVE, table.name, loose) if len(loose) < len(read) else rows
         for segment, n in own.groupBy(segment_of(tree, table).alias("s")).count().collect():
             counts[segment] = counts.get(segment, 0) + n
-    width = max(1, rows._jdf.schema().defaultSize())
-    each = max(1, store.target_bytes * INFLATION // width)
-    return {s: -(-n // each) for s, n in counts.items() if n}
+    return {s: n for s, n in counts.items() if n}
 
 
-def _split(rows: DataFrame, tree: Tree, table: Table, link: DataFrame, size: int, tasks: dict[str, int]) -> DataFrame:
+def _split(
+    rows: DataFrame, tree: Tree, table: Table, link: DataFrame, size: int, tasks: dict[str, int], small: int | None = None
+) -> DataFrame:
     """All rows with their side, dealt once: by segment and, inside a large one, by ranges of the link.
 
     A key goes to the task of its range only, so the join and the write use one exchange of
     the table and keys aren't multiplied by the tasks. Ranges follow key order, as batches
     do: a task meets few chunks and writes few files. A range with too many rows, as of a
     parent with very many, is dealt by a hash of the row, and its keys go to each of its tasks.
+    ``tasks`` has the number of tasks per segment; segments of one task share ``small`` tasks
+    at most.
     """
     names, on = rows.columns, _link_column(table)
     large = {s: n for s, n in tasks.items() if n > 1}
@@ -583,7 +589,12 @@ def _split(rows: DataFrame, tree: Tree, table: Table, link: DataFrame, size: int
         chosen = chosen.withColumn(SALT, F.explode(F.transform(copies, lambda n: cuts.share(KEY) + n)))
         placed = placed.withColumn(SALT, cuts.share(on) + cuts.pick(on, spread))
     # Twice as many partitions as shares, for several shares can fall into one.
-    dealt = placed.repartition(2 * max(1, sum(tasks.values())), *by)
+    single = len(tasks) - len(large)
+    width = 2 * max(1, sum(large.values()) + min(single, small or single))
+    # With fewer partitions than its own joins have, Spark would deal the rows by all of the join's columns.
+    conf = rows.sparkSession.conf
+    own = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or conf.get("spark.sql.shuffle.partitions")
+    dealt = placed.repartition(max(width, int(own)), *by)
     same = reduce(Column.__and__, [dealt[c] == chosen[c] for c in by])
     return _sides(dealt.join(chosen, same & (dealt[_tick(on)] == chosen[KEY]), "left"), names, tree, table, size)
 

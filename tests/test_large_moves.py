@@ -89,3 +89,13 @@ def test_many_keys_are_not_broadcast(spark, tmp_path, root, monkeypatch):
     assert run.moved("orders") == 400 and len(plans) == 2
     assert all("SortMergeJoin" in p and "Broadcast" not in p for p in plans)
     assert store.read(store.snapshot(), LIVE, "line").count() == 900 - run.moved("line")
+
+
+def test_few_tasks_keep_their_ranges(spark):
+    """A chunk's rows lie in the files of few tasks, also if Spark's own joins have more tasks."""
+    rows = lines(spark, 8000, F.col("id") % 2000)
+    with settings(spark, {**PLAIN, "spark.sql.shuffle.partitions": "50"}):
+        split = jobs._split(rows, TREE, TREE.table("line"), keys(spark, 2000), 5, {"0": 10})
+        files = split.groupBy(F.spark_partition_id(), jobs.SIDE).count().count()
+    # 2,000 keys are 20 chunks of 5 batches: with 10 ranges, about two in each.
+    assert files <= 40
