@@ -11,8 +11,10 @@ before that leaves readers on the old version; a rerun starts from there.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import time
 import uuid
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
@@ -108,8 +110,9 @@ class RunResult:
 
 def small_rows(spark: SparkSession, schema: T.StructType, rows: list[tuple]) -> DataFrame:
     """A few driver-side numbers (at most one row per worker) as a relation."""
-    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema)]) for row in rows]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+    # As one text: a call for each value would take longer than the job, at every chunk.
+    text = json.dumps([dict(zip(schema.names, row)) for row in rows], default=lambda value: value.isoformat())
+    return spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(text), T.ArrayType(schema), {"mode": "FAILFAST"})))
 
 
 # -- run loop ------------------------------------------------------------------
@@ -264,27 +267,53 @@ def _content_audit(store: Store, manifest: Manifest, table: Table, gone: list[Pa
         raise AuditError(f"{table.name}: rows were altered, of {found.before} {found.moved} moved and {found.kept} kept")
 
 
-def _check_not_archived(store: Store, manifest: Manifest, table: Table, moved: list[Part]) -> None:
-    """Fail when a moved key is in the archive already.
+def _archived_twice(store: Store, manifest: Manifest, table: Table, new: list[Part], waiting: list[Part], size: int) -> dict[int, object]:
+    """Chunks that would archive a key twice, each with such a key.
 
-    Only archive parts whose key range meets that of the moved parts are opened.
+    ``new`` parts, of one or of many chunks, are compared with the archive and, like the
+    parts that are ``waiting`` already, with those of other chunks. So parts that later chunks
+    only rename are looked at once. Only archive parts whose key range meets theirs are opened.
     """
-    if not (table.unique and moved and manifest.of(ARCHIVE, table.name)):
-        return
-    ranges = [p.range_of(table.key) for p in moved]
+    if not (table.unique and new):
+        return {}
+    ranges = [p.range_of(table.key) for p in new]
+    spans: list[tuple[int, int]] = []
+    for low, high in sorted(r for r in ranges if r):
+        if spans and low <= spans[-1][1]:
+            spans[-1] = spans[-1][0], max(high, spans[-1][1])
+        else:
+            spans.append((low, high))
 
     def meets(old: Part) -> bool:
         own = old.range_of(table.key)
-        return own is None or any(r is None or (r[0] <= own[1] and own[0] <= r[1]) for r in ranges)
+        if own is None or None in ranges:
+            return True
+        at = bisect_right(spans, own[1], key=lambda span: span[0]) - 1
+        return at >= 0 and own[0] <= spans[at][1]
+
+    def tagged(parts: list[Part]) -> DataFrame:
+        rows = _provenance(store, manifest, table, parts, table.key)
+        return rows.select(F.col(_tick(table.key)).alias(KEY), _chunk_of(BATCH, size).alias("chunk"))
 
+    found: dict[int, object] = {}
     opened = [p for p in manifest.of(ARCHIVE, table.name) if meets(p)]
-    if not opened:
-        return
-    new = store.read(manifest, LIVE, table.name, moved).select(F.col(_tick(table.key)).alias(KEY))
-    old = store.read(manifest, ARCHIVE, table.name, opened).select(_tick(table.key))
-    twice = old.join(new, old[_tick(table.key)] == new[KEY], "left_semi")
-    if not twice.isEmpty():
-        raise AuditError(f"{table.name}: key {twice.first()[0]} is in the archive already")
+    if opened:
+        old = _sized(store.read(manifest, ARCHIVE, table.name, opened).select(_tick(table.key)), _rows_in(opened))
+        rows = tagged(new)
+        twice = rows.join(old, rows[KEY] == old[_tick(table.key)], "left_semi")
+        found |= dict(twice.groupBy("chunk").agg(F.min(KEY)).collect())
+    if len({p.path.rsplit("/", 2)[1] for p in new + waiting}) > 1:
+        rows = tagged(new + waiting)
+        several = rows.groupBy(KEY).agg(F.min("chunk").alias("a"), F.max("chunk").alias("b")).where("a < b").select(KEY, "a")
+        later = rows.join(several, KEY).where("chunk > a").groupBy("chunk").agg(F.min(KEY)) if not several.isEmpty() else None
+        found = dict(later.collect()) | found if later is not None else found
+    return found
+
+
+def _check_not_archived(table: Table, twice: dict[int, object], chunk: int) -> None:
+    """Fail when a key that moves with the chunk is in the archive already."""
+    if chunk in twice:
+        raise AuditError(f"{table.name}: key {twice[chunk]} is in the archive already")
 
 
 def _add_ledger(store: Store, manifest: Manifest, tree: Tree, run_id: str, chunk: int, batches: DataFrame) -> Manifest:
@@ -374,11 +403,13 @@ class _Written:
     """Parts of one table that a run has written and that are still live.
 
     ``pending`` rows move with a later chunk. ``settled`` parts hold no row of any key
-    of the run: they were split by all of them.
+    of the run: they were split by all of them. ``twice`` has the chunks that would
+    archive a key for the second time.
     """
 
     pending: dict[int, list[Part]] = field(default_factory=dict)
     settled: set[str] = field(default_factory=set)
+    twice: dict[int, object] = field(default_factory=dict)
 
     def paths(self) -> set[str]:
         return self.settled | {p.path for parts in self.pending.values() for p in parts}
@@ -396,20 +427,20 @@ def _tree_chunks(store: Store, tree: Tree, options: RunOptions, result: RunResul
     else:
         keys = counted = stage(numbered, "numbered")
     plan = _Plan(_worker_counts(counted, WORKER), options.batch_size, _chunk_size(options), options.max_batches)
-    written = {t.name: _Written() for t in tree.tables}
+    written, counted = {t.name: _Written() for t in tree.tables}, []
     for chunk in range(plan.chunks):
         started = time.monotonic()
-        yield _tree_chunk(store, tree, options, result, plan, chunk, keys, written, started)
+        yield _tree_chunk(store, tree, options, result, plan, chunk, keys, written, counted, started)
 
 
 def _tree_chunk(
     store: Store, tree: Tree, options: RunOptions, result: RunResult, plan: _Plan, chunk: int, keys: DataFrame,
-    written: dict[str, _Written], started: float
+    written: dict[str, _Written], counted: list[tuple[set[int], DataFrame]], started: float
 ) -> Chunk:
     """Move the rows of one chunk; rows met of later chunks are put apart for them."""
     manifest = before = result.manifest
     links = {tree.root.name: _sized(keys.where(_chunk_of(BATCH, plan.size) >= chunk), sum(plan.left(chunk - 1).values()))}
-    label, audit, moved_parts = f"{result.run_id}-{chunk + 1:05d}", {}, {}
+    label, audit, fresh = f"{result.run_id}-{chunk + 1:05d}", {}, {}
 
     def move(t: Table) -> tuple[list[Part], list[Part], list[Part]]:
         above, layout = links[t.parent or t.name], layout_of(tree, t)
@@ -422,18 +453,21 @@ def _tree_chunk(
         seen = {p.path for p in read + looked_up}
         _audit_unread(store, before, t, [p for p in live if p.path not in seen], now, layout)
         sides = _split_by_link(store, before, tree, t, read, above, plan.size, f"data/{t.name}/{label}") if read else {}
+        fresh[t.name] = {c: sides[_side_name(c)] for c in range(chunk, plan.chunks) if _side_name(c) in sides} if sides else {}
         moved = ready + sides.pop(_side_name(chunk), [])
         stay = [p for parts in sides.values() for p in parts]
         audit[t.name] = _count_audit(t, _rows_in(read) + _rows_in(ready), _rows_in(moved), _rows_in(stay))
         if options.audit_contents:
             _content_audit(store, before, t, read + ready, stay, moved)
+        new = [p for parts in fresh[t.name].values() for p in parts]
+        waiting = ready + [p for parts in own.pending.values() for p in parts]
+        own.twice |= _archived_twice(store, before, t, new, waiting, plan.size)
         for later in range(chunk + 1, plan.chunks):
             if _side_name(later) in sides:
                 own.pending.setdefault(later, []).extend(sides[_side_name(later)])
         if t.parent in (None, tree.root.name):
             own.settled.update(p.path for p in sides.get(KEPT, []))
-        moved_parts[t.name] = moved
-        _check_not_archived(store, before, t, moved)
+        _check_not_archived(t, own.twice, chunk)
         if tree.children(t.name) and t.parent is not None:
             known = moved + [p for parts in own.pending.values() for p in parts]
             links[t.name] = _sized(_next_link(store, before, t, known), _rows_in(known))
@@ -447,7 +481,8 @@ def _tree_chunk(
     if sum(roots.values()) != audit[tree.root.name][2]:
         raise AuditError(f"{tree.root.name}: {sum(roots.values())} keys chosen, {audit[tree.root.name][2]} rows moved")
     spent = int((time.monotonic() - started) * 1_000_000)
-    ledger = _with_idle_workers(_tree_ledger(store, tree, moved_parts, roots, options.batch_size, spent), options, plan.counts, chunk == 0)
+    records = _chunk_records(store, tree, fresh, counted, chunk, plan.size)
+    ledger = _with_idle_workers(_tree_ledger(records, roots, options.batch_size, spent), options, plan.counts, chunk == 0)
     manifest = _add_ledger(store, manifest, tree, result.run_id, chunk + 1, ledger)
     return Chunk(manifest, min(plan.size, plan.batches - chunk * plan.size), roots, plan.left(chunk), [audit[t.name] for t in tree.tables])
 
@@ -699,23 +734,47 @@ def _next_link(store: Store, manifest: Manifest, table: Table, moved: list[Part]
     return keys.groupBy(KEY).agg(F.min(F.struct(BATCH, WORKER)).alias("p")).select(KEY, f"p.{WORKER}", f"p.{BATCH}")
 
 
-def _tree_ledger(
-    store: Store, tree: Tree, moved: dict[str, list[Part]], roots: dict[int, int], size: int, spent: int
+def _chunk_records(
+    store: Store, tree: Tree, fresh: dict[str, dict[int, list[Part]]], counted: list[tuple[set[int], DataFrame]], chunk: int, size: int
 ) -> DataFrame:
+    """Roots and records per worker and batch of a chunk.
+
+    ``fresh`` has per table and chunk the parts that this chunk wrote. They are counted once for
+    all chunks; ``counted`` keeps the numbers with the chunks they are of.
+    """
+    chunks = {c for parts in fresh.values() for c in parts}
+    if chunks:
+        rows = _tree_records(store, tree, {t: [p for of in parts.values() for p in of] for t, parts in fresh.items()})
+        # In order, so that a chunk reads few of them.
+        counted.append((chunks, rows if chunks == {chunk} else stage(
+            rows.repartitionByRange(BATCH).sortWithinPartitions(BATCH), "counted")))
+    own = [rows.where((F.col(BATCH) > chunk * size) & (F.col(BATCH) <= (chunk + 1) * size)) for of, rows in counted if chunk in of]
+    return own[0] if len(own) == 1 else _summed(own)
+
+
+def _summed(counts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, counts).groupBy(WORKER, BATCH).agg(
+        F.sum("roots").alias("roots"), F.sum("records").alias("records"))
+
+
+def _tree_records(store: Store, tree: Tree, moved: dict[str, list[Part]]) -> DataFrame:
     """Roots and records per worker and batch, counted in the written archive parts."""
     counts = []
     for t in tree.tables:
-        if moved[t.name]:
+        if moved.get(t.name):
             rows = store.spark.read.schema(f"{WORKER} int, {BATCH} bigint").parquet(*[store.locate(p) for p in moved[t.name]])
             per = rows.groupBy(WORKER, BATCH).agg(F.count("*").alias("records"))
             counts.append(per.withColumn("roots", F.col("records") if t.parent is None else F.lit(0).cast("bigint")))
+    return _summed(counts)
+
+
+def _tree_ledger(records: DataFrame, roots: dict[int, int], size: int, spent: int) -> DataFrame:
+    """A chunk's batches, its time divided over those of each worker."""
     share = F.lit(0).cast("bigint")
     for worker, n in roots.items():
         share = F.when(F.col(WORKER) == worker, F.lit(spent // max(-(-n // size), 1))).otherwise(share)
-    summed = reduce(DataFrame.unionByName, counts).groupBy(WORKER, BATCH).agg(
-        F.sum("roots").alias("roots"), F.sum("records").alias("records"))
-    return summed.select(F.col(WORKER).alias("worker"), F.col(BATCH).alias("batch_no"), "roots", "records",
-                         share.cast("bigint").alias("duration_us"))
+    return records.select(F.col(WORKER).alias("worker"), F.col(BATCH).alias("batch_no"), "roots", "records",
+                          share.cast("bigint").alias("duration_us"))
 
 
 # -- single table ----------------------------------------------------------------
@@ -747,6 +806,7 @@ def _table_chunks(store: Store, tree: Tree, options: RunOptions, result: RunResu
     split = _numbered_split(tree, table, names, store.read(manifest, LIVE, table.name, read), rule, options, plan)
     sides = store.write_sides(split, f"data/{table.name}/{result.run_id}", layout, table.key)
     stay = sides.pop(KEPT, [])
+    twice = _archived_twice(store, manifest, table, [p for parts in sides.values() for p in parts], [], plan.size)
     for chunk in range(plan.chunks):
         moved = sides.pop(_side_name(chunk), [])
         waiting = [p for parts in sides.values() for p in parts]
@@ -757,7 +817,7 @@ def _table_chunks(store: Store, tree: Tree, options: RunOptions, result: RunResu
         rows = plan.rows(chunk)
         if sum(rows.values()) != audit[2]:
             raise AuditError(f"{table.name}: {sum(rows.values())} rows chosen, {audit[2]} moved")
-        _check_not_archived(store, result.manifest, table, moved)
+        _check_not_archived(table, twice, chunk)
         after = _swap(store, result.manifest, table, gone, stay + waiting if chunk == 0 else [], moved)
         spent = int((time.monotonic() - started) * 1_000_000)
         ledger = _table_ledger(store, rows, plan, chunk, spent)

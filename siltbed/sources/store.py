@@ -9,6 +9,7 @@ there. Parts the run did not touch are carried over by name and never rewritten.
 from __future__ import annotations
 
 import datetime as dt
+import gzip
 import json
 import re
 import time
@@ -18,7 +19,6 @@ from dataclasses import dataclass, field, replace
 from functools import reduce
 from urllib.parse import unquote
 
-import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -153,19 +153,44 @@ class Store:
         claim of a publisher that died is void after ``CLAIM_SEC`` seconds.
         """
         base = manifest.version
-        if self._current() != base or not self._claim(base):
+        if not self._claim(base):
             raise StaleVersion(f"read version {base}, which has a successor")
         try:
-            if self._current() != base:
-                raise StaleVersion(f"read version {base}, current is {self._current()}")
-            new = replace(manifest, version=max(self._versions(), default=0) + 1)
-            row = self.spark.createDataFrame(pa.table({"value": [new.to_json()]}))
-            row.coalesce(1).write.mode("error").text(self._version_path(new.version))
+            new = replace(manifest, version=self._next(base))
+            self._write_version(new)
             return new
         except Exception:
             self._delete(self._claim_path(base))
             raise
 
+    def _next(self, base: int) -> int:
+        """The number after ``base``, past versions that were not finished; fail if one was.
+
+        Versions are dropped oldest first, so while ``base`` is there all newer ones are, and
+        a run of many chunks needn't list them for each.
+        """
+        if base == 0 or not self._complete(base):
+            current = self._current()
+            if current != base:
+                raise StaleVersion(f"read version {base}, current is {current}")
+        version = base + 1
+        while self.has(self._version_path(version)):
+            if self._complete(version):
+                raise StaleVersion(f"read version {base}, {version} was published since")
+            version += 1
+        return version
+
+    def _write_version(self, manifest: Manifest) -> None:
+        """One file, packed: paths repeat much, and a run of many chunks writes many versions."""
+        path = self._version_path(manifest.version)
+        for name, data in (("part-00000.txt.gz", gzip.compress(manifest.to_json().encode(), 5)), ("_SUCCESS", b"")):
+            fs, p = self._fs(f"{path}/{name}")
+            out = fs.create(p, False)
+            try:
+                out.write(data)
+            finally:
+                out.close()
+
     def _claim_path(self, base: int) -> str:
         return f"_manifest/after-{base}"
 

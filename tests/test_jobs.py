@@ -542,3 +542,68 @@ def test_command_line_runs_a_preset(spark, tmp_path, root):
     report = run(spark, argv)
     assert (report["total_count"], report["backlog"], report["version"]) == (30, 0, 2)
     assert str(report["cutoff"]) == "2024-12-01"
+
+
+def test_chunks_that_only_rename_take_few_jobs(spark, store, monkeypatch):
+    """One job or two for the ledger, one for the outcomes; the parts are counted and checked when they are written."""
+    scheduler, seen, publish = spark.sparkContext._jsc.sc().dagScheduler(), [], Store.publish
+    monkeypatch.setattr(Store, "publish", lambda self, m: (seen.append(scheduler.numTotalJobs()), publish(self, m))[1])
+    run = jobs.archive_tree(store, FLAT, replace(RUN, batch_size=5, chunk_batches=2))
+    assert len(run.chunks) == len(seen) > 4 and max(b - a for a, b in zip(seen[2:], seen[3:])) <= 3
+    book = run.ledger(store).select("chunk", "worker", "batch_no", "roots", "records").collect()
+    for i, chunk in enumerate(run.chunks):
+        own = [r for r in book if r.chunk == i + 1]
+        assert sum(r.roots for r in own) == chunk.audit[0][2] and sum(r.records for r in own) == sum(a[2] for a in chunk.audit)
+        assert {(r.batch_no - 1) // 2 for r in own} == {i} and len({(r.worker, r.batch_no) for r in own}) == len(own)
+    check(spark, store, store.paths, FLAT)
+
+
+def test_chunks_before_a_key_that_is_archived_already_are_published(spark, store, tmp_path):
+    """The parts of all chunks are compared with the archive at once, yet each chunk fails for itself."""
+    first = expected(spark, store.paths, FLAT)[0]["orders"].agg(F.max("id")).first()[0]
+    row = store.live("orders").where(f"id = {first}")
+    path = str(tmp_path / "again")
+    row.select("*", F.lit(0).alias("arch_worker"), F.lit(1).cast("bigint").alias("arch_batch")).write.parquet(path)
+    m = store.snapshot()
+    store.publish(m.with_table(ARCHIVE, "orders", [jobs.Part(path, None, 1)], m.schemas[f"{LIVE}/orders"]))
+    with pytest.raises(jobs.AuditError, match=f"key {first} is in the archive already"):
+        jobs.archive_tree(store, FLAT, replace(RUN, batch_size=5, chunk_batches=2))
+    assert store.archive("orders").where(f"id <> {first}").count() > 50
+    assert store.archive("orders").groupBy("id").count().where("count > 1").isEmpty()
+
+
+def test_a_key_of_two_chunks_fails_the_second(spark, tmp_path, root):
+    """Two lines of one id hang on orders of different chunks."""
+    line = [(i, 2 * i, i) for i in range(1, 60)] + [(3, 110, 7)]
+    spark.range(120).select("id", F.lit(OLD).cast("timestamp_ntz").alias("placed"), F.lit("DONE").alias("status")).write.parquet(str(tmp_path / "o"))
+    spark.createDataFrame(line, "id bigint, order_id bigint, qty bigint").write.parquet(str(tmp_path / "l"))
+    s = Store(spark, root)
+    s.adopt({"orders": str(tmp_path / "o"), "line": str(tmp_path / "l")})
+    with pytest.raises(jobs.AuditError, match="line: key 3 is in the archive already"):
+        jobs.archive_tree(s, FLAT, replace(RUN, batch_size=10, chunk_batches=1))
+    assert s.archive("line").groupBy("id").count().where("count > 1").isEmpty() and s.archive("line").count() > 20
+
+
+def test_outcomes_keep_their_values(spark):
+    begun = dt.datetime(2025, 3, 4, 5, 6, 7, 89, dt.timezone.utc)
+    row = ("run", "orders", 2, 1, begun, dt.date(2024, 1, 31), 2**40, 0, 5, True, False, None, 'a "quoted" \\ text\né')
+    got = jobs.small_rows(spark, jobs.OUTCOME_SCHEMA, [row]).withColumn("started", F.unix_micros("started")).first()
+    assert tuple(got) == (*row[:4], int(begun.timestamp()) * 1_000_000 + 89, *row[5:])
+
+
+def test_a_publisher_sees_versions_newer_than_the_next(spark, store):
+    """A dropped version, and one that was not finished in front of a finished one, are no gap to write into."""
+    old = store.snapshot()
+    half = store._version_path(old.version + 1)
+    spark.range(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(half)
+    new = store.publish(old)
+    store._delete(store._claim_path(old.version))
+    with pytest.raises(StaleVersion):
+        store.publish(old)
+    for _ in range(3):
+        new = store.publish(new)
+    store.expire(keep_versions=1)
+    store._delete(f"_manifest/v={old.version + 1}")
+    with pytest.raises(StaleVersion):
+        store.publish(old)
+    assert store.snapshot().version == new.version and store.snapshot().parts == old.parts
