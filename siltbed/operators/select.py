@@ -21,10 +21,15 @@ def scan(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
     """The named columns in the named order; a missing one is an error."""
     if columns is None:
         return df
-    missing = [c for c in columns if c not in df.columns]
+    require(df.columns, columns)
+    return df.select(*columns)
+
+
+def require(names: Sequence[str], columns: Sequence[str] | None) -> None:
+    """Fail if a named column is missing."""
+    missing = [c for c in columns or () if c not in names]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
-    return df.select(*columns)
 
 
 def eligible_filter(tree: Tree, options: RunOptions) -> Column:

@@ -29,9 +29,9 @@ from siltbed.functions.scalars import months_earlier, worker_of
 from siltbed.operators.audit import content_conservation, row_hash
 from siltbed.operators.batch import assign_batches
 from siltbed.operators.lookup import lookup
-from siltbed.operators.select import eligible_filter, eligible_keys, scan
+from siltbed.operators.select import eligible_filter, eligible_keys, require, scan
 from siltbed.operators.slices import slice_plan
-from siltbed.session import ADVISORY, settings, stage
+from siltbed.session import ADVISORY, listed_by_cores, settings, stage
 from siltbed.sources.store import (
     ARCHIVE, BATCH, LEDGER, LIVE, OWN, SEGMENT, SIDE, WORKER, Manifest, Part, Store, files_of, layout_of, month_index,
     range_label, segment_of,
@@ -146,7 +146,7 @@ def _drain(store: Store, tree: Tree, options: RunOptions, steps: Steps) -> RunRe
     result = RunResult(options.run_id or uuid.uuid4().hex, _cutoff(tree, options), store.snapshot())
     begun, started = dt.datetime.now(dt.timezone.utc), time.monotonic()
     try:
-        with settings(store.spark, {ADVISORY: str(store.target_bytes), **CO_PARTITIONED}):
+        with settings(store.spark, {ADVISORY: str(store.target_bytes), **CO_PARTITIONED}), listed_by_cores(store.spark):
             before = started
             for chunk in steps(store, tree, options, result):
                 now = time.monotonic()
@@ -235,6 +235,17 @@ def _archive_schema(store: Store, manifest: Manifest, table: Table) -> T.StructT
     return target
 
 
+def _check_columns(store: Store, manifest: Manifest, tree: Tree) -> None:
+    """Fail before anything is written if any table lacks a column of its list or of its archive.
+
+    Tables are written side by side, each apart for all chunks: one that can't move would
+    otherwise be known only after the others were written.
+    """
+    for t in tree.tables:
+        require(store.schema(manifest, LIVE, t.name).names, t.columns)
+        _archive_schema(store, manifest, t)
+
+
 def _swap(store: Store, manifest: Manifest, table: Table, gone: list[Part], stay: list[Part], moved: list[Part]) -> Manifest:
     """The manifest after parts ``gone`` became parts that stay and parts that moved."""
     target = _archive_schema(store, manifest, table)
@@ -428,6 +439,8 @@ def _tree_chunks(store: Store, tree: Tree, options: RunOptions, result: RunResul
         keys = counted = stage(numbered, "numbered")
     plan = _Plan(_worker_counts(counted, WORKER), options.batch_size, _chunk_size(options), options.max_batches)
     written, counted = {t.name: _Written() for t in tree.tables}, []
+    if plan.chunks:
+        _check_columns(store, manifest, tree)
     for chunk in range(plan.chunks):
         started = time.monotonic()
         yield _tree_chunk(store, tree, options, result, plan, chunk, keys, written, counted, started)
@@ -794,6 +807,7 @@ def _table_chunks(store: Store, tree: Tree, options: RunOptions, result: RunResu
     plan = _Plan(counts, options.batch_size, _chunk_size(options), options.max_batches)
     if not counts:
         return
+    _check_columns(store, manifest, tree)
 
     hit = {s for s, _, _ in found}
     own = [p for p in candidates if p.segment is not None and p.layout == layout]

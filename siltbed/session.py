@@ -107,3 +107,10 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
 def advisory_bytes(spark: SparkSession, target: int):
     """Let AQE aim at partitions of ``target`` bytes for the jobs inside."""
     return settings(spark, {ADVISORY: str(target)})
+
+
+def listed_by_cores(spark: SparkSession):
+    """List many directories in a few tasks per core. Spark's own number is 10,000 tasks, each
+    with one or two directories, whose statuses and figures the driver holds."""
+    tasks = max(32, 4 * spark.sparkContext.defaultParallelism)
+    return settings(spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(tasks)})

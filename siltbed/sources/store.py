@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltbed.functions.scalars import is_instant
-from siltbed.session import advisory_bytes
+from siltbed.session import advisory_bytes, listed_by_cores
 from siltbed.spec import Table, Tree
 
 SEGMENT = "sb_seg"
@@ -282,7 +282,8 @@ class Store:
         chosen = list(manifest.of(side, table) if parts is None else parts)
         file = [F.col("_metadata.file_path").alias(with_file)] if with_file else []
         plain = [self.locate(p) for p in chosen if p.layout != HIVE]
-        frames = [self.spark.read.schema(schema).parquet(*plain).select("*", *file)] if plain else []
+        with listed_by_cores(self.spark):
+            frames = [self.spark.read.schema(schema).parquet(*plain).select("*", *file)] if plain else []
         # Partition columns are read from the paths below each directory of its own.
         frames += [self.spark.read.schema(schema).option("basePath", self.locate(p)).parquet(self.locate(p))
                    .select(*schema.names, *file) for p in chosen if p.layout == HIVE]
@@ -374,7 +375,8 @@ class Store:
         columns = [name for name, _, _ in parts[0].ranges] or [schema.names[0]]
         if side == ARCHIVE:
             schema = T.StructType([*schema, T.StructField(WORKER, T.IntegerType()), T.StructField(BATCH, T.LongType())])
-        rows = self.spark.read.schema(schema).parquet(*[self.locate(p) for p in parts])
+        with listed_by_cores(self.spark):
+            rows = self.spark.read.schema(schema).parquet(*[self.locate(p) for p in parts])
         label = F.regexp_extract(F.col("_metadata.file_path"), f"{SEGMENT}=([^/]*)", 1)
         rows = rows.select("*", F.lit(side).alias(SIDE), label.alias(SEGMENT))
         with advisory_bytes(self.spark, self.target_bytes):
@@ -406,7 +408,9 @@ class Store:
         typed = T.StructType([*plain, T.StructField(SIDE, T.StringType()), T.StructField(SEGMENT, T.StringType())])
         whole = [c for c in columns if c in schema.names and isinstance(schema[c].dataType, T.IntegralType)]
         bounds = [f(_quoted(c)).cast("bigint").alias(f"{OWN}{f.__name__}{i}") for i, c in enumerate(whole) for f in (F.min, F.max)]
-        found = self.spark.read.schema(typed).parquet(path).groupBy(SIDE, SEGMENT).agg(F.count("*").alias(OWN), *bounds)
+        with listed_by_cores(self.spark):
+            rows = self.spark.read.schema(typed).parquet(path)
+        found = rows.groupBy(SIDE, SEGMENT).agg(F.count("*").alias(OWN), *bounds)
         sides: dict[str, list[Part]] = {}
         for side, segment, n, *ends in found.collect():
             ranges = tuple((c, ends[2 * i], ends[2 * i + 1]) for i, c in enumerate(whole) if ends[2 * i] is not None)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from siltbed.plans import jobs, presets
 from siltbed.plans.upkeep import upkeep
-from siltbed.sources.store import ARCHIVE, LIVE, StaleVersion, Store
+from siltbed.sources.store import ARCHIVE, LIVE, Manifest, Part, StaleVersion, Store
 from siltbed.spec import RunOptions, Table, Tree
 
 D = dt.datetime
@@ -325,6 +325,28 @@ def test_a_failed_run_says_so(spark, store):
     assert row.failed and "missing" in row.error and store.snapshot() == before
 
 
+def test_a_run_that_must_fail_writes_no_table(spark, store):
+    """The lines could move, but the orders lack a column: nothing is written for either."""
+    tree = replace(FLAT, root=replace(FLAT.root, columns=("missing",)))
+    with pytest.raises(ValueError, match="missing"):
+        jobs.archive_tree(store, tree, replace(RUN, chunk_batches=1, run_id="bad"))
+    assert not store.has(f"{store.root}/data")
+
+
+def test_many_directories_are_listed_by_few_tasks(spark, tmp_path, root):
+    context = spark.sparkContext
+    spark.range(400).select("id", (F.col("id") % 200).alias("d")).repartition(1).write.partitionBy("d").parquet(str(tmp_path / "t"))
+    store = Store(spark, root)
+    parts = [Part(str(tmp_path / "t" / f"d={i}"), "0", 2, "range:id:1") for i in range(200)]
+    m = Manifest(0).with_table(LIVE, "t", parts, spark.range(0).schema.json())
+    context.setJobGroup("listing", "")
+    assert store.read(m, LIVE, "t").count() == 400
+    context.setLocalProperty("spark.jobGroup.id", None)
+    status = context.statusTracker()
+    tasks = [status.getStageInfo(s).numTasks for j in status.getJobIdsForGroup("listing") for s in status.getJobInfo(j).stageIds]
+    assert max(tasks) <= max(32, 4 * context.defaultParallelism)
+
+
 def test_unread_parts_are_audited(spark, store, tmp_path):
     keys = spark.createDataFrame([(4, 0, 1, "0")], f"{jobs.KEY} bigint, arch_worker int, arch_batch bigint, {jobs.SEG} string")
     line = FLAT.table("line")
