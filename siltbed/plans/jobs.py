@@ -71,9 +71,13 @@ class AuditError(RuntimeError):
 
 @dataclass
 class Chunk:
-    """What one published chunk did."""
+    """What one published chunk did.
 
-    manifest: Manifest
+    ``manifest`` is dropped once the run has it: every manifest names all parts, so those
+    of a run's chunks together would grow with the square of their number.
+    """
+
+    manifest: Manifest | None
     batches: int
     roots: dict[int, int]
     backlog: dict[int, int]
@@ -155,6 +159,7 @@ def _drain(store: Store, tree: Tree, options: RunOptions, steps: Steps) -> RunRe
                 chunk.manifest = store.publish(chunk.manifest)
                 result.chunks.append(chunk)
                 result.manifest, result.backlog, result.timed_out = chunk.manifest, sum(chunk.backlog.values()), late
+                chunk.manifest = None
                 _log_outcomes(store, tree, result, begun)
                 before = time.monotonic()
                 if late:

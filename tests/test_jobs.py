@@ -333,6 +333,12 @@ def test_a_run_that_must_fail_writes_no_table(spark, store):
     assert not store.has(f"{store.root}/data")
 
 
+def test_published_chunks_keep_no_manifest(spark, store):
+    """Each names all parts: kept for every chunk they would grow with the square of the chunks."""
+    run = jobs.archive_tree(store, FLAT, replace(RUN, chunk_batches=1))
+    assert len(run.chunks) > 1 and all(c.manifest is None for c in run.chunks) and run.manifest == store.snapshot()
+
+
 def test_many_directories_are_listed_by_few_tasks(spark, tmp_path, root):
     context = spark.sparkContext
     spark.range(400).select("id", (F.col("id") % 200).alias("d")).repartition(1).write.partitionBy("d").parquet(str(tmp_path / "t"))
