@@ -16,13 +16,16 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from siltbed.llm.common import quoted, text_of, utf8
+from siltbed.llm.common import quoted, slices, text_of, utf8
 from siltbed.session import stage
 
 LEAST_WORDS = 8         # shorter units repeat by chance
+SLICE_BYTES = 1 << 20   # of text whose units a task holds at a time
 STOPS = "。！？｡။។៕།"    # end a sentence whatever follows
 _SENTENCE = re.compile(rf"[^.!?{STOPS}]*(?:[.!?]++(?![ \t\r\x0b\x0c{STOPS}])[^.!?{STOPS}]*)*[.!?{STOPS}]*", re.A)
 # Thai, Lao, Tibetan, Burmese, Khmer, kana and Han
@@ -95,21 +98,43 @@ def remove(text: str, spans: list[tuple[int, int]]) -> tuple[str, list[tuple[int
     return "".join(parts) + text[past:], runs
 
 
-def _units_column(text: Column, least: int) -> Column:
-    @F.pandas_udf("array<struct<start:int,end:int,digest:binary>>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([[{"start": a, "end": b, "digest": d} for a, b, d in units(text_of(x), least)] for x in batch])
+def _with_units(texts: DataFrame, least: int) -> DataFrame:
+    """(id, hash, span, digest) of each unit of (id, hash, text), text in bytes.
 
-    return run(utf8(text))
+    A task holds the units of few texts at a time, as columns: those of a whole batch of
+    texts, a Python object each, took several times the batch.
+    """
+    span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
+    schema = T.StructType([texts.schema["id"], texts.schema["hash"], T.StructField("span", span), T.StructField("digest", T.BinaryType())])
+
+    return texts.mapInArrow(lambda batches: _unit_batches(batches, least), schema)
+
+
+def _unit_batches(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices([text.as_buffer() for text in batch.column("text")], SLICE_BYTES):
+            yield _unit_rows(batch.slice(part.start, part.stop - part.start), least)
+
+
+def _unit_rows(batch: pa.RecordBatch, least: int) -> pa.RecordBatch:
+    rows, starts, ends, digests = [], [], [], []
+    for row, data in enumerate(batch.column("text")):
+        for a, b, digest in units(text_of(data.as_py()), least):
+            rows.append(row)
+            starts.append(a)
+            ends.append(b)
+            digests.append(digest)
+    at = pa.array(rows, pa.int32())
+    span = pa.StructArray.from_arrays([pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], ["start", "end"])
+    return pa.RecordBatch.from_arrays([batch.column("id").take(at), batch.column("hash").take(at), span, pa.array(digests, pa.binary())],
+                                      ["id", "hash", "span", "digest"])
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_WORDS) -> DataFrame:
     """(id, hash, spans): per document (id and text hash) the units to remove."""
     text = quoted(text_col)
-    found = docs.select(quoted(id_col).alias("id"), F.xxhash64(text).alias("hash"),
-                        F.explode(_units_column(text, least)).alias("u"))
-    found = stage(found.select("id", "hash", F.struct("u.start", "u.end").alias("span"), "u.digest"), "dedup-units")
+    texts = docs.select(quoted(id_col).alias("id"), F.xxhash64(text).alias("hash"), utf8(text).alias("text"))
+    found = stage(_with_units(texts, least), "dedup-units")
     place = F.struct(F.col("id").isNull().alias("nameless"), "id", "hash", F.col("span.start").alias("start"))
     repeated = found.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("first"))
     repeated = stage(repeated.filter("n > 1").select("digest", "first"), "dedup-repeated")

@@ -1,3 +1,6 @@
+import tracemalloc
+
+import pyarrow as pa
 import pytest
 
 from siltbed.llm import unitdedup
@@ -88,6 +91,20 @@ def test_unlike_short_units_stay(make_docs):
     assert got == {1: rows[0][1], 2: "\nno\n", 3: rows[2][1], 4: rows[3][1]}
 
 
+def test_a_task_holds_the_units_of_few_texts(prose):
+    """A batch of 10,000 texts comes in slices; its units at once took many times as much."""
+    texts = ["\n".join(prose(12, i % 50 * 100 + j) for j in range(25)) for i in range(50)] * 200
+    batch = pa.record_batch({"id": list(range(len(texts))), "hash": [7] * len(texts), "text": [t.encode() for t in texts]})
+    tracemalloc.start()
+    n, most = 0, 0
+    for out in unitdedup._unit_batches(iter([batch]), 8):
+        n, most = n + out.num_rows, max(most, out.num_rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 200 * sum(len(list(unitdedup.units(t))) for t in texts[:50])
+    assert most < n / 10 and peak < 30e6
+
+
 def test_query_against_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{sf}/documents.parquet").selectExpr("doc_id", "text", "xxhash64(text) h").collect()
