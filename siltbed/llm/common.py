@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +72,20 @@ def slices(values: Sequence, limit: int) -> Iterator[slice]:
         yield slice(start, len(values))
 
 
+_KEPT: list = []
+
+
+def kept(make: Callable, values: tuple):
+    """``make(*values)``, one object for all tasks of a worker that ask with equal values.
+
+    So what it has learnt in one task serves the next. A worker keeps the latest only.
+    """
+    if not (_KEPT and _KEPT[0] is make and _KEPT[1] == values):
+        _KEPT.clear()
+        _KEPT.extend((make, values, make(*values)))
+    return _KEPT[2]
+
+
 def maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
     """Hint a broadcast only for a table counted to be small."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df

@@ -25,14 +25,14 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from siltbed.llm.bpe import SPACE, Letters, Words, library_letters
-from siltbed.llm.common import quoted, slices, text_of, utf8
+from siltbed.llm.common import kept, quoted, slices, text_of, utf8
 from siltbed.session import scratch_path, stage
 
 MAGIC = b"SBBITS1\n"
 BLOCK = 1 << 16
 CHUNK = 1_000_000       # bytes of text encoded at a time
 READ = 64               # blocks read back at a time
-WORDS = 400_000         # encoded words a worker keeps
+WORDS = 300_000         # encoded words a worker keeps, and as many it had before
 # Fixed value: the words of byte-level vocabularies, with white space spelled out.
 BYTE_LEVEL_WORDS = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
                     .replace(r"[^\s", f"[^{SPACE}").replace(r"\S", f"[^{SPACE}]").replace(r"\s", f"[{SPACE}]"))
@@ -63,8 +63,8 @@ class WordEncoder:
     """A ``tokenizers`` vocabulary whose ids follow from a text's words alone.
 
     Byte-level vocabularies split a text by a fixed pattern and encode the words one by
-    one. The library encodes each word once, a worker keeps the ids of ``WORDS`` words,
-    and a text's ids are those of its words. Any other vocabulary encodes whole texts.
+    one. The library encodes each word once, a worker keeps the ids of the words it met
+    lately, and a text's ids are those of its words. Any other vocabulary encodes whole texts.
     """
 
     def __init__(self, definition: str, letters: Letters | None = None):
@@ -80,6 +80,7 @@ class WordEncoder:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")").split
         self.find = Words(BYTE_LEVEL_WORDS, letters or library_letters())
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def words(self, text: str) -> list[str]:
         """Words of a text; added tokens in it are words of their own and end the ones before."""
@@ -94,8 +95,13 @@ class WordEncoder:
             return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
         words = [self.words(t) for t in texts]
         if len(self.known) > WORDS:
-            self.known.clear()
-        new = [w for w in set().union(*words) if w not in self.known]
+            self.known, self.older = {}, self.known
+        new = []
+        for w in set().union(*words).difference(self.known):
+            if w in self.older:
+                self.known[w] = self.older[w]
+            else:
+                new.append(w)
         for w, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
             self.known[w] = np.array(e.ids, "<u4").tobytes()
         return [b"".join(map(self.known.__getitem__, own)) for own in words]
@@ -224,7 +230,7 @@ def write(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str =
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder, last = WordEncoder(*shared.value), np.array([end], "<u4").tobytes()
+        encoder, last = kept(WordEncoder, shared.value), np.array([end], "<u4").tobytes()
         part = TaskContext.get().partitionId()
         fs, root = FileSystem.from_uri(folder)
         writer = out = None

@@ -7,6 +7,8 @@ from pyspark.sql import Row
 from tokenizers import Tokenizer
 
 from siltbed.llm import packing
+from siltbed.llm.bpe import library_letters
+from siltbed.llm.common import kept
 from siltbed.llm.queries import op10_packing, tokenizer_path
 
 PATH = tokenizer_path("byte_bpe_50k.json")
@@ -55,6 +57,25 @@ def test_random_texts_encode_as_the_library(library, monkeypatch):
         assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == want
 
 
+def test_a_worker_keeps_words_for_its_next_task(library, monkeypatch):
+    monkeypatch.setattr(packing, "WORDS", 4)
+    values, asked = (library.to_str(), library_letters()), []
+    first = kept(packing.WordEncoder, values)
+
+    class Counting:
+        def encode_batch_fast(self, words, **options):
+            asked.extend(words)
+            return library.encode_batch(words, **options)
+
+    first.library = Counting()
+    for text in ("one two three four five", "one two", "six one", "one seven"):
+        encoder = kept(packing.WordEncoder, tuple(values))
+        assert encoder is first
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert sorted(asked) == sorted(["one", " two", " three", " four", " five", "six", " one", " seven"])
+    assert kept(packing.WordEncoder, (values[0], None)) is not first
+
+
 def test_every_letter_encodes_as_the_library(library):
     encoder = packing.WordEncoder(library.to_str())
     texts = [f"a{chr(c)}b {chr(c)}{chr(c)}1" for c in range(0x80, 0x34000) if not 0xD800 <= c < 0xE000]
