@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from siltbed.llm.bpe import byte_characters
-from siltbed.llm.common import chunks, quoted, slices, text_of, utf8
+from siltbed.llm.common import chunks, kept, quoted, slices, text_of, utf8
 from siltbed.session import stage
 
 BATCH = 8_000_000       # bytes of texts in one row of the first pass
@@ -259,7 +259,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", t
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        pair, number = Pair(*shared.value), TaskContext.get().partitionId() << 32
+        pair, number = kept(Pair, shared.value), TaskContext.get().partitionId() << 32
         for batch in batches:
             texts, names, missing = batch["text"].array, batch["id"].tolist(), batch["missing"].tolist()
             for piece in slices(texts, BATCH):

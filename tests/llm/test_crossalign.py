@@ -2,11 +2,12 @@ import hashlib
 import random
 from collections import Counter
 
+import pandas as pd
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from siltbed.llm import crossalign
+from siltbed.llm import common, crossalign
 from siltbed.llm.queries import op13_crossalign, tokenizer_path
 
 A, B = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
@@ -112,6 +113,20 @@ def test_whole_texts_give_the_same(libraries, monkeypatch):
     assert (cut[1] == whole[1]).all() and (cut[2] == whole[2]).all()
 
 
+def test_a_worker_keeps_its_chunks_for_its_next_task(spark, make_docs):
+    """Workers that aligned texts still know their chunks when another job asks."""
+    rows = [(i, f"every text has the same words and one of its own {i}") for i in range(40)]
+    crossalign.aligned(make_docs(rows), A, B).collect()
+
+    def known(batches):
+        for batch in batches:
+            held = common._KEPT
+            n = len(held[2].known) if held and isinstance(held[2], crossalign.Pair) else 0
+            yield pd.DataFrame({"n": [n] * len(batch)})
+
+    assert max(r["n"] for r in spark.range(0, 64, 1, 16).mapInPandas(known, "n long").collect()) > 10
+
+
 def test_no_documents(spark, make_docs):
     assert crossalign.aligned(make_docs([]), A, B).collect() == []
     rows = [(1, None), (2, "")]
