@@ -2,10 +2,13 @@
 
 A run numbers its keys once and cuts them into chunks of batches. A chunk reads the
 parts that hold its keys and writes their rows once: those that stay, and those that
-move, apart for each chunk of the run. Its own moved rows go to the archive, those of
-later chunks stay live in parts that the later chunks only have to rename. Counts are
-checked on disk, then all tables are published with one manifest version. A failure
-before that leaves readers on the old version; a rerun starts from there.
+move, apart for each group of chunks. Its own moved rows go to the archive, those of
+later chunks stay live: a later chunk only names its batches of the written directories.
+Counts are checked on disk, then all tables are published with one manifest version. A
+failure before that leaves readers on the old version; a rerun starts from there.
+
+A group is as many chunks as make one of default size. So neither directories and files
+nor Spark jobs multiply with chunks of few rows, and a manifest stays short.
 """
 
 from __future__ import annotations
@@ -14,11 +17,12 @@ import datetime as dt
 import json
 import time
 import uuid
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from functools import reduce
+from itertools import accumulate
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,12 +32,12 @@ from pyspark.sql import types as T
 from siltbed.functions.scalars import months_earlier, worker_of
 from siltbed.operators.audit import content_conservation, row_hash
 from siltbed.operators.batch import assign_batches
-from siltbed.operators.lookup import lookup
+from siltbed.operators.lookup import FEW, lookup
 from siltbed.operators.select import eligible_filter, eligible_keys, require, scan
 from siltbed.operators.slices import slice_plan
 from siltbed.session import ADVISORY, listed_by_cores, settings, stage
 from siltbed.sources.store import (
-    ARCHIVE, BATCH, LEDGER, LIVE, OWN, SEGMENT, SIDE, WORKER, Manifest, Part, Store, files_of, layout_of, month_index,
+    ARCHIVE, BATCH, LEDGER, LIVE, OWN, SEGMENT, SIDE, WORKER, Manifest, Part, Store, files_of, first_of, layout_of, month_index,
     range_label, segment_of,
 )
 from siltbed.spec import RunOptions, Table, Tree
@@ -48,8 +52,12 @@ CO_PARTITIONED = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
 INFLATION = 4
 # Up to so many keys may be broadcast: in memory they take many times their bytes on disk.
 BROADCAST_KEYS = 200_000
-# Root rows a chunk aims at where the run names no number of batches.
+# Root rows a chunk aims at where the run names no number of batches, and a group of smaller chunks.
 CHUNK_ROWS = 20_000_000
+# Chunks that a directory is archived by before their parts of it become one, and chunks of one ledger file.
+FOLDED = 64
+# The driver writes a chunk's ledger if it has up to so many batches; it takes up to BATCHES_HELD from Spark at once.
+LEDGER_ROWS, BATCHES_HELD = 5_000, 50_000
 LEDGER_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()), T.StructField("root", T.StringType()),
     T.StructField("chunk", T.IntegerType()), T.StructField("worker", T.IntegerType()),
@@ -196,19 +204,16 @@ def _candidate_parts(manifest: Manifest, tree: Tree, options: RunOptions) -> lis
     return [p for p in parts if p.layout != layout or (p.segment != "none" and int(p.segment) <= last)]
 
 
-def _side(chunk: Column | int) -> Column:
-    """Side label of rows that move with a chunk."""
-    chunk = F.lit(chunk) if isinstance(chunk, int) else chunk
-    return F.concat(F.lit(f"{MOVED}-"), F.lpad(chunk.cast("string"), 8, "0"))
-
-
-def _side_name(chunk: int) -> str:
-    return f"{MOVED}-{chunk:08d}"
+def _side(group: Column) -> Column:
+    """Side label of rows that move with a group of chunks."""
+    return F.concat(F.lit(f"{MOVED}-"), F.lpad(group.cast("string"), 8, "0"))
 
 
 def _sides(rows: DataFrame, names: list[str], tree: Tree, table: Table, size: int) -> DataFrame:
     """Add side, segment and, for moved rows, the worker and batch that move them.
 
+    A side has ``size`` batches of each worker.
+
     ``rows`` carry TO_WORKER and TO_BATCH where they move, and the table's columns
     ``names``; those outside the table's column list are blanked once they move.
     """
@@ -251,13 +256,20 @@ def _check_columns(store: Store, manifest: Manifest, tree: Tree) -> None:
         _archive_schema(store, manifest, t)
 
 
-def _swap(store: Store, manifest: Manifest, table: Table, gone: list[Part], stay: list[Part], moved: list[Part]) -> Manifest:
-    """The manifest after parts ``gone`` became parts that stay and parts that moved."""
-    target = _archive_schema(store, manifest, table)
-    paths = {p.path for p in gone}
-    live = [p for p in manifest.of(LIVE, table.name) if p.path not in paths] + stay
-    return (manifest.with_table(LIVE, table.name, live)
-            .with_table(ARCHIVE, table.name, [*manifest.of(ARCHIVE, table.name), *moved], target.json()))
+def _swap(
+    store: Store, manifest: Manifest, table: Table, read: list[Part], shared: list[_Shared], stay: list[Part], moved: list[Part]
+) -> Manifest:
+    """The manifest after parts ``read`` and the live parts of ``shared`` directories became parts that stay and
+    parts that moved; ``moved`` has all archived parts of the shared directories.
+
+    The archive may hold batches of a directory that is read: those of an earlier run that was stopped.
+    """
+    target, ours = _archive_schema(store, manifest, table), {s.part.path for s in shared}
+    gone = ours | {p.path for p in read}
+    live = [p for p in manifest.of(LIVE, table.name) if p.path not in gone]
+    archive = [p for p in manifest.of(ARCHIVE, table.name) if p.path not in ours]
+    return (manifest.with_table(LIVE, table.name, live + stay)
+            .with_table(ARCHIVE, table.name, archive + moved, target.json()))
 
 
 def _count_audit(table: Table, before: int, moved: int, kept: int) -> tuple[str, int, int, int]:
@@ -283,12 +295,14 @@ def _content_audit(store: Store, manifest: Manifest, table: Table, gone: list[Pa
         raise AuditError(f"{table.name}: rows were altered, of {found.before} {found.moved} moved and {found.kept} kept")
 
 
-def _archived_twice(store: Store, manifest: Manifest, table: Table, new: list[Part], waiting: list[Part], size: int) -> dict[int, object]:
+def _archived_twice(
+    store: Store, manifest: Manifest, table: Table, new: list[Part], waiting: list[Part], size: int, several_chunks: bool
+) -> dict[int, object]:
     """Chunks that would archive a key twice, each with such a key.
 
     ``new`` parts, of one or of many chunks, are compared with the archive and, like the
-    parts that are ``waiting`` already, with those of other chunks. So parts that later chunks
-    only rename are looked at once. Only archive parts whose key range meets theirs are opened.
+    parts that are ``waiting`` already, with those of other chunks. So what later chunks only
+    publish is looked at once. Only archive parts whose key range meets theirs are opened.
     """
     if not (table.unique and new):
         return {}
@@ -318,7 +332,7 @@ def _archived_twice(store: Store, manifest: Manifest, table: Table, new: list[Pa
         rows = tagged(new)
         twice = rows.join(old, rows[KEY] == old[_tick(table.key)], "left_semi")
         found |= dict(twice.groupBy("chunk").agg(F.min(KEY)).collect())
-    if len({p.path.rsplit("/", 2)[1] for p in new + waiting}) > 1:
+    if several_chunks:
         rows = tagged(new + waiting)
         several = rows.groupBy(KEY).agg(F.min("chunk").alias("a"), F.max("chunk").alias("b")).where("a < b").select(KEY, "a")
         later = rows.join(several, KEY).where("chunk > a").groupBy("chunk").agg(F.min(KEY)) if not several.isEmpty() else None
@@ -332,15 +346,37 @@ def _check_not_archived(table: Table, twice: dict[int, object], chunk: int) -> N
         raise AuditError(f"{table.name}: key {twice[chunk]} is in the archive already")
 
 
-def _add_ledger(store: Store, manifest: Manifest, tree: Tree, run_id: str, chunk: int, batches: DataFrame) -> Manifest:
-    """Append a chunk's batches (worker, batch_no, roots, records, duration_us)."""
-    path = f"ledger/{run_id}-{chunk:05d}"
-    rows = batches.select(
-        F.lit(run_id).alias("run_id"), F.lit(tree.root.name).alias("root"), F.lit(chunk).alias("chunk"),
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in LEDGER_SCHEMA.fields[3:]])
-    rows.write.parquet(f"{store.root}/{path}")
-    parts = [*manifest.of(LEDGER, "batches"), Part(path, None, 0)]
-    return manifest.with_table(LEDGER, "batches", parts, LEDGER_SCHEMA.json())
+class _Book:
+    """Writes a run's ledger: a file per chunk, and one for every ``FOLDED`` of them in their place."""
+
+    def __init__(self):
+        self.recent: list[tuple[Part, list[tuple]]] = []
+
+    def add(self, store: Store, manifest: Manifest, tree: Tree, run_id: str, chunk: int, batches: DataFrame | list[tuple]) -> Manifest:
+        """Append a chunk's batches (worker, batch_no, roots, records, duration_us)."""
+        path, parts = f"ledger/{run_id}-{chunk:05d}", list(manifest.of(LEDGER, "batches"))
+        if isinstance(batches, DataFrame):
+            rows = batches.select(
+                F.lit(run_id).alias("run_id"), F.lit(tree.root.name).alias("root"), F.lit(chunk).alias("chunk"),
+                *[F.col(f.name).cast(f.dataType).alias(f.name) for f in LEDGER_SCHEMA.fields[3:]])
+            rows.write.parquet(f"{store.root}/{path}")
+            parts.append(Part(path, None, 0))
+        else:
+            rows = [(run_id, tree.root.name, chunk, *b) for b in batches]
+            if len(self.recent) >= FOLDED or sum(len(r) for _, r in self.recent) + len(rows) > BATCHES_HELD:
+                self._fold(store, run_id, parts)
+            store.write_few(f"{store.root}/{path}", LEDGER_SCHEMA, rows)
+            self.recent.append((Part(path, None, 0), rows))
+            parts.append(self.recent[-1][0])
+        return manifest.with_table(LEDGER, "batches", parts, LEDGER_SCHEMA.json())
+
+    def _fold(self, store: Store, run_id: str, parts: list[Part]) -> None:
+        """Replace the files of the latest chunks by one."""
+        own = {p.path for p, _ in self.recent}
+        path = f"ledger/{run_id}-upto-{self.recent[-1][1][0][2]:05d}"
+        store.write_few(f"{store.root}/{path}", LEDGER_SCHEMA, [row for _, rows in self.recent for row in rows])
+        parts[:] = [p for p in parts if p.path not in own] + [Part(path, None, 0)]
+        self.recent = []
 
 
 def _log_outcomes(store: Store, tree: Tree, result: RunResult, begun: dt.datetime, error: str | None = None) -> None:
@@ -353,7 +389,7 @@ def _log_outcomes(store: Store, tree: Tree, result: RunResult, begun: dt.datetim
     warning = "out of time" if result.timed_out else None
     rows = [(result.run_id, tree.root.name, len(result.chunks), w, begun, result.cutoff, chunk.roots.get(w, 0), left,
              chunk.duration_us, result.timed_out, failed, warning, error) for w, left in sorted(chunk.backlog.items())]
-    small_rows(store.spark, OUTCOME_SCHEMA, rows).write.mode("append").parquet(store.outcomes_path)
+    store.write_few(store.outcomes_path, OUTCOME_SCHEMA, rows)
 
 
 def outcomes(store: Store) -> DataFrame:
@@ -369,11 +405,13 @@ def last_outcomes(rows: DataFrame) -> DataFrame:
     return rows.groupBy("run_id", "worker").agg(F.max("failed").alias("failed"), latest).select("run_id", "worker", "failed", "o.*")
 
 
-def _with_idle_workers(batches: DataFrame, options: RunOptions, counts: dict[int, int], first: bool) -> DataFrame:
+def _with_idle_workers(
+    batches: DataFrame | list[tuple], options: RunOptions, counts: dict[int, int], first: bool
+) -> DataFrame | list[tuple]:
     """A worker without eligible rows still runs one empty batch."""
     idle = [(w, 1, 0, 0, 0) for w in range(options.parallel) if not counts.get(w)] if first else []
-    if not idle:
-        return batches
+    if not idle or isinstance(batches, list):
+        return batches + idle if idle else batches
     schema = T.StructType([LEDGER_SCHEMA[c] for c in ("worker", "batch_no", "roots", "records", "duration_us")])
     return batches.unionByName(small_rows(batches.sparkSession, schema, idle))
 
@@ -396,6 +434,15 @@ class _Plan:
     def chunks(self) -> int:
         return -(-self.batches // self.size)
 
+    @property
+    def group(self) -> int:
+        """Chunks that share directories: as many as make a chunk of default size."""
+        return max(1, CHUNK_ROWS // max(1, self.batch * self.size * len(self.counts)))
+
+    def group_end(self, chunk: int) -> int:
+        """The first chunk after the group of one."""
+        return (chunk // self.group + 1) * self.group
+
     def rows_before(self, chunk: int) -> dict[int, int]:
         """Rows of each worker in the chunks before one."""
         upto = min(chunk * self.size, self.batches) * self.batch
@@ -414,21 +461,60 @@ class _Plan:
 # -- record tree -----------------------------------------------------------------
 
 
+@dataclass
+class _Shared:
+    """A written directory whose rows move with the chunks of one group.
+
+    ``counts`` has the rows of each of these chunks, ``archived`` the parts of it that were archived.
+    """
+
+    part: Part
+    counts: dict[int, int]
+    archived: list[Part] = field(default_factory=list)
+
+    def __post_init__(self):
+        self._chunks = sorted(self.counts)
+        self._upto = list(accumulate((self.counts[c] for c in self._chunks), initial=0))
+
+    def waiting(self, chunk: int, size: int) -> list[Part]:
+        """Its live part before a chunk."""
+        left = self._upto[-1] - self._upto[bisect_left(self._chunks, chunk)]
+        return [self.part if left == self.part.rows else replace(self.part, rows=left, batches=(chunk * size, None))] if left else []
+
+    def of(self, chunk: int, size: int) -> list[Part]:
+        """Its rows that move with a chunk."""
+        n = self.counts.get(chunk, 0)
+        return [self.part if n == self.part.rows else replace(self.part, rows=n, batches=(chunk * size, (chunk + 1) * size))] if n else []
+
+    def archive(self, chunk: int, size: int) -> None:
+        """Add a chunk's rows to the archived ones; many such parts become one."""
+        if len(self.archived) >= FOLDED:
+            self.archived = [replace(self.part, rows=sum(p.rows for p in self.archived),
+                                     batches=(self.archived[0].batches[0], self.archived[-1].batches[1]))]
+        self.archived += self.of(chunk, size)
+
+
 @dataclass
 class _Written:
     """Parts of one table that a run has written and that are still live.
 
-    ``pending`` rows move with a later chunk. ``settled`` parts hold no row of any key
+    ``pending`` rows, by group, move with a chunk of it. ``settled`` parts hold no row of any key
     of the run: they were split by all of them. ``twice`` has the chunks that would
-    archive a key for the second time.
+    archive a key for the second time. ``due`` has the first chunk with a row in a part that was
+    there before, ``unproven`` the parts without any that can't be told to have none from their ranges.
     """
 
-    pending: dict[int, list[Part]] = field(default_factory=dict)
+    pending: dict[int, list[_Shared]] = field(default_factory=dict)
     settled: set[str] = field(default_factory=set)
     twice: dict[int, object] = field(default_factory=dict)
+    due: dict[int, list[Part]] | None = None
+    unproven: list[Part] = field(default_factory=list)
 
     def paths(self) -> set[str]:
-        return self.settled | {p.path for parts in self.pending.values() for p in parts}
+        return self.settled | {s.part.path for group in self.pending.values() for s in group}
+
+    def waiting(self, chunk: int, size: int) -> list[Part]:
+        return [p for group in self.pending.values() for s in group for p in s.waiting(chunk, size)]
 
 
 def _tree_chunks(store: Store, tree: Tree, options: RunOptions, result: RunResult) -> Iterator[Chunk]:
@@ -443,66 +529,101 @@ def _tree_chunks(store: Store, tree: Tree, options: RunOptions, result: RunResul
     else:
         keys = counted = stage(numbered, "numbered")
     plan = _Plan(_worker_counts(counted, WORKER), options.batch_size, _chunk_size(options), options.max_batches)
-    written, counted = {t.name: _Written() for t in tree.tables}, []
+    written, records, book = {t.name: _Written() for t in tree.tables}, _Records(plan), _Book()
     if plan.chunks:
         _check_columns(store, manifest, tree)
     for chunk in range(plan.chunks):
         started = time.monotonic()
-        yield _tree_chunk(store, tree, options, result, plan, chunk, keys, written, counted, started)
+        yield _tree_chunk(store, tree, options, result, plan, chunk, keys, written, records, book, started)
 
 
 def _tree_chunk(
     store: Store, tree: Tree, options: RunOptions, result: RunResult, plan: _Plan, chunk: int, keys: DataFrame,
-    written: dict[str, _Written], counted: list[tuple[set[int], DataFrame]], started: float
+    written: dict[str, _Written], records: _Records, book: _Book, started: float
 ) -> Chunk:
     """Move the rows of one chunk; rows met of later chunks are put apart for them."""
     manifest = before = result.manifest
-    links = {tree.root.name: _sized(keys.where(_chunk_of(BATCH, plan.size) >= chunk), sum(plan.left(chunk - 1).values()))}
+    links, size = {}, plan.size
     label, audit, fresh = f"{result.run_id}-{chunk + 1:05d}", {}, {}
 
-    def move(t: Table) -> tuple[list[Part], list[Part], list[Part]]:
-        above, layout = links[t.parent or t.name], layout_of(tree, t)
-        now = above.where(_chunk_of(BATCH, plan.size) == chunk) if plan.chunks > 1 else above
+    def link(t: Table) -> DataFrame:
+        """Keys of this and all later chunks that rows of the table hang on."""
+        above = t.parent or t.name
+        if above != tree.root.name:
+            return links[above]
+        return _sized(keys.where(_chunk_of(BATCH, size) >= chunk), sum(plan.left(chunk - 1).values()))
+
+    def quick(t: Table) -> bool:
+        """Nothing is left to read or to look into for this chunk."""
         own = written[t.name]
+        return own.due is not None and not own.unproven and all(c > chunk for c in own.due)
+
+    def touched(t: Table, own: _Written) -> list[Part]:
+        """Parts that hold rows of the chunk, or of a later one of its group, and weren't split yet."""
+        layout, direct = layout_of(tree, t), t.parent in (None, tree.root.name)
+        if plan.chunks > 1 and direct:
+            if own.due is None:
+                own.due, own.unproven = _due_parts(store, before, t, list(before.of(LIVE, t.name)), link(t), layout, plan)
+            read = []
+            if any(c <= chunk for c in own.due):
+                read = [p for c in sorted(own.due) if c < plan.group_end(chunk) for p in own.due.pop(c)]
+            seen = {p.path for p in read} if own.unproven else set()
+            own.unproven = [p for p in own.unproven if p.path not in seen]
+            if own.unproven:
+                _audit_unread(store, before, t, own.unproven, link(t).where(_chunk_of(BATCH, size) == chunk), layout)
+            return read
+        now = link(t).where(_chunk_of(BATCH, size) == chunk) if plan.chunks > 1 else link(t)
         done = own.paths()
-        ready = own.pending.pop(chunk, [])
         live = [p for p in before.of(LIVE, t.name) if p.path not in done]
         read, looked_up = _touched_parts(store, before, t, live, now, layout)
         seen = {p.path for p in read + looked_up}
         _audit_unread(store, before, t, [p for p in live if p.path not in seen], now, layout)
-        sides = _split_by_link(store, before, tree, t, read, above, plan.size, f"data/{t.name}/{label}") if read else {}
-        fresh[t.name] = {c: sides[_side_name(c)] for c in range(chunk, plan.chunks) if _side_name(c) in sides} if sides else {}
-        moved = ready + sides.pop(_side_name(chunk), [])
-        stay = [p for parts in sides.values() for p in parts]
+        return read
+
+    def move(t: Table) -> tuple[list[Part], list[_Shared], list[Part], list[Part]]:
+        own = written[t.name]
+        own.pending = {g: shared for g, shared in own.pending.items() if g >= chunk // plan.group}
+        waiting = own.waiting(chunk, size)
+        ready = [p for s in own.pending.get(chunk // plan.group, []) for p in s.of(chunk, size)]
+        read = touched(t, own)
+        kept, new = _split_by_link(store, before, tree, t, read, link(t), plan, f"data/{t.name}/{label}") if read else ([], [])
+        fresh[t.name] = [s.part for s in new]
+        for s in new:
+            own.pending.setdefault(min(s.counts) // plan.group, []).append(s)
+        if t.parent in (None, tree.root.name):
+            own.settled.update(p.path for p in kept)
+        now = [s for s in own.pending.get(chunk // plan.group, []) if chunk in s.counts]
+        moved = [p for s in now for p in s.of(chunk, size)]
+        stay = kept + [p for s in new for p in s.waiting(chunk + 1, size)]
         audit[t.name] = _count_audit(t, _rows_in(read) + _rows_in(ready), _rows_in(moved), _rows_in(stay))
         if options.audit_contents:
             _content_audit(store, before, t, read + ready, stay, moved)
-        new = [p for parts in fresh[t.name].values() for p in parts]
-        waiting = ready + [p for parts in own.pending.values() for p in parts]
-        own.twice |= _archived_twice(store, before, t, new, waiting, plan.size)
-        for later in range(chunk + 1, plan.chunks):
-            if _side_name(later) in sides:
-                own.pending.setdefault(later, []).extend(sides[_side_name(later)])
-        if t.parent in (None, tree.root.name):
-            own.settled.update(p.path for p in sides.get(KEPT, []))
+        if new:
+            chunks = {c for group in own.pending.values() for s in group for c in s.counts if c >= chunk}
+            own.twice |= _archived_twice(store, before, t, fresh[t.name], waiting, size, len(chunks) > 1)
         _check_not_archived(t, own.twice, chunk)
         if tree.children(t.name) and t.parent is not None:
-            known = moved + [p for parts in own.pending.values() for p in parts]
+            known = own.waiting(chunk, size)
             links[t.name] = _sized(_next_link(store, before, t, known), _rows_in(known))
-        return read + ready, stay, moved
+        for s in now:
+            s.archive(chunk, size)
+        changed = now + [s for s in new if chunk not in s.counts]
+        return read, changed, kept + [p for s in changed for p in s.waiting(chunk + 1, size)], [p for s in now for p in s.archived]
 
     for level in _levels(tree):
-        for t, (gone, stay, moved) in zip(level, _concurrently(store.spark, move, level)):
-            manifest = _swap(store, manifest, t, gone, stay, moved)
+        # Threads for tables with work for Spark only.
+        moves = [move(t) for t in level] if all(map(quick, level)) else _concurrently(store.spark, move, level)
+        for t, changes in zip(level, moves):
+            manifest = _swap(store, manifest, t, *changes)
 
     roots = plan.rows(chunk)
     if sum(roots.values()) != audit[tree.root.name][2]:
         raise AuditError(f"{tree.root.name}: {sum(roots.values())} keys chosen, {audit[tree.root.name][2]} rows moved")
     spent = int((time.monotonic() - started) * 1_000_000)
-    records = _chunk_records(store, tree, fresh, counted, chunk, plan.size)
-    ledger = _with_idle_workers(_tree_ledger(records, roots, options.batch_size, spent), options, plan.counts, chunk == 0)
-    manifest = _add_ledger(store, manifest, tree, result.run_id, chunk + 1, ledger)
-    return Chunk(manifest, min(plan.size, plan.batches - chunk * plan.size), roots, plan.left(chunk), [audit[t.name] for t in tree.tables])
+    records.add(store, tree, fresh)
+    ledger = _with_idle_workers(_tree_ledger(records.of(chunk), roots, options.batch_size, spent), options, plan.counts, chunk == 0)
+    manifest = book.add(store, manifest, tree, result.run_id, chunk + 1, ledger)
+    return Chunk(manifest, min(size, plan.batches - chunk * size), roots, plan.left(chunk), [audit[t.name] for t in tree.tables])
 
 
 def _levels(tree: Tree) -> list[list[Table]]:
@@ -559,16 +680,41 @@ def _touched_parts(
     return [p for p in own if p.segment in hit] + found, loose
 
 
-def _audit_unread(store: Store, manifest: Manifest, table: Table, unread: list[Part], link: DataFrame, layout: str) -> None:
-    """Fail if a part that is left alone holds a row of a chosen key.
+def _due_parts(
+    store: Store, manifest: Manifest, table: Table, parts: list[Part], link: DataFrame, layout: str, plan: _Plan
+) -> tuple[dict[int, list[Part]], list[Part]]:
+    """The first chunk of a run that has rows in a part, for all parts at once; and parts of the table's
+    own layout without any that only a look can tell to have none.
 
-    The range of link values in a part's files, where it is known to lie in the
-    part's own segment, rules it out; the others are joined with the keys. A root's
-    chosen keys come from its own rows, so their number is enough.
+    They are found as ``_touched_parts`` finds those of one chunk.
     """
-    if table.parent is None:
-        return
-
+    chunk = _chunk_of(BATCH, plan.size).alias("c")
+    own = [p for p in parts if p.segment is not None and p.layout == layout]
+    known = sorted({p.segment for p in own})
+    label = F.col(SEG) if table.parent is None else range_label(F.col(KEY), table.span)
+    first = dict(link.select(label.alias("s"), chunk).where(F.col("s").isin(known)).groupBy("s").agg(F.min("c")).collect()) if known else {}
+    due = {p.path: first[p.segment] for p in own if p.segment in first}
+    loose = [p for p in parts if p.segment is None or p.layout != layout]
+    if len(loose) == 1:
+        due[loose[0].path] = 0
+    elif loose:
+        on = _link_column(table)
+        rows = store.read(manifest, LIVE, table.name, loose, with_file=FILE).select(_tick(on), FILE)
+        if sum(plan.counts.values()) <= FEW:
+            rows = lookup(rows, on, link.select(KEY))
+        keys = link.select(KEY, chunk)
+        of_file = rows.join(keys, rows[_tick(on)] == keys[KEY]).groupBy(FILE).agg(F.min("c").alias("c"))
+        due |= first_of(of_file, loose, store.locate)
+    out: dict[int, list[Part]] = {}
+    for p in parts:
+        if p.path in due:
+            out.setdefault(due[p.path], []).append(p)
+    unread = [p for p in own if due.get(p.path) != 0]
+    return out, _unproven(table, unread, layout) if table.parent is not None else []
+
+
+def _unproven(table: Table, parts: list[Part], layout: str) -> list[Part]:
+    """Parts that can hold keys of other segments: their ranges of link values aren't known to lie in their own."""
     def label(value: int) -> str:
         return str(abs(value) // table.span * (1 if value >= 0 else -1))
 
@@ -576,7 +722,19 @@ def _audit_unread(store: Store, manifest: Manifest, table: Table, unread: list[P
         own = part.range_of(table.link)
         return part.layout == layout and own is not None and label(own[0]) == label(own[1]) == part.segment
 
-    open_ = [p for p in unread if not proven(p) and not (p.segment == "none" and p.layout == layout)]
+    return [p for p in parts if not proven(p) and not (p.segment == "none" and p.layout == layout)]
+
+
+def _audit_unread(store: Store, manifest: Manifest, table: Table, unread: list[Part], link: DataFrame, layout: str) -> None:
+    """Fail if a part that is left alone holds a row of a chosen key.
+
+    The range of link values in a part's files, where it is known to lie in the
+    part's own segment, rules it out; the others are joined with the keys. A root's
+    chosen keys come from its own rows, so their number is enough.
+    """
+    if table.parent is None:
+        return
+    open_ = _unproven(table, unread, layout)
     if open_:
         rows = lookup(store.read(manifest, LIVE, table.name, open_).select(_tick(table.link)), table.link, link.select(KEY))
         if not rows.isEmpty():
@@ -584,17 +742,22 @@ def _audit_unread(store: Store, manifest: Manifest, table: Table, unread: list[P
 
 
 def _split_by_link(
-    store: Store, manifest: Manifest, tree: Tree, table: Table, read: list[Part], link: DataFrame, size: int, label: str
-) -> dict[str, list[Part]]:
-    """One scan, one join on the unique chosen keys, one write of all sides."""
+    store: Store, manifest: Manifest, tree: Tree, table: Table, read: list[Part], link: DataFrame, plan: _Plan, label: str
+) -> tuple[list[Part], list[_Shared]]:
+    """One scan, one join on the unique chosen keys, one write of all sides: parts that stay, and those that move."""
     rows = store.read(manifest, LIVE, table.name, read)
     counts = _rows_per_segment(store, tree, table, rows, read)
     each = max(1, store.target_bytes * INFLATION // max(1, rows._jdf.schema().defaultSize()))
     tasks = {s: -(-n // each) for s, n in counts.items()}
     # Small segments share tasks: very many of them don't make very many tasks.
     small = -(-sum(counts[s] for s, n in tasks.items() if n == 1) // each) + store.spark.sparkContext.defaultParallelism
-    split = _split(rows, tree, table, link, size, tasks, small)
-    return store.write_sides(split, label, layout_of(tree, table), _link_column(table), table.key, placed=True)
+    split = _split(rows, tree, table, link, plan.size * plan.group, tasks, small)
+    return _kept_and_shared(*store.write_chunks(
+        split, label, layout_of(tree, table), _link_column(table), table.key, placed=True, chunk=_chunk_of(BATCH, plan.size)))
+
+
+def _kept_and_shared(sides: dict[str, list[Part]], counts: dict[str, dict[int, int]]) -> tuple[list[Part], list[_Shared]]:
+    return sides.pop(KEPT, []), [_Shared(p, counts[p.path]) for parts in sides.values() for p in parts]
 
 
 def _rows_per_segment(store: Store, tree: Tree, table: Table, rows: DataFrame, read: list[Part]) -> dict[str, int]:
@@ -732,11 +895,8 @@ class _Cuts:
 def _provenance(store: Store, manifest: Manifest, table: Table, parts: list[Part], *columns: str) -> DataFrame:
     """Worker and batch of moved rows, with some of their columns."""
     live = store.schema(manifest, LIVE, table.name)
-    schema = T.StructType([*[live[c] for c in columns],
-                           T.StructField(WORKER, T.IntegerType()), T.StructField(BATCH, T.LongType())])
-    if not parts:
-        return store.spark.createDataFrame([], schema)
-    return store.spark.read.schema(schema).parquet(*[store.locate(p) for p in parts])
+    return store.rows_of(T.StructType([*[live[c] for c in columns],
+                                       T.StructField(WORKER, T.IntegerType()), T.StructField(BATCH, T.LongType())]), parts)
 
 
 def _sized(keys: DataFrame, count: int) -> DataFrame:
@@ -752,22 +912,50 @@ def _next_link(store: Store, manifest: Manifest, table: Table, moved: list[Part]
     return keys.groupBy(KEY).agg(F.min(F.struct(BATCH, WORKER)).alias("p")).select(KEY, f"p.{WORKER}", f"p.{BATCH}")
 
 
-def _chunk_records(
-    store: Store, tree: Tree, fresh: dict[str, dict[int, list[Part]]], counted: list[tuple[set[int], DataFrame]], chunk: int, size: int
-) -> DataFrame:
-    """Roots and records per worker and batch of a chunk.
+class _Records:
+    """Roots and records per worker and batch of a run's chunks.
 
-    ``fresh`` has per table and chunk the parts that this chunk wrote. They are counted once for
-    all chunks; ``counted`` keeps the numbers with the chunks they are of.
+    Parts are counted once, for all chunks, when they are written. Of chunks with few batches many are
+    taken from Spark at once.
     """
-    chunks = {c for parts in fresh.values() for c in parts}
-    if chunks:
-        rows = _tree_records(store, tree, {t: [p for of in parts.values() for p in of] for t, parts in fresh.items()})
-        # In order, so that a chunk reads few of them.
-        counted.append((chunks, rows if chunks == {chunk} else stage(
-            rows.repartitionByRange(BATCH).sortWithinPartitions(BATCH), "counted")))
-    own = [rows.where((F.col(BATCH) > chunk * size) & (F.col(BATCH) <= (chunk + 1) * size)) for of, rows in counted if chunk in of]
-    return own[0] if len(own) == 1 else _summed(own)
+
+    def __init__(self, plan: _Plan):
+        self.plan = plan
+        self.counted: list[DataFrame] = []
+        self.held: dict[int, list[tuple[int, int, int, int]]] = {}
+
+    def add(self, store: Store, tree: Tree, fresh: dict[str, list[Part]]) -> None:
+        """Count parts that a chunk wrote."""
+        if any(fresh.values()):
+            rows = _tree_records(store, tree, fresh)
+            if self.plan.chunks > 1:
+                rows = stage(rows, "counted")
+                if sum(-(-n // self.plan.batch) for n in self.plan.counts.values()) > 4 * BATCHES_HELD:
+                    # In order, so that a chunk reads few of them.
+                    rows = stage(rows.repartitionByRange(BATCH).sortWithinPartitions(BATCH), "counted")
+            self.counted.append(rows)
+            self.held = {}
+
+    def of(self, chunk: int) -> DataFrame | list[tuple[int, int, int, int]]:
+        """A chunk's batches: worker, batch, roots, records."""
+        if self.batches(chunk) > LEDGER_ROWS:
+            return self._between(chunk, chunk + 1)
+        if chunk not in self.held:
+            end, n = chunk, 0
+            while end < self.plan.chunks and (n := n + self.batches(end)) <= BATCHES_HELD:
+                end += 1
+            self.held = {c: [] for c in range(chunk, end)}
+            for row in self._between(chunk, end).select(WORKER, BATCH, "roots", "records").collect():
+                self.held[(row[1] - 1) // self.plan.size].append(tuple(row))
+        return self.held.pop(chunk)
+
+    def batches(self, chunk: int) -> int:
+        return sum(-(-n // self.plan.batch) for n in self.plan.rows(chunk).values())
+
+    def _between(self, chunk: int, end: int) -> DataFrame:
+        size = self.plan.size
+        own = [rows.where((F.col(BATCH) > chunk * size) & (F.col(BATCH) <= end * size)) for rows in self.counted]
+        return own[0] if len(own) == 1 else _summed(own)
 
 
 def _summed(counts: list[DataFrame]) -> DataFrame:
@@ -780,14 +968,16 @@ def _tree_records(store: Store, tree: Tree, moved: dict[str, list[Part]]) -> Dat
     counts = []
     for t in tree.tables:
         if moved.get(t.name):
-            rows = store.spark.read.schema(f"{WORKER} int, {BATCH} bigint").parquet(*[store.locate(p) for p in moved[t.name]])
+            rows = store.rows_of(T.StructType([T.StructField(WORKER, T.IntegerType()), T.StructField(BATCH, T.LongType())]), moved[t.name])
             per = rows.groupBy(WORKER, BATCH).agg(F.count("*").alias("records"))
             counts.append(per.withColumn("roots", F.col("records") if t.parent is None else F.lit(0).cast("bigint")))
     return _summed(counts)
 
 
-def _tree_ledger(records: DataFrame, roots: dict[int, int], size: int, spent: int) -> DataFrame:
+def _tree_ledger(records: DataFrame | list[tuple], roots: dict[int, int], size: int, spent: int) -> DataFrame | list[tuple]:
     """A chunk's batches, its time divided over those of each worker."""
+    if isinstance(records, list):
+        return [(*r, spent // max(-(-roots.get(r[0], 0) // size), 1)) for r in records]
     share = F.lit(0).cast("bigint")
     for worker, n in roots.items():
         share = F.when(F.col(WORKER) == worker, F.lit(spent // max(-(-n // size), 1))).otherwise(share)
@@ -799,7 +989,7 @@ def _tree_ledger(records: DataFrame, roots: dict[int, int], size: int, spent: in
 
 
 def _table_chunks(store: Store, tree: Tree, options: RunOptions, result: RunResult) -> Iterator[Chunk]:
-    """The first chunk writes the touched rows apart for every chunk, the others only publish."""
+    """The first chunk writes the touched rows apart for every group of chunks, the others only publish."""
     started = time.monotonic()
     table, manifest = tree.root, result.manifest
     candidates, layout = _candidate_parts(manifest, tree, options), layout_of(tree, table)
@@ -823,24 +1013,32 @@ def _table_chunks(store: Store, tree: Tree, options: RunOptions, result: RunResu
     read = [p for p in own if p.segment in hit] + loose
     names = store.schema(manifest, LIVE, table.name).names
     split = _numbered_split(tree, table, names, store.read(manifest, LIVE, table.name, read), rule, options, plan)
-    sides = store.write_sides(split, f"data/{table.name}/{result.run_id}", layout, table.key)
-    stay = sides.pop(KEPT, [])
-    twice = _archived_twice(store, manifest, table, [p for parts in sides.values() for p in parts], [], plan.size)
+    kept, shared = _kept_and_shared(*store.write_chunks(
+        split, f"data/{table.name}/{result.run_id}", layout, table.key, chunk=_chunk_of(BATCH, plan.size)))
+    twice = _archived_twice(store, manifest, table, [s.part for s in shared], [], plan.size, len({c for s in shared for c in s.counts}) > 1)
+    book, size = _Book(), plan.size
+    groups: dict[int, list[_Shared]] = {}
+    for s in shared:
+        groups.setdefault(min(s.counts) // plan.group, []).append(s)
     for chunk in range(plan.chunks):
-        moved = sides.pop(_side_name(chunk), [])
-        waiting = [p for parts in sides.values() for p in parts]
+        now = [s for s in groups.get(chunk // plan.group, []) if chunk in s.counts]
+        moved = [p for s in now for p in s.of(chunk, size)]
         gone = read if chunk == 0 else moved
-        audit = _count_audit(table, _rows_in(gone), _rows_in(moved), _rows_in(stay + waiting) if chunk == 0 else 0)
+        stay = kept + [p for s in shared for p in s.waiting(1, size)] if chunk == 0 else []
+        audit = _count_audit(table, _rows_in(gone), _rows_in(moved), _rows_in(stay))
         if options.audit_contents:
-            _content_audit(store, result.manifest, table, gone, stay + waiting if chunk == 0 else [], moved)
+            _content_audit(store, result.manifest, table, gone, stay, moved)
         rows = plan.rows(chunk)
         if sum(rows.values()) != audit[2]:
             raise AuditError(f"{table.name}: {sum(rows.values())} rows chosen, {audit[2]} moved")
         _check_not_archived(table, twice, chunk)
-        after = _swap(store, result.manifest, table, gone, stay + waiting if chunk == 0 else [], moved)
+        for s in now:
+            s.archive(chunk, size)
+        left = stay if chunk == 0 else [p for s in now for p in s.waiting(chunk + 1, size)]
+        after = _swap(store, result.manifest, table, read if chunk == 0 else [], now, left, [p for s in now for p in s.archived])
         spent = int((time.monotonic() - started) * 1_000_000)
-        ledger = _table_ledger(store, rows, plan, chunk, spent)
-        after = _add_ledger(store, after, tree, result.run_id, chunk + 1, _with_idle_workers(ledger, options, counts, chunk == 0))
+        ledger = _with_idle_workers(_table_ledger(store, rows, plan, chunk, spent), options, counts, chunk == 0)
+        after = book.add(store, after, tree, result.run_id, chunk + 1, ledger)
         yield Chunk(after, min(plan.size, plan.batches - chunk * plan.size), rows, plan.left(chunk), [audit])
         started = time.monotonic()
 
@@ -857,13 +1055,16 @@ def _numbered_split(
         first = F.col(TO_BATCH) <= plan.cap
         numbered = numbered.withColumns({TO_WORKER: F.when(first, F.col(TO_WORKER)), TO_BATCH: F.when(first, F.col(TO_BATCH))})
     rest = rows.where(~moves).withColumns({TO_WORKER: F.lit(None).cast("int"), TO_BATCH: F.lit(None).cast("bigint")})
-    return _sides(numbered.unionByName(rest), names, tree, table, plan.size)
+    return _sides(numbered.unionByName(rest), names, tree, table, plan.size * plan.group)
 
 
-def _table_ledger(store: Store, rows: dict[int, int], plan: _Plan, chunk: int, spent: int) -> DataFrame:
+def _table_ledger(store: Store, rows: dict[int, int], plan: _Plan, chunk: int, spent: int) -> DataFrame | list[tuple]:
     """Batches of ``plan.batch`` rows per worker follow from the worker's row count."""
     workers = [(w, n, -(-n // plan.batch)) for w, n in sorted(rows.items()) if n]
     total = sum(b for _, _, b in workers)
+    if total <= LEDGER_ROWS:
+        sizes = [(w, b, min(plan.batch, n - b * plan.batch), of) for w, n, of in workers for b in range(of)]
+        return [(w, b + 1 + chunk * plan.size, n, n, spent // of) for w, b, n, of in sizes]
     worker, left, first, count = (F.lit(None).cast(t) for t in ("int", "bigint", "bigint", "bigint"))
     at = 0
     for w, n, batches in workers:

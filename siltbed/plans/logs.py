@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltbed.functions.progress import ID_LIST, NOT_COMPLETED, WRITE_FAILED
 from siltbed.functions.scalars import ts_text
@@ -22,8 +23,7 @@ def id_lines(store: Store, tree: Tree, result: RunResult) -> DataFrame:
     """(worker, batch_no, ids): the archived root keys of each batch of a run."""
     parts = [p for p in result.manifest.of(ARCHIVE, tree.root.name) if result.run_id in p.path]
     key = store.schema(result.manifest, ARCHIVE, tree.root.name)[tree.root.key]
-    rows = store.spark.read.schema(f"`{key.name}` {key.dataType.simpleString()}, {WORKER} int, {BATCH} bigint").parquet(
-        *[store.locate(p) for p in parts])
+    rows = store.rows_of(T.StructType([key, T.StructField(WORKER, T.IntegerType()), T.StructField(BATCH, T.LongType())]), parts)
     return batch_id_lists(rows.select(F.col(key.name), F.col(WORKER).alias("worker"), F.col(BATCH).alias("batch_no")), key.name)
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import gzip
 import json
+import os
 import re
 import time
 import uuid
@@ -19,10 +20,13 @@ from dataclasses import dataclass, field, replace
 from functools import reduce
 from urllib.parse import unquote
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from siltbed.functions.scalars import is_instant
 from siltbed.session import advisory_bytes, listed_by_cores
@@ -48,6 +52,10 @@ class Part:
     to a table of another layout. ``ranges`` are the least and greatest whole numbers
     of some columns, (name, low, high) each, the column the files are sorted by first.
     An adopted directory with partition columns in its paths has the layout ``HIVE``.
+
+    ``batches`` (after, upto), where one is given, says that only rows of batches above the
+    first and up to the second (None: no bound) belong to the part: chunks of few rows share
+    directories, and each archives its batches of them. ``rows`` counts those alone.
     """
 
     path: str
@@ -55,6 +63,7 @@ class Part:
     rows: int
     layout: str | None = None
     ranges: tuple[tuple[str, int, int], ...] = ()
+    batches: tuple[int, int | None] | None = None
 
     def range_of(self, column: str) -> tuple[int, int] | None:
         return next(((low, high) for name, low, high in self.ranges if name == column), None)
@@ -84,15 +93,15 @@ class Manifest:
 
     def to_json(self) -> str:
         return json.dumps({
-            "parts": {k: [[p.path, p.segment, p.rows, p.layout, p.ranges] for p in v] for k, v in self.parts.items()},
+            "parts": {k: [[p.path, p.segment, p.rows, p.layout, p.ranges, p.batches] for p in v] for k, v in self.parts.items()},
             "schemas": self.schemas,
         })
 
     @staticmethod
     def from_json(version: int, text: str) -> Manifest:
         raw = json.loads(text)
-        parts = {k: tuple(Part(*p[:4], tuple(map(tuple, p[4] if len(p) > 4 else ()))) for p in v)
-                 for k, v in raw["parts"].items()}
+        parts = {k: tuple(Part(*p[:4], tuple(map(tuple, p[4] if len(p) > 4 else ())), tuple(p[5]) if p[5:] and p[5] else None)
+                          for p in v) for k, v in raw["parts"].items()}
         return Manifest(version, parts, raw["schemas"])
 
 
@@ -107,13 +116,16 @@ class Store:
         self.root = root.rstrip("/")
         self.target_bytes = target_bytes
         self.outcomes_path = f"{self.root}/outcomes"
+        # Looked up once: every step of a class name is a call to the JVM.
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._hadoop = spark.sparkContext._jsc.hadoopConfiguration()
 
     # -- manifest -----------------------------------------------------------
 
     def _fs(self, path: str):
-        """Hadoop file system and path object; for listing and deleting only."""
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+        """Hadoop file system and path object; for listing, deleting and the driver's few small files."""
+        p = self._path(path)
+        return p.getFileSystem(self._hadoop), p
 
     def has(self, path: str) -> bool:
         fs, p = self._fs(path)
@@ -184,12 +196,38 @@ class Store:
         """One file, packed: paths repeat much, and a run of many chunks writes many versions."""
         path = self._version_path(manifest.version)
         for name, data in (("part-00000.txt.gz", gzip.compress(manifest.to_json().encode(), 5)), ("_SUCCESS", b"")):
-            fs, p = self._fs(f"{path}/{name}")
-            out = fs.create(p, False)
-            try:
-                out.write(data)
-            finally:
-                out.close()
+            self._create(f"{path}/{name}", data)
+
+    def _create(self, path: str, data: bytes) -> None:
+        """A new file with a few bytes from the driver."""
+        fs, p = self._fs(path)
+        if fs.getUri().getScheme() == "file":
+            # Hadoop's local file system looks first and creates then, and may start processes to set the rights of a file.
+            local = p.toUri().getPath()
+            os.makedirs(os.path.dirname(local), exist_ok=True)
+            with open(local, "xb") as file:
+                file.write(data)
+            return
+        out = fs.create(p, False)
+        try:
+            out.write(data)
+        finally:
+            out.close()
+
+    def write_few(self, path: str, schema: T.StructType, rows: list[tuple]) -> None:
+        """A new Parquet file below ``path`` with a few rows from the driver, which takes no Spark job.
+
+        Readers of the directory see it once it is whole.
+        """
+        fields = to_arrow_schema(schema)
+        columns = [pa.array(values, f.type) for values, f in zip(zip(*rows), fields)] if rows else [pa.array([], f.type) for f in fields]
+        data = pa.BufferOutputStream()
+        pq.write_table(pa.Table.from_arrays(columns, schema=fields), data)
+        name = f"part-{uuid.uuid4().hex}.parquet"
+        self._create(f"{path}/_{name}", data.getvalue().to_pybytes())
+        fs, hidden = self._fs(f"{path}/_{name}")
+        if not fs.rename(hidden, self._fs(f"{path}/{name}")[1]):
+            raise RuntimeError(f"{path}/{name} could not be written")
 
     def _claim_path(self, base: int) -> str:
         return f"_manifest/after-{base}"
@@ -197,33 +235,21 @@ class Store:
     def _claim(self, base: int) -> bool:
         """Create the claim file, which only one of several publishers can."""
         fs, path = self._fs(f"{self.root}/{self._claim_path(base)}")
-        fs.mkdirs(path.getParent())
         if fs.exists(path):
             age = time.time() - fs.getFileStatus(path).getModificationTime() / 1000
             if age < CLAIM_SEC or self._current() != base:
                 return False
             fs.delete(path, False)
         try:
-            if fs.getUri().getScheme() == "file":
-                # The local Hadoop file system looks first and creates then.
-                nio = self.spark.sparkContext._jvm.java.nio.file
-                nio.Files.createFile(nio.Path.of(path.toUri().getPath(), self._no_strings()), self._no_attributes())
-            else:
-                fs.create(path, False).close()
+            self._create(f"{self.root}/{self._claim_path(base)}", b"")
+        except FileExistsError:
+            return False
         except Py4JJavaError as refused:
             if "AlreadyExists" in str(refused.java_exception):
                 return False
             raise
         return True
 
-    def _no_strings(self):
-        context = self.spark.sparkContext
-        return context._gateway.new_array(context._jvm.java.lang.String, 0)
-
-    def _no_attributes(self):
-        context = self.spark.sparkContext
-        return context._gateway.new_array(context._jvm.java.nio.file.attribute.FileAttribute, 0)
-
     def _delete(self, path: str) -> None:
         fs, p = self._fs(f"{self.root}/{path}")
         fs.delete(p, True)
@@ -281,9 +307,7 @@ class Store:
         schema = self.schema(manifest, side, table)
         chosen = list(manifest.of(side, table) if parts is None else parts)
         file = [F.col("_metadata.file_path").alias(with_file)] if with_file else []
-        plain = [self.locate(p) for p in chosen if p.layout != HIVE]
-        with listed_by_cores(self.spark):
-            frames = [self.spark.read.schema(schema).parquet(*plain).select("*", *file)] if plain else []
+        frames = self._frames(schema, [p for p in chosen if p.layout != HIVE], file)
         # Partition columns are read from the paths below each directory of its own.
         frames += [self.spark.read.schema(schema).option("basePath", self.locate(p)).parquet(self.locate(p))
                    .select(*schema.names, *file) for p in chosen if p.layout == HIVE]
@@ -292,6 +316,24 @@ class Store:
             return empty.withColumn(with_file, F.lit(None).cast("string")) if with_file else empty
         return reduce(DataFrame.unionByName, frames)
 
+    def rows_of(self, schema: T.StructType, parts: list[Part], *more: Column) -> DataFrame:
+        """Columns of the files of parts that a run has written, by name, and ``more`` of them."""
+        frames = self._frames(schema, parts, list(more))
+        return reduce(DataFrame.unionByName, frames) if frames else self.spark.createDataFrame([], schema)
+
+    def _frames(self, schema: T.StructType, parts: list[Part], more: list[Column]) -> list[DataFrame]:
+        """Rows of plain directories; one frame for all those of which the same batches count."""
+        frames = []
+        for batches, paths in by_batches(parts).items():
+            typed = schema if not batches or BATCH in schema.names else T.StructType([*schema, T.StructField(BATCH, T.LongType())])
+            with listed_by_cores(self.spark):
+                rows = self.spark.read.schema(typed).parquet(*[self.locate(p) for p in paths])
+            if batches:
+                own = [(F.col(BATCH) > after) & (F.lit(True) if upto is None else F.col(BATCH) <= upto) for after, upto in batches]
+                rows = rows.where(reduce(Column.__or__, own))
+            frames.append(rows.select(*[_quoted(c) for c in schema.names], *more))
+        return frames
+
     def locate(self, part: Part) -> str:
         """Part paths are relative to the store, those of adopted data are absolute."""
         return part.path if part.path.startswith("/") or ":/" in part.path else f"{self.root}/{part.path}"
@@ -325,14 +367,19 @@ class Store:
         (``advisory_bytes``). Rows that are ``placed`` lie by segment already. Files are sorted by the first of ``columns``; the
         ranges of all of them go to the manifest, where they are whole numbers.
         """
+        return self.write_chunks(rows, label, layout, *columns, placed=placed)[0]
+
+    def write_chunks(self, rows: DataFrame, label: str, layout: str | None, *columns: str, placed: bool = False,
+                     chunk: Column | None = None) -> tuple[dict[str, list[Part]], dict[str, dict[int, int]]]:
+        """As ``write_sides``; also the rows of each ``chunk`` (NULL: none) in the parts, by path."""
         path = f"{self.root}/{label}"
         ((rows if placed else rows.hint("rebalance", SIDE, SEGMENT))
              .sortWithinPartitions(SIDE, SEGMENT, columns[0])
              .write.partitionBy(SIDE, SEGMENT).parquet(path))
-        return self._written_parts(path, label, rows.schema, layout, list(dict.fromkeys(columns)))
+        return self._written_parts(path, label, rows.schema, layout, list(dict.fromkeys(columns)), chunk)
 
     def compact(self, side: str, table: str) -> Manifest:
-        """Merge the parts of every segment that has several; publish the result.
+        """Merge the parts of every segment that has several, or batches of shared directories; publish the result.
 
         The row counts on disk must be the same before and after.
         """
@@ -343,7 +390,8 @@ class Store:
                 by_segment.setdefault((p.layout, p.segment), []).append(p)
         merged, chosen = [], []
         for layout in sorted({key[0] for key in by_segment}, key=str):
-            several = [p for key, parts in by_segment.items() if key[0] == layout and len(parts) > 1 for p in parts]
+            several = [p for key, parts in by_segment.items() if key[0] == layout and (len(parts) > 1 or parts[0].batches)
+                       for p in parts]
             if several:
                 merged += self._merge(m, side, table, layout, several)
                 chosen += several
@@ -375,10 +423,8 @@ class Store:
         columns = [name for name, _, _ in parts[0].ranges] or [schema.names[0]]
         if side == ARCHIVE:
             schema = T.StructType([*schema, T.StructField(WORKER, T.IntegerType()), T.StructField(BATCH, T.LongType())])
-        with listed_by_cores(self.spark):
-            rows = self.spark.read.schema(schema).parquet(*[self.locate(p) for p in parts])
         label = F.regexp_extract(F.col("_metadata.file_path"), f"{SEGMENT}=([^/]*)", 1)
-        rows = rows.select("*", F.lit(side).alias(SIDE), label.alias(SEGMENT))
+        rows = self.rows_of(schema, parts, F.lit(side).alias(SIDE), label.alias(SEGMENT))
         with advisory_bytes(self.spark, self.target_bytes):
             return self.write_sides(rows, f"data/{table}/compact-{uuid.uuid4().hex}", layout, *columns)[side]
 
@@ -402,21 +448,53 @@ class Store:
             self._delete(self._claim_path(version))
         return stale
 
-    def _written_parts(self, path: str, label: str, schema: T.StructType, layout: str | None,
-                       columns: list[str]) -> dict[str, list[Part]]:
+    def _written_parts(self, path: str, label: str, schema: T.StructType, layout: str | None, columns: list[str],
+                       chunk: Column | None = None) -> tuple[dict[str, list[Part]], dict[str, dict[int, int]]]:
         plain = T.StructType([f for f in schema if f.name not in (SIDE, SEGMENT)])
         typed = T.StructType([*plain, T.StructField(SIDE, T.StringType()), T.StructField(SEGMENT, T.StringType())])
         whole = [c for c in columns if c in schema.names and isinstance(schema[c].dataType, T.IntegralType)]
         bounds = [f(_quoted(c)).cast("bigint").alias(f"{OWN}{f.__name__}{i}") for i, c in enumerate(whole) for f in (F.min, F.max)]
         with listed_by_cores(self.spark):
             rows = self.spark.read.schema(typed).parquet(path)
-        found = rows.groupBy(SIDE, SEGMENT).agg(F.count("*").alias(OWN), *bounds)
-        sides: dict[str, list[Part]] = {}
-        for side, segment, n, *ends in found.collect():
-            ranges = tuple((c, ends[2 * i], ends[2 * i + 1]) for i, c in enumerate(whole) if ends[2 * i] is not None)
+        of = (F.lit(None) if chunk is None else chunk).cast("bigint").alias(f"{OWN}chunk")
+        sides: dict[str, dict[str, Part]] = {}
+        counts: dict[str, dict[int, int]] = {}
+        for side, segment, c, n, *ends in rows.groupBy(SIDE, SEGMENT, of).agg(F.count("*").alias(OWN), *bounds).collect():
+            ranges = tuple((name, ends[2 * i], ends[2 * i + 1]) for i, name in enumerate(whole) if ends[2 * i] is not None)
             part = Part(f"{label}/{SIDE}={side}/{SEGMENT}={segment}", segment, n, layout, ranges)
-            sides.setdefault(side, []).append(part)
-        return sides
+            parts = sides.setdefault(side, {})
+            parts[part.path] = _joined(parts[part.path], part) if part.path in parts else part
+            if c is not None:
+                counts.setdefault(part.path, {})[c] = n
+        return {side: list(parts.values()) for side, parts in sides.items()}, counts
+
+
+def _joined(a: Part, b: Part) -> Part:
+    """One part for two with rows of the same directory."""
+    ends = {name: (low, high) for name, low, high in a.ranges}
+    for name, low, high in b.ranges:
+        ends[name] = min(low, ends.get(name, (low, high))[0]), max(high, ends.get(name, (low, high))[1])
+    return replace(a, rows=a.rows + b.rows, ranges=tuple((name, *of) for name, of in ends.items()))
+
+
+def by_batches(parts: Iterable[Part]) -> dict[tuple[tuple[int, int | None], ...], list[Part]]:
+    """A part per directory, by the batches that count of it; none stands for all.
+
+    Parts of one directory are read together, stretches of batches that meet as one.
+    """
+    of: dict[str, list[Part]] = {}
+    for p in parts:
+        of.setdefault(p.path, []).append(p)
+    groups: dict[tuple[tuple[int, int | None], ...], list[Part]] = {}
+    for own in of.values():
+        stretches: list[tuple[int, int | None]] = []
+        for after, upto in sorted((p.batches for p in own if p.batches), key=lambda b: b[0]):
+            if stretches and stretches[-1][1] == after:
+                stretches[-1] = stretches[-1][0], upto
+            else:
+                stretches.append((after, upto))
+        groups.setdefault(() if any(p.batches is None for p in own) else tuple(stretches), []).append(own[0])
+    return groups
 
 
 def _quoted(name: str) -> Column:
@@ -469,6 +547,17 @@ def files_of(rows: DataFrame, file: str, parts: list[Part], locate=None) -> list
     return [p for p in parts if _bare(place(p)) in seen or _bare(place(p)) in folders]
 
 
+def first_of(rows: DataFrame, parts: list[Part], locate) -> dict[str, int]:
+    """The least number of each part, by path, from ``rows`` of a file and a number each; parts without one are left out."""
+    least: dict[str, int] = {}
+    for file, n in rows.collect():
+        steps = _bare(_plain_path(file)).split("/")
+        for i in range(2, len(steps) + 1):
+            above = "/".join(steps[:i])
+            least[above] = min(n, least.get(above, n))
+    return {p.path: least[at] for p in parts if (at := _bare(locate(p))) in least}
+
+
 def _bare(path: str) -> str:
     """A path without its scheme and host, which readers write in several ways."""
     return re.sub(r"/+", "/", re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path)).rstrip("/")

@@ -635,3 +635,56 @@ def test_a_publisher_sees_versions_newer_than_the_next(spark, store):
     with pytest.raises(StaleVersion):
         store.publish(old)
     assert store.snapshot().version == new.version and store.snapshot().parts == old.parts
+
+
+def test_chunks_that_only_publish_take_no_jobs_and_few_directories(spark, tmp_path, root, monkeypatch):
+    """Many small chunks: their directories are shared, their ledger and outcomes are the driver's, parts are folded."""
+    monkeypatch.setattr(jobs, "FOLDED", 4)
+    spark.range(240).select("id", F.lit(OLD).cast("timestamp_ntz").alias("placed"), F.lit("DONE").alias("status")).write.parquet(str(tmp_path / "o"))
+    spark.range(600).select("id", (F.col("id") % 250).alias("order_id"), F.lit(1).alias("qty")).write.parquet(str(tmp_path / "l"))
+    s = Store(spark, root)
+    s.adopt({"orders": str(tmp_path / "o"), "line": str(tmp_path / "l")})
+    scheduler, seen, publish = spark.sparkContext._jsc.sc().dagScheduler(), [], Store.publish
+    monkeypatch.setattr(Store, "publish", lambda self, m: (seen.append((scheduler.numTotalJobs(), sum(map(len, m.parts.values())))), publish(self, m))[1])
+    run = jobs.archive_tree(s, replace(FLAT, segment_months=1200), replace(RUN, batch_size=2, chunk_batches=2))
+    assert len(run.chunks) == 24 and len({n for n, _ in seen}) == 1 and max(n for _, n in seen) < 30
+    assert sum(1 for _ in pathlib.Path(root, "data").glob("*/*/sb_side=*/*")) <= 2 * (1 + 3)
+    assert s.archive("orders").count() == run.roots == 240 and s.live("orders").count() == 0
+    assert s.archive("line").count() == run.moved("line") == 580 and s.live("line").count() == 20
+    book = run.ledger(s)
+    assert book.count() == book.select("worker", "batch_no").distinct().count() and book.agg(F.sum("records")).first()[0] == run.records
+    assert {r.chunk for r in jobs.outcomes(s).select("chunk").collect()} == set(range(1, 25))
+
+
+def test_a_stopped_run_shares_directories_with_the_archive(spark, store):
+    """Batches that are archived of a directory stay so while a later run, with or without upkeep, moves the others."""
+    stopped = jobs.archive_tree(store, FLAT, replace(RUN, batch_size=5, chunk_batches=2, time_limit_sec=1, run_id="stopped"))
+    m = store.snapshot()
+    both = {p.path for p in m.of(LIVE, "orders")} & {p.path for p in m.of(ARCHIVE, "orders")}
+    assert stopped.backlog > 0 and both and store.archive("orders").count() == stopped.roots
+    moved = bag(store.archive("orders")) + bag(store.live("orders"))
+    assert sorted(moved, key=repr) == bag(spark.read.parquet(store.paths["orders"]))
+    store.compact(ARCHIVE, "line")
+    assert store.archive("line").count() == stopped.moved("line") and not any(p.batches for p in store.snapshot().of(ARCHIVE, "line"))
+    jobs.archive_tree(store, FLAT, RUN)
+    check(spark, store, store.paths, FLAT)
+    upkeep(store, keep_versions=1)
+    check(spark, store, store.paths, FLAT)
+
+
+def test_files_of_later_chunks_are_read_when_they_are_due(spark, tmp_path, root, monkeypatch):
+    """Files in key order and small groups: a file is read by the first group with a row in it, all are found by one look."""
+    monkeypatch.setattr(jobs, "CHUNK_ROWS", 60)
+    spark.range(240).select("id", F.lit(OLD).cast("timestamp_ntz").alias("placed"), F.lit("DONE").alias("status")).repartitionByRange(
+        4, "id").write.parquet(str(tmp_path / "o"))
+    spark.range(480).select("id", (F.col("id") / 2).cast("bigint").alias("order_id"), F.lit(1).alias("qty")).repartitionByRange(
+        4, "id").write.parquet(str(tmp_path / "l"))
+    s = Store(spark, root)
+    s.adopt({"orders": str(tmp_path / "o"), "line": str(tmp_path / "l")})
+    reads, due, split = [], jobs._due_parts, jobs._split_by_link
+    monkeypatch.setattr(jobs, "_due_parts", lambda *a: (reads.append("look"), due(*a))[1])
+    monkeypatch.setattr(jobs, "_split_by_link", lambda *a: (reads.append(len(a[4])), split(*a))[1])
+    run = jobs.archive_tree(s, replace(FLAT, segment_months=1200), replace(RUN, batch_size=2, chunk_batches=5))
+    assert reads.count("look") == 2 and sum(n for n in reads if n != "look") == 8 and len(reads) > 4
+    assert run.backlog == 0 and s.archive("orders").count() == 240 and s.archive("line").count() == 480
+    assert s.live("line").count() == 0 and s.archive("line").select("id").distinct().count() == 480
