@@ -52,6 +52,9 @@ CO_PARTITIONED = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
 INFLATION = 4
 # Up to so many keys may be broadcast: in memory they take many times their bytes on disk.
 BROADCAST_KEYS = 200_000
+# A write of more tasks than this gives each several files' rows, up to so many bytes: what a task loads before it
+# starts grows with the number of tasks.
+TASKS, TASK_BYTES = 1_000, 16 * 1024 * 1024
 # Root rows a chunk aims at where the run names no number of batches, and a group of smaller chunks.
 CHUNK_ROWS = 20_000_000
 # Chunks that a directory is archived by before their parts of it become one, and chunks of one ledger file.
@@ -747,13 +750,15 @@ def _split_by_link(
     """One scan, one join on the unique chosen keys, one write of all sides: parts that stay, and those that move."""
     rows = store.read(manifest, LIVE, table.name, read)
     counts = _rows_per_segment(store, tree, table, rows, read)
-    each = max(1, store.target_bytes * INFLATION // max(1, rows._jdf.schema().defaultSize()))
+    of_file, most = (max(1, size * INFLATION // max(1, rows._jdf.schema().defaultSize())) for size in (store.target_bytes, TASK_BYTES))
+    each = max(of_file, min(most, -(-sum(counts.values()) // TASKS)))
     tasks = {s: -(-n // each) for s, n in counts.items()}
     # Small segments share tasks: very many of them don't make very many tasks.
     small = -(-sum(counts[s] for s, n in tasks.items() if n == 1) // each) + store.spark.sparkContext.defaultParallelism
     split = _split(rows, tree, table, link, plan.size * plan.group, tasks, small)
     return _kept_and_shared(*store.write_chunks(
-        split, label, layout_of(tree, table), _link_column(table), table.key, placed=True, chunk=_chunk_of(BATCH, plan.size)))
+        split, label, layout_of(tree, table), _link_column(table), table.key, placed=True, chunk=_chunk_of(BATCH, plan.size),
+        rows_per_file=of_file))
 
 
 def _kept_and_shared(sides: dict[str, list[Part]], counts: dict[str, dict[int, int]]) -> tuple[list[Part], list[_Shared]]:

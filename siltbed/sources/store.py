@@ -370,12 +370,15 @@ class Store:
         return self.write_chunks(rows, label, layout, *columns, placed=placed)[0]
 
     def write_chunks(self, rows: DataFrame, label: str, layout: str | None, *columns: str, placed: bool = False,
-                     chunk: Column | None = None) -> tuple[dict[str, list[Part]], dict[str, dict[int, int]]]:
-        """As ``write_sides``; also the rows of each ``chunk`` (NULL: none) in the parts, by path."""
+                     chunk: Column | None = None, rows_per_file: int = 0) -> tuple[dict[str, list[Part]], dict[str, dict[int, int]]]:
+        """As ``write_sides``; also the rows of each ``chunk`` (NULL: none) in the parts, by path.
+
+        A task writes several files for a segment where it has more than ``rows_per_file`` rows of it (0: one).
+        """
         path = f"{self.root}/{label}"
         ((rows if placed else rows.hint("rebalance", SIDE, SEGMENT))
              .sortWithinPartitions(SIDE, SEGMENT, columns[0])
-             .write.partitionBy(SIDE, SEGMENT).parquet(path))
+             .write.partitionBy(SIDE, SEGMENT).option("maxRecordsPerFile", rows_per_file).parquet(path))
         return self._written_parts(path, label, rows.schema, layout, list(dict.fromkeys(columns)), chunk)
 
     def compact(self, side: str, table: str) -> Manifest:

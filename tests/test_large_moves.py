@@ -99,3 +99,19 @@ def test_few_tasks_keep_their_ranges(spark):
         files = split.groupBy(F.spark_partition_id(), jobs.SIDE).count().count()
     # 2,000 keys are 20 chunks of 5 batches: with 10 ranges, about two in each.
     assert files <= 40
+
+
+def test_small_files_do_not_make_many_tasks(spark, tmp_path, root, monkeypatch):
+    """A task writes several files of the size aimed at once a write would have too many tasks."""
+    monkeypatch.setattr(jobs, "TASKS", 3)
+    spark.range(400).select("id", F.lit(dt.datetime(2020, 1, 1)).cast("timestamp_ntz").alias("placed")).write.parquet(str(tmp_path / "orders"))
+    lines(spark, 3000, F.col("id") % 500).repartition(3).write.parquet(str(tmp_path / "line"))
+    store = Store(spark, root, target_bytes=1000)
+    store.adopt({t: str(tmp_path / t) for t in ("orders", "line")})
+    shares, split = {}, jobs._split
+    monkeypatch.setattr(jobs, "_split", lambda *args: (shares.update({args[2].name: sum(args[5].values())}), split(*args))[1])
+    run = jobs.archive_tree(store, TREE, RUN)
+    assert shares["line"] <= 4 and run.moved("line") == 2400
+    written = spark.read.parquet(f"{root}/data/line/*")
+    sizes = [r["count"] for r in written.groupBy("_metadata.file_path").count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) <= 1000 * jobs.INFLATION // 24 and len(sizes) >= 18
