@@ -688,3 +688,17 @@ def test_files_of_later_chunks_are_read_when_they_are_due(spark, tmp_path, root,
     assert reads.count("look") == 2 and sum(n for n in reads if n != "look") == 8 and len(reads) > 4
     assert run.backlog == 0 and s.archive("orders").count() == 240 and s.archive("line").count() == 480
     assert s.live("line").count() == 0 and s.archive("line").select("id").distinct().count() == 480
+
+
+def test_compaction_after_many_chunks(spark, store, monkeypatch):
+    """However many chunks a run had, a segment has few parts and files to merge, and one plain part after it."""
+    monkeypatch.setattr(jobs, "FOLDED", 3)
+    run = jobs.archive_tree(store, FLAT, replace(RUN, batch_size=2, chunk_batches=1))
+    m, rows = store.snapshot(), bag(store.archive("line"))
+    parts, segments = m.of(ARCHIVE, "line"), {p.segment for p in m.of(ARCHIVE, "line")}
+    assert len(run.chunks) > 15 and len(segments) < len(parts) <= 4 * len(segments) and len({p.path for p in parts}) == len(segments)
+    assert len(m.of("ledger", "batches")) <= 3 + len(run.chunks) // 3 and sum(p.rows for p in parts) == run.moved("line") == len(rows)
+    after = store.compact(ARCHIVE, "line").of(ARCHIVE, "line")
+    assert len(after) == len(segments) and not any(p.batches for p in after) and not {p.path for p in after} & {p.path for p in parts}
+    assert bag(store.archive("line")) == rows and store.compact(ARCHIVE, "line").of(ARCHIVE, "line") == after
+    check(spark, store, store.paths, FLAT)
